@@ -91,3 +91,25 @@ def with_(*names: str) -> str:
     for n in names:
         add(n)
     return "WITH " + ",\n".join(_DEPS[n][0].strip() for n in order)
+
+
+def _engineered(n_lags: int = 24) -> str:
+    lags = ",\n         ".join(
+        f'lag(pv_production, {k}) OVER w AS pv_production_lag_{k}' for k in range(1, n_lags + 1))
+    return f"""
+engineered AS (
+  SELECT *,
+         CAST(hour(time) AS INTEGER) AS hour, CAST(isodow(time) - 1 AS INTEGER) AS day_of_week,
+         CAST(month(time) AS INTEGER) AS month, CAST(dayofyear(time) AS INTEGER) AS day_of_year,
+         "global_rad:W" - lag("global_rad:W", 1) OVER w AS global_rad_trend_1h,
+         ("global_rad:W" - lag("global_rad:W", 1) OVER w)
+           - (lag("global_rad:W", 1) OVER w - lag("global_rad:W", 2) OVER w) AS global_rad_acceleration_1h,
+         abs(lag(pv_production, 1) OVER w - lag(pv_production, 2) OVER w) + 1 AS pv_change_1h,
+         {lags},
+         coalesce(CAST("sun_elevation:d" >= 2 AS INTEGER), 0) AS is_daylight
+  FROM panel WINDOW w AS (PARTITION BY site_id ORDER BY time)
+)"""
+
+
+ENGINEERED = _engineered()
+_DEPS["engineered"] = (ENGINEERED, ["panel"])

@@ -108,3 +108,16 @@ def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = panel(spark, sf_dir)
     return p.withColumn("split", F.when(F.col("time") < F.lit(TRAIN_END).cast("timestamp_ntz"), "train")
                         .otherwise("test"))
+
+
+N_LAGS = 24
+
+
+def engineered(spark: SparkSession, sf_dir: str, n_lags: int = N_LAGS) -> DataFrame:
+    """Feature table: panel + calendar + radiation/PV-change/daylight + target lags.
+    One shuffle for the (site, block) window, see operators.series."""
+    from ..functions.calendar import calendar_columns
+    from ..operators.series import radiation_features
+    p = panel(spark, sf_dir)
+    p = p.select("*", *calendar_columns("time"))
+    return radiation_features(p, ["site_id"], "time", n_lags=n_lags)

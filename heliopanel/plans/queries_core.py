@@ -24,3 +24,228 @@ def naive_day_ahead(spark, sf_dir):
 query("naive_day_ahead", f"""{FX.with_('panel')}, {complete_days_sql()},
 lagged AS (SELECT site_id, pv_production, lag(pv_production, 24) OVER (PARTITION BY site_id ORDER BY time) AS lag_24 FROM cd)
 {metrics_sql('lagged', 'pv_production', 'lag_24', ['site_id'])}""")(naive_day_ahead)
+
+
+# ---------------------------------------------------------------- loading (A, B) ----
+from ..functions.calendar import calendar_columns, is_daylight as daylight_expr  # noqa: E402
+from .fixtures import N_LAGS, TRAIN_END, engineered, one_series  # noqa: E402
+from .sqlparts import q as sq  # noqa: E402
+
+PANEL_COLS = ["site_id", "time", "pv_production", "global_rad:W", "clear_sky_rad:W", "sun_elevation:d", "temp"]
+PANEL_SQL_COLS = ", ".join(sq(c) for c in PANEL_COLS)
+
+
+@query("schema_check", f"{FX.with_('panel')} SELECT * FROM panel")
+def schema_check(spark, sf_dir):
+    """A2: the time column must exist (raises otherwise), targets only warn; rows pass."""
+    return P.check_columns(panel(spark, sf_dir), "time", ["pv_production"])
+
+
+@query("parse_time", """
+SELECT event_id, CAST(strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS time,
+       CAST(CAST(strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS DATE) AS VARCHAR) AS date
+FROM events""")
+def parse_time(spark, sf_dir):
+    """A3: timestamps arriving as text are parsed (ANSI: a bad value raises) and `date` added."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time"))
+    out = P.parse_time(ev, "time", "yyyy-MM-dd HH:mm:ss")
+    return out.select("event_id", "time", F.col("date").cast("string").alias("date"))
+
+
+@query("complete_days", f"{FX.with_('panel')}, {complete_days_sql()} SELECT * FROM cd")
+def complete_days(spark, sf_dir):
+    """B1: complete days per site; a site without any keeps all its rows."""
+    return P.complete_days(panel(spark, sf_dir), ["site_id"], "time", 24)
+
+
+@query("feature_target", f"""{FX.with_('panel')}
+SELECT site_id, time, "global_rad:W", "sun_elevation:d", temp, pv_production FROM panel""")
+def feature_target(spark, sf_dir):
+    """Feature and target projections (returned side by side with the row key)."""
+    p = panel(spark, sf_dir)
+    X, y = P.feature_target(p, ["site_id", "time", "global_rad:W", "sun_elevation:d", "temp"],
+                            ["site_id", "time", "pv_production"])
+    return X.join(y, ["site_id", "time"])
+
+
+_HIST_COLS = (["site_id", "time", "pv_production", "sun_elevation:d", "hour", "day_of_week", "month",
+               "day_of_year", "pv_change_1h"] + [f"pv_production_lag_{k}" for k in range(1, N_LAGS + 1)]
+              + ["is_daylight"])
+
+
+@query("history_only", f"{FX.with_('engineered')} SELECT {', '.join(sq(c) for c in _HIST_COLS)} FROM engineered")
+def history_only(spark, sf_dir):
+    """History-only availability — drops target-hour weather columns (catalog-only)."""
+    out, _report = P.apply_availability(engineered(spark, sf_dir), "history_only", keys=["site_id"])
+    return out
+
+
+@query("tail_split", f"""{FX.with_('panel')}
+SELECT site_id, time, _i AS row_idx,
+       CASE WHEN _i < CAST(floor(_n * (1 - 0.2)) AS BIGINT) THEN 'train' ELSE 'test' END AS split
+FROM (SELECT site_id, time, row_number() OVER (PARTITION BY site_id ORDER BY time) - 1 AS _i,
+             count(*) OVER (PARTITION BY site_id) AS _n FROM panel) x""")
+def tail_split(spark, sf_dir):
+    """Chronological tail split by position, test_size 0.2, per site."""
+    from ..operators.splits import tail_split as ts
+    return ts(panel(spark, sf_dir).select("site_id", "time"), 0.2, ["site_id"])
+
+
+DATE_BOUNDS = {"train": ("2024-01-01", "2024-01-20"), "val": ("2024-01-21", "2024-01-24"),
+               "test": ("2024-01-25", "2024-01-31")}
+
+
+@query("date_split", f"""{FX.with_('panel')}
+SELECT site_id, time, CASE
+  WHEN CAST(time AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-20' THEN 'train'
+  WHEN CAST(time AS DATE) BETWEEN DATE '2024-01-21' AND DATE '2024-01-24' THEN 'val'
+  WHEN CAST(time AS DATE) BETWEEN DATE '2024-01-25' AND DATE '2024-01-31' THEN 'test' END AS split
+FROM panel""")
+def date_split(spark, sf_dir):
+    """train/val/test by inclusive date ranges."""
+    return P.date_split(panel(spark, sf_dir).select("site_id", "time"), DATE_BOUNDS)
+
+
+# ---------------------------------------------------------------- windows (E) -------
+_LAGS_SQL = ", ".join(f"lag(pv_production, {k}) OVER w AS pv_production_lag_{k}" for k in range(1, N_LAGS + 1))
+
+
+@query("lag_features", f"""{FX.with_('panel')}
+SELECT site_id, time, pv_production, {_LAGS_SQL} FROM panel WINDOW w AS (PARTITION BY site_id ORDER BY time)""")
+def lag_features(spark, sf_dir):
+    """pv_production_lag_1..24 per site (bounded (site, block) windows)."""
+    p = panel(spark, sf_dir).select("site_id", "time", "pv_production")
+    return S.add_lags(p, ["pv_production"], N_LAGS, ["site_id"])
+
+
+@query("rad_trend", f"""{FX.with_('engineered')} SELECT site_id, time, global_rad_trend_1h FROM engineered""")
+def rad_trend(spark, sf_dir):
+    """First difference of global radiation."""
+    return engineered(spark, sf_dir, 0).select("site_id", "time", "global_rad_trend_1h")
+
+
+@query("rad_accel", f"""{FX.with_('engineered')} SELECT site_id, time, global_rad_acceleration_1h FROM engineered""")
+def rad_accel(spark, sf_dir):
+    """Second difference of global radiation."""
+    return engineered(spark, sf_dir, 0).select("site_id", "time", "global_rad_acceleration_1h")
+
+
+@query("pv_change", f"""{FX.with_('engineered')} SELECT site_id, time, pv_change_1h FROM engineered""")
+def pv_change(spark, sf_dir):
+    """Leak-free change |y[-1] - y[-2]| + 1."""
+    return engineered(spark, sf_dir, 0).select("site_id", "time", "pv_change_1h")
+
+
+def _gappy(spark, sf_dir):
+    """Panel with the columns that carry nulls: temp (every 7th hour) and two lags (leading)."""
+    p = panel(spark, sf_dir).select("site_id", "time", "pv_production", "temp")
+    return S.add_lags(p, ["pv_production"], 2, ["site_id"])
+
+
+_GAPPY_SQL = f"""{FX.with_('panel')},
+gappy AS (SELECT site_id, time, pv_production, temp,
+                 lag(pv_production, 1) OVER w AS pv_production_lag_1,
+                 lag(pv_production, 2) OVER w AS pv_production_lag_2
+          FROM panel WINDOW w AS (PARTITION BY site_id ORDER BY time))"""
+_FILL_COLS = ["temp", "pv_production_lag_1", "pv_production_lag_2"]
+
+
+def _ffill_sql(c):
+    return (f"coalesce(last_value({c} IGNORE NULLS) OVER (PARTITION BY site_id ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+            f"first_value({c} IGNORE NULLS) OVER (PARTITION BY site_id ORDER BY time ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {c}")
+
+
+@query("ffill_bfill", f"""{_GAPPY_SQL}
+SELECT site_id, time, pv_production, {', '.join(_ffill_sql(c) for c in _FILL_COLS)} FROM gappy""")
+def ffill_bfill(spark, sf_dir):
+    """E5: forward then backward fill per site."""
+    return S.handle_missing(_gappy(spark, sf_dir), "forward_fill", _FILL_COLS, ["site_id"])
+
+
+def _interp_sql(c):
+    w_up = "OVER (PARTITION BY site_id ORDER BY _i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    w_on = "OVER (PARTITION BY site_id ORDER BY _i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    pi = f"last_value(CASE WHEN {c} IS NOT NULL THEN _i END IGNORE NULLS) {w_up}"
+    pv = f"last_value({c} IGNORE NULLS) {w_up}"
+    ni = f"first_value(CASE WHEN {c} IS NOT NULL THEN _i END IGNORE NULLS) {w_on}"
+    nv = f"first_value({c} IGNORE NULLS) {w_on}"
+    return (f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN {pi} IS NULL THEN NULL WHEN {ni} IS NULL THEN {pv} "
+            f"ELSE ({nv} - {pv}) / CAST({ni} - {pi} AS DOUBLE) * CAST(_i - {pi} AS DOUBLE) + {pv} END AS {c}")
+
+
+@query("interpolate", f"""{_GAPPY_SQL},
+ix AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY time) - 1 AS _i FROM gappy)
+SELECT site_id, time, pv_production, {', '.join(_interp_sql(c) for c in _FILL_COLS)} FROM ix""")
+def interpolate(spark, sf_dir):
+    """Positional linear interpolation per site."""
+    return S.handle_missing(_gappy(spark, sf_dir), "interpolate", _FILL_COLS, ["site_id"])
+
+
+_ENG_COLS_SQL = "*"
+
+
+@query("drop_nulls", f"""{FX.with_('engineered')} SELECT * FROM engineered WHERE {' AND '.join(
+    f'{sq(c)} IS NOT NULL' for c in ['temp', 'global_rad_acceleration_1h', 'pv_change_1h', 'pv_production_lag_24'])}""")
+def drop_nulls(spark, sf_dir):
+    """Rows with any null dropped (after feature engineering)."""
+    return S.handle_missing(engineered(spark, sf_dir), "drop")
+
+
+@query("row_index", f"""{FX.with_('one_series')}
+SELECT time, pv_production, row_number() OVER (ORDER BY time) - 1 AS row_idx FROM one_series""")
+def row_index(spark, sf_dir):
+    """Position in one long series (no keys) without a single-partition window."""
+    return S.row_index(one_series(spark, sf_dir).select("time", "pv_production"), [], "time", "row_idx")
+
+
+@query("one_series_lags", f"""{FX.with_('one_series')}
+SELECT time, pv_production, temp, lag(pv_production, 1) OVER w AS pv_production_lag_1,
+       lag(pv_production, 24) OVER w AS pv_production_lag_24
+FROM one_series WINDOW w AS (ORDER BY time)""")
+def one_series_lags(spark, sf_dir):
+    """E1 on one unkeyed series through (block + halo) windows; blocks of 100 rows so that
+    halo copies are exercised at every scale."""
+    s = one_series(spark, sf_dir)
+    return S.positional(s, lambda w: [F.lag("pv_production", 1).over(w).alias("pv_production_lag_1"),
+                                      F.lag("pv_production", 24).over(w).alias("pv_production_lag_24")],
+                        24, [], "time", block_rows=100)
+
+
+@query("one_series_fill", f"""{FX.with_('one_series')}
+SELECT time, pv_production, coalesce(last_value(temp IGNORE NULLS) OVER (ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(temp IGNORE NULLS) OVER (ORDER BY time ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS temp FROM one_series""")
+def one_series_fill(spark, sf_dir):
+    """E5 on one unkeyed series (day windows + carried values)."""
+    return S.fill_forward_backward(one_series(spark, sf_dir), ["temp"], [], "time")
+
+
+# ---------------------------------------------------------------- scalars (F1, F2) --
+@query("time_features", f"""{FX.with_('panel')}
+SELECT site_id, time, CAST(hour(time) AS INTEGER) AS hour, CAST(isodow(time) - 1 AS INTEGER) AS day_of_week,
+       CAST(month(time) AS INTEGER) AS month, CAST(dayofyear(time) AS INTEGER) AS day_of_year FROM panel""")
+def time_features(spark, sf_dir):
+    """hour, day_of_week (Monday = 0), month, day_of_year."""
+    return panel(spark, sf_dir).select("site_id", "time", *calendar_columns("time"))
+
+
+@query("is_daylight", f"""{FX.with_('panel')}
+SELECT site_id, time, coalesce(CAST("sun_elevation:d" >= 2 AS INTEGER), 0) AS is_daylight FROM panel""")
+def is_daylight(spark, sf_dir):
+    """elevation >= 2 degrees, null elevation counts as night."""
+    return panel(spark, sf_dir).select("site_id", "time", daylight_expr("sun_elevation:d").alias("is_daylight"))
+
+
+# ---------------------------------------------------------------- set ops (C5) ------
+@query("split_overlap", f"""{FX.with_('panel')},
+sp AS (SELECT site_id, time, CASE WHEN _i < CAST(floor(_n * (1 - 0.2)) AS BIGINT) THEN 'train' ELSE 'test' END AS split
+       FROM (SELECT site_id, time, row_number() OVER (PARTITION BY site_id ORDER BY time) - 1 AS _i,
+                    count(*) OVER (PARTITION BY site_id) AS _n FROM panel) x)
+SELECT time FROM sp WHERE split = 'train' INTERSECT SELECT time FROM sp WHERE split = 'test'""")
+def split_overlap(spark, sf_dir):
+    """Timestamps that are in a train split and a test split (per-site tail splits cut
+    at different hours, so the union over sites overlaps)."""
+    from ..operators.splits import tail_split as ts
+    sp = ts(panel(spark, sf_dir).select("site_id", "time"), 0.2, ["site_id"])
+    return (sp.where(F.col("split") == "train").select("time")
+              .intersect(sp.where(F.col("split") == "test").select("time")))
