@@ -39,3 +39,16 @@ _keep AS (SELECT site_id, _d FROM (SELECT *, bool_or(_c = {ppd}) OVER (PARTITION
 
 def complete_days_sql(src: str = "panel", name: str = "cd", ppd: int = 24) -> str:
     return COMPLETE_DAYS.format(src=src, name=name, ppd=ppd)
+
+
+def pearson_sql(a: str, b: str) -> str:
+    """Twin of selection.pearson over one column pair (aggregate expression)."""
+    both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+    aa = f"CASE WHEN {both} THEN CAST({a} AS DOUBLE) END"
+    bb = f"CASE WHEN {both} THEN CAST({b} AS DOUBLE) END"
+    den = f"(stddev_pop({aa}) * stddev_pop({bb}))"
+    return f"CASE WHEN {den} = 0 THEN NULL ELSE covar_pop({aa}, {bb}) / {den} END"
+
+
+def null_sum_sql(cols: list[str]) -> str:
+    return "CAST(" + " + ".join(f"sum(CASE WHEN {q(c)} IS NULL THEN 1 ELSE 0 END)" for c in cols) + " AS BIGINT)"
