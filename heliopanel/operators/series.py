@@ -114,7 +114,8 @@ def add_lags(df: DataFrame, columns: Sequence[str], n_lags: int = 24, keys: Sequ
 def radiation_features(df: DataFrame, keys: Sequence[str] = (), time_col: str = "time",
                        radiation_col: str = "global_rad:W", target_col: str = "pv_production",
                        elevation_col: str = "sun_elevation:d", n_lags: int = 0,
-                       block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                       block_rows: int = DEFAULT_BLOCK_ROWS,
+                       extra_lags: Sequence[tuple[str, str, int]] = ()) -> DataFrame:
     """E2-E4 + F2 (+ optional E1 target lags) in one Window node.
 
     trend = x - x[-1]; acceleration = trend - trend[-1]; pv_change_1h = |y[-1] - y[-2]| + 1
@@ -133,9 +134,11 @@ def radiation_features(df: DataFrame, keys: Sequence[str] = (), time_col: str =
             y = _q(target_col)
             out.append((F.abs(F.lag(y, 1).over(w) - F.lag(y, 2).over(w)) + 1).alias("pv_change_1h"))
             out += [F.lag(y, k).over(w).alias(f"{target_col}_lag_{k}") for k in range(1, n_lags + 1)]
+        out += [F.lag(_q(col), k).over(w).alias(name) for name, col, k in extra_lags]
         return out
 
-    out = positional(df, build, max(2, n_lags), keys, time_col, block_rows=block_rows)
+    reach = max([2, n_lags] + [k for _, _, k in extra_lags])
+    out = positional(df, build, reach, keys, time_col, block_rows=block_rows)
     if elevation_col in df.columns:
         out = out.withColumn("is_daylight", is_daylight(elevation_col))
     return out

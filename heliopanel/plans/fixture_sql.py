@@ -113,3 +113,17 @@ engineered AS (
 
 ENGINEERED = _engineered()
 _DEPS["engineered"] = (ENGINEERED, ["panel"])
+
+
+MODEL_FRAME = f"""
+model_frame AS (
+  SELECT site_id, time, pv_production, "global_rad:W", "clear_sky_rad:W", "sun_elevation:d", hour,
+         pv_production_lag_1, pv_production_lag_24, sun_elevation_prev,
+         CASE WHEN time < TIMESTAMP '{TRAIN_END}' THEN 'train' ELSE 'test' END AS split
+  FROM (SELECT *, lag("sun_elevation:d", 1) OVER (PARTITION BY site_id ORDER BY time) AS sun_elevation_prev
+        FROM engineered) e
+  WHERE pv_production IS NOT NULL AND "global_rad:W" IS NOT NULL AND "clear_sky_rad:W" IS NOT NULL
+    AND "sun_elevation:d" IS NOT NULL AND hour IS NOT NULL AND pv_production_lag_1 IS NOT NULL
+    AND pv_production_lag_24 IS NOT NULL
+)"""
+_DEPS["model_frame"] = (MODEL_FRAME, ["engineered"])

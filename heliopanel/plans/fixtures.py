@@ -113,11 +113,26 @@ def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 N_LAGS = 24
 
 
-def engineered(spark: SparkSession, sf_dir: str, n_lags: int = N_LAGS) -> DataFrame:
+def engineered(spark: SparkSession, sf_dir: str, n_lags: int = N_LAGS, prev_elevation: bool = False) -> DataFrame:
     """Feature table: panel + calendar + radiation/PV-change/daylight + target lags.
     One shuffle for the (site, block) window, see operators.series."""
     from ..functions.calendar import calendar_columns
     from ..operators.series import radiation_features
     p = panel(spark, sf_dir)
     p = p.select("*", *calendar_columns("time"))
-    return radiation_features(p, ["site_id"], "time", n_lags=n_lags)
+    extra = [("sun_elevation_prev", "sun_elevation:d", 1)] if prev_elevation else []
+    return radiation_features(p, ["site_id"], "time", n_lags=n_lags, extra_lags=extra)
+
+
+MODEL_COLS = ["pv_production", "global_rad:W", "clear_sky_rad:W", "sun_elevation:d", "hour",
+              "pv_production_lag_1", "pv_production_lag_24"]
+
+
+def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows usable for modelling: engineered features without NULLs in the model columns,
+    plus the previous hour's elevation (for ramp phases) and the split label."""
+    e = engineered(spark, sf_dir, prev_elevation=True)
+    e = e.select("site_id", "time", *[F.col(f"`{c}`") for c in MODEL_COLS], "sun_elevation_prev")
+    e = e.na.drop("any", subset=MODEL_COLS)
+    return e.withColumn("split", F.when(F.col("time") < F.lit(TRAIN_END).cast("timestamp_ntz"), "train")
+                        .otherwise("test"))
