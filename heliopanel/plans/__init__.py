@@ -1,6 +1,6 @@
 """Query catalog: importing this package registers every query."""
 
-from . import queries_core, queries_eval, queries_models, queries_quality  # noqa: F401
+from . import queries_core, queries_eval, queries_models, queries_quality, queries_scoring  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
