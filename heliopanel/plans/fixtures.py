@@ -11,6 +11,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..sources.tables import read_table
 
 TRAIN_END = "2024-01-24 00:00:00"   # `splits`: train rows are strictly before this hour
@@ -36,13 +37,15 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.max("value").alias("clear_sky_rad:W"),
                   F.min(F.get_json_object("props", "$.k").cast("double")).alias("_kmin")))
     h = F.hour("time")
-    return agg.select(
+    out = agg.select(
         "site_id", "time", "pv_production",
         (F.col("pv_production") / F.col("_n").cast("double")).alias("global_rad:W"),
         "clear_sky_rad:W",
         (F.lit(60.0) * F.sin(F.lit(math.pi) * (h.cast("double") - 6.0) / 12.0)).alias("sun_elevation:d"),
         F.when(h % 7 == 0, F.lit(None).cast("double")).otherwise(F.col("_kmin") - 50.0).alias("temp"),
     )
+    # aggregated once from the raw events, then re-read by every branch of later plans
+    return materialize(out, "panel", sf_dir)
 
 
 def one_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +124,8 @@ def engineered(spark: SparkSession, sf_dir: str, n_lags: int = N_LAGS, prev_elev
     p = panel(spark, sf_dir)
     p = p.select("*", *calendar_columns("time"))
     extra = [("sun_elevation_prev", "sun_elevation:d", 1)] if prev_elevation else []
-    return radiation_features(p, ["site_id"], "time", n_lags=n_lags, extra_lags=extra)
+    out = radiation_features(p, ["site_id"], "time", n_lags=n_lags, extra_lags=extra)
+    return materialize(out, "engineered", (sf_dir, n_lags, prev_elevation))
 
 
 MODEL_COLS = ["pv_production", "global_rad:W", "clear_sky_rad:W", "sun_elevation:d", "hour",
@@ -134,5 +138,6 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = engineered(spark, sf_dir, prev_elevation=True)
     e = e.select("site_id", "time", *[F.col(f"`{c}`") for c in MODEL_COLS], "sun_elevation_prev")
     e = e.na.drop("any", subset=MODEL_COLS)
-    return e.withColumn("split", F.when(F.col("time") < F.lit(TRAIN_END).cast("timestamp_ntz"), "train")
-                        .otherwise("test"))
+    e = e.withColumn("split", F.when(F.col("time") < F.lit(TRAIN_END).cast("timestamp_ntz"), "train")
+                     .otherwise("test"))
+    return materialize(e, "model_frame", sf_dir)

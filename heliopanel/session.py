@@ -67,3 +67,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+_MATERIALIZED: dict[tuple, str] = {}
+
+
+def materialize(df: DataFrame, name: str, key: object = None) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Used where a derived table (e.g. the hourly panel aggregated from raw events) feeds
+    several branches of a plan: without it every branch would re-scan and re-aggregate the
+    raw table.  Parquet keeps column pruning and filter pushdown on the re-reads, and the
+    files survive executor loss (no local checkpoint).  Memoised per application.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    k = (spark.sparkContext.applicationId, name, key)
+    if k not in _MATERIALIZED:
+        path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+        df.write.mode("overwrite").parquet(path)
+        _MATERIALIZED[k] = path
+    return spark.read.parquet(_MATERIALIZED[k])
