@@ -109,19 +109,50 @@ def deterministic_map(time_col: str = "target_time", lat: str | None = "latitude
     return F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), F.map_concat(base, solar)).otherwise(base)
 
 
+def merged_values(requests: DataFrame, weather: Column | None = None, recent_pv: Column | None = None,
+                  time_col: str = "target_time", lat: str | None = "latitude",
+                  lon: str | None = "longitude") -> DataFrame:
+    """Adds ``_all``: weather < calendar/solar < PV-history values as one map.
+    The three layers are projected first, then merged over column references."""
+    empty = F.create_map().cast("map<string,double>")
+    w = coerce_map(weather) if weather is not None else empty
+    pv = normalise_lag_keys(recent_pv) if recent_pv is not None else empty
+    d = requests.select("*", w.alias("_lw"), deterministic_map(time_col, lat, lon).alias("_ld"), pv.alias("_lh"))
+    return d.select(*[F.col(f"`{c}`") for c in requests.columns],
+                    merge_layers(F.col("_lw"), F.col("_ld"), F.col("_lh")).alias("_all"))
+
+
+def _pv_lookup(recent_pv: Column, name: str, target: str = "pv_production") -> Column:
+    """Value of one normalised history key (F6) without building the whole map: the last
+    entry among ``lag_k`` / ``<target>_lag_k`` spellings wins, like a dict update."""
+    prefix = f"{target}_lag_"
+    m = coerce_map(recent_pv)
+    if name == "pv_change_1h":
+        l1, l2 = _pv_lookup(recent_pv, prefix + "1", target), _pv_lookup(recent_pv, prefix + "2", target)
+        return F.abs(l1 - l2) + 1
+    if not name.startswith(prefix):
+        return F.lit(None).cast("double")
+    short = "lag_" + name[len(prefix):]
+    hits = F.filter(F.map_entries(m), lambda e: (e["key"] == F.lit(name)) | (e["key"] == F.lit(short)))
+    return F.try_element_at(hits, F.lit(-1))["value"]
+
+
 def build_features(requests: DataFrame, feature_columns: Sequence[str], weather: Column | None = None,
                    recent_pv: Column | None = None, time_col: str = "target_time",
                    lat: str | None = "latitude", lon: str | None = "longitude") -> DataFrame:
     """H1/H2: one row per request with the model's feature columns in order.
 
-    Layers (later wins): weather map < calendar/solar map < PV-history map (F6).  Missing
-    names are listed in ``missing`` (comma-separated, '' when complete) instead of raising,
-    so one bad request does not fail the batch; ``valid`` marks complete rows."""
-    w = coerce_map(weather) if weather is not None else F.create_map().cast("map<string,double>")
-    pv = normalise_lag_keys(recent_pv) if recent_pv is not None else F.create_map().cast("map<string,double>")
-    allv = merge_layers(w, deterministic_map(time_col, lat, lon), pv)
-    d = requests.withColumn("_all", allv)
-    cols = [F.col("_all")[c].alias(c) for c in feature_columns]
-    missing = F.array_compact(F.array(*[F.when(~F.map_contains_key("_all", c), F.lit(c)) for c in feature_columns]))
-    return d.select(*[c for c in requests.columns], *cols,
-                    F.concat_ws(",", missing).alias("missing")).withColumn("valid", F.col("missing") == "")
+    Layers (later wins): weather < calendar/solar < PV history (F6), i.e. per feature
+    ``coalesce(history, deterministic, weather)`` (coerced layers hold no NULL values).
+    Missing names are listed in ``missing`` (comma-separated, '' when complete) instead of
+    raising, so one bad request does not fail the batch; ``valid`` marks complete rows."""
+    empty = F.create_map().cast("map<string,double>")
+    w = coerce_map(weather) if weather is not None else empty
+    d = requests.select("*", w.alias("_lw"), deterministic_map(time_col, lat, lon).alias("_ld"))
+    vals = []
+    for c in feature_columns:
+        h = _pv_lookup(recent_pv, c) if recent_pv is not None else F.lit(None).cast("double")
+        vals.append(F.coalesce(h, F.col("_ld")[c], F.col("_lw")[c]).alias(c))
+    d = d.select(*[F.col(f"`{c}`") for c in requests.columns], *vals)
+    missing = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(c)) for c in feature_columns]))
+    return d.withColumn("missing", F.concat_ws(",", missing)).withColumn("valid", F.col("missing") == "")

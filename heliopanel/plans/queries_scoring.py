@@ -163,8 +163,8 @@ def merge_precedence(spark, sf_dir):
     """Weather < calendar/solar < PV history, later layers win (weather carries
     deliberately conflicting 'hour' and 'pv_production_lag_1' keys)."""
     j, w, pv = _layers(spark, sf_dir)
-    m = merge_layers(w, SC.deterministic_map("target_time", "latitude", "longitude"), normalise_lag_keys(pv))
-    return j.select("request_id", F.explode(m).alias("key", "value")).withColumn("value", r6("value"))
+    m = SC.merged_values(j, w, pv)
+    return m.select("request_id", F.explode("_all").alias("key", "value")).withColumn("value", r6("value"))
 
 
 _BUILD_SQL = f"""{_MERGED_SQL},
