@@ -9,7 +9,7 @@ from ..operators import models as M
 from . import fixture_sql as FX
 from .fixtures import model_frame
 from .registry import query
-from .sqlparts import r6 as sr6
+from .sqlparts import q, r6 as sr6
 
 Y, X = "pv_production", "global_rad:W"
 TREE_FEATURES = ["global_rad:W", "clear_sky_rad:W", "sun_elevation:d", "hour", "pv_production_lag_1",
@@ -97,3 +97,47 @@ def importances(spark, sf_dir):
                   {"n_estimators": 20, "max_depth": 5, "min_samples_leaf": 1, "max_features": 0.5})
     imp = fm.importances(spark)
     return top_k(imp, len(TREE_FEATURES), [F.col("importance").desc(), F.col("feature")], rank_col="rank")
+
+
+KNN_FEATURES = ["global_rad:W", "pv_production_lag_1", "hour"]
+KNN_K = 5
+
+
+def _knn_sql(weights: str) -> str:
+    tr = "(SELECT * FROM model_frame WHERE split = 'train')"
+    z = lambda c, t: f"(CAST({q(c)} AS DOUBLE) - (SELECT avg({q(c)}) FROM {tr} x)) / (SELECT CASE WHEN stddev_pop({q(c)}) = 0 THEN 1.0 ELSE stddev_pop({q(c)}) END FROM {tr} x)"
+    tcols = ", ".join(f"{z(c, 't')} AS f{j}" for j, c in enumerate(KNN_FEATURES))
+    dist = " + ".join(f"(t.f{j} - qq.f{j}) * (t.f{j} - qq.f{j})" for j in range(len(KNN_FEATURES)))
+    if weights == "uniform":
+        agg = "avg(y)"
+    else:
+        agg = ("CASE WHEN max(CASE WHEN d = 0 THEN 1 ELSE 0 END) = 1 THEN avg(CASE WHEN d = 0 THEN y END) "
+               "ELSE sum(y / d) / sum(1 / d) END")
+    return f"""{FX.with_('model_frame')},
+t AS (SELECT site_id, time, pv_production AS y, {tcols} FROM model_frame WHERE split = 'train'),
+qq AS (SELECT site_id, time, {tcols} FROM model_frame WHERE split = 'test'),
+pairs AS (SELECT qq.site_id, qq.time, t.y, sqrt({dist}) AS d,
+                 row_number() OVER (PARTITION BY qq.site_id, qq.time ORDER BY sqrt({dist}), t.site_id, t.time) AS rn
+          FROM qq, t)
+SELECT site_id, time, {sr6(agg)} AS prediction, count(*) AS n_neighbors FROM pairs WHERE rn <= {KNN_K} GROUP BY site_id, time"""
+
+
+def _knn(spark, sf_dir, weights):
+    from ..operators.knn import knn_predict
+    mf = model_frame(spark, sf_dir)
+    out = knn_predict(mf.where(F.col("split") == "train"), mf.where(F.col("split") == "test"), KNN_FEATURES, Y,
+                      KNN_K, weights, train_id=["site_id", "time"], query_id=["site_id", "time"])
+    return out.select("site_id", "time", r6("prediction").alias("prediction"), "n_neighbors")
+
+
+@query("knn_predict", _knn_sql("distance"))
+def knn_predict(spark, sf_dir):
+    """Exact 5-nearest-neighbour regression (standardised features, 1/distance
+    weights) of the test split, by projection-bound pruning — no all-pairs join."""
+    return _knn(spark, sf_dir, "distance")
+
+
+@query("knn_uniform", _knn_sql("uniform"))
+def knn_uniform(spark, sf_dir):
+    """G11 with uniform weights."""
+    return _knn(spark, sf_dir, "uniform")
