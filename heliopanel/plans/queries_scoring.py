@@ -67,8 +67,8 @@ def request_weather(spark, sf_dir):
     return j.select("request_id", "target_time", *[r6(F.col(f"`{n}`")).alias(n) for n, _, _ in PROVIDER_TO_PROJECT])
 
 
-def _history(spark, sf_dir):
-    r = requests(spark, sf_dir).withColumn("site_id", F.lit(HISTORY_SITE))
+def _history(spark, sf_dir, reqs=None):
+    r = (reqs if reqs is not None else requests(spark, sf_dir)).withColumn("site_id", F.lit(HISTORY_SITE))
     return r, SC.history_lags(r, panel(spark, sf_dir), 24)
 
 
@@ -145,8 +145,10 @@ layers AS (SELECT request_id, key, value, 0 AS prio FROM wm UNION ALL SELECT req
 merged AS (SELECT request_id, key, arg_max(value, prio) AS value FROM layers GROUP BY request_id, key)"""
 
 
-def _layers(spark, sf_dir):
-    r, hl = _history(spark, sf_dir)
+def _layers(spark, sf_dir, reqs=None):
+    """Requests with their weather map (plus two deliberately conflicting keys) and their
+    history map, ready for merging."""
+    r, hl = _history(spark, sf_dir, reqs)
     fc = SC.latest_forecast(forecast(spark, sf_dir))
     j = SC.attach_weather(r, fc).join(hl, "request_id", "left")
     wcols = [F.col(f"`{n}`") for n, _, _ in PROVIDER_TO_PROJECT]
@@ -173,8 +175,8 @@ bf AS (SELECT r.request_id, {', '.join(f"max(CASE WHEN m.key = '{c}' THEN m.valu
 bfm AS (SELECT *, concat_ws(',', {', '.join(f"CASE WHEN {q(c)} IS NULL THEN '{c}' END" for c in FEATURES)}) AS missing FROM bf)"""
 
 
-def _built(spark, sf_dir):
-    j, w, pv = _layers(spark, sf_dir)
+def _built(spark, sf_dir, reqs=None):
+    j, w, pv = _layers(spark, sf_dir, reqs)
     return SC.build_features(j, FEATURES, weather=w, recent_pv=pv).drop("_w", "_pv")
 
 
@@ -200,3 +202,9 @@ def score_requests(spark, sf_dir):
                "linear", scaling="none")
     b = _built(spark, sf_dir).where("valid")
     return fm.transform(b).select("request_id", r6("prediction").alias("prediction"))
+
+
+def _score_batch(spark, sf_dir, reqs, fitted):
+    """Score one batch (or micro-batch) of requests with a fitted model."""
+    return fitted.transform(_built(spark, sf_dir, reqs).where("valid")).select(
+        "request_id", r6("prediction").alias("prediction"))
