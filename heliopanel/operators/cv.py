@@ -38,9 +38,9 @@ def predictions(rows: DataFrame, fits: DataFrame, y: str, x: str, lag1: str, lag
     group = list(group)
     if group:
         j = rows.join(F.broadcast(fits), group)
-    else:   # one fitted row: join on a constant key
-        j = (rows.withColumn("_one", F.lit(0))
-                 .join(F.broadcast(fits.withColumn("_one", F.lit(0))), "_one").drop("_one"))
+    else:   # one fitted row (a handful of numbers): inline it as literals, no join at all
+        f = fits.first()
+        j = rows.select("*", *[F.lit(f[c]).cast("double").alias(c) for c in ("my", "mx", "cxy", "vx")])
     preds = F.array(
         F.struct(F.lit("naive_lag1").alias("model"), _q(lag1).alias("pred")),
         F.struct(F.lit("naive_lag24").alias("model"), _q(lag24).alias("pred")),
