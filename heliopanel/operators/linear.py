@@ -61,3 +61,41 @@ def fit_gram(df: DataFrame, features: Sequence[str], target: str, alpha: float =
     b0, w = solve(row, len(features), alpha, standardize)
     rows = [("intercept", b0)] + [(c, float(v)) for c, v in zip(features, w)]
     return df.sparkSession.createDataFrame(rows, "term STRING, value DOUBLE")
+
+
+def ridge_cv_gram(train: DataFrame, features: Sequence[str], target: str, alphas: Sequence[float],
+                  n_splits: int = 5, keys: Sequence[str] = (), time_col: str = "time") -> DataFrame:
+    """G5 for multi-feature ridge inside standardise-then-regress, for the WHOLE alpha grid
+    from ONE aggregation: moments per (fold, role) of the expanding folds.
+
+    Train moments give the standardised ridge solution per (fold, alpha); the validation
+    MSE follows from the test fold's moments without touching rows again:
+    MSE = var(y) - 2 w.cov(x, y) + w' Cov(x) w + (mean(y) - b0 - mean(x).w)^2.
+    Returns (grid_idx, alpha, fold, mse); the driver handles folds x 2 rows of p x p stats.
+    """
+    from .splits import fold_pairs, ts_folds
+    feats = list(features)
+    p = len(feats)
+    folds = fold_pairs(ts_folds(train, n_splits, keys, time_col), n_splits)
+    stats = {(r["fold"], r["role"]): r for r in gram_stats(folds, feats, target, ["fold", "role"]).collect()}
+    out = []
+    for f in range(n_splits):
+        tr, te = stats.get((f, "train")), stats.get((f, "test"))
+        if tr is None or te is None:
+            continue
+        sd = np.sqrt(np.array([tr[f"c{j}_{j}"] for j in range(p)]))
+        sd[sd == 0] = 1.0
+        mtr = np.array([tr[f"m{j}"] for j in range(p)])
+        C = np.empty((p, p))
+        for j in range(p):
+            for k in range(j, p):
+                C[j, k] = C[k, j] = te[f"c{j}_{k}"]
+        cy = np.array([te[f"cy{j}"] for j in range(p)])
+        mte = np.array([te[f"m{j}"] for j in range(p)])
+        for gi, a in enumerate(alphas):
+            _, wz = solve(tr, p, float(a), standardize=True)
+            w = wz / sd
+            b0 = tr["my"] - mtr @ w
+            mse = te["vy"] - 2 * w @ cy + w @ C @ w + (te["my"] - b0 - mte @ w) ** 2
+            out.append((gi, float(a), f, float(mse)))
+    return train.sparkSession.createDataFrame(out, "grid_idx INT, alpha DOUBLE, fold INT, mse DOUBLE")

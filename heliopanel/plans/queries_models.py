@@ -141,3 +141,22 @@ def knn_predict(spark, sf_dir):
 def knn_uniform(spark, sf_dir):
     """G11 with uniform weights."""
     return _knn(spark, sf_dir, "uniform")
+
+
+GRAM_FEATURES = ["global_rad:W", "sun_elevation:d", "pv_production_lag_1", "pv_production_lag_24"]
+GRAM_ALPHAS = [0.1, 1.0, 10.0, 100.0, 1000.0]
+
+
+@query("ridge_grid_gram")
+def ridge_grid_gram(spark, sf_dir):
+    """G5/G7 by sufficient statistics: 4-feature standardised ridge, 5 alphas x 5 expanding
+    folds scored from one aggregation pass (mean neg-MSE per alpha, rank 1 = best)."""
+    from pyspark.sql import Window
+    from ..operators.linear import ridge_cv_gram
+    tr = model_frame(spark, sf_dir).where(F.col("split") == "train")
+    per_fold = ridge_cv_gram(tr, GRAM_FEATURES, Y, GRAM_ALPHAS, 5, ["site_id"])
+    s = per_fold.groupBy("grid_idx", "alpha").agg((-F.avg("mse")).alias("mean_test_score"),
+                                                 F.stddev_pop("mse").alias("std_test_score"))
+    s = s.withColumn("rank_test_score", F.row_number().over(Window.orderBy(F.col("mean_test_score").desc(), "grid_idx")))
+    return s.select("grid_idx", "alpha", r6("mean_test_score").alias("mean_test_score"),
+                    r6("std_test_score").alias("std_test_score"), "rank_test_score")
