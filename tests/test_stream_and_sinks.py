@@ -70,3 +70,40 @@ def test_table_sink_partitioned(spark, tmpdir_path):
     assert back.count() == p.where("site_id = 'click'").count()
     csv = sinks.write_table(p, os.path.join(tmpdir_path, "panel_csv"), fmt="csv")
     assert sinks.read_table(spark, csv, "csv").count() == p.count()
+
+
+def test_training_results_and_comparison_sinks(spark, tmpdir_path):
+    from heliopanel.operators import evaluate as EV
+    from heliopanel.plans.queries_eval import _cv, _full_predictions
+    cv = _cv(spark, SF_SMALL)
+    preds = _full_predictions(spark, SF_SMALL)
+    metrics = EV.regression_metrics(preds, "y", "pred", ["model", "split"])
+    path = sinks.save_training_results(os.path.join(tmpdir_path, "train"), metrics, cv, preds)
+    assert spark.read.parquet(f"{path}/metrics").count() == metrics.count()
+    assert spark.read.parquet(f"{path}/predictions").where("model = 'ols_rad'").count() == \
+        preds.where("model = 'ols_rad'").count()
+    tt = EV.paired_ttest(cv)
+    models = sorted(r.model for r in cv.select("model").distinct().collect())
+    out = sinks.write_comparison(os.path.join(tmpdir_path, "cmp"), EV.cv_summary(cv), tt, models)
+    pv = spark.read.option("header", "true").csv(f"{out}_pvalues")
+    assert pv.count() == len(models) and set(models) <= set(pv.columns)
+
+
+def test_training_projection_and_grid(spark):
+    import pytest
+    from heliopanel.operators.panel import training_projection
+    mf = FX.model_frame(spark, SF_SMALL)
+    tr, te = mf.where("split = 'train'"), mf.where("split = 'test'")
+    feats = training_projection(tr, te, "pv_production")
+    assert "pv_production" not in feats and "global_rad:W" in feats
+    with pytest.raises(ValueError):
+        training_projection(tr, te.drop("hour"), "pv_production", ["hour"])
+    g = M.param_grid({"n_estimators": [50, 100], "max_depth": [5, 10, 15]})
+    assert len(g) == 6 and g[0] == {"n_estimators": 50, "max_depth": 5}
+
+
+def test_missing_time_column_raises(spark):
+    import pytest
+    from heliopanel.operators.panel import check_columns
+    with pytest.raises(ValueError):
+        check_columns(spark.createDataFrame([(1,)], "x INT"), "time")
