@@ -72,6 +72,25 @@ def param_grid(grid: dict[str, Sequence]) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])] or [{}]
 
 
+@dataclass
+class GramLinear:
+    """Least squares / ridge solved from one pass of sufficient statistics (operators.linear):
+    exact normal equations on the driver (p x p), prediction as a literal column expression."""
+    intercept: float
+    coefficients: list[float]
+    alpha: float = 0.0
+
+    def prediction(self, cols: Sequence) -> "F.Column":
+        expr = F.lit(self.intercept)
+        for w, c in zip(self.coefficients, cols):
+            expr = expr + F.lit(w) * c
+        return expr
+
+
+# estimators fitted from sufficient statistics instead of a Spark ML job
+GRAM_ESTIMATORS = {"linear_gram": 0.0, "ridge_gram": None}
+
+
 @dataclass
 class FittedModel:
     name: str
@@ -86,20 +105,32 @@ class FittedModel:
         missing = [c for c in self.features if c not in df.columns]
         if missing:
             raise ValueError(f"missing feature columns: {missing}")
-        scaled = apply_scaler(df, self.scaler)
-        asm = VectorAssembler(inputCols=self.features, outputCol=FEATURES_COL, handleInvalid="keep")
-        return self.model.transform(asm.transform(scaled)).drop(FEATURES_COL)
+        zs = []
+        for c in self.features:          # scaled copies; the caller's columns stay untouched
+            st = self.scaler.get(c)
+            x = F.col(f"`{c}`").cast("double")
+            zs.append(x if st is None or st["center"] is None else (x - F.lit(st["center"])) / F.lit(st["scale"]))
+        if isinstance(self.model, GramLinear):
+            return df.withColumn(PRED_COL, self.model.prediction(zs))
+        tmp = [f"__z{j}" for j in range(len(zs))]
+        d = df.select("*", *[z.alias(t) for z, t in zip(zs, tmp)])
+        asm = VectorAssembler(inputCols=tmp, outputCol=FEATURES_COL, handleInvalid="keep")
+        return self.model.transform(asm.transform(d)).drop(FEATURES_COL, *tmp)
 
     def coefficients(self, spark) -> DataFrame:
         """(term, value) for linear models, in the standardised feature space."""
+        coefs = (self.model.coefficients if isinstance(self.model, GramLinear)
+                 else self.model.coefficients.toArray())
         rows = [("intercept", float(self.model.intercept))]
-        rows += [(f, float(c)) for f, c in zip(self.features, self.model.coefficients.toArray())]
+        rows += [(f, float(c)) for f, c in zip(self.features, coefs)]
         return spark.createDataFrame(rows, "term STRING, value DOUBLE")
 
     def importances(self, spark) -> DataFrame:
         """Tree importances, or |coefficient| for linear models."""
         if hasattr(self.model, "featureImportances"):
             vals = self.model.featureImportances.toArray()
+        elif isinstance(self.model, GramLinear):
+            vals = [abs(c) for c in self.model.coefficients]
         else:
             vals = [abs(c) for c in self.model.coefficients.toArray()]
         return spark.createDataFrame([(f, float(v)) for f, v in zip(self.features, vals)],
@@ -114,6 +145,13 @@ def fit(train: DataFrame, features: Sequence[str], target: str, name: str, param
     train = train.where(F.col(f"`{target}`").isNotNull())
     stats_df = fit_scaler(train, features, scaling)
     stats = {r["column"]: r.asDict() for r in stats_df.collect()}       # one row per feature
+    if name in GRAM_ESTIMATORS:
+        from .linear import gram_stats, solve
+        alpha = float(params.get("alpha", 0.0)) if GRAM_ESTIMATORS[name] is None else GRAM_ESTIMATORS[name]
+        z = apply_scaler(train.select(*[F.col(f"`{c}`") for c in features], F.col(f"`{target}`")), stats)
+        row = gram_stats(z, features, target).first()        # one row of p x p statistics
+        b0, w = solve(row, len(features), alpha)
+        return FittedModel(name, params, features, target, stats, GramLinear(b0, [float(v) for v in w], alpha))
     n, y_std = train.agg(F.count(F.lit(1)), F.stddev_pop(f"`{target}`")).first()
     data = apply_scaler(train.select(*[F.col(f"`{c}`") for c in features],
                                      F.col(f"`{target}`").cast("double").alias("_y")), stats)

@@ -253,8 +253,6 @@ for _s in ("hour", "weather", "radiation", "phase"):
 
 
 @query("weather_state", f"""{FX.with_('panel')}
-SELECT site_id, time, CASE WHEN "clear_sky_rad:W" = 0 THEN NULL ELSE "global_rad:W" / "clear_sky_rad:W" END AS r FROM panel""".replace(
-    "END AS r FROM panel", "END AS r FROM panel").replace("SELECT site_id, time, CASE", "SELECT site_id, time, " + sr6("CASE").replace("(floor((CASE", "(floor((CASE")) if False else f"""{FX.with_('panel')}
 SELECT site_id, time, {sr6('r')} AS clear_sky_ratio, {_SEG_SQL['weather']} AS weather_state
 FROM (SELECT *, CASE WHEN "clear_sky_rad:W" = 0 THEN NULL ELSE "global_rad:W" / "clear_sky_rad:W" END AS r FROM panel) x""")
 def weather_state(spark, sf_dir):

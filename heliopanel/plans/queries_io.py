@@ -64,7 +64,7 @@ def residuals(spark, sf_dir):
     """Row-level residuals of the OLS model on both splits."""
     from ..operators import models as M
     mf = model_frame(spark, sf_dir)
-    fm = M.fit(mf.where("split = 'train'"), ["global_rad:W"], "pv_production", "linear", scaling="none")
+    fm = M.fit(mf.where("split = 'train'"), ["global_rad:W"], "pv_production", "linear_gram", scaling="none")
     out = fm.transform(mf)
     return out.select("site_id", "time", "split", "pv_production", r6("prediction").alias("prediction"),
                       r6(F.col("prediction") - F.col("pv_production")).alias("residual"))
@@ -103,7 +103,7 @@ def score_stream(spark, sf_dir):
     src, out = _scratch(spark, "requests_in"), _scratch(spark, "requests_scored")
     reqs = requests(spark, sf_dir)
     reqs.repartition(4).write.parquet(src)
-    fm = M.fit(model_frame(spark, sf_dir).where("split = 'train'"), ["global_rad:W"], "pv_production", "linear",
+    fm = M.fit(model_frame(spark, sf_dir).where("split = 'train'"), ["global_rad:W"], "pv_production", "linear_gram",
                scaling="none")
     q = start_scoring(request_stream(spark, src, reqs.schema, max_files_per_trigger=2),
                       lambda b: _score_batch(spark, sf_dir, b, fm), out, checkpoint=_scratch(spark, "stream_ckpt"))

@@ -199,7 +199,7 @@ def score_requests(spark, sf_dir):
     from ..operators import models as M
     from .fixtures import model_frame
     fm = M.fit(model_frame(spark, sf_dir).where(F.col("split") == "train"), ["global_rad:W"], "pv_production",
-               "linear", scaling="none")
+               "linear_gram", scaling="none")
     b = _built(spark, sf_dir).where("valid")
     return fm.transform(b).select("request_id", r6("prediction").alias("prediction"))
 

@@ -77,9 +77,14 @@ def save_bundle(spark: SparkSession, path: str, fitted, comparison: DataFrame |
     """Inference bundle = fitted Spark ML model + one metadata row (features, target,
     model name, scaler statistics).  With ``comparison`` the caller passes the best model
     (lowest mean CV RMSE, see evaluate.cv_summary)."""
-    fitted.model.write().overwrite().save(f"{path}/model")
+    from ..operators.models import GramLinear
     meta = {"name": fitted.name, "params": fitted.params, "features": fitted.features, "target": fitted.target,
             "scaler": fitted.scaler, "model_class": type(fitted.model).__name__}
+    if isinstance(fitted.model, GramLinear):
+        meta["gram"] = {"intercept": fitted.model.intercept, "coefficients": fitted.model.coefficients,
+                        "alpha": fitted.model.alpha}
+    else:
+        fitted.model.write().overwrite().save(f"{path}/model")
     spark.createDataFrame([(json.dumps(meta),)], "meta STRING").write.mode("overwrite").json(f"{path}/meta")
     if comparison is not None:
         comparison.write.mode("overwrite").parquet(f"{path}/comparison")
@@ -88,11 +93,13 @@ def save_bundle(spark: SparkSession, path: str, fitted, comparison: DataFrame |
 
 def load_bundle(spark: SparkSession, path: str):
     from pyspark.ml import regression as R
-    from ..operators.models import FittedModel
+    from ..operators.models import FittedModel, GramLinear
     meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
-    cls = getattr(R, meta["model_class"])
-    return FittedModel(meta["name"], meta["params"], meta["features"], meta["target"], meta["scaler"],
-                       cls.load(f"{path}/model"))
+    if "gram" in meta:
+        model = GramLinear(**meta["gram"])
+    else:
+        model = getattr(R, meta["model_class"]).load(f"{path}/model")
+    return FittedModel(meta["name"], meta["params"], meta["features"], meta["target"], meta["scaler"], model)
 
 
 def write_comparison(path: str, comparison: DataFrame, pvalues: DataFrame, models: Sequence[str]) -> str:

@@ -42,3 +42,22 @@ def test_gram_ridge_one_feature_equals_closed_form_grid(spark):
     c = {r.alpha: r.mean_test_score for r in ridge_grid_scores(tr, "pv_production", "global_rad:W", alphas, 5, ["site_id"]).collect()}
     for a in alphas:
         assert abs(g[a] - c[a]) < 1e-8 * abs(c[a])
+
+
+def test_gram_estimator_matches_spark_ml_and_round_trips(spark, tmpdir_path):
+    import os
+    from heliopanel.sources import sinks
+    mf = model_frame(spark, SF)
+    tr = mf.where("split = 'train'")
+    for gram, ml, params in (("linear_gram", "linear", {}), ("ridge_gram", "ridge", {"alpha": 10.0})):
+        a = M.fit(tr, FEATS, "pv_production", gram, params)
+        b = M.fit(tr, FEATS, "pv_production", ml, params)
+        pa = a.transform(mf).select("site_id", "time", F.col("prediction").alias("pa"))
+        pb = b.transform(mf).select("site_id", "time", F.col("prediction").alias("pb"))
+        worst = pa.join(pb, ["site_id", "time"]).agg(F.max(F.abs(F.col("pa") - F.col("pb")) /
+                                                         F.greatest(F.abs("pb"), F.lit(1.0)))).first()[0]
+        assert worst < 1e-8
+        assert set(a.transform(mf).columns) == set(mf.columns) | {"prediction"}
+    path = sinks.save_bundle(spark, os.path.join(tmpdir_path, "gram"), a)
+    back = sinks.load_bundle(spark, path)
+    assert back.transform(mf).select("prediction").exceptAll(a.transform(mf).select("prediction")).count() == 0
