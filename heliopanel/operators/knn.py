@@ -7,8 +7,10 @@ points a, b, |u.a - u.b| <= ||a - b||.  With s = u.x ("projection"):
    partitions + per-partition offsets, as for quantiles).  Each query takes the 2k train
    points around its own rank (a block equi-join), and the k-th smallest true distance
    among them, d_k, bounds its true k-th neighbour distance from above.
-2. Band join.  Every true neighbour satisfies |s - s_q| <= d_k.  Train points are bucketed
-   by s (width W); each query is joined to the buckets covering [s_q - d_k, s_q + d_k].
+2. Box / band join.  Every true neighbour satisfies |f_j - g_j| <= d_k in each coordinate
+   and |s - s_q| <= d_k.  Train points are put in grid cells (width W) over the first
+   m <= 3 coordinates; each query is joined to the cells of its box.  A query whose box
+   spans more than CELL_BUDGET cells joins projection buckets of its band instead.
 3. Exact distances on the candidates, ``row_number <= k`` per query (ties -> train id),
    weighted average (uniform or 1/distance; zero distances take over, as usual).
 
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from .clean import apply_scaler, fit_scaler
 
 _TOL_REL, _TOL_ABS = 1e-9, 1e-12
+CELL_BUDGET = 125          # grid cells a query may explode before it takes the slab path
 
 
 def _q(c: str) -> Column:
@@ -79,7 +82,7 @@ def knn_predict(train: DataFrame, queries: DataFrame, features: Sequence[str], t
     offs = per.select("_pid", F.coalesce(F.sum("_c").over(Window.orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"), F.sum("_c").over(Window.partitionBy()).alias("_n"))
     ranked = both.join(F.broadcast(offs), "_pid").withColumn("rank", F.col("_off") + F.col("_before"))
-    B = rank_block or max(2 * k, 1024)
+    B = rank_block or max(2 * k, 64)
     t_rank = (ranked.where("kind = 0").select("tid", "rank", "s", "y", *fcols)
                     .withColumn("_blk", F.floor(F.col("rank") / B)))
     q_rank = ranked.where("kind = 1").select("qid", F.col("rank").alias("_r"), "_n", F.col("s").alias("sq"),
@@ -98,22 +101,49 @@ def knn_predict(train: DataFrame, queries: DataFrame, features: Sequence[str], t
     qb = q_rank.join(bound, "qid", "left").withColumn(
         "_dk", F.when(F.col("_m") >= k, F.col("_dk") * (1 + _TOL_REL) + _TOL_ABS))
 
-    # 2. band join on projection buckets (width from one aggregate row)
+    # 2. candidates within the bound.  Every coordinate obeys |f_j - g_j| <= ||f - g|| <= d_k,
+    #    so a box over the first m <= 3 coordinates (grid cells of width W) is exact pruning;
+    #    queries whose box would span more than CELL_BUDGET cells (far-away queries, loose
+    #    bounds) use the exact projection slab instead.  Cell width and data bounds come
+    #    from one aggregate row each.
+    m = min(p, 3)
     w_row = qb.agg(F.avg("_dk").alias("w")).first()
-    s_row = T.agg(F.min("s").alias("smin"), F.max("s").alias("smax")).first()
+    s_row = T.agg(F.min("s").alias("smin"), F.max("s").alias("smax"),
+                  *[F.min(f"f{j}").alias(f"lo{j}") for j in range(m)],
+                  *[F.max(f"f{j}").alias(f"hi{j}") for j in range(m)]).first()
     if s_row["smin"] is None:
         return Q.select(*[F.col(f"qid.{c}").alias(c) for c in qid], F.lit(None).cast("double").alias("prediction"),
                         F.lit(0).cast("long").alias("n_neighbors"))
     W = w_row["w"] if w_row["w"] and w_row["w"] > 0 else max(s_row["smax"] - s_row["smin"], 1.0)
     bmin, bmax = math.floor(s_row["smin"] / W), math.floor(s_row["smax"] / W)
-    tb = T.withColumn("_b", F.floor(F.col("s") / W))
-    b_lo = F.when(F.col("_dk").isNull(), F.lit(bmin)).otherwise(F.greatest(F.floor((F.col("sq") - F.col("_dk")) / W), F.lit(bmin)))
-    b_hi = F.when(F.col("_dk").isNull(), F.lit(bmax)).otherwise(F.least(F.floor((F.col("sq") + F.col("_dk")) / W), F.lit(bmax)))
-    qx = qb.select("qid", "sq", "_dk", *[f"g{j}" for j in range(p)],
-                   F.explode(F.sequence(b_lo, F.greatest(b_hi, b_lo))).alias("_b"))
-    cand = (qx.join(tb, "_b")
-              .where(F.col("_dk").isNull() | (F.abs(F.col("s") - F.col("sq")) <= F.col("_dk")))
-              .withColumn("_d", _dist(p)))
+    tb = T.select("*", F.floor(F.col("s") / W).alias("_b"), *[F.floor(F.col(f"f{j}") / W).alias(f"_c{j}") for j in range(m)])
+    dk = F.col("_dk")
+    ranges = []
+    for j in range(m):
+        cmin, cmax = math.floor(s_row[f"lo{j}"] / W), math.floor(s_row[f"hi{j}"] / W)
+        lo = F.greatest(F.floor((F.col(f"g{j}") - dk) / W), F.lit(cmin))
+        hi = F.least(F.floor((F.col(f"g{j}") + dk) / W), F.lit(cmax))
+        ranges.append((lo, hi))
+    ncells = F.lit(1.0)
+    for lo, hi in ranges:
+        ncells = ncells * F.greatest(hi - lo + 1, F.lit(0)).cast("double")
+    use_grid = dk.isNotNull() & (ncells <= CELL_BUDGET)
+    qcols = ["qid", "sq", "_dk", *[f"g{j}" for j in range(p)]]
+    gq = qb.where(use_grid).select(*qcols, *[F.explode(F.sequence(lo, F.greatest(hi, lo))).alias(f"_c{j}")
+                                             for j, (lo, hi) in enumerate(ranges[:1])])
+    for j, (lo, hi) in list(enumerate(ranges))[1:]:
+        gq = gq.withColumn(f"_c{j}", F.explode(F.sequence(lo, F.greatest(hi, lo))))
+    inside = F.lit(True)
+    for j in range(m):
+        inside = inside & (F.abs(F.col(f"f{j}") - F.col(f"g{j}")) <= dk)
+    cand_grid = gq.join(tb.drop("_b"), [f"_c{j}" for j in range(m)]).where(inside)
+    b_lo = F.when(dk.isNull(), F.lit(bmin)).otherwise(F.greatest(F.floor((F.col("sq") - dk) / W), F.lit(bmin)))
+    b_hi = F.when(dk.isNull(), F.lit(bmax)).otherwise(F.least(F.floor((F.col("sq") + dk) / W), F.lit(bmax)))
+    sq_ = qb.where(~use_grid).select(*qcols, F.explode(F.sequence(b_lo, F.greatest(b_hi, b_lo))).alias("_b"))
+    cand_slab = (sq_.join(tb.drop(*[f"_c{j}" for j in range(m)]), "_b")
+                    .where(dk.isNull() | (F.abs(F.col("s") - F.col("sq")) <= dk)))
+    keep = ["qid", "tid", "y", *[f"f{j}" for j in range(p)], *[f"g{j}" for j in range(p)]]
+    cand = cand_grid.select(*keep).unionByName(cand_slab.select(*keep)).withColumn("_d", _dist(p))
 
     # 3. exact top-k per query, then the weighted average
     w_k = Window.partitionBy("qid").orderBy("_d", "tid")

@@ -40,3 +40,19 @@ def test_knn_fewer_rows_than_k(spark):
     qdf = spark.createDataFrame([(1, 0.2)], "qid LONG, a DOUBLE")
     r = knn_predict(tdf, qdf, ["a"], "y", 5, "uniform", ["id"], ["qid"], scale=False).first()
     assert r.prediction == 2.0 and r.n_neighbors == 2
+
+
+def test_knn_grid_path_three_dims(spark):
+    rng = np.random.default_rng(3)
+    tr = rng.normal(size=(3000, 4))
+    qs = np.vstack([rng.normal(size=(150, 3)), [[9.0, 9.0, 9.0]]])
+    tdf = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(tr)], "id LONG, a DOUBLE, b DOUBLE, c DOUBLE, y DOUBLE")
+    qdf = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(qs)], "qid LONG, a DOUBLE, b DOUBLE, c DOUBLE")
+    got = knn_predict(tdf, qdf, ["a", "b", "c"], "y", 5, "distance", ["id"], ["qid"], scale=False)
+    got = np.array([r.prediction for r in got.orderBy("qid").collect()])
+    exp = []
+    for q in qs:
+        d = np.sqrt(((tr[:, :3] - q) ** 2).sum(1))
+        idx = np.lexsort((np.arange(len(tr)), d))[:5]
+        exp.append((tr[idx, 3] / d[idx]).sum() / (1 / d[idx]).sum())
+    assert np.allclose(got, exp, rtol=1e-12, atol=1e-12)
