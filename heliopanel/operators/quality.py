@@ -83,10 +83,11 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def gaps(df: DataFrame, keys: Sequence[str] = (), time_col: str = "time",
-         expected_seconds: int = 3600) -> DataFrame:
+         expected_seconds: int = 3600, bucket: str = "day") -> DataFrame:
     """Consecutive rows of a series further apart than the expected step."""
     out = positional(df.select(*keys, time_col),
-                     lambda w: [F.lag(_q(time_col), 1).over(w).alias("prev_time")], 1, keys, time_col)
+                     lambda w: [F.lag(_q(time_col), 1).over(w).alias("prev_time")], 1, keys, time_col,
+                     bucket=bucket)
     secs = F.unix_seconds(_q(time_col).cast("timestamp")) - F.unix_seconds(F.col("prev_time").cast("timestamp"))
     return (out.withColumn("gap_hours", secs.cast("double") / 3600.0)
                .where(secs > expected_seconds))

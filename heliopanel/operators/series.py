@@ -56,15 +56,17 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame
 
 def row_index(df: DataFrame, keys: Sequence[str] = (), time_col: str = "time",
               idx_col: str = "row_idx", tiebreak: Sequence[str] = (),
-              keep_bucket: bool = False) -> DataFrame:
+              keep_bucket: bool = False, bucket: str = "day") -> DataFrame:
     """0-based position of each row inside its series, in time order.
 
     Two passes, no single-partition window: (1) counts per (keys, day) — partial aggregation,
     output keys x days — and an exclusive running sum per series over that small table;
     (2) ``row_number`` within (keys, day), plus the day's offset.
+    ``bucket`` is the date_trunc unit: 'day' for hourly data, 'month' for daily data (the
+    count table then has ~30x fewer rows than the data).
     """
     keys = list(keys)
-    d = df.withColumn("_bkt", _bucket(time_col))
+    d = df.withColumn("_bkt", _bucket(time_col, bucket))
     counts = d.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     wk = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_off"))
@@ -76,7 +78,8 @@ def row_index(df: DataFrame, keys: Sequence[str] = (), time_col: str = "time",
 
 def positional(df: DataFrame, build: Callable[[Window], list[Column]], max_back: int,
                keys: Sequence[str] = (), time_col: str = "time", tiebreak: Sequence[str] = (),
-               block_rows: int = DEFAULT_BLOCK_ROWS, idx_col: str | None = None) -> DataFrame:
+               block_rows: int = DEFAULT_BLOCK_ROWS, idx_col: str | None = None,
+               bucket: str = "day") -> DataFrame:
     """Evaluate window expressions that look at most ``max_back`` rows back, per series.
 
     ``build(w)`` returns columns written against ``w`` (ordered by position).  All of them
@@ -87,7 +90,7 @@ def positional(df: DataFrame, build: Callable[[Window], list[Column]], max_back:
     keys = list(keys)
     cols = list(df.columns)
     idx = idx_col or "_idx"
-    d = row_index(df, keys, time_col, idx, tiebreak)
+    d = row_index(df, keys, time_col, idx, tiebreak, bucket=bucket)
     home = F.floor(F.col(idx) / F.lit(block_rows))
     in_halo = (F.col(idx) % F.lit(block_rows)) >= F.lit(block_rows - max_back)
     blocks = F.when(in_halo & F.lit(max_back > 0), F.array(home, home + 1)).otherwise(F.array(home))

@@ -249,3 +249,38 @@ def split_overlap(spark, sf_dir):
     sp = ts(panel(spark, sf_dir).select("site_id", "time"), 0.2, ["site_id"])
     return (sp.where(F.col("split") == "train").select("time")
               .intersect(sp.where(F.col("split") == "test").select("time")))
+
+
+# ---------------------------------------------------------------- daily series ------
+from .fixtures import daily_orders  # noqa: E402
+
+
+@query("daily_complete_days", f"""{FX.with_('daily_orders')}, {complete_days_sql('daily_orders', 'cd', 1)}
+SELECT * FROM cd""")
+def daily_complete_days(spark, sf_dir):
+    """B1 with points_per_day = 1 on daily order totals per priority (every day present is
+    complete): the filter keeps all rows."""
+    return P.complete_days(daily_orders(spark, sf_dir), ["site_id"], "time", 1)
+
+
+@query("daily_gaps", f"""{FX.with_('daily_orders')}
+SELECT site_id, time, prev_time, CAST(epoch(time) - epoch(prev_time) AS DOUBLE) / 3600.0 AS gap_hours
+FROM (SELECT site_id, time, lag(time) OVER (PARTITION BY site_id ORDER BY time) AS prev_time FROM daily_orders) x
+WHERE epoch(time) - epoch(prev_time) > 86400""")
+def daily_gaps(spark, sf_dir):
+    """D15 on daily series: days without any order, per priority (month buckets)."""
+    from ..operators.quality import gaps
+    return gaps(daily_orders(spark, sf_dir), ["site_id"], "time", 86400, bucket="month")
+
+
+@query("daily_lags", f"""{FX.with_('daily_orders')}
+SELECT site_id, time, pv_production, lag(pv_production, 1) OVER w AS pv_production_lag_1,
+       lag(pv_production, 7) OVER w AS pv_production_lag_7
+FROM daily_orders WINDOW w AS (PARTITION BY site_id ORDER BY time)""")
+def daily_lags(spark, sf_dir):
+    """E1 on daily series (lag 1 and 7 days, positional), month buckets, small blocks so
+    that halo rows are exercised."""
+    d = daily_orders(spark, sf_dir)
+    return S.positional(d, lambda w: [F.lag("pv_production", 1).over(w).alias("pv_production_lag_1"),
+                                      F.lag("pv_production", 7).over(w).alias("pv_production_lag_7")],
+                        7, ["site_id"], "time", block_rows=64, bucket="month")
