@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,11 +62,14 @@ def explode_payloads(payloads: DataFrame, payload_col: str = "payload", keys: Se
 
 
 def latest_forecast(forecast: DataFrame, hour_col: str = "hour", keys: Sequence[str] = (),
-                    order: Sequence[Column] = ()) -> DataFrame:
-    """One forecast row per (keys, hour): first row under ``order`` (row_number = 1).
-    The window is per (keys, hour) — a few rows each."""
-    w = Window.partitionBy(*keys, hour_col).orderBy(*(list(order) or [F.col(hour_col)]))
-    return forecast.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+                    order: Column | None = None) -> DataFrame:
+    """One forecast row per (keys, hour): the row with the smallest ``order`` value (e.g. the
+    issue time; default: the row itself).  An aggregate (min_by), so duplicates of a hot
+    hour are combined map-side instead of gathered into one window task."""
+    cols = [c for c in forecast.columns if c not in list(keys) + [hour_col]]
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    pick = F.min_by(row, order if order is not None else row).alias("_r")
+    return forecast.groupBy(*keys, hour_col).agg(pick).select(*keys, hour_col, *[F.col(f"_r.`{c}`").alias(c) for c in cols])
 
 
 def attach_weather(requests: DataFrame, forecast: DataFrame, time_col: str = "target_time",

@@ -62,9 +62,10 @@ def kfold(df: DataFrame, n_splits: int = 5, seed: int = 42, keys: Sequence[str]
     the same two-pass index), and fold = rank mod k gives equal sizes (+-1) like KFold.
     Membership differs from numpy's permutation; sizes and disjointness are what matter."""
     keys = list(keys)
-    h = F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed))
+    id_cols = list(id_cols) or [c for c in df.columns if c not in keys]   # a row's identity
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in id_cols], F.lit(seed))
     d = df.withColumn("_h", h)
     # position by hash order within series, using day buckets over a synthetic timestamp
     d = d.withColumn("_ht", F.timestamp_seconds(F.pmod(F.col("_h"), F.lit(86400 * 3650))))
-    d = row_index(d, keys, "_ht", "_hrank", tiebreak=["_h", *id_cols])
+    d = row_index(d, keys, "_ht", "_hrank", tiebreak=["_h", *id_cols], bucket="month")
     return d.withColumn("fold", (F.col("_hrank") % n_splits).cast("int")).drop("_h", "_ht", "_hrank")
