@@ -159,3 +159,51 @@ def fit(train: DataFrame, features: Sequence[str], target: str, name: str, param
     est = ESTIMATORS[name](params, int(n or 0), float(y_std or 0.0))
     model = est.fit(asm.transform(data))
     return FittedModel(name, params, features, target, stats, model)
+
+
+def grid_search_cv(train: DataFrame, features: Sequence[str], target: str, name: str, grid: dict,
+                   n_splits: int = 5, keys: Sequence[str] = (), time_col: str = "time",
+                   parallelism: int = 4, scaling: str = "standard") -> DataFrame:
+    """G5 for any registered estimator under expanding-window CV.
+
+    The (fold, role) expansion of the training rows is written once (partitioned by fold
+    and role, so each fit reads only its own files) and every (parameter set, fold) fit is
+    an ordinary distributed Spark ML job; ``parallelism`` driver threads submit them
+    concurrently (like CrossValidator.parallelism).  Each fit refits its scaler on its own
+    training rows.  Returns (grid_idx, params, fold, mse, n_test)."""
+    import json
+    import uuid
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ..session import materialize
+    from .splits import fold_pairs, ts_folds
+
+    cols = list(keys) + [time_col] + list(features) + [target]
+    folds = fold_pairs(ts_folds(train.select(*[F.col(f"`{c}`") for c in dict.fromkeys(cols)]), n_splits, keys,
+                                time_col), n_splits)
+    folds = materialize(folds, "cv_folds", uuid.uuid4().hex, partition_by=("fold", "role"))
+    combos = param_grid(grid)
+
+    def run(task):
+        gi, params, f = task
+        tr = folds.where((F.col("fold") == f) & (F.col("role") == "train"))
+        te = folds.where((F.col("fold") == f) & (F.col("role") == "test"))
+        fm = fit(tr, features, target, name, params, scaling)
+        e = F.col(PRED_COL) - F.col(f"`{target}`")
+        row = fm.transform(te).agg(F.avg(e * e).alias("mse"), F.count(e).alias("n")).first()
+        return (gi, json.dumps(params, sort_keys=True), f, row["mse"], row["n"])
+
+    tasks = [(gi, p, f) for gi, p in enumerate(combos) for f in range(n_splits)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(run, tasks))
+    return train.sparkSession.createDataFrame(
+        results, "grid_idx INT, params STRING, fold INT, mse DOUBLE, n_test LONG")
+
+
+def summarize_grid(per_fold: DataFrame) -> DataFrame:
+    """Mean negative MSE per parameter set (rank 1 = best; ties -> earlier grid entry)."""
+    from pyspark.sql import Window
+    s = per_fold.groupBy("grid_idx", "params").agg((-F.avg("mse")).alias("mean_test_score"),
+                                                   F.stddev_pop("mse").alias("std_test_score"))
+    return s.withColumn("rank_test_score", F.row_number().over(Window.orderBy(F.col("mean_test_score").desc(),
+                                                                                 "grid_idx")))

@@ -160,3 +160,17 @@ def ridge_grid_gram(spark, sf_dir):
     s = s.withColumn("rank_test_score", F.row_number().over(Window.orderBy(F.col("mean_test_score").desc(), "grid_idx")))
     return s.select("grid_idx", "alpha", r6("mean_test_score").alias("mean_test_score"),
                     r6("std_test_score").alias("std_test_score"), "rank_test_score")
+
+
+RF_GRID = {"n_estimators": [10, 20], "max_depth": [3, 5], "max_features": [0.5]}
+
+
+@query("rf_grid_scores")
+def rf_grid_scores(spark, sf_dir):
+    """G5 + G9: random-forest grid search (4 parameter sets x 3 expanding folds) as
+    parallel Spark ML jobs over one shared, partitioned fold table."""
+    tr = model_frame(spark, sf_dir).where(F.col("split") == "train")
+    per_fold = M.grid_search_cv(tr, TREE_FEATURES, Y, "random_forest", RF_GRID, 3, ["site_id"], parallelism=4)
+    s = M.summarize_grid(per_fold)
+    return s.select("grid_idx", "params", r6("mean_test_score").alias("mean_test_score"),
+                    r6("std_test_score").alias("std_test_score"), "rank_test_score")

@@ -61,3 +61,14 @@ def test_gram_estimator_matches_spark_ml_and_round_trips(spark, tmpdir_path):
     path = sinks.save_bundle(spark, os.path.join(tmpdir_path, "gram"), a)
     back = sinks.load_bundle(spark, path)
     assert back.transform(mf).select("prediction").exceptAll(a.transform(mf).select("prediction")).count() == 0
+
+
+def test_grid_search_cv_equals_gram_cv(spark):
+    import json
+    tr = model_frame(spark, SF).where("split = 'train'")
+    g = M.grid_search_cv(tr, FEATS, "pv_production", "ridge", {"alpha": [1.0, 100.0]}, 3, ["site_id"], parallelism=2)
+    got = {(json.loads(r.params)["alpha"], r.fold): r.mse for r in g.collect()}
+    exp = {(r.alpha, r.fold): r.mse for r in ridge_cv_gram(tr, FEATS, "pv_production", [1.0, 100.0], 3, ["site_id"]).collect()}
+    assert got.keys() == exp.keys()
+    for k in exp:
+        assert abs(got[k] - exp[k]) < 1e-7 * max(1.0, exp[k])
