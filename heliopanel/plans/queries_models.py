@@ -174,3 +174,17 @@ def rf_grid_scores(spark, sf_dir):
     s = M.summarize_grid(per_fold)
     return s.select("grid_idx", "params", r6("mean_test_score").alias("mean_test_score"),
                     r6("std_test_score").alias("std_test_score"), "rank_test_score")
+
+
+@query("model_search")
+def model_search(spark, sf_dir):
+    """Reference workflow end to end: expanding-CV grid search per model (OLS, ridge grid,
+    random forest), refit, train/test metrics and CV summary in one comparison table."""
+    from ..api import compare_models
+    mf = model_frame(spark, sf_dir)
+    models = {"linear": ("linear_gram", {}), "ridge": ("ridge_gram", {"alpha": [1.0, 100.0]}),
+              "random_forest": ("random_forest", {"n_estimators": [10], "max_depth": [4], "max_features": [0.5]})}
+    comparison, _cv, _p, _fitted = compare_models(mf.where("split = 'train'"), mf.where("split = 'test'"),
+                                                  TREE_FEATURES, Y, models, 3, ["site_id"])
+    return comparison.select("model", *[r6(c).alias(c) for c in ("train_rmse", "test_rmse", "mean_cv_rmse",
+                                                                  "std_cv_rmse")], "rank")
