@@ -54,9 +54,10 @@ def one_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = (ev.groupBy(_hour("ts").alias("time"))
              .agg(F.sum(_money("value")).cast("double").alias("pv_production"),
                   F.min(F.get_json_object("props", "$.k").cast("double")).alias("_kmin")))
-    return agg.select("time", "pv_production",
-                      F.when(F.hour("time") % 7 == 0, F.lit(None).cast("double"))
-                       .otherwise(F.col("_kmin") - 50.0).alias("temp"))
+    out = agg.select("time", "pv_production",
+                     F.when(F.hour("time") % 7 == 0, F.lit(None).cast("double"))
+                      .otherwise(F.col("_kmin") - 50.0).alias("temp"))
+    return materialize(out, "one_series", sf_dir)
 
 
 def line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,9 +74,10 @@ def line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
-    return (o.groupBy(F.col("o_orderpriority").alias("site_id"),
-                      F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("time"))
-             .agg(F.sum(_money("o_totalprice")).cast("double").alias("pv_production")))
+    out = (o.groupBy(F.col("o_orderpriority").alias("site_id"),
+                     F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("time"))
+            .agg(F.sum(_money("o_totalprice")).cast("double").alias("pv_production")))
+    return materialize(out, "daily_orders", sf_dir)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
