@@ -9,7 +9,7 @@ from ..operators import evaluate, panel as P, series as S
 from . import fixture_sql as FX
 from .fixtures import panel
 from .registry import query
-from .sqlparts import complete_days_sql, metrics_sql, r6 as sr6
+from .sqlparts import complete_days_sql, metrics_sql
 
 
 def naive_day_ahead(spark, sf_dir):
@@ -28,7 +28,7 @@ lagged AS (SELECT site_id, pv_production, lag(pv_production, 24) OVER (PARTITION
 
 # ---------------------------------------------------------------- loading (A, B) ----
 from ..functions.calendar import calendar_columns, is_daylight as daylight_expr  # noqa: E402
-from .fixtures import N_LAGS, TRAIN_END, engineered, one_series  # noqa: E402
+from .fixtures import N_LAGS, engineered, one_series  # noqa: E402
 from .sqlparts import q as sq  # noqa: E402
 
 PANEL_COLS = ["site_id", "time", "pv_production", "global_rad:W", "clear_sky_rad:W", "sun_elevation:d", "temp"]
@@ -182,9 +182,6 @@ def interpolate(spark, sf_dir):
     return S.handle_missing(_gappy(spark, sf_dir), "interpolate", _FILL_COLS, ["site_id"])
 
 
-_ENG_COLS_SQL = "*"
-
-
 @query("drop_nulls", f"""{FX.with_('engineered')} SELECT * FROM engineered WHERE {' AND '.join(
     f'{sq(c)} IS NOT NULL' for c in ['temp', 'global_rad_acceleration_1h', 'pv_change_1h', 'pv_production_lag_24'])}""")
 def drop_nulls(spark, sf_dir):

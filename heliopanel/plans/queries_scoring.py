@@ -5,8 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.maps import (PROVIDER_HOURLY_VARIABLES, PROVIDER_TO_PROJECT, merge_layers, normalise_lag_keys,
-                              weather_columns)
+from ..functions.maps import PROVIDER_HOURLY_VARIABLES, PROVIDER_TO_PROJECT, normalise_lag_keys, weather_columns
 from ..functions.maps import coerce_map as coerce_map_expr
 from ..functions.numeric import r6
 from ..functions.solar import solar_elevation as elevation_expr, solar_elevation_sql

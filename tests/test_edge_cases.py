@@ -157,3 +157,9 @@ def test_tail_split_and_kfold(spark):
 def test_unknown_strategy_raises(spark):
     with pytest.raises(ValueError):
         S.handle_missing(_series(spark, [1.0]), "median")
+
+
+def test_nan_becomes_null(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "x DOUBLE, k INT")
+    out = P.nans_to_nulls(df).orderBy("k").collect()
+    assert out[0].x is None and out[1].x == 2.0 and out[0].k == 1
