@@ -1,22 +1,26 @@
 """Exact k-nearest-neighbour regression (G11) without emitting all query x train pairs.
 
-Pruning rests on one inequality: for the unit vector u = (1, ..., 1) / sqrt(p) and any two
-points a, b, |u.a - u.b| <= ||a - b||.  With s = u.x ("projection"):
-
-1. Rank bound.  Train points are ranked by (s, id) with a distributed exact rank (range
-   partitions + per-partition offsets, as for quantiles).  Each query takes the 2k train
-   points around its own rank (a block equi-join), and the k-th smallest true distance
-   among them, d_k, bounds its true k-th neighbour distance from above.
-2. Box / band join.  Every true neighbour satisfies |f_j - g_j| <= d_k in each coordinate
-   and |s - s_q| <= d_k.  Train points are put in grid cells (width W) over the first
-   m <= 3 coordinates; each query is joined to the cells of its box.  A query whose box
-   spans more than CELL_BUDGET cells joins projection buckets of its band instead.
-3. Exact distances on the candidates, ``row_number <= k`` per query (ties -> train id),
-   weighted average (uniform or 1/distance; zero distances take over, as usual).
-
-Nothing is capped: a query far from the data just gets a wider band.  Tables collected to
-the driver: one row (W and the bucket range).  Per-query groups hold <= k rows after the
-partial WindowGroupLimit.
+Pruning rests on two facts for standardised points f (train) and g (query):
+  |f_j - g_j| <= ||f - g||   for every coordinate j, and
+  |s(f) - s(g)| <= ||f - g|| for the projection s(x) = (x_1 + ... + x_p) / sqrt(p).
+
+0. Duplicates.  Among train points with identical feature vectors only the k smallest ids
+   can ever be chosen (equal distances, ties broken by id), so each vector keeps <= k rows
+   (WindowGroupLimit partial before the shuffle: a vector holding a third of the table
+   costs k rows per partition).
+1. Bounds.  Any k real points give an upper bound d_k on a query's k-th neighbour
+   distance.  (a) Grid: train points sit in cells of width W over the first m <= 3
+   coordinates, W sized for ~k points per cell; a query looks at its 3^m neighbouring
+   cells.  (b) Rank: train points are ranked by (s, id) with a distributed exact rank and
+   a query takes the 2k points around its own rank (covers sparse regions).  d_k is the
+   smaller of the two.
+2. Candidates.  Every true neighbour lies in the box |f_j - g_j| <= d_k (j < m): the query
+   is joined to the cells of its box.  A query whose box would span more than
+   ``cell_budget`` cells uses the projection band |s - s_q| <= d_k instead.  Both exact.
+3. Exact distances, ``row_number <= k`` per query (ties -> train id), weighted average
+   (uniform or 1/distance; zero distances take over).
+
+Nothing is capped.  Collected to the driver: one row of grid geometry and one of W.
 """
 
 from __future__ import annotations
@@ -30,124 +34,130 @@ from pyspark.sql import functions as F
 from .clean import apply_scaler, fit_scaler
 
 _TOL_REL, _TOL_ABS = 1e-9, 1e-12
-CELL_BUDGET = 125          # grid cells a query may explode before it takes the slab path
 
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def _dist(p: int, a: str = "f", b: str = "g") -> Column:
+def _dist(p: int) -> Column:
     total = None
     for j in range(p):
-        d = F.col(f"{a}{j}") - F.col(f"{b}{j}")
+        d = F.col(f"f{j}") - F.col(f"g{j}")
         total = d * d if total is None else total + d * d
     return F.sqrt(total)
 
 
+def _kth(cand: DataFrame, k: int, name: str) -> DataFrame:
+    """Per query: the k-th smallest distance among the candidates (NULL if fewer than k)."""
+    top = cand.withColumn("_rn", F.row_number().over(Window.partitionBy("qid").orderBy("_d"))).where(F.col("_rn") <= k)
+    return top.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("_d")).alias(name))
+
+
+def _explode_ranges(df: DataFrame, ranges: list[tuple[Column, Column]]) -> DataFrame:
+    for j, (lo, hi) in enumerate(ranges):
+        df = df.withColumn(f"_c{j}", F.explode(F.sequence(lo, F.greatest(hi, lo))))
+    return df
+
+
 def knn_predict(train: DataFrame, queries: DataFrame, features: Sequence[str], target: str, k: int = 5,
                 weights: str = "uniform", train_id: Sequence[str] = (), query_id: Sequence[str] = (),
-                scale: bool = True, rank_block: int | None = None) -> DataFrame:
-    """Returns query_id columns + ``prediction`` (+ ``n_neighbors``)."""
+                scale: bool = True, rank_block: int | None = None, cell_budget: int = 343) -> DataFrame:
+    """Returns query_id columns + ``prediction`` + ``n_neighbors``."""
     if weights not in ("uniform", "distance"):
         raise ValueError("weights must be 'uniform' or 'distance'")
     spark = train.sparkSession
-    p = len(features)
+    p, m = len(features), min(len(features), 3)
     feats, tid, qid = list(features), list(train_id), list(query_id)
+    fcols, gcols = [f"f{j}" for j in range(p)], [f"g{j}" for j in range(p)]
     train = train.where(_q(target).isNotNull())
     if scale:
         stats = {r["column"]: r.asDict() for r in fit_scaler(train, feats, "standard").collect()}   # p rows
         train, queries = apply_scaler(train, stats), apply_scaler(queries, stats)
-    proj = lambda pref: sum((F.col(f"{pref}{j}") for j in range(p)), F.lit(0.0)) / math.sqrt(p)
+    proj = lambda cols: sum((F.col(c) for c in cols), F.lit(0.0)) / math.sqrt(p)
     T = train.select(F.struct(*[_q(c) for c in tid]).alias("tid"), _q(target).cast("double").alias("y"),
-                     *[_q(c).cast("double").alias(f"f{j}") for j, c in enumerate(feats)]).withColumn("s", proj("f"))
+                     *[_q(c).cast("double").alias(f"f{j}") for j, c in enumerate(feats)])
+    T = T.where(F.greatest(*[F.col(c).isNull() for c in fcols]) == F.lit(False)) if p > 1 else T.where(F.col("f0").isNotNull())
+    # 0. at most k rows per distinct feature vector
+    T = (T.withColumn("_v", F.row_number().over(Window.partitionBy(*fcols).orderBy("tid"))).where(F.col("_v") <= k)
+          .drop("_v").withColumn("s", proj(fcols)))
     Q = queries.select(F.struct(*[_q(c) for c in qid]).alias("qid"),
-                       *[_q(c).cast("double").alias(f"g{j}") for j, c in enumerate(feats)]).withColumn("sq", proj("g"))
+                       *[_q(c).cast("double").alias(f"g{j}") for j, c in enumerate(feats)]).withColumn("sq", proj(gcols))
 
-    # 1. exact rank of train points by (s, tid); queries get the number of train points before them
+    geo = T.agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("smin"), F.max("s").alias("smax"),
+                *[F.min(f"f{j}").alias(f"lo{j}") for j in range(m)],
+                *[F.max(f"f{j}").alias(f"hi{j}") for j in range(m)]).first()           # one row
+    if not geo["n"]:
+        return Q.select(*[F.col(f"qid.`{c}`").alias(c) for c in qid], F.lit(None).cast("double").alias("prediction"),
+                        F.lit(0).cast("long").alias("n_neighbors"))
+    spans = [max(geo[f"hi{j}"] - geo[f"lo{j}"], 1e-9) for j in range(m)]
+    W = max((math.prod(spans) * k / geo["n"]) ** (1.0 / m), 1e-9)            # ~k points per occupied cell
+    cmin = [math.floor(geo[f"lo{j}"] / W) for j in range(m)]
+    cmax = [math.floor(geo[f"hi{j}"] / W) for j in range(m)]
+    Tc = T.select("*", *[F.floor(F.col(f"f{j}") / W).alias(f"_c{j}") for j in range(m)],
+                  F.floor(F.col("s") / W).alias("_b"))
+    cells = [f"_c{j}" for j in range(m)]
+
+    # 1a. grid bound from the 3^m neighbouring cells
+    own = [F.floor(F.col(f"g{j}") / W) for j in range(m)]
+    near = _explode_ranges(Q.select("qid", *gcols), [(F.greatest(o - 1, F.lit(cmin[j])), F.least(o + 1, F.lit(cmax[j])))
+                                                     for j, o in enumerate(own)])
+    grid_bound = _kth(near.join(Tc.select(*cells, *fcols), cells).withColumn("_d", _dist(p)), k, "_dg")
+
+    # 1b. rank bound: 2k points around the query's rank in projection order
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fcols = [f"f{j}" for j in range(p)]
-    both = (T.select("s", F.lit(0).alias("kind"), "tid", F.lit(None).cast(Q.schema["qid"].dataType).alias("qid"),
-                     "y", *fcols)
+    both = (T.select("s", F.lit(0).alias("kind"), "tid", F.lit(None).cast(Q.schema["qid"].dataType).alias("qid"), *fcols)
              .unionByName(Q.select(F.col("sq").alias("s"), F.lit(1).alias("kind"),
                                    F.lit(None).cast(T.schema["tid"].dataType).alias("tid"), "qid",
-                                   F.lit(None).cast("double").alias("y"),
-                                   *[F.col(f"g{j}").alias(f"f{j}") for j in range(p)])))
-    # range partitions over the composite key: equal projections still spread by id
+                                   *[F.col(g).alias(f) for g, f in zip(gcols, fcols)])))
     both = both.repartitionByRange(parts, "s", "kind", "tid", "qid").withColumn("_pid", F.spark_partition_id())
     is_train = (F.col("kind") == 0).cast("long")
     w_in = Window.partitionBy("_pid").orderBy("s", "kind", "tid", "qid").rowsBetween(Window.unboundedPreceding, -1)
     both = both.withColumn("_before", F.coalesce(F.sum(is_train).over(w_in), F.lit(0)))
-    per = both.groupBy("_pid").agg(F.sum(is_train).alias("_c"))          # one row per range partition
+    per = both.groupBy("_pid").agg(F.sum(is_train).alias("_c"))                       # one row per range partition
     offs = per.select("_pid", F.coalesce(F.sum("_c").over(Window.orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"), F.sum("_c").over(Window.partitionBy()).alias("_n"))
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     ranked = both.join(F.broadcast(offs), "_pid").withColumn("rank", F.col("_off") + F.col("_before"))
     B = rank_block or max(2 * k, 64)
-    t_rank = (ranked.where("kind = 0").select("tid", "rank", "s", "y", *fcols)
-                    .withColumn("_blk", F.floor(F.col("rank") / B)))
-    q_rank = ranked.where("kind = 1").select("qid", F.col("rank").alias("_r"), "_n", F.col("s").alias("sq"),
-                                             *[F.col(f"f{j}").alias(f"g{j}") for j in range(p)])
+    t_rank = ranked.where("kind = 0").select(F.floor(F.col("rank") / B).alias("_blk"), "rank", *fcols)
+    q_rank = ranked.where("kind = 1").select("qid", F.col("rank").alias("_r"), *[F.col(f).alias(g) for f, g in zip(fcols, gcols)])
     lo = F.greatest(F.col("_r") - k, F.lit(0))
-    hi = F.least(F.col("_r") + k - 1, F.col("_n") - 1)
-    near = q_rank.select("*", F.explode(F.sequence(F.floor(lo / B), F.floor(F.greatest(hi, lo) / B))).alias("_blk"),
-                         lo.alias("_lo"), hi.alias("_hi"))
-    cand1 = (near.join(t_rank.select("_blk", "rank", *fcols), "_blk")
-                 .where((F.col("rank") >= F.col("_lo")) & (F.col("rank") <= F.col("_hi")))
-                 .withColumn("_d", _dist(p)))
-    w_q = Window.partitionBy("qid").orderBy("_d")
-    bound = (cand1.withColumn("_rn", F.row_number().over(w_q)).where(F.col("_rn") <= k)
-                  .groupBy("qid").agg(F.max("_d").alias("_dk"), F.count(F.lit(1)).alias("_m")))
-    # fewer than k train rows in total: no bound, the band covers everything
-    qb = q_rank.join(bound, "qid", "left").withColumn(
-        "_dk", F.when(F.col("_m") >= k, F.col("_dk") * (1 + _TOL_REL) + _TOL_ABS))
-
-    # 2. candidates within the bound.  Every coordinate obeys |f_j - g_j| <= ||f - g|| <= d_k,
-    #    so a box over the first m <= 3 coordinates (grid cells of width W) is exact pruning;
-    #    queries whose box would span more than CELL_BUDGET cells (far-away queries, loose
-    #    bounds) use the exact projection slab instead.  Cell width and data bounds come
-    #    from one aggregate row each.
-    m = min(p, 3)
-    w_row = qb.agg(F.avg("_dk").alias("w")).first()
-    s_row = T.agg(F.min("s").alias("smin"), F.max("s").alias("smax"),
-                  *[F.min(f"f{j}").alias(f"lo{j}") for j in range(m)],
-                  *[F.max(f"f{j}").alias(f"hi{j}") for j in range(m)]).first()
-    if s_row["smin"] is None:
-        return Q.select(*[F.col(f"qid.{c}").alias(c) for c in qid], F.lit(None).cast("double").alias("prediction"),
-                        F.lit(0).cast("long").alias("n_neighbors"))
-    W = w_row["w"] if w_row["w"] and w_row["w"] > 0 else max(s_row["smax"] - s_row["smin"], 1.0)
-    bmin, bmax = math.floor(s_row["smin"] / W), math.floor(s_row["smax"] / W)
-    tb = T.select("*", F.floor(F.col("s") / W).alias("_b"), *[F.floor(F.col(f"f{j}") / W).alias(f"_c{j}") for j in range(m)])
+    hi = F.least(F.col("_r") + k - 1, F.lit(geo["n"] - 1))
+    qr = q_rank.select("qid", *gcols, lo.alias("_lo"), hi.alias("_hi"),
+                       F.explode(F.sequence(F.floor(lo / B), F.floor(F.greatest(hi, lo) / B))).alias("_blk"))
+    rank_cand = (qr.join(t_rank, "_blk").where((F.col("rank") >= F.col("_lo")) & (F.col("rank") <= F.col("_hi")))
+                   .withColumn("_d", _dist(p)))
+    rank_bound = _kth(rank_cand, k, "_dr")
+
+    dk_raw = F.least(F.col("_dg"), F.col("_dr"))        # least() skips NULLs
+    qb = (Q.join(grid_bound, "qid", "left").join(rank_bound, "qid", "left")
+           .withColumn("_dk", F.when(dk_raw.isNotNull(), dk_raw * (1 + _TOL_REL) + _TOL_ABS)))
+
+    # 2. box over the grid cells, or the projection band when the box is too wide
     dk = F.col("_dk")
-    ranges = []
-    for j in range(m):
-        cmin, cmax = math.floor(s_row[f"lo{j}"] / W), math.floor(s_row[f"hi{j}"] / W)
-        lo = F.greatest(F.floor((F.col(f"g{j}") - dk) / W), F.lit(cmin))
-        hi = F.least(F.floor((F.col(f"g{j}") + dk) / W), F.lit(cmax))
-        ranges.append((lo, hi))
+    ranges = [(F.greatest(F.floor((F.col(f"g{j}") - dk) / W), F.lit(cmin[j])),
+               F.least(F.floor((F.col(f"g{j}") + dk) / W), F.lit(cmax[j]))) for j in range(m)]
     ncells = F.lit(1.0)
-    for lo, hi in ranges:
-        ncells = ncells * F.greatest(hi - lo + 1, F.lit(0)).cast("double")
-    use_grid = dk.isNotNull() & (ncells <= CELL_BUDGET)
-    qcols = ["qid", "sq", "_dk", *[f"g{j}" for j in range(p)]]
-    gq = qb.where(use_grid).select(*qcols, *[F.explode(F.sequence(lo, F.greatest(hi, lo))).alias(f"_c{j}")
-                                             for j, (lo, hi) in enumerate(ranges[:1])])
-    for j, (lo, hi) in list(enumerate(ranges))[1:]:
-        gq = gq.withColumn(f"_c{j}", F.explode(F.sequence(lo, F.greatest(hi, lo))))
+    for a, b in ranges:
+        ncells = ncells * F.greatest(b - a + 1, F.lit(0)).cast("double")
+    use_box = dk.isNotNull() & (ncells <= cell_budget)
+    qcols = ["qid", "sq", "_dk", *gcols]
     inside = F.lit(True)
     for j in range(m):
         inside = inside & (F.abs(F.col(f"f{j}") - F.col(f"g{j}")) <= dk)
-    cand_grid = gq.join(tb.drop("_b"), [f"_c{j}" for j in range(m)]).where(inside)
+    box = (_explode_ranges(qb.where(use_box).select(*qcols), ranges)
+           .join(Tc.drop("_b"), cells).where(inside))
+    bmin, bmax = math.floor(geo["smin"] / W), math.floor(geo["smax"] / W)
     b_lo = F.when(dk.isNull(), F.lit(bmin)).otherwise(F.greatest(F.floor((F.col("sq") - dk) / W), F.lit(bmin)))
     b_hi = F.when(dk.isNull(), F.lit(bmax)).otherwise(F.least(F.floor((F.col("sq") + dk) / W), F.lit(bmax)))
-    sq_ = qb.where(~use_grid).select(*qcols, F.explode(F.sequence(b_lo, F.greatest(b_hi, b_lo))).alias("_b"))
-    cand_slab = (sq_.join(tb.drop(*[f"_c{j}" for j in range(m)]), "_b")
-                    .where(dk.isNull() | (F.abs(F.col("s") - F.col("sq")) <= dk)))
-    keep = ["qid", "tid", "y", *[f"f{j}" for j in range(p)], *[f"g{j}" for j in range(p)]]
-    cand = cand_grid.select(*keep).unionByName(cand_slab.select(*keep)).withColumn("_d", _dist(p))
-
-    # 3. exact top-k per query, then the weighted average
-    w_k = Window.partitionBy("qid").orderBy("_d", "tid")
-    top = cand.withColumn("_rn", F.row_number().over(w_k)).where(F.col("_rn") <= k)
+    band = (qb.where(~use_box).select(*qcols, F.explode(F.sequence(b_lo, F.greatest(b_hi, b_lo))).alias("_b"))
+              .join(Tc.drop(*cells), "_b").where(dk.isNull() | (F.abs(F.col("s") - F.col("sq")) <= dk)))
+    keep = ["qid", "tid", "y", *fcols, *gcols]
+    cand = box.select(*keep).unionByName(band.select(*keep)).withColumn("_d", _dist(p))
+
+    # 3. exact top-k per query (partial WindowGroupLimit before the shuffle), weighted average
+    top = cand.withColumn("_rn", F.row_number().over(Window.partitionBy("qid").orderBy("_d", "tid"))) \
+              .where(F.col("_rn") <= k)
     if weights == "uniform":
         pred = F.avg("y")
     else:
@@ -155,4 +165,4 @@ def knn_predict(train: DataFrame, queries: DataFrame, features: Sequence[str], t
         pred = F.when(F.max(zero.cast("int")) == 1, F.avg(F.when(zero, F.col("y")))) \
                 .otherwise(F.sum(F.try_divide(F.col("y"), F.col("_d"))) / F.sum(F.try_divide(F.lit(1.0), F.col("_d"))))
     out = top.groupBy("qid").agg(pred.alias("prediction"), F.count(F.lit(1)).alias("n_neighbors"))
-    return out.select(*[F.col(f"qid.{c}").alias(c) for c in qid], "prediction", "n_neighbors")
+    return out.select(*[F.col(f"qid.`{c}`").alias(c) for c in qid], "prediction", "n_neighbors")

@@ -92,3 +92,11 @@ def materialize(df: DataFrame, name: str, key: object = None, partition_by: tupl
         w.parquet(path)
         _MATERIALIZED[k] = path
     return spark.read.parquet(_MATERIALIZED[k])
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Stage boundary in a chain of operators that read their input twice (a small
+    per-key/day table plus the main pass): write once, re-read by every later branch, so
+    scans grow linearly with the chain instead of doubling per operator."""
+    import uuid
+    return materialize(df, name, uuid.uuid4().hex)
