@@ -60,22 +60,33 @@ def coerce_map(m: Column) -> Column:
 
 def normalise_lag_keys(m: Column, target: str = "pv_production") -> Column:
     """``lag_k`` -> ``<target>_lag_k``; already-prefixed keys kept; others dropped;
-    then ``pv_change_1h = |lag_1 - lag_2| + 1`` when both lags exist."""
+    then ``pv_change_1h = |lag_1 - lag_2| + 1`` when both lags exist.
+
+    One ``aggregate`` pass over the entries (later spellings of a key win, like a dict
+    update) whose finish step appends pv_change_1h — the map expression is evaluated once."""
     prefix = f"{target}_lag_"
-    m = coerce_map(m)
-    kept = F.map_filter(m, lambda k, v: k.startswith(prefix) | k.startswith("lag_"))
+    kept = F.map_filter(coerce_map(m), lambda k, v: k.startswith(prefix) | k.startswith("lag_"))
     renamed = F.transform(F.map_entries(kept), lambda e: F.struct(
         F.when(e["key"].startswith("lag_"), F.concat(F.lit(prefix), F.substring(e["key"], 5, 1 << 20)))
          .otherwise(e["key"]).alias("key"),
         e["value"].alias("value")))
-    # 'lag_k' and '<target>_lag_k' may both be present: the later entry wins
-    empty = F.array().cast("array<struct<key:string,value:double>>")
-    dedup = F.map_from_entries(F.aggregate(
-        renamed, empty, lambda acc, e: F.concat(F.filter(acc, lambda x: x["key"] != e["key"]), F.array(e))))
-    l1, l2 = dedup[f"{prefix}1"], dedup[f"{prefix}2"]
-    change = F.when(l1.isNotNull() & l2.isNotNull(),
-                    F.map_from_arrays(F.array(F.lit("pv_change_1h")), F.array(F.abs(l1 - l2) + 1)))
-    return F.coalesce(F.map_concat(dedup, change), dedup)
+    entry_t = "struct<key:string,value:double>"
+    init = F.struct(F.array().cast(f"array<{entry_t}>").alias("es"),
+                    F.lit(None).cast("double").alias("l1"), F.lit(None).cast("double").alias("l2"))
+
+    def step(acc, e):
+        es = F.concat(F.filter(acc["es"], lambda x: x["key"] != e["key"]), F.array(e))
+        l1 = F.when(e["key"] == F.lit(prefix + "1"), e["value"]).otherwise(acc["l1"])
+        l2 = F.when(e["key"] == F.lit(prefix + "2"), e["value"]).otherwise(acc["l2"])
+        return F.struct(es.alias("es"), l1.alias("l1"), l2.alias("l2"))
+
+    def finish(acc):
+        change = F.when(acc["l1"].isNotNull() & acc["l2"].isNotNull(),
+                        F.array(F.struct(F.lit("pv_change_1h").alias("key"),
+                                         (F.abs(acc["l1"] - acc["l2"]) + 1).alias("value"))))
+        return F.map_from_entries(F.concat(acc["es"], F.coalesce(change, F.array().cast(f"array<{entry_t}>"))))
+
+    return F.aggregate(renamed, init, step, finish)
 
 
 def merge_layers(weather: Column, deterministic: Column, history: Column) -> Column:

@@ -98,6 +98,21 @@ def history_lags(requests: DataFrame, history: DataFrame, n_lags: int = 24, time
                                    for k in range(1, n_lags + 1)])
 
 
+def deterministic_values(time_col: str = "target_time", lat: str | None = "latitude",
+                         lon: str | None = "longitude") -> dict[str, Column]:
+    """F1 (+ F3, F2 when a location is given) as named double columns; solar values are NULL
+    for a request without a location (the layer then has no such key)."""
+    t = F.col(time_col)
+    out = {"hour": F.hour(t).cast("double"), "day_of_week": F.weekday(t).cast("double"),
+           "month": F.month(t).cast("double"), "day_of_year": F.dayofyear(t).cast("double")}
+    if lat is not None and lon is not None:
+        elev = solar_elevation(time_col, lat, lon)
+        has = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+        out["sun_elevation:d"] = F.when(has, elev)
+        out["is_daylight"] = F.when(has, is_daylight(elev).cast("double"))
+    return out
+
+
 def deterministic_map(time_col: str = "target_time", lat: str | None = "latitude",
                       lon: str | None = "longitude") -> Column:
     """F1 (+ F3, F2 when a location is given) as a map of doubles."""
@@ -125,18 +140,18 @@ def merged_values(requests: DataFrame, weather: Column | None = None, recent_pv:
                     merge_layers(F.col("_lw"), F.col("_ld"), F.col("_lh")).alias("_all"))
 
 
-def _pv_lookup(recent_pv: Column, name: str, target: str = "pv_production") -> Column:
-    """Value of one normalised history key (F6) without building the whole map: the last
-    entry among ``lag_k`` / ``<target>_lag_k`` spellings wins, like a dict update."""
+def _pv_lookup(entries: Column, name: str, target: str = "pv_production") -> Column:
+    """Value of one normalised history key (F6) from the coerced map entries, without
+    building the whole map: the last entry among ``lag_k`` / ``<target>_lag_k`` wins, like a
+    dict update; pv_change_1h derives from lags 1 and 2."""
     prefix = f"{target}_lag_"
-    m = coerce_map(recent_pv)
     if name == "pv_change_1h":
-        l1, l2 = _pv_lookup(recent_pv, prefix + "1", target), _pv_lookup(recent_pv, prefix + "2", target)
+        l1, l2 = _pv_lookup(entries, prefix + "1", target), _pv_lookup(entries, prefix + "2", target)
         return F.abs(l1 - l2) + 1
     if not name.startswith(prefix):
         return F.lit(None).cast("double")
     short = "lag_" + name[len(prefix):]
-    hits = F.filter(F.map_entries(m), lambda e: (e["key"] == F.lit(name)) | (e["key"] == F.lit(short)))
+    hits = F.filter(entries, lambda e: (e["key"] == F.lit(name)) | (e["key"] == F.lit(short)))
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
@@ -151,11 +166,12 @@ def build_features(requests: DataFrame, feature_columns: Sequence[str], weather:
     raising, so one bad request does not fail the batch; ``valid`` marks complete rows."""
     empty = F.create_map().cast("map<string,double>")
     w = coerce_map(weather) if weather is not None else empty
-    d = requests.select("*", w.alias("_lw"), deterministic_map(time_col, lat, lon).alias("_ld"))
-    vals = []
-    for c in feature_columns:
-        h = _pv_lookup(recent_pv, c) if recent_pv is not None else F.lit(None).cast("double")
-        vals.append(F.coalesce(h, F.col("_ld")[c], F.col("_lw")[c]).alias(c))
+    pv = F.map_entries(coerce_map(recent_pv) if recent_pv is not None else empty)
+    # weather and history layers are projected once; deterministic values are plain columns
+    det = deterministic_values(time_col, lat, lon)
+    d = requests.select("*", w.alias("_lw"), pv.alias("_lp"))
+    vals = [F.coalesce(_pv_lookup(F.col("_lp"), c), det.get(c, F.lit(None).cast("double")), F.col("_lw")[c]).alias(c)
+            for c in feature_columns]
     d = d.select(*[F.col(f"`{c}`") for c in requests.columns], *vals)
     missing = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(c)) for c in feature_columns]))
     return d.withColumn("missing", F.concat_ws(",", missing)).withColumn("valid", F.col("missing") == "")
