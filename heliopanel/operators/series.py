@@ -105,10 +105,40 @@ def lag_names(col: str, lags: Sequence[int]) -> list[str]:
     return [f"{col}_lag_{k}" for k in lags]
 
 
+def time_lags(df: DataFrame, columns: Sequence[str], lags: Sequence[int], keys: Sequence[str] = (),
+              time_col: str = "time", step_seconds: int = 3600) -> DataFrame:
+    """E1, ``mode='time'``: the value exactly k steps earlier (NULL when that time is absent),
+    so dropped incomplete days cannot shift a lag.  Windows run over (series, day) with a
+    time halo: each row is also copied into the next ceil(max lag / 1 day) days; a numeric
+    RANGE frame on epoch seconds picks the row at t - k*step.  Duplicated timestamps of a
+    series resolve to their largest value."""
+    keys = list(keys)
+    cols = list(df.columns)
+    reach = max(lags) * step_seconds
+    span = -(-reach // 86400)
+    ts = F.unix_seconds(_q(time_col).cast("timestamp"))
+    d = df.withColumn("_ts", ts).withColumn("_day", F.floor(F.col("_ts") / 86400))
+    d = d.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(span)))).withColumn(
+        "_home", F.col("_day") + F.col("_copy"))
+    w = Window.partitionBy(*keys, "_home").orderBy("_ts")
+    out = d.select(*[_q(c) for c in cols], "_copy",
+                   *[F.max(_q(c)).over(w.rangeBetween(-k * step_seconds, -k * step_seconds)).alias(f"{c}_lag_{k}")
+                     for c in columns for k in lags])
+    return out.where(F.col("_copy") == 0).drop("_copy")
+
+
 def add_lags(df: DataFrame, columns: Sequence[str], n_lags: int = 24, keys: Sequence[str] = (),
-             time_col: str = "time", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """``<col>_lag_k`` for k = 1..n_lags, row-positional within each series."""
+             time_col: str = "time", block_rows: int = DEFAULT_BLOCK_ROWS, mode: str = "rows",
+             step_seconds: int = 3600) -> DataFrame:
+    """``<col>_lag_k`` for k = 1..n_lags within each series.
+
+    mode='rows' (default, like a positional shift): the k-th previous row;
+    mode='time': the row exactly k steps earlier (see ``time_lags``)."""
     lags = list(range(1, n_lags + 1))
+    if mode == "time":
+        return time_lags(df, columns, lags, keys, time_col, step_seconds)
+    if mode != "rows":
+        raise ValueError("mode must be 'rows' or 'time'")
     return positional(
         df, lambda w: [F.lag(_q(c), k).over(w).alias(f"{c}_lag_{k}") for c in columns for k in lags],
         n_lags, keys, time_col, block_rows=block_rows)

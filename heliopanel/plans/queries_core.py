@@ -281,3 +281,16 @@ def daily_lags(spark, sf_dir):
     return S.positional(d, lambda w: [F.lag("pv_production", 1).over(w).alias("pv_production_lag_1"),
                                       F.lag("pv_production", 7).over(w).alias("pv_production_lag_7")],
                         7, ["site_id"], "time", block_rows=64, bucket="month")
+
+
+@query("lag_features_time", f"""{FX.with_('panel')}
+SELECT p.site_id, p.time, p.pv_production, p1.pv_production AS pv_production_lag_1, p24.pv_production AS pv_production_lag_24
+FROM panel p
+LEFT JOIN panel p1 ON p1.site_id = p.site_id AND p1.time = p.time - INTERVAL 1 HOUR
+LEFT JOIN panel p24 ON p24.site_id = p.site_id AND p24.time = p.time - INTERVAL 24 HOUR""")
+def lag_features_time(spark, sf_dir):
+    """E1 with mode='time': value exactly 1 and 24 hours earlier (NULL across missing
+    hours), unlike the positional default."""
+    p = panel(spark, sf_dir).select("site_id", "time", "pv_production")
+    out = S.time_lags(p, ["pv_production"], [1, 24], ["site_id"], "time", 3600)
+    return out.select("site_id", "time", "pv_production", "pv_production_lag_1", "pv_production_lag_24")

@@ -163,3 +163,13 @@ def test_nan_becomes_null(spark):
     df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "x DOUBLE, k INT")
     out = P.nans_to_nulls(df).orderBy("k").collect()
     assert out[0].x is None and out[1].x == 2.0 and out[0].k == 1
+
+
+def test_time_mode_lags_respect_gaps(spark):
+    rows = [("a", dt.datetime(2024, 1, 1, h), float(h)) for h in (0, 1, 3)] + [("a", dt.datetime(2024, 1, 2, 1), 25.0)]
+    df = spark.createDataFrame(rows, "site_id STRING, time TIMESTAMP_NTZ, x DOUBLE")
+    t = S.add_lags(df, ["x"], 24, ["site_id"], mode="time").orderBy("time").collect()
+    assert [r.x_lag_1 for r in t] == [None, 0.0, None, None]
+    assert t[3].x_lag_24 == 1.0 and t[2].x_lag_2 == 1.0
+    r = S.add_lags(df, ["x"], 1, ["site_id"]).orderBy("time").collect()
+    assert [x.x_lag_1 for x in r] == [None, 0.0, 1.0, 3.0]
