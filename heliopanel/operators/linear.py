@@ -32,6 +32,38 @@ def gram_stats(df: DataFrame, features: Sequence[str], target: str, group: Seque
     return d.groupBy(*group).agg(*aggs)
 
 
+def _standardised(row, p: int):
+    """(C, c, mean, sd) of z = (x - mean) / std_pop from one gram_stats row."""
+    C = np.empty((p, p))
+    for j in range(p):
+        for k in range(j, p):
+            C[j, k] = C[k, j] = row[f"c{j}_{k}"]
+    cy = np.array([row[f"cy{j}"] for j in range(p)])
+    m = np.array([row[f"m{j}"] for j in range(p)])
+    sd = np.sqrt(np.diag(C)).copy()
+    sd[sd == 0] = 1.0
+    return C / np.outer(sd, sd), cy / sd, m, sd
+
+
+def lasso_cd(C: np.ndarray, c: np.ndarray, alpha: float, tol: float = 1e-12, max_iter: int = 100000,
+             start: np.ndarray | None = None) -> np.ndarray:
+    """Coordinate descent for min_w 1/2 w'Cw - c'w + alpha |w|_1 (the lasso objective
+    (1/2n)||y - b - Zw||^2 + alpha |w|_1 written with centred moments)."""
+    w = np.zeros(len(c)) if start is None else start.copy()
+    for _ in range(max_iter):
+        delta = 0.0
+        for j in range(len(c)):
+            if C[j, j] <= 0:
+                continue
+            rho = c[j] - C[j] @ w + C[j, j] * w[j]
+            new = np.sign(rho) * max(abs(rho) - alpha, 0.0) / C[j, j]
+            delta = max(delta, abs(new - w[j]))
+            w[j] = new
+        if delta < tol:
+            break
+    return w
+
+
 def solve(row, p: int, alpha: float = 0.0, standardize: bool = False) -> tuple[float, np.ndarray]:
     """(intercept, coefficients) of OLS / ridge from one gram_stats row.
 
@@ -77,7 +109,8 @@ def ridge_cv_gram(train: DataFrame, features: Sequence[str], target: str, alphas
     feats = list(features)
     p = len(feats)
     folds = fold_pairs(ts_folds(train, n_splits, keys, time_col), n_splits)
-    stats = {(r["fold"], r["role"]): r for r in gram_stats(folds, feats, target, ["fold", "role"]).collect()}
+    stats = {(r["fold"], r["role"]): r                      # folds x 2 rows of p x p statistics
+             for r in gram_stats(folds, feats, target, ["fold", "role"]).collect()}
     out = []
     for f in range(n_splits):
         tr, te = stats.get((f, "train")), stats.get((f, "test"))
@@ -99,3 +132,36 @@ def ridge_cv_gram(train: DataFrame, features: Sequence[str], target: str, alphas
             mse = te["vy"] - 2 * w @ cy + w @ C @ w + (te["my"] - b0 - mte @ w) ** 2
             out.append((gi, float(a), f, float(mse)))
     return train.sparkSession.createDataFrame(out, "grid_idx INT, alpha DOUBLE, fold INT, mse DOUBLE")
+
+
+def lasso_cv_gram(train: DataFrame, features: Sequence[str], target: str, alphas: Sequence[float],
+                  n_splits: int = 5, keys: Sequence[str] = (), time_col: str = "time") -> DataFrame:
+    """Lasso inside standardise-then-regress for the whole alpha grid from ONE
+    aggregation (moments per fold and role); coordinate descent on p x p matrices.
+    Returns (grid_idx, alpha, fold, mse)."""
+    from .splits import fold_pairs, ts_folds
+    feats = list(features)
+    p = len(feats)
+    folds = fold_pairs(ts_folds(train, n_splits, keys, time_col), n_splits)
+    stats = {(r["fold"], r["role"]): r                      # folds x 2 rows of p x p statistics
+             for r in gram_stats(folds, feats, target, ["fold", "role"]).collect()}
+    out = []
+    for f in range(n_splits):
+        tr, te = stats.get((f, "train")), stats.get((f, "test"))
+        if tr is None or te is None:
+            continue
+        Cz, cz, mtr, sd = _standardised(tr, p)
+        Cte = np.empty((p, p))
+        for j in range(p):
+            for k in range(j, p):
+                Cte[j, k] = Cte[k, j] = te[f"c{j}_{k}"]
+        cyte = np.array([te[f"cy{j}"] for j in range(p)])
+        mte = np.array([te[f"m{j}"] for j in range(p)])
+        wz = None
+        for gi, a in sorted(enumerate(alphas), key=lambda t: -t[1]):   # pathwise: warm starts
+            wz = lasso_cd(Cz, cz, float(a), start=wz)
+            w = wz / sd
+            b0 = tr["my"] - mtr @ w
+            mse = te["vy"] - 2 * w @ cyte + w @ Cte @ w + (te["my"] - b0 - mte @ w) ** 2
+            out.append((gi, float(a), f, float(mse)))
+    return train.sparkSession.createDataFrame(out, "grid_idx INT, alpha DOUBLE, fold INT, mse DOUBLE")

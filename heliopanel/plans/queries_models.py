@@ -188,3 +188,21 @@ def model_search(spark, sf_dir):
                                                   TREE_FEATURES, Y, models, 3, ["site_id"])
     return comparison.select("model", *[r6(c).alias(c) for c in ("train_rmse", "test_rmse", "mean_cv_rmse",
                                                                   "std_cv_rmse")], "rank")
+
+
+LASSO_ALPHAS = [0.001, 0.01, 0.1, 1.0]
+
+
+@query("lasso_grid_gram")
+def lasso_grid_gram(spark, sf_dir):
+    """G5/G8 by sufficient statistics: 4-feature standardised lasso, 4 alphas x 5 expanding
+    folds from one aggregation pass (coordinate descent on p x p moments)."""
+    from pyspark.sql import Window
+    from ..operators.linear import lasso_cv_gram
+    tr = model_frame(spark, sf_dir).where(F.col("split") == "train")
+    per_fold = lasso_cv_gram(tr, GRAM_FEATURES, Y, LASSO_ALPHAS, 5, ["site_id"])
+    s = per_fold.groupBy("grid_idx", "alpha").agg((-F.avg("mse")).alias("mean_test_score"),
+                                                 F.stddev_pop("mse").alias("std_test_score"))
+    s = s.withColumn("rank_test_score", F.row_number().over(Window.orderBy(F.col("mean_test_score").desc(), "grid_idx")))
+    return s.select("grid_idx", "alpha", r6("mean_test_score").alias("mean_test_score"),
+                    r6("std_test_score").alias("std_test_score"), "rank_test_score")

@@ -72,3 +72,18 @@ def test_grid_search_cv_equals_gram_cv(spark):
     assert got.keys() == exp.keys()
     for k in exp:
         assert abs(got[k] - exp[k]) < 1e-7 * max(1.0, exp[k])
+
+
+def test_gram_lasso_cv_equals_per_fold_spark_ml(spark):
+    from heliopanel.operators.linear import lasso_cv_gram
+    tr = model_frame(spark, SF).where("split = 'train'")
+    alphas = [0.1, 5.0]
+    got = {(r.alpha, r.fold): r.mse for r in lasso_cv_gram(tr, FEATS, "pv_production", alphas, 3, ["site_id"]).collect()}
+    pairs = fold_pairs(ts_folds(tr, 3, ["site_id"]), 3).cache()
+    for f in range(3):
+        ftr = pairs.where((F.col("fold") == f) & (F.col("role") == "train"))
+        fte = pairs.where((F.col("fold") == f) & (F.col("role") == "test"))
+        for a in alphas:
+            fm = M.fit(ftr, FEATS, "pv_production", "lasso", {"alpha": a})
+            mse = fm.transform(fte).agg(F.avg((F.col("prediction") - F.col("pv_production")) ** 2)).first()[0]
+            assert abs(mse - got[(a, f)]) < 1e-6 * max(1.0, mse)
