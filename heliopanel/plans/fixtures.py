@@ -45,7 +45,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(h % 7 == 0, F.lit(None).cast("double")).otherwise(F.col("_kmin") - 50.0).alias("temp"),
     )
     # aggregated once from the raw events, then re-read by every branch of later plans
-    return materialize(out, "panel", sf_dir)
+    return materialize(out, "panel", sf_dir, cluster_by=("site_id", "time"))
 
 
 def one_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +127,7 @@ def engineered(spark: SparkSession, sf_dir: str, n_lags: int = N_LAGS, prev_elev
     p = p.select("*", *calendar_columns("time"))
     extra = [("sun_elevation_prev", "sun_elevation:d", 1)] if prev_elevation else []
     out = radiation_features(p, ["site_id"], "time", n_lags=n_lags, extra_lags=extra)
-    return materialize(out, "engineered", (sf_dir, n_lags, prev_elevation))
+    return materialize(out, "engineered", (sf_dir, n_lags, prev_elevation), cluster_by=("site_id", "time"))
 
 
 MODEL_COLS = ["pv_production", "global_rad:W", "clear_sky_rad:W", "sun_elevation:d", "hour",
@@ -142,4 +142,4 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = e.na.drop("any", subset=MODEL_COLS)
     e = e.withColumn("split", F.when(F.col("time") < F.lit(TRAIN_END).cast("timestamp_ntz"), "train")
                      .otherwise("test"))
-    return materialize(e, "model_frame", sf_dir)
+    return materialize(e, "model_frame", sf_dir, cluster_by=("site_id", "time"))

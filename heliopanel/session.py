@@ -72,7 +72,8 @@ def table_path(sf_dir: str, name: str) -> str:
 _MATERIALIZED: dict[tuple, str] = {}
 
 
-def materialize(df: DataFrame, name: str, key: object = None, partition_by: tuple = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str, key: object = None, partition_by: tuple = (),
+                cluster_by: tuple = ()) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     Used where a derived table (e.g. the hourly panel aggregated from raw events) feeds
@@ -86,6 +87,8 @@ def materialize(df: DataFrame, name: str, key: object = None, partition_by: tupl
     k = (spark.sparkContext.applicationId, name, key)
     if k not in _MATERIALIZED:
         path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+        if cluster_by:
+            df = df.sortWithinPartitions(*cluster_by)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
