@@ -16,6 +16,13 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Partition sizing: AQE coalesces shuffle output towards 128 MB partitions (fits an
+    # executor core's share of memory without spilling on wide rows) and splits skewed join
+    # partitions; scans are cut at 128 MB per task.  Cluster jobs set the initial
+    # spark.sql.shuffle.partitions high (e.g. 2-3x total cores) and let AQE coalesce.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1m",
+    "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
