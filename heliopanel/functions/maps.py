@@ -92,19 +92,10 @@ def normalise_lag_keys(m: Column, target: str = "pv_production") -> Column:
 def merge_layers(weather: Column, deterministic: Column, history: Column) -> Column:
     """One map where later layers win: weather < deterministic < PV history.
 
-    Entries of the three maps are tagged with their layer, sorted by (key, layer) and folded
-    keeping the last entry per key.  No lambda refers to another layer, so however the
-    optimiser inlines the layer expressions, each is evaluated once per row."""
-    def tagged(m: Column, layer: int) -> Column:
-        return F.transform(F.map_entries(m), lambda e: F.struct(e["key"].alias("key"), F.lit(layer).alias("layer"),
-                                                                  e["value"].cast("double").alias("value")))
-
-    entries = F.array_sort(F.concat(tagged(weather, 0), tagged(deterministic, 1), tagged(history, 2)))
-    empty = F.array().cast("array<struct<key:string,layer:int,value:double>>")
-
-    def keep_last(acc: Column, e: Column) -> Column:
-        same = (F.size(acc) > 0) & (F.element_at(acc, -1)["key"] == e["key"])
-        return F.when(same, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(e))).otherwise(F.concat(acc, F.array(e)))
-
-    folded = F.aggregate(entries, empty, keep_last)
-    return F.map_from_entries(F.transform(folded, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+    Keys shadowed by a later layer are filtered out first, so no duplicate keys arise.
+    Pass column REFERENCES (project the three layers first, as scoring.merged_values does):
+    the lambdas look the later layers up once per entry, which is cheap for a column and
+    would re-evaluate an inlined layer expression for every entry."""
+    w = F.map_filter(weather, lambda k, v: ~F.map_contains_key(deterministic, k) & ~F.map_contains_key(history, k))
+    d = F.map_filter(deterministic, lambda k, v: ~F.map_contains_key(history, k))
+    return F.map_concat(w, d, history)
