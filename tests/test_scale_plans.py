@@ -74,3 +74,29 @@ def test_lags_are_leak_free(spark):
     f2 = S.radiation_features(changed, ["site_id"], n_lags=24).where(F.col("time") <= F.lit(cut))
     cols = [c for c in f1.columns if c != "pv_production"]
     assert f1.select(cols).exceptAll(f2.select(cols)).count() == 0
+
+
+def test_merge_layers_later_wins(spark):
+    from heliopanel.functions.maps import merge_layers
+    df = spark.createDataFrame([(1,)], "id INT").select(
+        F.create_map(F.lit("a"), F.lit(1.0), F.lit("b"), F.lit(1.0), F.lit("c"), F.lit(1.0)).alias("w"),
+        F.create_map(F.lit("b"), F.lit(2.0), F.lit("d"), F.lit(2.0)).alias("d"),
+        F.create_map(F.lit("c"), F.lit(3.0), F.lit("d"), F.lit(3.0)).alias("h"))
+    m = df.select(merge_layers(F.col("w"), F.col("d"), F.col("h")).alias("m")).first()["m"]
+    assert m == {"a": 1.0, "b": 2.0, "c": 3.0, "d": 3.0}
+
+
+def test_request_features_do_not_repeat_solar_maths(spark):
+    from heliopanel.plans.queries_scoring import _built
+    plan = _built(spark, SF).where("valid")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("DEGREES") <= 2          # sun_elevation and is_daylight, nothing re-inlined
+
+
+def test_representative_plans_have_no_cartesian_or_nested_loop(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    for name in ("naive_day_ahead", "lag_features", "ffill_bfill", "interpolate", "iqr_bounds", "target_corr",
+                 "cv_summary", "metrics", "error_by_phase", "request_lags", "build_features", "knn_uniform"):
+        plan = q[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in plan, (name, bad)
