@@ -16,16 +16,7 @@ def r6(c: Column | str) -> Column:
     return F.floor(c * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
-def sql_r6(expr: str) -> str:
-    return f"(floor(({expr}) * 1e6 + 0.5) / 1e6)"
-
-
 def nan_to_null(c: Column | str) -> Column:
     """NaN -> NULL (ingestion rule: only NULL marks a missing value downstream)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    """Division that yields NULL on a zero divisor, also under ANSI mode."""
-    return F.try_divide(a, b)

@@ -173,3 +173,15 @@ def test_time_mode_lags_respect_gaps(spark):
     assert t[3].x_lag_24 == 1.0 and t[2].x_lag_2 == 1.0
     r = S.add_lags(df, ["x"], 1, ["site_id"]).orderBy("time").collect()
     assert [x.x_lag_1 for x in r] == [None, 0.0, 1.0, 3.0]
+
+
+def test_history_only_report(spark):
+    cols = "site_id STRING, time TIMESTAMP_NTZ, pv_production DOUBLE, `global_rad:W` DOUBLE, pv_production_lag_1 DOUBLE, hour INT, pv_change_1h DOUBLE"
+    df = spark.createDataFrame([], cols)
+    out, rep = P.apply_availability(df, "history_only", keys=["site_id"])
+    assert rep["removed_columns"] == ["global_rad:W"] and "pv_production" in rep["kept_columns"]
+    r = P.availability_report(spark, rep).first()
+    assert r["mode"] == "history_only" and r["removed_columns"] == ["global_rad:W"]
+    import pytest
+    with pytest.raises(ValueError):
+        P.apply_availability(df, "oracle_mode")
