@@ -45,9 +45,12 @@ def _order(time_col: str, tiebreak: Sequence[str] = ()) -> list[Column]:
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join on null-safe equality of ``on``; keeps ``big``'s key columns."""
     on = list(on)
-    if not on:   # keyless: both sides share one constant key (small side has one row)
+    if not on:
+        # keyless: the small side is a global aggregate (one row, a proven size), so it is
+        # broadcast explicitly — a shuffle join on a constant key would put every row in
+        # one partition.
         return (big.withColumn("__one", F.lit(0))
-                   .join(small.withColumn("__one", F.lit(0)), "__one").drop("__one"))
+                   .join(F.broadcast(small.withColumn("__one", F.lit(0))), "__one").drop("__one"))
     r = small.select(*[_q(c).alias(f"__r_{c}") for c in on],
                      *[_q(c) for c in small.columns if c not in on])
     cond = [big[f"`{c}`"].eqNullSafe(r[f"`__r_{c}`"]) for c in on]
