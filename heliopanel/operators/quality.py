@@ -105,11 +105,13 @@ def split_validation(df: DataFrame, keys: Sequence[str] = (), time_col: str = "t
     All four come from aggregations over small per-key or per-(key, time) tables.
     """
     keys = list(keys)
-    if not keys:
+    keyless = not keys
+    if keyless:
         df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
     last_train = df.where(F.col(split_col) == train).groupBy(*keys).agg(F.max(time_col).alias("_lt"))
     tst = df.where(F.col(split_col) == test)
-    order_bad = tst.join(last_train, keys, "left")
+    # keyless: last_train is one row (proven size) -> broadcast, never a constant-key shuffle
+    order_bad = tst.join(F.broadcast(last_train) if keyless else last_train, keys, "left")
     order_bad = order_bad.agg(F.sum(F.when(F.col(time_col) <= F.col("_lt"), 1).otherwise(0)).cast("long").alias("n_bad"))
     per_time = df.groupBy(*keys, time_col).agg(
         F.sum(F.when(F.col(split_col) == train, 1).otherwise(0)).alias("_tr"),
