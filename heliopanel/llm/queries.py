@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import secret_scan
+import public_tokenizers
+
+from . import byte_bpe, quality, secret_scan
 from .common import table
 
 QUERIES: dict = {}
@@ -14,6 +16,19 @@ def register(fn):
     return fn
 
 
+@register
+def op5_byte_bpe(spark, sf_dir):
+    """Byte-level BPE of every whole document text, encoded and decoded up a tree."""
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"),
+                               public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register
+def op6_quality_rules(spark, sf_dir):
+    """Base counts and the verdict by adaptive thresholds, per document."""
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_secret_scan(spark, sf_dir):
     """Secrets of every whole document text, by one combined automaton."""
