@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import byte_bpe, quality, secret_scan
-from .common import table
+from . import byte_bpe, mixing, orc_tokens, quality, secret_scan
+from .common import shared_path, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -29,6 +29,74 @@ def op6_quality_rules(spark, sf_dir):
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+@register
+def op7_temperature_mixing(spark, sf_dir):
+    """The training order of all documents under temperature-mixed source weights."""
+    return mixing.schedule(table(spark, sf_dir, "documents"))
+
+
+# The same in SQL: bisection as a recursive query over the sources' shares, block
+# permutations by md5 keys.
+ORACLE["op7_temperature_mixing"] = f"""
+WITH RECURSIVE c AS (
+  SELECT doc_id, coalesce(source, '') AS source,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens,
+         md5(concat('{mixing.SEED}:', coalesce(doc_id::VARCHAR, 'null'))) AS doc_key
+  FROM documents),
+s AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM c GROUP BY source),
+p AS (SELECT source, tokens, tokens::DOUBLE / (SELECT sum(tokens) FROM s) AS p FROM s WHERE tokens > 0),
+facts AS (SELECT {mixing.ENTROPY_SHARE} * ln(count(*)) AS target, sum(tokens)::DOUBLE AS budget,
+                 -sum(p * ln(p)) AS plain, list(p) AS ps, min(p) AS rare FROM p),
+steps AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, 0.0::DOUBLE AS rlo, 1.0::DOUBLE AS rhi
+  UNION ALL
+  SELECT i + 1,
+    CASE WHEN e >= target THEN mid ELSE lo END, CASE WHEN e >= target THEN hi ELSE mid END,
+    CASE WHEN r > {mixing.MAX_REPEATS} THEN rmid ELSE rlo END, CASE WHEN r > {mixing.MAX_REPEATS} THEN rhi ELSE rmid END
+  FROM (SELECT i, lo, hi, rlo, rhi, mid, rmid, target,
+          ln(list_sum(list_transform(ps, lambda x: pow(x, mid))))
+            - mid * list_sum(list_transform(ps, lambda x: pow(x, mid) * ln(x)))
+                  / list_sum(list_transform(ps, lambda x: pow(x, mid))) AS e,
+          pow(rare, rmid - 1.0) / list_sum(list_transform(ps, lambda x: pow(x, rmid))) AS r
+        FROM (SELECT *, (lo + hi) / 2 AS mid, (rlo + rhi) / 2 AS rmid FROM steps, facts) AS t
+        WHERE i < {mixing.STEPS}) AS u),
+a AS (SELECT greatest(CASE WHEN plain >= target THEN 1.0 ELSE lo END,
+                      CASE WHEN 1.0 / (rare * len(ps)) <= {mixing.MAX_REPEATS} THEN 0.0 ELSE rhi END) AS a,
+             budget, ps FROM steps, facts WHERE i = {mixing.STEPS}),
+w AS (SELECT source, pow(p, a) / list_sum(list_transform(ps, lambda x: pow(x, a))) * budget AS want FROM p, a),
+q AS (SELECT s.source, s.tokens,
+             least({mixing.MAX_BLOCKS}, greatest(1, ceil(s.tokens / {mixing.BLOCK_TOKENS})))::BIGINT AS blocks,
+             CASE WHEN s.tokens = 0 THEN 0 ELSE floor(least(want, {mixing.MAX_REPEATS} * s.tokens) + 0.5) END AS quota
+      FROM s LEFT JOIN w USING (source)),
+n AS (SELECT *, CASE WHEN tokens = 0 THEN 1 ELSE floor(quota / tokens) END::BIGINT AS passes FROM q),
+d AS (SELECT c.*, passes, CASE WHEN tokens = 0 THEN 0 ELSE quota - passes * tokens END AS rest,
+             (('0x' || substr(doc_key, 25, 8))::BIGINT % blocks) AS block
+      FROM c JOIN n USING (source)),
+b AS (SELECT source, block, rest, sum(n_tokens) AS in_block,
+             md5(concat_ws(':', '{mixing.SEED}', passes::VARCHAR, source, block::VARCHAR)) AS block_key
+      FROM d GROUP BY source, block, rest, passes),
+f AS (SELECT *, sum(in_block) OVER (PARTITION BY source ORDER BY block_key, block ROWS UNBOUNDED PRECEDING)
+                - in_block AS before FROM b),
+k AS (SELECT d.*, f.before AS block_before, in_block,
+             sum(n_tokens) OVER (PARTITION BY d.source, d.block ORDER BY doc_key RANGE UNBOUNDED PRECEDING)
+             - sum(n_tokens) OVER (PARTITION BY d.source, d.block, doc_key) AS doc_before
+      FROM d JOIN f USING (source, block)),
+copies AS (SELECT *, passes + CASE WHEN rest > 0 AND block_before < rest AND (block_before + in_block < rest
+                                   OR doc_before < rest - block_before) THEN 1 ELSE 0 END AS copies FROM k)
+SELECT doc_id, source, n_tokens, epoch, block,
+       md5(concat_ws(':', '{mixing.SEED}', epoch::VARCHAR, source, block::VARCHAR)) AS block_key, doc_key
+FROM (SELECT *, unnest(range(copies)) AS epoch FROM copies) AS t
+"""
+
+
+@register
+def op8_orc_tokens(spark, sf_dir):
+    """Token ids written as indexed ORC in document order; the result is read from the files."""
+    path = shared_path(spark, "orc-tokens")
+    orc_tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return orc_tokens.catalogue(spark, path)
+
+
 @register
 def op9_secret_scan(spark, sf_dir):
     """Secrets of every whole document text, by one combined automaton."""
