@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import byte_bpe, mixing, orc_tokens, quality, secret_scan
+from . import byte_bpe, mixing, near_dedup, orc_tokens, quality, secret_scan
 from .common import shared_path, table
 
 QUERIES: dict = {}
@@ -16,6 +16,12 @@ def register(fn):
     return fn
 
 
+@register
+def op4_minhash_dedup(spark, sf_dir):
+    """Components of near-duplicate documents by bottom-k sketches, confirmed on full sets."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register
 def op5_byte_bpe(spark, sf_dir):
     """Byte-level BPE of every whole document text, encoded and decoded up a tree."""
