@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import byte_bpe, mixing, near_dedup, orc_tokens, quality, secret_scan
+from . import byte_bpe, mixing, near_dedup, orc_tokens, quality, secret_scan, toxicity
 from .common import shared_path, table
 
 QUERIES: dict = {}
@@ -107,3 +107,9 @@ def op8_orc_tokens(spark, sf_dir):
 def op9_secret_scan(spark, sf_dir):
     """Secrets of every whole document text, by one combined automaton."""
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@register
+def op10_crf_toxicity(spark, sf_dir):
+    """Toxicity of every whole document text from the chain's marginals, with toxic spans."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
