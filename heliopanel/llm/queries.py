@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, near_dedup, orc_tokens, quality, secret_scan, toxicity
+from . import byte_bpe, mixing, near_dedup, orc_tokens, permutation_index, quality, secret_scan, toxicity
 from .common import shared_path, table
 
 QUERIES: dict = {}
@@ -16,6 +17,12 @@ def register(fn):
     return fn
 
 
+@register
+def op3_permutation_index(spark, sf_dir):
+    """The 20 nearest found of every 20th vector, by pivot inverted files and reranking."""
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 @register
 def op4_minhash_dedup(spark, sf_dir):
     """Components of near-duplicate documents by bottom-k sketches, confirmed on full sets."""
