@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, near_dedup, orc_tokens, permutation_index, quality, secret_scan, toxicity
+from . import byte_bpe, html_extract, mixing, near_dedup, orc_tokens, permutation_index, quality, secret_scan, toxicity
 from .common import shared_path, table
 
 QUERIES: dict = {}
@@ -17,6 +17,12 @@ def register(fn):
     return fn
 
 
+@register
+def op1_html_extract(spark, sf_dir):
+    """Main text of every page by the recurrent block labeller."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 @register
 def op3_permutation_index(spark, sf_dir):
     """The 20 nearest found of every 20th vector, by pivot inverted files and reranking."""
