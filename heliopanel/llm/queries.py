@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_extract, mixing, near_dedup, orc_tokens, permutation_index, quality, secret_scan, toxicity
+from . import byte_bpe, html_extract, mixing, near_dedup, orc_tokens, permutation_index, quality, secret_scan, toxicity, warc
 from .common import shared_path, table
 
 QUERIES: dict = {}
@@ -23,6 +23,54 @@ def op1_html_extract(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+@register
+def op2_warc_revisits(spark, sf_dir):
+    """Every revisit of a crawl of all pages, resolved to the earlier response it confirms."""
+    out = warc.resolve_revisits(warc.crawl_of_pages(table(spark, sf_dir, "pages")))
+    return out.select("record_id", "url", "canonical_url", "outcome",
+                      F.coalesce("response_id", F.lit(-1)).alias("response_id"), "digest",
+                      warc.field_text(F.col("fields")).alias("fields"))
+
+
+_DAY = "'%a, %d %b %Y %H:%M:%S GMT'"
+_AT = "(TIMESTAMP '2024-01-01' + to_seconds({}))"
+ORACLE["op2_warc_revisits"] = f"""
+WITH p AS (SELECT page_id AS id, url, md5(html) AS digest, length(html) AS size,
+                  (page_id * 7919) % 2592000 AS second
+           FROM pages WHERE page_id IS NOT NULL AND url IS NOT NULL AND html IS NOT NULL),
+r AS (SELECT id * 4 AS record_id, 0 AS n, id, url, second, digest, size, digest AS own, substr(digest, 1, 16) AS tag FROM p),
+v AS (SELECT id * 4 + n AS record_id, n, id,
+             CASE n WHEN 1 THEN url || '#part' WHEN 2 THEN regexp_replace(url, '^https?://', 'HTTPS://www.') ELSE url END AS url,
+             second + n * 3600 AS second, CASE WHEN id % 7 = 3 THEN NULL ELSE digest END AS digest, size, digest AS own,
+             CASE WHEN id % 7 = 3 THEN 'changed' ELSE substr(digest, 1, 16) END AS tag
+      FROM (SELECT *, unnest(range(1, id % 3 + 2)) AS n FROM p) AS t),
+a AS (SELECT *, regexp_replace(trim(url), '#.*$', '') AS u, CASE WHEN id % 11 = 5 THEN NULL ELSE tag END AS etag
+      FROM (SELECT * FROM r UNION ALL SELECT * FROM v) AS t),
+k AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), ':(80|443)?$', ''), '^www[.]', '')
+             || regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?]*)', 1), '/+$', '')
+             || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS key
+      FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(u, '[?](.*)$', 1), '&'),
+               lambda x: x <> '' AND NOT regexp_matches(lower(x), '{warc.TRACKING}'))) AS q FROM a) AS t),
+w AS (SELECT *, last_value(CASE WHEN n = 0 THEN {{'id': record_id, 'digest': digest, 'etag': etag, 'size': size, 'second': second}} END
+                           IGNORE NULLS) OVER (PARTITION BY key ORDER BY second, record_id
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM k),
+o AS (SELECT *, CASE WHEN prior IS NULL THEN 'no_response'
+                     WHEN etag IS NOT NULL AND prior.etag IS NOT NULL THEN CASE WHEN etag = prior.etag THEN 'resolved' ELSE 'mismatch' END
+                     WHEN digest IS NULL THEN 'unverified'
+                     WHEN digest = prior.digest THEN 'resolved' ELSE 'mismatch' END AS outcome FROM w WHERE n > 0)
+SELECT record_id, url, key AS canonical_url, outcome,
+       CASE WHEN outcome = 'resolved' THEN prior.id ELSE -1 END AS response_id,
+       CASE WHEN outcome = 'resolved' THEN prior.digest END AS digest,
+       CASE WHEN outcome = 'resolved' THEN
+         concat('cache-control: max-age=', n * 100, chr(10), 'content-length: ', prior.size, chr(10),
+                'content-type: text/html; charset=utf-8', chr(10), 'date: ', strftime({_AT.format('second')}, {_DAY}), chr(10),
+                CASE WHEN etag IS NOT NULL THEN concat('etag: ', CASE WHEN n = 2 THEN 'W/' ELSE '' END, '"', etag, '"', chr(10))
+                     WHEN prior.etag IS NOT NULL THEN concat('etag: "', prior.etag, '"', chr(10)) ELSE '' END,
+                'last-modified: ', strftime({_AT.format('prior.second - 86400')}, {_DAY})) END AS fields
+FROM o
+"""
+
+
 @register
 def op3_permutation_index(spark, sf_dir):
     """The 20 nearest found of every 20th vector, by pivot inverted files and reranking."""
