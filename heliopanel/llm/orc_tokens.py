@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 from .common import id_and_text, raw_bytes, text_chunks, write_table
 
 END_ID = 1
-KEEP = 400_000
+KEEP = 1_000_000
 BATCH = 4096
 ROWS_PER_FILE = 200_000
 ROWS_PER_INDEX = 1000
@@ -55,16 +55,25 @@ class WordCoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = [t.split() for t in texts]
         if len(self.known) > KEEP:
             self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
         known = self.known
-        known.update(zip(new, self._library(new)))
-        out = [b"".join([known[w] for w in words]) for words in split]
-        for w in new:
-            if len(w) > 64:
-                del known[w]
+        # the vocabulary's rules lower-case; doing so first lets words share an entry (its special
+        # tokens are matched before that rule, so texts that may hold one are left alone)
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        codes = [known.get(w) for words in split for w in words]
+        if None in codes:
+            flat = [w for words in split for w in words]
+            missing = [i for i, c in enumerate(codes) if c is None]
+            new = list({flat[i] for i in missing})
+            found = dict(zip(new, self._library(new)))
+            for i in missing:
+                codes[i] = found[flat[i]]
+            known.update((w, c) for w, c in found.items() if len(w) <= 64)
+        out, at = [], 0
+        for words in split:
+            out.append(b"".join(codes[at:at + len(words)]))
+            at += len(words)
         return out
 
 
