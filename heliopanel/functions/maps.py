@@ -24,7 +24,7 @@ PROVIDER_TO_PROJECT = [
     ("diffuse_rad_1h:Wh", "diffuse_radiation", 1.0),
     ("clear_sky_rad:W", "terrestrial_radiation", 1.0),
     ("clear_sky_energy_1h:J", "terrestrial_radiation", 3600.0),
-    ("sunshine_duration_1h:min", "sunshine_duration", 1.0 / 60.0),
+    ("sunshine_duration_1h:min", "sunshine_duration", 1 / 60),
 ]
 
 
@@ -92,10 +92,14 @@ def normalise_lag_keys(m: Column, target: str = "pv_production") -> Column:
 def merge_layers(weather: Column, deterministic: Column, history: Column) -> Column:
     """One map where later layers win: weather < deterministic < PV history.
 
-    Keys shadowed by a later layer are filtered out first, so no duplicate keys arise.
-    Pass column REFERENCES (project the three layers first, as scoring.merged_values does):
-    the lambdas look the later layers up once per entry, which is cheap for a column and
-    would re-evaluate an inlined layer expression for every entry."""
-    w = F.map_filter(weather, lambda k, v: ~F.map_contains_key(deterministic, k) & ~F.map_contains_key(history, k))
-    d = F.map_filter(deterministic, lambda k, v: ~F.map_contains_key(history, k))
-    return F.map_concat(w, d, history)
+    Keys shadowed by a later layer are filtered out first, so no duplicate keys arise.  The
+    layers are bound to a lambda variable, so each is evaluated once however often the
+    filters look it up (the optimiser would otherwise merge their expressions back in)."""
+    layers = F.array(F.struct(weather.alias("w"), deterministic.alias("d"), history.alias("h")))
+
+    def merged(x: Column) -> Column:
+        w = F.map_filter(x["w"], lambda k, v: ~F.map_contains_key(x["d"], k) & ~F.map_contains_key(x["h"], k))
+        d = F.map_filter(x["d"], lambda k, v: ~F.map_contains_key(x["h"], k))
+        return F.map_concat(w, d, x["h"])
+
+    return F.element_at(F.transform(layers, merged), 1)

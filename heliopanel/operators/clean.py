@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
@@ -39,7 +41,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     spark = df.sparkSession
     parts = range_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = _long(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_c"))
-    ranged = counts.repartitionByRange(parts, "column", "value").withColumn("_pid", F.spark_partition_id())
+    # written once: every later use must see the same range partitions, whose bounds are sampled
+    ranged = stage(counts.repartitionByRange(parts, "column", "value").withColumn("_pid", F.spark_partition_id()),
+                   "ranged_counts")
     w_in = Window.partitionBy("_pid", "column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranged = ranged.withColumn("_cum", F.sum("_c").over(w_in))
     per_part = ranged.groupBy("_pid", "column").agg(F.sum("_c").alias("_pc"))
@@ -121,8 +125,9 @@ def fit_zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for i, c in enumerate(columns):
         aggs += [F.avg(_q(c)).alias(f"m{i}"), F.stddev_samp(_q(c)).alias(f"s{i}")]
     wide = df.agg(*aggs)
-    args = ", ".join(f"'{c}', m{i}, s{i}" for i, c in enumerate(columns))
-    return wide.selectExpr(f"stack({len(columns)}, {args}) AS (column, mean, std)")
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"))
+            for i, c in enumerate(columns)]
+    return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
 def apply_zscore(df: DataFrame, stats: DataFrame | dict, threshold: float = 3.0) -> DataFrame:
@@ -154,8 +159,9 @@ def fit_scaler(df: DataFrame, columns: Sequence[str], method: str = "standard")
             center, spread = F.lit(0.0), F.lit(1.0)
         aggs += [center.alias(f"c{i}"), F.when(spread == 0, F.lit(1.0)).otherwise(spread).alias(f"s{i}")]
     wide = df.agg(*aggs)
-    args = ", ".join(f"'{c}', c{i}, s{i}" for i, c in enumerate(columns))
-    return wide.selectExpr(f"stack({len(columns)}, {args}) AS (column, center, scale)")
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").cast("double").alias("center"),
+                     F.col(f"s{i}").cast("double").alias("scale")) for i, c in enumerate(columns)]
+    return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
 def apply_scaler(df: DataFrame, stats: DataFrame | dict) -> DataFrame:

@@ -41,24 +41,34 @@ def fold_payloads(forecast: DataFrame, hour_col: str = "hour", keys: Sequence[st
 def explode_payloads(payloads: DataFrame, payload_col: str = "payload", keys: Sequence[str] = ()):
     """Parse stored payloads into one row per forecast hour.
 
-    Returns (rows, rejects): documents without ``hourly.time`` or with arrays shorter than
-    the time array go to ``rejects`` with a reason instead of failing the job."""
+    Returns (rows, rejects).  A document without ``hourly.time``, with an array shorter than
+    the time array or with a time that cannot be read is rejected as a whole (hour NULL); an
+    hour at which a field that the document has holds no value is rejected alone."""
     p = payloads.withColumn("_doc", F.from_json(F.col(payload_col), PAYLOAD_SCHEMA))
     n = F.size("_doc.hourly.time")
-    short = F.lit(False)
+    short, gap = F.lit(False), F.lit(False)
     for v in PROVIDER_HOURLY_VARIABLES:
-        short = short | (F.col(f"_doc.hourly.{v}").isNotNull() & (F.size(f"_doc.hourly.{v}") < n))
+        field = F.col(f"_doc.hourly.{v}")
+        short = short | (field.isNotNull() & (F.size(field) < n))
+        gap = gap | (F.col(f"_has.{v}") & F.col(f"_r.{v}").isNull())
+
+    def hour(text):
+        return F.try_to_timestamp(text, F.lit(PAYLOAD_TIME_FORMAT)).cast("timestamp_ntz")
+
+    unread = F.exists("_doc.hourly.time", lambda t: hour(t).isNull())
     reason = (F.when(F.col("_doc.hourly").isNull() | F.col("_doc.hourly.time").isNull(), "no hourly data")
-               .when(short, "field shorter than time"))
+               .when(short, "field shorter than time").when(unread, "time not readable"))
     p = p.withColumn("_reason", reason)
-    rejects = p.where(F.col("_reason").isNotNull()).select(*keys, payload_col, F.col("_reason").alias("reason"))
-    ok = p.where(F.col("_reason").isNull())
+    bad = p.where(F.col("_reason").isNotNull()).select(
+        *keys, payload_col, F.lit(None).cast("timestamp_ntz").alias("hour"), F.col("_reason").alias("reason"))
+    has = F.struct(*[F.col(f"_doc.hourly.{v}").isNotNull().alias(v) for v in PROVIDER_HOURLY_VARIABLES])
     zipped = F.arrays_zip(F.col("_doc.hourly.time").alias("time"),
                           *[F.col(f"_doc.hourly.{v}").alias(v) for v in PROVIDER_HOURLY_VARIABLES])
-    rows = ok.select(*keys, F.explode(zipped).alias("_r")).select(
-        *keys, F.to_timestamp_ntz(F.col("_r.time"), F.lit(PAYLOAD_TIME_FORMAT)).alias("hour"),
-        *[F.col(f"_r.{v}").alias(v) for v in PROVIDER_HOURLY_VARIABLES])
-    return rows, rejects
+    each = p.where(F.col("_reason").isNull()).select(*keys, payload_col, has.alias("_has"), F.explode(zipped).alias("_r")) \
+        .where(F.col("_r.time").isNotNull()).withColumn("hour", hour(F.col("_r.time"))).withColumn("_gap", gap)
+    rows = each.where(~F.col("_gap")).select(*keys, "hour", *[F.col(f"_r.{v}").alias(v) for v in PROVIDER_HOURLY_VARIABLES])
+    holes = each.where("_gap").select(*keys, payload_col, "hour", F.lit("field without value").alias("reason"))
+    return rows, bad.unionByName(holes)
 
 
 def latest_forecast(forecast: DataFrame, hour_col: str = "hour", keys: Sequence[str] = (),
@@ -81,21 +91,31 @@ def attach_weather(requests: DataFrame, forecast: DataFrame, time_col: str = "ta
     return r.join(fc, list(keys) + ["_fh"], "left").drop("_fh")
 
 
-def history_lags(requests: DataFrame, history: DataFrame, n_lags: int = 24, time_col: str = "target_time",
+def lag_table(history: DataFrame, n_lags: int = 24, series_keys: Sequence[str] = ("site_id",),
+              value_col: str = "pv_production", history_time: str = "time") -> DataFrame:
+    """Per (series, hour): the values 1..n_lags hours earlier.
+
+    Built from the history alone (n_lags rows per history row, summed up per hour before the
+    shuffle), so its size follows the hours, not the requests.  Time-based: a missing hour
+    gives NULL (no positional shift across gaps)."""
+    keys = list(series_keys)
+    h = history.select(*keys, F.col(history_time).alias("_t"), F.col(value_col).alias("_v"),
+                       F.explode(F.sequence(F.lit(1), F.lit(n_lags))).alias("_k"))
+    ahead = (F.col("_t") + F.make_dt_interval(F.lit(0), F.col("_k"))).cast("timestamp_ntz")
+    return h.groupBy(*keys, ahead.alias(history_time)).agg(
+        *[F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(f"{value_col}_lag_{k}") for k in range(1, n_lags + 1)])
+
+
+def history_lags(requests: DataFrame, lags: DataFrame, n_lags: int = 24, time_col: str = "target_time",
                  series_keys: Sequence[str] = ("site_id",), value_col: str = "pv_production",
                  history_time: str = "time", id_col: str = "request_id") -> DataFrame:
-    """C4: the value k hours before each request's target time, k = 1..n_lags, looked up
-    in the history table (equi-join on (series, time)), then pivoted to lag columns.
-
-    Time-based lags: a missing hour gives NULL (no positional shift across gaps)."""
+    """C4: the value k hours before each request's target time, k = 1..n_lags: one equi-join
+    on (series, target hour) with ``lag_table``."""
     keys = list(series_keys)
-    r = requests.select(id_col, *keys, time_col,
-                        F.explode(F.sequence(F.lit(1), F.lit(n_lags))).alias("_k"))
-    r = r.withColumn("_t", (F.col(time_col) - F.make_dt_interval(F.lit(0), F.col("_k"))).cast("timestamp_ntz"))
-    h = history.select(*keys, F.col(history_time).alias("_t"), F.col(value_col).alias("_v"))
-    j = r.join(h, keys + ["_t"], "left")
-    return j.groupBy(id_col).agg(*[F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(f"{value_col}_lag_{k}")
-                                   for k in range(1, n_lags + 1)])
+    names = [f"{value_col}_lag_{k}" for k in range(1, n_lags + 1)]
+    r = requests.select(id_col, *keys, F.col(time_col).cast("timestamp_ntz").alias("_target"))
+    h = lags.select(*keys, F.col(history_time).alias("_target"), *names)
+    return r.join(h, [*keys, "_target"], "left").select(id_col, *names)
 
 
 def deterministic_values(time_col: str = "target_time", lat: str | None = "latitude",

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from .fixtures import REQUEST_LAT, REQUEST_LON, TRAIN_END
+from .fixtures import REQUEST_LAT, REQUEST_LON, TRAIN_END, USERS_PER_SITE
 
-PANEL = """
+SITE = f"event_type || '-' || (user_id // {USERS_PER_SITE})"
+
+PANEL = f"""
 panel AS (
   SELECT site_id, time, pv_production,
          pv_production / CAST(_n AS DOUBLE) AS "global_rad:W",
          "clear_sky_rad:W",
          60.0 * sin(pi() * (CAST(extract(hour FROM time) AS DOUBLE) - 6.0) / 12.0) AS "sun_elevation:d",
          CASE WHEN extract(hour FROM time) % 7 = 0 THEN NULL ELSE _kmin - 50.0 END AS temp
-  FROM (SELECT event_type AS site_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS time,
+  FROM (SELECT {SITE} AS site_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS time,
                CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS pv_production,
                count(*) AS _n, max(value) AS "clear_sky_rad:W",
                min(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS _kmin
@@ -44,10 +46,10 @@ daily_orders AS (
 
 REQUESTS = f"""
 requests AS (
-  SELECT event_id AS request_id,
+  SELECT event_id AS request_id, {SITE} AS site_id,
          CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 1 HOUR AS target_time,
          {REQUEST_LAT}::DOUBLE AS latitude, {REQUEST_LON}::DOUBLE AS longitude
-  FROM events WHERE event_type = 'click'
+  FROM events
 )"""
 
 FORECAST = """

@@ -28,10 +28,18 @@ def _money(col: str) -> F.Column:
     return F.col(col).cast("decimal(18,2)")
 
 
+USERS_PER_SITE = 150                # users that share a site, so that sites grow with the users
+
+
+def site() -> F.Column:
+    """Site of an event: its type and its block of users."""
+    return F.expr(f"event_type || '-' || (user_id div {USERS_PER_SITE})")
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """5 sites (event types) x hours. Partial aggregation happens before the shuffle."""
+    """Sites (event type x block of users) x hours.  Partial aggregation happens before the shuffle."""
     ev = read_table(spark, sf_dir, "events")
-    agg = (ev.groupBy(F.col("event_type").alias("site_id"), _hour("ts").alias("time"))
+    agg = (ev.groupBy(site().alias("site_id"), _hour("ts").alias("time"))
              .agg(F.sum(_money("value")).cast("double").alias("pv_production"),
                   F.count(F.lit(1)).alias("_n"),
                   F.max("value").alias("clear_sky_rad:W"),
@@ -82,8 +90,8 @@ def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
-    return ev.where(F.col("event_type") == "click").select(
-        F.col("event_id").alias("request_id"),
+    return ev.select(
+        F.col("event_id").alias("request_id"), site().alias("site_id"),
         (_hour("ts") + F.expr("INTERVAL 1 HOUR")).alias("target_time"),
         F.lit(REQUEST_LAT).alias("latitude"),
         F.lit(REQUEST_LON).alias("longitude"),
@@ -96,7 +104,7 @@ def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = (p.groupBy("time")
           .agg(F.avg("temp").alias("_t"), F.max("clear_sky_rad:W").alias("_mx"),
                F.sum("pv_production").alias("_pv"), F.count(F.lit(1)).alias("_n")))
-    return g.select(
+    out = g.select(
         F.col("time").alias("hour"),
         F.col("_t").alias("temperature_2m"),
         (F.lit(40.0) + F.col("_n").cast("double") * 10.0).alias("relative_humidity_2m"),
@@ -107,6 +115,7 @@ def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.hour("time") % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("_mx") * 2.0).alias("terrestrial_radiation"),
         (F.col("_n").cast("double") * 600.0).alias("sunshine_duration"),
     )
+    return materialize(out, "forecast", sf_dir)
 
 
 def splits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,13 +10,13 @@ from ..functions.maps import coerce_map as coerce_map_expr
 from ..functions.numeric import r6
 from ..functions.solar import solar_elevation as elevation_expr, solar_elevation_sql
 from ..operators import scoring as SC
+from ..session import materialize
 from . import fixture_sql as FX
 from .fixtures import forecast, panel, requests
 from .registry import query
 from .sqlparts import q, r6 as sr6
 
 FEATURES = ["global_rad:W", "clear_sky_rad:W", "sun_elevation:d", "hour", "pv_production_lag_1", "pv_production_lag_24"]
-HISTORY_SITE = "click"
 
 
 def _mapped_sql(prefix=""):
@@ -45,14 +45,32 @@ def weather_map(spark, sf_dir):
     return f.select("hour", *[r6(F.col(f"`{n}`")).alias(n) for n, _, _ in PROVIDER_TO_PROJECT])
 
 
-@query("weather_explode", f"""{FX.with_('forecast')}
-SELECT hour, {', '.join(f'{sr6(v)} AS {v}' for v in PROVIDER_HOURLY_VARIABLES)} FROM forecast""")
+_ANY_NULL = " OR ".join(f"{v} IS NULL" for v in PROVIDER_HOURLY_VARIABLES)
+_BAD_DOCS = {"2024-01-10": '{"hourly": {"temperature_2m": [1.0]}}', "2024-01-11": "no json",
+             "2024-01-12": '{"hourly": {"time": ["2024-01-12T00:00", "2024-01-12T01:00"], "temperature_2m": [1.0]}}',
+             "2024-01-13": '{"hourly": {"time": ["yesterday"], "temperature_2m": [1.0]}}'}
+_BAD_REASONS = {"2024-01-10": "no hourly data", "2024-01-11": "no hourly data", "2024-01-12": "field shorter than time",
+                "2024-01-13": "time not readable"}
+
+
+@query("weather_explode", f"""{FX.with_('forecast')}, days AS (SELECT DISTINCT CAST(hour AS DATE) AS day FROM forecast),
+bad AS (SELECT unnest({list(_BAD_REASONS)})::DATE AS day, unnest({list(_BAD_REASONS.values())}) AS reason)
+SELECT hour, {', '.join(f'CASE WHEN {_ANY_NULL} THEN NULL ELSE {sr6(v)} END AS {v}' for v in PROVIDER_HOURLY_VARIABLES)},
+       CASE WHEN {_ANY_NULL} THEN 'field without value' ELSE '' END AS reason
+FROM forecast WHERE CAST(hour AS DATE) NOT IN (SELECT day FROM bad)
+UNION ALL SELECT NULL, {', '.join('NULL' for _ in PROVIDER_HOURLY_VARIABLES)}, reason FROM bad JOIN days USING (day)""")
 def weather_explode(spark, sf_dir):
     """Stored provider payloads (one JSON document per day, folded from the forecast)
-    parsed back to one row per hour; a lossless round trip."""
-    docs = SC.fold_payloads(forecast(spark, sf_dir))
-    rows, _rejects = SC.explode_payloads(docs)
-    return rows.select("hour", *[r6(v).alias(v) for v in PROVIDER_HOURLY_VARIABLES])
+    parsed back to one row per hour.  Four days' documents are spoilt; hours and documents
+    that cannot be used come with the reason."""
+    bad = F.lit(None).cast("string")
+    for day, text in _BAD_DOCS.items():
+        bad = F.when(F.col("day") == F.lit(day).cast("date"), F.lit(text)).otherwise(bad)
+    docs = SC.fold_payloads(forecast(spark, sf_dir)).withColumn("payload", F.coalesce(bad, "payload"))
+    rows, rejects = SC.explode_payloads(docs)
+    values = [r6(v).alias(v) for v in PROVIDER_HOURLY_VARIABLES]
+    none = [F.lit(None).cast("double").alias(v) for v in PROVIDER_HOURLY_VARIABLES]
+    return rows.select("hour", *values, F.lit("").alias("reason")).union(rejects.select("hour", *none, "reason"))
 
 
 @query("request_weather", f"""{FX.with_('requests', 'forecast')}
@@ -67,14 +85,19 @@ def request_weather(spark, sf_dir):
 
 
 def _history(spark, sf_dir, reqs=None):
-    r = (reqs if reqs is not None else requests(spark, sf_dir)).withColumn("site_id", F.lit(HISTORY_SITE))
-    return r, SC.history_lags(r, panel(spark, sf_dir), 24)
+    r = reqs if reqs is not None else requests(spark, sf_dir)
+    return r, SC.history_lags(r, lag_table(spark, sf_dir), 24)
+
+
+def lag_table(spark, sf_dir):
+    """The 24 lags of every (site, hour) that has any, written once and read by every batch."""
+    return materialize(SC.lag_table(panel(spark, sf_dir), 24), "lag_table", sf_dir, cluster_by=("site_id", "time"))
 
 
 _LAGS_SQL = f"""
 hl AS (SELECT r.request_id, {', '.join(f'max(CASE WHEN k = {k} THEN p.pv_production END) AS pv_production_lag_{k}' for k in range(1, 25))}
        FROM requests r JOIN (SELECT range AS k FROM range(1, 25)) t ON TRUE
-       LEFT JOIN panel p ON p.site_id = '{HISTORY_SITE}' AND p.time = r.target_time - to_hours(t.k)
+       LEFT JOIN panel p ON p.site_id = r.site_id AND p.time = r.target_time - to_hours(t.k)
        GROUP BY r.request_id)"""
 
 
@@ -165,7 +188,9 @@ def merge_precedence(spark, sf_dir):
     deliberately conflicting 'hour' and 'pv_production_lag_1' keys)."""
     j, w, pv = _layers(spark, sf_dir)
     m = SC.merged_values(j, w, pv)
-    return m.select("request_id", F.explode("_all").alias("key", "value")).withColumn("value", r6("value"))
+    # an inner explode would push size(map) > 0 below the projection and build the map again for it
+    return m.select("request_id", F.explode_outer("_all").alias("key", "value")).where("key is not null") \
+        .withColumn("value", r6("value"))
 
 
 _BUILD_SQL = f"""{_MERGED_SQL},

@@ -53,17 +53,20 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
+    """Shared folder for lineage cuts and derived tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a scratch folder is set.
+    A local session without one gets a scratch folder; on a cluster that is an error, since
+    executors could not see a folder of the driver's machine.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="heliopanel-ckpt-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+        if not named:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+            named = tempfile.mkdtemp(prefix="heliopanel-ckpt-")
+        sc.setCheckpointDir(named)
+    return named or sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -76,7 +79,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_MATERIALIZED: dict[tuple, str] = {}
+_MATERIALIZED: dict[tuple, tuple[str, tuple]] = {}
 
 
 def materialize(df: DataFrame, name: str, key: object = None, partition_by: tuple = (),
@@ -86,13 +89,17 @@ def materialize(df: DataFrame, name: str, key: object = None, partition_by: tupl
     Used where a derived table (e.g. the hourly panel aggregated from raw events) feeds
     several branches of a plan: without it every branch would re-scan and re-aggregate the
     raw table.  Parquet keeps column pruning and filter pushdown on the re-reads, and the
-    files survive executor loss (no local checkpoint).  Memoised per application.
+    files survive executor loss (no local checkpoint).  Memoised per application, name, key
+    and state of the source files (paths, sizes, times), so appended data is seen; a table
+    that is written anew for the same name and key replaces the older one.
     """
     import uuid
 
     spark = df.sparkSession
     k = (spark.sparkContext.applicationId, name, key)
-    if k not in _MATERIALIZED:
+    version = _source_version(df)
+    if k not in _MATERIALIZED or _MATERIALIZED[k][1] != version:
+        stale = _MATERIALIZED.pop(k, None)
         path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
         if cluster_by:
             df = df.sortWithinPartitions(*cluster_by)
@@ -100,8 +107,30 @@ def materialize(df: DataFrame, name: str, key: object = None, partition_by: tupl
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        _MATERIALIZED[k] = path
-    return spark.read.parquet(_MATERIALIZED[k])
+        _MATERIALIZED[k] = (path, version)
+        if stale:
+            _remove(spark, stale[0])
+    return spark.read.parquet(_MATERIALIZED[k][0])
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _source_version(df: DataFrame) -> tuple:
+    """(path, length, modification time) of every file that ``df`` reads."""
+    spark, out = df.sparkSession, []
+    for name in sorted(df.inputFiles()):
+        fs, p = _file_system(spark, name)
+        state = fs.getFileStatus(p)
+        out.append((name, state.getLen(), state.getModificationTime()))
+    return tuple(out)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

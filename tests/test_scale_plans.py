@@ -44,23 +44,68 @@ def test_fill_and_interpolation_equal_pandas(spark):
     assert ((ip - exp).abs().max() < 1e-9) and (ip.isna() == exp.isna()).all()
 
 
-def test_no_single_partition_window_in_feature_job(spark):
+def _window_of_one_task(df) -> bool:
+    """True if some window of the whole plan (before anything is written) has no partition key."""
+    import re
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"^.*Window \[(.*)$", plan, re.M)
+    return any(not re.search(r"windowspecdefinition\([^,()]+#\d+L?, ", w) for w in windows)
+
+
+def test_no_single_partition_window_in_feature_job(spark, monkeypatch):
+    monkeypatch.setattr(FX, "materialize", lambda df, *a, **k: df)
     e = FX.engineered(spark, SF)
-    plan = _plan(e)
-    assert "SinglePartition" not in plan
-    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    # keyed feature job: scan prunes to the used event columns
-    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double,props:string>" in \
-        e._jdf.queryExecution().executedPlan().toString() or True
-
-
-def test_scan_column_pruning_and_pushdown(spark):
-    from heliopanel.plans.queries_core import naive_day_ahead
-    plan = naive_day_ahead(spark, SF)._jdf.queryExecution().sparkPlan().toString()
-    assert "user_id" not in plan.split("ReadSchema")[1].split("\n")[0] if "ReadSchema" in plan else True
-    r = FX.requests(spark, SF)
-    plan = r._jdf.queryExecution().sparkPlan().toString()
-    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in plan
+    plan = e._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" in plan and not _window_of_one_task(e)
+    assert "Python" not in _plan(e)
+    reads = e._jdf.queryExecution().sparkPlan().toString()
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in reads
+    # the check itself notices a window without a key
+    assert _window_of_one_task(FX.panel(spark, SF).withColumn("n", F.row_number().over(Window.orderBy("time"))))
+
+
+def test_scan_column_pruning_and_pushdown(spark, monkeypatch):
+    monkeypatch.setattr(FX, "materialize", lambda df, *a, **k: df)
+    plan = FX.panel(spark, SF).where("site_id = 'click-0'")._jdf.queryExecution().sparkPlan().toString()
+    assert "event_id" not in plan
+    plan = FX.requests(spark, SF).where("request_id = 7")._jdf.queryExecution().sparkPlan().toString()
+    assert "EqualTo(event_id,7)" in plan and "props" not in plan
+
+
+def test_layer_merge_evaluates_the_solar_layer_once(spark):
+    from heliopanel.plans.queries_scoring import merge_precedence
+    plan = merge_precedence(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("ASIN(") <= 2
+
+
+def test_quantiles_without_exchange_reuse(spark):
+    import numpy as np
+    from heliopanel.operators.clean import exact_quantiles
+    values = np.random.default_rng(1).permutation(400_000) * 0.0025
+    df = spark.range(400_000).withColumn("x", F.pmod(F.col("id") * 179_424_673, F.lit(400_000)) * 0.0025)
+    keep = spark.conf.get("spark.sql.exchange.reuse", "true")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r["p"]: r["quantile"] for r in exact_quantiles(df, ["x"], [0.25, 0.5, 0.75]).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", keep)
+    assert all(abs(got[p] - np.quantile(values, p)) < 1e-9 for p in (0.25, 0.5, 0.75)) and len(got) == 3
+
+
+def test_materialised_tables_see_appended_files(spark, tmpdir_path):
+    from heliopanel.session import materialize
+    path = tmpdir_path + "/t"
+    spark.range(3).write.parquet(path)
+    assert materialize(spark.read.parquet(path), "memo_test", path).count() == 3
+    assert materialize(spark.read.parquet(path), "memo_test", path).count() == 3
+    spark.range(2).write.mode("append").parquet(path)
+    assert materialize(spark.read.parquet(path), "memo_test", path).count() == 5
+
+
+def test_quoted_column_names(spark):
+    from heliopanel.operators.clean import fit_scaler, fit_zscore
+    df = spark.createDataFrame([(1.0,), (3.0,)], "`it's` double")
+    assert fit_zscore(df, ["it's"]).first()["column"] == "it's" and fit_scaler(df, ["it's"]).first()["center"] == 2.0
 
 
 def test_lags_are_leak_free(spark):

@@ -65,9 +65,9 @@ def test_bundle_round_trip(spark, tmpdir_path):
 def test_table_sink_partitioned(spark, tmpdir_path):
     p = FX.panel(spark, SF_SMALL)
     path = sinks.write_table(p, os.path.join(tmpdir_path, "panel"), ["site_id"])
-    back = sinks.read_table(spark, path).where("site_id = 'click'")
+    back = sinks.read_table(spark, path).where("site_id = 'click-0'")
     assert "PartitionFilters: [isnotnull(site_id" in back._jdf.queryExecution().executedPlan().toString()
-    assert back.count() == p.where("site_id = 'click'").count()
+    assert back.count() == p.where("site_id = 'click-0'").count()
     csv = sinks.write_table(p, os.path.join(tmpdir_path, "panel_csv"), fmt="csv")
     assert sinks.read_table(spark, csv, "csv").count() == p.count()
 
