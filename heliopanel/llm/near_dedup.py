@@ -203,11 +203,13 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (u, v) among candidate pairs (a, b), on full sets."""
-    with_b = pairs.join(sets, pairs["b"] == sets["id"]).select("a", "b", "set")
-    own = sets.join(pairs.select("a").distinct(), F.col("id") == F.col("a"), "left_semi") \
-        .select(F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "set")
-    rows = own.union(with_b).repartition("a").sortWithinPartitions(F.col("a"), F.col("b").asc_nulls_first())
-    return rows.mapInArrow(_confirmed, "u long, v long")
+    # the partners of one class are spread over SALTS tasks; its own set goes where partners are
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    with_b = pairs.join(sets, pairs["b"] == sets["id"]).select("a", "salt", "b", "set")
+    own = sets.join(pairs.select("a", "salt").distinct(), F.col("id") == F.col("a")) \
+        .select("a", "salt", F.lit(None).cast("long").alias("b"), "set")
+    rows = own.union(with_b).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    return rows.select("a", "b", "set").mapInArrow(_confirmed, "u long, v long")
 
 
 # large groups ------------------------------------------------------------------------------------
