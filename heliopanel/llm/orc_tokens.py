@@ -33,6 +33,13 @@ STRIPE_BYTES = 16 << 20
 SCHEMA = "doc_id long, ids array<int>"
 
 
+def _parts(word: bytes) -> tuple[bytes, ...]:
+    """A word, without a closing mark that follows a letter: the vocabulary's rules always part the two."""
+    if len(word) > 1 and word[-1] in b".,!?;:" and 97 <= word[-2] <= 122:
+        return word[:-1], word[-1:]
+    return (word,)
+
+
 class WordCoder:
     """The library's encoding, word by word.
 
@@ -65,10 +72,12 @@ class WordCoder:
         if None in codes:
             flat = [w for words in split for w in words]
             missing = [i for i, c in enumerate(codes) if c is None]
-            new = list({flat[i] for i in missing})
+            parts = {w: _parts(w) for w in {flat[i] for i in missing}}
+            new = list({p for both in parts.values() for p in both if p not in known})
             found = dict(zip(new, self._library(new)))
+            coded = {w: b"".join([found[p] if p in found else known[p] for p in both]) for w, both in parts.items()}
             for i in missing:
-                codes[i] = found[flat[i]]
+                codes[i] = coded[flat[i]]
             known.update((w, c) for w, c in found.items() if len(w) <= 64)
         out, at = [], 0
         for words in split:
