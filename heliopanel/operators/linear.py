@@ -60,8 +60,8 @@ def lasso_cd(C: np.ndarray, c: np.ndarray, alpha: float, tol: float = 1e-12, max
             delta = max(delta, abs(new - w[j]))
             w[j] = new
         if delta < tol:
-            break
-    return w
+            return w
+    raise RuntimeError(f"lasso (alpha {alpha:g}) did not settle in {max_iter} passes: last change {delta:.3g}")
 
 
 def solve(row, p: int, alpha: float = 0.0, standardize: bool = False) -> tuple[float, np.ndarray]:

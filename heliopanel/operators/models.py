@@ -137,14 +137,23 @@ class FittedModel:
                                      "feature STRING, importance DOUBLE")
 
 
+def training_facts(train: DataFrame, features: Sequence[str], target: str, scaling: str = "standard"):
+    """(scaler statistics by column, rows, target's population std) of the rows with a target."""
+    train = train.where(F.col(f"`{target}`").isNotNull())
+    stats = {r["column"]: r.asDict() for r in fit_scaler(train, list(features), scaling).collect()}   # one row per feature
+    n, y_std = train.agg(F.count(F.lit(1)), F.stddev_pop(f"`{target}`")).first()
+    return stats, int(n or 0), float(y_std or 0.0)
+
+
 def fit(train: DataFrame, features: Sequence[str], target: str, name: str, params: dict | None = None,
-        scaling: str = "standard") -> FittedModel:
-    """G1: fit scaler + estimator on the training rows (rows with a NULL target are ignored)."""
+        scaling: str = "standard", facts=None) -> FittedModel:
+    """G1: fit scaler + estimator on the training rows (rows with a NULL target are ignored).
+
+    ``facts``: what ``training_facts`` says of these rows, if the caller has it already."""
     params = dict(params or {})
     features = list(features)
+    stats, n, y_std = facts or training_facts(train, features, target, scaling)
     train = train.where(F.col(f"`{target}`").isNotNull())
-    stats_df = fit_scaler(train, features, scaling)
-    stats = {r["column"]: r.asDict() for r in stats_df.collect()}       # one row per feature
     if name in GRAM_ESTIMATORS:
         from .linear import gram_stats, solve
         alpha = float(params.get("alpha", 0.0)) if GRAM_ESTIMATORS[name] is None else GRAM_ESTIMATORS[name]
@@ -152,11 +161,10 @@ def fit(train: DataFrame, features: Sequence[str], target: str, name: str, param
         row = gram_stats(z, features, target).first()        # one row of p x p statistics
         b0, w = solve(row, len(features), alpha)
         return FittedModel(name, params, features, target, stats, GramLinear(b0, [float(v) for v in w], alpha))
-    n, y_std = train.agg(F.count(F.lit(1)), F.stddev_pop(f"`{target}`")).first()
     data = apply_scaler(train.select(*[F.col(f"`{c}`") for c in features],
                                      F.col(f"`{target}`").cast("double").alias("_y")), stats)
     asm = VectorAssembler(inputCols=features, outputCol=FEATURES_COL, handleInvalid="skip")
-    est = ESTIMATORS[name](params, int(n or 0), float(y_std or 0.0))
+    est = ESTIMATORS[name](params, n, y_std)
     model = est.fit(asm.transform(data))
     return FittedModel(name, params, features, target, stats, model)
 
@@ -169,8 +177,8 @@ def grid_search_cv(train: DataFrame, features: Sequence[str], target: str, name:
     The (fold, role) expansion of the training rows is written once (partitioned by fold
     and role, so each fit reads only its own files) and every (parameter set, fold) fit is
     an ordinary distributed Spark ML job; ``parallelism`` driver threads submit them
-    concurrently (like CrossValidator.parallelism).  Each fit refits its scaler on its own
-    training rows.  Returns (grid_idx, params, fold, mse, n_test)."""
+    concurrently (like CrossValidator.parallelism).  The scaler is fitted on each fold's own
+    training rows, once per fold.  Returns (grid_idx, params, fold, mse, n_test)."""
     import json
     import uuid
     from concurrent.futures import ThreadPoolExecutor
@@ -184,11 +192,16 @@ def grid_search_cv(train: DataFrame, features: Sequence[str], target: str, name:
     folds = materialize(folds, "cv_folds", uuid.uuid4().hex, partition_by=("fold", "role"))
     combos = param_grid(grid)
 
+    def part(f, role):
+        return folds.where((F.col("fold") == f) & (F.col("role") == role))
+
+    # scaler and row counts depend on the fold alone
+    facts = [training_facts(part(f, "train"), features, target, scaling) for f in range(n_splits)]
+
     def run(task):
         gi, params, f = task
-        tr = folds.where((F.col("fold") == f) & (F.col("role") == "train"))
-        te = folds.where((F.col("fold") == f) & (F.col("role") == "test"))
-        fm = fit(tr, features, target, name, params, scaling)
+        tr, te = part(f, "train"), part(f, "test")
+        fm = fit(tr, features, target, name, params, scaling, facts[f])
         e = F.col(PRED_COL) - F.col(f"`{target}`")
         row = fm.transform(te).agg(F.avg(e * e).alias("mse"), F.count(e).alias("n")).first()
         return (gi, json.dumps(params, sort_keys=True), f, row["mse"], row["n"])

@@ -118,15 +118,34 @@ def history_lags(requests: DataFrame, lags: DataFrame, n_lags: int = 24, time_co
     return r.join(h, [*keys, "_target"], "left").select(id_col, *names)
 
 
+def with_local_and_utc(requests: DataFrame, time_col: str = "target_time") -> DataFrame:
+    """Adds ``_local`` (the clock as written) and ``_utc``; a text without a zone counts as UTC,
+    a text that cannot be read gives NULL."""
+    t = F.col(time_col)
+    if not isinstance(requests.schema[time_col].dataType, T.StringType):
+        local = t.cast("timestamp_ntz")
+        return requests.withColumn("_local", local).withColumn("_utc", local)
+    zone = F.regexp_extract(F.trim(t), "(Z|[+-][0-9]{2}:?[0-9]{2})$", 1)
+    clock = F.regexp_replace(F.trim(t), " ?(Z|[+-][0-9]{2}:?[0-9]{2})$", "")
+    zone = F.when(clock.rlike("[0-9]:[0-9]{2}"), zone).otherwise("")      # '2024-01-05' ends in no zone
+    clock = F.when(zone == "", F.trim(t)).otherwise(clock)
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    hours = F.when(digits != "", F.substring(digits, 1, 2).cast("int")).otherwise(0)
+    minutes = F.when(digits != "", F.substring(digits, 3, 2).cast("int")).otherwise(0)
+    shift = F.make_dt_interval(F.lit(0), hours, minutes)
+    d = requests.withColumn("_local", clock.try_cast("timestamp_ntz"))
+    return d.withColumn("_utc", F.when(zone.startswith("-"), F.col("_local") + shift).otherwise(F.col("_local") - shift))
+
+
 def deterministic_values(time_col: str = "target_time", lat: str | None = "latitude",
-                         lon: str | None = "longitude") -> dict[str, Column]:
+                         lon: str | None = "longitude", solar_time_col: str | None = None) -> dict[str, Column]:
     """F1 (+ F3, F2 when a location is given) as named double columns; solar values are NULL
     for a request without a location (the layer then has no such key)."""
     t = F.col(time_col)
     out = {"hour": F.hour(t).cast("double"), "day_of_week": F.weekday(t).cast("double"),
            "month": F.month(t).cast("double"), "day_of_year": F.dayofyear(t).cast("double")}
     if lat is not None and lon is not None:
-        elev = solar_elevation(time_col, lat, lon)
+        elev = solar_elevation(solar_time_col or time_col, lat, lon)
         has = F.col(lat).isNotNull() & F.col(lon).isNotNull()
         out["sun_elevation:d"] = F.when(has, elev)
         out["is_daylight"] = F.when(has, is_daylight(elev).cast("double"))
@@ -178,7 +197,8 @@ def _pv_lookup(entries: Column, name: str, target: str = "pv_production") -> Col
 
 def build_features(requests: DataFrame, feature_columns: Sequence[str], weather: Column | None = None,
                    recent_pv: Column | None = None, time_col: str = "target_time",
-                   lat: str | None = "latitude", lon: str | None = "longitude") -> DataFrame:
+                   lat: str | None = "latitude", lon: str | None = "longitude",
+                   solar_time_col: str | None = None) -> DataFrame:
     """H1/H2: one row per request with the model's feature columns in order.
 
     Layers (later wins): weather < calendar/solar < PV history (F6), i.e. per feature
@@ -189,7 +209,7 @@ def build_features(requests: DataFrame, feature_columns: Sequence[str], weather:
     w = coerce_map(weather) if weather is not None else empty
     pv = F.map_entries(coerce_map(recent_pv) if recent_pv is not None else empty)
     # weather and history layers are projected once; deterministic values are plain columns
-    det = deterministic_values(time_col, lat, lon)
+    det = deterministic_values(time_col, lat, lon, solar_time_col)
     d = requests.select("*", w.alias("_lw"), pv.alias("_lp"))
     vals = [F.coalesce(_pv_lookup(F.col("_lp"), c), det.get(c, F.lit(None).cast("double")), F.col("_lw")[c]).alias(c)
             for c in feature_columns]

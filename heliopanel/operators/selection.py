@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,12 @@ def pearson(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_pop(aa, bb), F.stddev_pop(aa) * F.stddev_pop(bb))
 
 
+def _unpivot(wide: DataFrame, names: Sequence[str], prefix: str, value: str) -> DataFrame:
+    """One row per name from the columns <prefix>0, <prefix>1, ...; names are literals, so any text is allowed."""
+    rows = [F.struct(F.lit(c).alias("feature"), F.col(f"{prefix}{i}").alias(value)) for i, c in enumerate(names)]
+    return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+
+
 @dataclass
 class SelectorParams:
     target: str = "pv_production"
@@ -53,26 +61,55 @@ def target_correlation(df: DataFrame, params: SelectorParams, keys: Sequence[str
     feats = [c for c in nums if not params.excluded(c)]
     y = _q(params.target)
     wide = df.agg(*[pearson(_q(c), y).alias(f"r{i}") for i, c in enumerate(feats)])
-    args = ", ".join(f"'{c}', r{i}" for i, c in enumerate(feats))
-    long = wide.selectExpr(f"stack({len(feats)}, {args}) AS (feature, correlation)").where("correlation IS NOT NULL")
+    long = _unpivot(wide, feats, "r", "correlation").where("correlation IS NOT NULL")
     w = Window.orderBy(F.abs("correlation").desc(), "feature")   # p rows: a tiny table
     return long.select("feature", "correlation", F.abs("correlation").alias("abs_correlation"),
                        F.row_number().over(w).alias("rank"))
 
 
+def _partial_products(names: Sequence[str], shift: Sequence[float]):
+    """Per task: for every pair of columns the counts, sums and products of rows that have both."""
+    p = len(names)
+
+    def run(batches):
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - shift
+            here = ~np.isnan(x)
+            x = np.where(here, x, 0.0)
+            m = here.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        i, j = np.indices((p, p))
+        yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()),
+                                          *[pa.array(t.ravel()) for t in total]], ["i", "j", "n", "s", "ss", "sp"])
+    return run
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long (feature_a, feature_b, corr) for all ordered pairs, from one aggregation of
-    p(p-1)/2 pairwise-complete correlations."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*[pearson(_q(a), _q(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        rows += [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("corr")),
-                 F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"), F.col(f"c{i}").alias("corr"))]
-    diag = wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature_a"), F.lit(c).alias("feature_b"),
-                                                      F.lit(1.0).alias("corr")) for c in columns])).alias("x"))
-    off = wide.select(F.explode(F.array(*rows)).alias("x"))
-    return off.unionByName(diag).select("x.feature_a", "x.feature_b", "x.corr")
+    """Long (feature_a, feature_b, corr) for all ordered pairs, pairwise complete.
+
+    One pass of matrix products per task (p x p partial sums, whatever the rows), summed up
+    per pair; values are shifted by the column's minimum first, so that sums stay small."""
+    columns = list(columns)
+    low = df.agg(*[F.min(_q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    shift = np.array([0.0 if v is None else v for v in low])
+    wide = df.select(*[F.nanvl(_q(c).cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(columns)])
+    parts = wide.mapInArrow(_partial_products(columns, shift), "i int, j int, n double, s double, ss double, sp double")
+    sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss", "sp")])
+    # s and ss are of column i over rows with both; those of column j stand in row (j, i)
+    turned = sums.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("t"), F.col("ss").alias("tt"))
+    both = sums.join(turned, ["i", "j"])
+
+    def spread(s, ss):
+        """n * variance, 0 where only rounding is left of a constant."""
+        v = F.col(ss) - F.col(s) * F.col(s) / F.col("n")
+        return F.when(v <= F.col(ss) * 1e-13, 0.0).otherwise(v)
+
+    r = F.when(F.col("n") > 0, F.try_divide(F.col("sp") - F.col("s") * F.col("t") / F.col("n"),
+                                            F.sqrt(spread("s", "ss")) * F.sqrt(spread("t", "tt"))))
+    name = lambda c: F.element_at(F.array(*[F.lit(x) for x in columns]), F.col(c) + 1)
+    return both.select(name("i").alias("feature_a"), name("j").alias("feature_b"),
+                       F.when(F.col("i") == F.col("j"), 1.0).otherwise(r).alias("corr"))
 
 
 def fit_selection(corr: DataFrame, params: SelectorParams, columns: Sequence[str]) -> DataFrame:
@@ -107,8 +144,7 @@ def feature_report(df: DataFrame, corr: DataFrame, selection: DataFrame, params:
     if not feats:
         return corr.select("feature", "correlation", "abs_correlation").withColumn("missing_rate", F.lit(None))
     miss = df.agg(*[F.avg(_q(c).isNull().cast("double")).alias(f"m{i}") for i, c in enumerate(feats)])
-    args = ", ".join(f"'{c}', m{i}" for i, c in enumerate(feats))
-    miss = miss.selectExpr(f"stack({len(feats)}, {args}) AS (feature, missing_rate)")
+    miss = _unpivot(miss, feats, "m", "missing_rate")
     sel = selection.select("feature", F.lit(True).alias("selected"))
     return (corr.join(miss, "feature").join(sel, "feature", "left")
                 .select("feature", "correlation", "abs_correlation", "missing_rate",

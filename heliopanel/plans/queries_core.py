@@ -62,11 +62,11 @@ def complete_days(spark, sf_dir):
 @query("feature_target", f"""{FX.with_('panel')}
 SELECT site_id, time, "global_rad:W", "sun_elevation:d", temp, pv_production FROM panel""")
 def feature_target(spark, sf_dir):
-    """Feature and target projections (returned side by side with the row key)."""
+    """Feature and target projections of the panel, stacked as (column, value) rows would
+    be by a caller that needs both: here one select of the two column lists."""
     p = panel(spark, sf_dir)
-    X, y = P.feature_target(p, ["site_id", "time", "global_rad:W", "sun_elevation:d", "temp"],
-                            ["site_id", "time", "pv_production"])
-    return X.join(y, ["site_id", "time"])
+    X, y = P.feature_target(p, ["site_id", "time", "global_rad:W", "sun_elevation:d", "temp"], ["pv_production"])
+    return p.select(*[F.col(f"`{c}`") for c in X.columns + y.columns])
 
 
 _HIST_COLS = (["site_id", "time", "pv_production", "sun_elevation:d", "hour", "day_of_week", "month",
@@ -206,7 +206,7 @@ def one_series_lags(spark, sf_dir):
     s = one_series(spark, sf_dir)
     return S.positional(s, lambda w: [F.lag("pv_production", 1).over(w).alias("pv_production_lag_1"),
                                       F.lag("pv_production", 24).over(w).alias("pv_production_lag_24")],
-                        24, [], "time", block_rows=100)
+                        24, [], "time")
 
 
 @query("one_series_fill", f"""{FX.with_('one_series')}
@@ -280,7 +280,7 @@ def daily_lags(spark, sf_dir):
     d = daily_orders(spark, sf_dir)
     return S.positional(d, lambda w: [F.lag("pv_production", 1).over(w).alias("pv_production_lag_1"),
                                       F.lag("pv_production", 7).over(w).alias("pv_production_lag_7")],
-                        7, ["site_id"], "time", block_rows=64, bucket="month")
+                        7, ["site_id"], "time", bucket="month")
 
 
 @query("lag_features_time", f"""{FX.with_('panel')}

@@ -77,16 +77,16 @@ def _tree(spark, sf_dir, name, params):
 
 @query("rf_fit")
 def rf_fit(spark, sf_dir):
-    """Random forest (20 trees, depth 5, half the features per split) test predictions."""
+    """Random forest (50 trees, depth 5, half the features per split) test predictions."""
     return _tree(spark, sf_dir, "random_forest",
-                 {"n_estimators": 20, "max_depth": 5, "min_samples_leaf": 1, "max_features": 0.5})[1]
+                 {"n_estimators": 50, "max_depth": 5, "min_samples_leaf": 1, "max_features": 0.5})[1]
 
 
 @query("gbt_fit")
 def gbt_fit(spark, sf_dir):
-    """Gradient-boosted trees (20 rounds, depth 3, step 0.1, subsample 0.8) test predictions."""
+    """Gradient-boosted trees (50 rounds, depth 3, step 0.1, subsample 0.8) test predictions."""
     return _tree(spark, sf_dir, "gradient_boosting",
-                 {"n_estimators": 20, "max_depth": 3, "learning_rate": 0.1, "subsample": 0.8})[1]
+                 {"n_estimators": 50, "max_depth": 3, "learning_rate": 0.1, "subsample": 0.8})[1]
 
 
 @query("importances")
@@ -94,7 +94,7 @@ def importances(spark, sf_dir):
     """Random-forest feature importances, ranked (top-N replaces the bar chart)."""
     from ..operators.series import top_k
     fm, _ = _tree(spark, sf_dir, "random_forest",
-                  {"n_estimators": 20, "max_depth": 5, "min_samples_leaf": 1, "max_features": 0.5})
+                  {"n_estimators": 50, "max_depth": 5, "min_samples_leaf": 1, "max_features": 0.5})
     imp = fm.importances(spark)
     return top_k(imp, len(TREE_FEATURES), [F.col("importance").desc(), F.col("feature")], rank_col="rank")
 
@@ -162,15 +162,15 @@ def ridge_grid_gram(spark, sf_dir):
                     r6("std_test_score").alias("std_test_score"), "rank_test_score")
 
 
-RF_GRID = {"n_estimators": [10, 20], "max_depth": [3, 5], "max_features": [0.5]}
+RF_GRID = {"n_estimators": [50, 100], "max_depth": [5], "max_features": [0.5]}
 
 
 @query("rf_grid_scores")
 def rf_grid_scores(spark, sf_dir):
-    """G5 + G9: random-forest grid search (4 parameter sets x 3 expanding folds) as
+    """G5 + G9: random-forest grid search (2 parameter sets x 5 expanding folds) as
     parallel Spark ML jobs over one shared, partitioned fold table."""
     tr = model_frame(spark, sf_dir).where(F.col("split") == "train")
-    per_fold = M.grid_search_cv(tr, TREE_FEATURES, Y, "random_forest", RF_GRID, 3, ["site_id"], parallelism=4)
+    per_fold = M.grid_search_cv(tr, TREE_FEATURES, Y, "random_forest", RF_GRID, 5, ["site_id"], parallelism=4)
     s = M.summarize_grid(per_fold)
     return s.select("grid_idx", "params", r6("mean_test_score").alias("mean_test_score"),
                     r6("std_test_score").alias("std_test_score"), "rank_test_score")
@@ -182,10 +182,10 @@ def model_search(spark, sf_dir):
     random forest), refit, train/test metrics and CV summary in one comparison table."""
     from ..api import compare_models
     mf = model_frame(spark, sf_dir)
-    models = {"linear": ("linear_gram", {}), "ridge": ("ridge_gram", {"alpha": [1.0, 100.0]}),
-              "random_forest": ("random_forest", {"n_estimators": [10], "max_depth": [4], "max_features": [0.5]})}
+    models = {"linear": ("linear_gram", {}), "ridge": ("ridge_gram", {"alpha": [0.1, 1.0, 10.0, 100.0]}),
+              "random_forest": ("random_forest", {"n_estimators": [50], "max_depth": [5], "max_features": [0.5]})}
     comparison, _cv, _p, _fitted = compare_models(mf.where("split = 'train'"), mf.where("split = 'test'"),
-                                                  TREE_FEATURES, Y, models, 3, ["site_id"])
+                                                  TREE_FEATURES, Y, models, 5, ["site_id"])
     return comparison.select("model", *[r6(c).alias(c) for c in ("train_rmse", "test_rmse", "mean_cv_rmse",
                                                                   "std_cv_rmse")], "rank")
 
@@ -206,3 +206,79 @@ def lasso_grid_gram(spark, sf_dir):
     s = s.withColumn("rank_test_score", F.row_number().over(Window.orderBy(F.col("mean_test_score").desc(), "grid_idx")))
     return s.select("grid_idx", "alpha", r6("mean_test_score").alias("mean_test_score"),
                     r6("std_test_score").alias("std_test_score"), "rank_test_score")
+
+
+PARAM_GRID = {"n_estimators": [50, 100], "max_depth": [5, 10, 15], "max_features": [0.5, 1.0]}
+
+
+@query("param_grid", f"""{FX.with_('model_frame')}
+SELECT e.v AS n_estimators, d.v AS max_depth, f.v AS max_features, n.n AS n_train
+FROM (VALUES (50), (100)) e(v), (VALUES (5), (10), (15)) d(v), (VALUES (0.5::DOUBLE), (1.0::DOUBLE)) f(v),
+     (SELECT count(*) AS n FROM {_TR} t) n""")
+def param_grid(spark, sf_dir):
+    """Every parameter set of a grid, beside the rows each would be trained on."""
+    sets = spark.createDataFrame([tuple(p.values()) for p in M.param_grid(PARAM_GRID)],
+                                 "n_estimators INT, max_depth INT, max_features DOUBLE")
+    return sets.crossJoin(F.broadcast(_split(spark, sf_dir, "train").agg(F.count(F.lit(1)).alias("n_train"))))   # one row
+
+
+_PROJECTED = ["global_rad:W", "clear_sky_rad:W", "sun_elevation:d", "hour", "pv_production_lag_1", "pv_production_lag_24",
+              "sun_elevation_prev"]
+
+
+@query("training_projection", f"""{FX.with_('model_frame')}
+SELECT feature, count(*) AS n_rows, count(value) AS n_values
+FROM ({' UNION ALL '.join(f"SELECT '{c}' AS feature, CAST({q(c)} AS DOUBLE) AS value FROM {_TR} t" for c in _PROJECTED)}) x
+GROUP BY feature""")
+def training_projection(spark, sf_dir):
+    """The default feature list of the splits, with the rows and values each feature has."""
+    from ..operators.panel import numeric_features, training_projection as project
+    train, test = _split(spark, sf_dir, "train"), _split(spark, sf_dir, "test")
+    names = project(train, test, Y)
+    assert set(numeric_features(train, [Y])) <= set(names)      # B4 leaves out the calendar columns as well
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value")) for c in names])
+    return train.select(F.explode(rows).alias("_r")).groupBy(F.col("_r.feature").alias("feature")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("_r.value").alias("n_values"))
+
+
+@query("bundle_roundtrip", None)
+def bundle_roundtrip(spark, sf_dir):
+    """The fitted model saved as a bundle, loaded again, scoring the test split."""
+    from ..sources.sinks import load_bundle, save_bundle
+    path = _scratch(spark, "bundle")
+    save_bundle(spark, path, M.fit(_split(spark, sf_dir, "train"), [X], Y, "linear", scaling="none"))
+    out = load_bundle(spark, path).transform(_split(spark, sf_dir, "test"))
+    return out.select("site_id", "time", r6("prediction").alias("prediction"))
+
+
+def _scratch(spark, name):
+    import uuid
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("training_results", f"""{FX.with_('model_frame')},
+f AS (SELECT regr_intercept(pv_production, "global_rad:W") AS b0, regr_slope(pv_production, "global_rad:W") AS b1 FROM {_TR} t)
+SELECT 'linear' AS model, {sr6('sqrt(avg(pow(pv_production - b0 - b1 * "global_rad:W", 2)))')} AS rmse,
+       {sr6('avg(abs(pv_production - b0 - b1 * "global_rad:W"))')} AS mae, count(*) AS n_predictions
+FROM model_frame, f WHERE split = 'test'""")
+def training_results(spark, sf_dir):
+    """Metrics, CV scores and predictions written as training results and read back."""
+    from ..operators import evaluate as EV
+    from ..sources.sinks import save_training_results
+    fm = M.fit(_split(spark, sf_dir, "train"), [X], Y, "linear", scaling="none")
+    scored = fm.transform(_split(spark, sf_dir, "test")).withColumn("model", F.lit("linear"))
+    metrics = EV.regression_metrics(scored, Y, "prediction").withColumn("model", F.lit("linear"))
+    cv = spark.createDataFrame([("linear", 0, 0.0)], "model STRING, fold INT, rmse DOUBLE")
+    path = save_training_results(_scratch(spark, "results"), metrics, cv, scored.select("model", "site_id", "time", "prediction"))
+    m = spark.read.parquet(f"{path}/metrics").select("model", r6("rmse").alias("rmse"), r6("mae").alias("mae"))
+    n = spark.read.parquet(f"{path}/predictions").groupBy("model").agg(F.count(F.lit(1)).alias("n_predictions"))
+    return m.join(n, "model")
+
+
+def _register_bundle_sql():
+    from . import registry
+    registry.ORACLE["bundle_roundtrip"] = registry.ORACLE["score_linear"]
+
+
+_register_bundle_sql()
