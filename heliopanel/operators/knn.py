@@ -31,6 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .clean import apply_scaler, fit_scaler
 
 _TOL_REL, _TOL_ABS = 1e-9, 1e-12
@@ -75,33 +76,39 @@ def knn_predict(train: DataFrame, queries: DataFrame, features: Sequence[str], t
         stats = {r["column"]: r.asDict() for r in fit_scaler(train, feats, "standard").collect()}   # p rows
         train, queries = apply_scaler(train, stats), apply_scaler(queries, stats)
     proj = lambda cols: sum((F.col(c) for c in cols), F.lit(0.0)) / math.sqrt(p)
-    T = train.select(F.struct(*[_q(c) for c in tid]).alias("tid"), _q(target).cast("double").alias("y"),
+    T = train.select(F.struct(*[_q(c) for c in tid] or [F.lit(0).alias("_")]).alias("tid"), _q(target).cast("double").alias("y"),
                      *[_q(c).cast("double").alias(f"f{j}") for j, c in enumerate(feats)])
     T = T.where(F.greatest(*[F.col(c).isNull() for c in fcols]) == F.lit(False)) if p > 1 else T.where(F.col("f0").isNotNull())
     # 0. at most k rows per distinct feature vector
     T = (T.withColumn("_v", F.row_number().over(Window.partitionBy(*fcols).orderBy("tid"))).where(F.col("_v") <= k)
           .drop("_v").withColumn("s", proj(fcols)))
+    T = stage(T, "knn_train")           # read by the geometry, both bounds and both candidate joins
     Q = queries.select(F.struct(*[_q(c) for c in qid]).alias("qid"),
                        *[_q(c).cast("double").alias(f"g{j}") for j, c in enumerate(feats)]).withColumn("sq", proj(gcols))
 
     geo = T.agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("smin"), F.max("s").alias("smax"),
-                *[F.min(f"f{j}").alias(f"lo{j}") for j in range(m)],
-                *[F.max(f"f{j}").alias(f"hi{j}") for j in range(m)]).first()           # one row
+                *[F.percentile_approx(f"f{j}", [0.005, 0.995]).alias(f"core{j}") for j in range(m)]).first()   # one row
     if not geo["n"]:
         return Q.select(*[F.col(f"qid.`{c}`").alias(c) for c in qid], F.lit(None).cast("double").alias("prediction"),
                         F.lit(0).cast("long").alias("n_neighbors"))
-    spans = [max(geo[f"hi{j}"] - geo[f"lo{j}"], 1e-9) for j in range(m)]
+    # the grid covers the middle 99 % of each coordinate, so that single far points cannot widen
+    # its cells; what lies outside belongs to the border cells (the cell number never falls as
+    # the coordinate grows, which is all the box needs)
+    spans = [max(geo[f"core{j}"][1] - geo[f"core{j}"][0], 1e-9) for j in range(m)]
     W = max((math.prod(spans) * k / geo["n"]) ** (1.0 / m), 1e-9)            # ~k points per occupied cell
-    cmin = [math.floor(geo[f"lo{j}"] / W) for j in range(m)]
-    cmax = [math.floor(geo[f"hi{j}"] / W) for j in range(m)]
-    Tc = T.select("*", *[F.floor(F.col(f"f{j}") / W).alias(f"_c{j}") for j in range(m)],
+    cmin = [math.floor(geo[f"core{j}"][0] / W) for j in range(m)]
+    cmax = [math.floor(geo[f"core{j}"][1] / W) for j in range(m)]
+
+    def cell(x: Column, j: int, step: int = 0) -> Column:
+        return F.least(F.greatest(F.floor(x / W) + step, F.lit(cmin[j])), F.lit(cmax[j])).cast("long")
+
+    Tc = T.select("*", *[cell(F.col(f"f{j}"), j).alias(f"_c{j}") for j in range(m)],
                   F.floor(F.col("s") / W).alias("_b"))
     cells = [f"_c{j}" for j in range(m)]
 
     # 1a. grid bound from the 3^m neighbouring cells
-    own = [F.floor(F.col(f"g{j}") / W) for j in range(m)]
-    near = _explode_ranges(Q.select("qid", *gcols), [(F.greatest(o - 1, F.lit(cmin[j])), F.least(o + 1, F.lit(cmax[j])))
-                                                     for j, o in enumerate(own)])
+    near = _explode_ranges(Q.select("qid", *gcols), [(cell(F.col(f"g{j}"), j, -1), cell(F.col(f"g{j}"), j, 1))
+                                                     for j in range(m)])
     grid_bound = _kth(near.join(Tc.select(*cells, *fcols), cells).withColumn("_d", _dist(p)), k, "_dg")
 
     # 1b. rank bound: 2k points around the query's rank in projection order
@@ -113,7 +120,7 @@ def knn_predict(train: DataFrame, queries: DataFrame, features: Sequence[str], t
     both = both.repartitionByRange(parts, "s", "kind", "tid", "qid").withColumn("_pid", F.spark_partition_id())
     is_train = (F.col("kind") == 0).cast("long")
     w_in = Window.partitionBy("_pid").orderBy("s", "kind", "tid", "qid").rowsBetween(Window.unboundedPreceding, -1)
-    both = both.withColumn("_before", F.coalesce(F.sum(is_train).over(w_in), F.lit(0)))
+    both = stage(both.withColumn("_before", F.coalesce(F.sum(is_train).over(w_in), F.lit(0))), "knn_ranked")
     per = both.groupBy("_pid").agg(F.sum(is_train).alias("_c"))                       # one row per range partition
     offs = per.select("_pid", F.coalesce(F.sum("_c").over(Window.orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
@@ -135,8 +142,7 @@ def knn_predict(train: DataFrame, queries: DataFrame, features: Sequence[str], t
 
     # 2. box over the grid cells, or the projection band when the box is too wide
     dk = F.col("_dk")
-    ranges = [(F.greatest(F.floor((F.col(f"g{j}") - dk) / W), F.lit(cmin[j])),
-               F.least(F.floor((F.col(f"g{j}") + dk) / W), F.lit(cmax[j]))) for j in range(m)]
+    ranges = [(cell(F.col(f"g{j}") - dk, j), cell(F.col(f"g{j}") + dk, j)) for j in range(m)]
     ncells = F.lit(1.0)
     for a, b in ranges:
         ncells = ncells * F.greatest(b - a + 1, F.lit(0)).cast("double")

@@ -56,3 +56,23 @@ def test_knn_grid_path_three_dims(spark):
         idx = np.lexsort((np.arange(len(tr)), d))[:5]
         exp.append((tr[idx, 3] / d[idx]).sum() / (1 / d[idx]).sum())
     assert np.allclose(got, exp, rtol=1e-12, atol=1e-12)
+
+
+def test_one_far_point_does_not_slow_the_join(spark):
+    import time
+    rng = np.random.default_rng(1)
+    took = {}
+    for far in (False, True, False):      # the first run only warms up
+        x = rng.normal(size=(20_000, 2))
+        if far:
+            x[7] = [1e6, 1e6]
+        tr = np.column_stack([x, x[:, 0]])
+        qs = rng.normal(size=(1000, 2))
+        tdf = spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(tr)], "id LONG, a DOUBLE, b DOUBLE, y DOUBLE")
+        qdf = spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(qs)], "qid LONG, a DOUBLE, b DOUBLE")
+        at = time.perf_counter()
+        got = knn_predict(tdf, qdf, ["a", "b"], "y", 5, "uniform", ["id"], ["qid"], scale=False).orderBy("qid").collect()
+        took[far] = time.perf_counter() - at
+        some = list(range(0, 1000, 25))
+        assert np.allclose([got[i].prediction for i in some], _brute(tr, qs[some], 5, "uniform"), rtol=1e-12, atol=1e-12)
+    assert took[True] < 2 * took[False] + 5
