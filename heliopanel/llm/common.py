@@ -52,6 +52,19 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(rows: DataFrame, key: F.Column, wanted: int, margin: int = 8) -> DataFrame:
+    """The ``wanted`` distinct rows of the least keys (hashes of the row).
+
+    Only about ``margin`` times as many pass a filter on the key first, so that tasks do not
+    send their own ``wanted`` least rows each; then copies are dropped, so that a row that
+    holds a large part of the table counts once.  At most ``wanted`` rows, whatever the size."""
+    span = 1 << 40
+    share = wanted * margin / max(rows.count(), 1)
+    if share < 1:
+        rows = rows.where(F.pmod(key, F.lit(span)) < int(share * span))
+    return rows.distinct().orderBy(F.pmod(key, F.lit(span)), key).limit(wanted)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone (null text: empty); other columns cannot clash."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

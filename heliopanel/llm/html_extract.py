@@ -6,7 +6,7 @@ LSTM reads the sequence both ways and labels every block as article or not, so a
 judged with the whole document around it.  The article's blocks are joined by newlines.
 
 Learning uses at most ``TRAIN_PAGES`` pages (a documented bound, chosen by a hash of their
-ids).  Blocks inside ``article`` or ``main`` and outside elements that the HTML standard
+html).  Blocks inside ``article`` or ``main`` and outside elements that the HTML standard
 reserves for navigation, asides, forms, headers and footers give the first labels; the same
 blocks are then set in other templates, among further notices, adverts, menus, forms,
 sidebars and reader comments, so that the labeller has to use what surrounds a block.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw_bytes, text_chunks
+from .common import bounded_sample, raw_bytes, text_chunks
 from .html_blocks import Block, blocks
 
 TRAIN_PAGES = 120
@@ -372,9 +372,8 @@ def main_texts(net: Labeller, pages: list[str]) -> list[str]:
 
 
 def fit(pages: DataFrame, limit: int = TRAIN_PAGES) -> Labeller:
-    rows = pages.where("html is not null and html != ''").select(F.col("page_id").cast("long").alias("i"), "html") \
-        .orderBy(F.xxhash64("i"), F.xxhash64("html")).limit(limit).collect()
-    return train([r["html"] for r in sorted(rows, key=lambda r: (str(r["i"]), r["html"]))])
+    rows = bounded_sample(pages.select("html").where("html is not null and html != ''"), F.xxhash64("html"), limit)
+    return train(sorted({r["html"] for r in rows.collect()}))
 
 
 def extract(pages: DataFrame, net: Labeller | None = None) -> DataFrame:

@@ -9,8 +9,8 @@ are reranked by the inner product of the original vectors in double precision.
 
 The index is built in shards of about ``SHARD_ROWS`` vectors, each with its own inverted
 files, so it grows by shards; queries come in groups of about ``GROUP_QUERIES``, and a task
-holds one shard and one group.  Pivots are a bounded sample (``PIVOTS`` vectors by hash of
-their ids); every usable vector is indexed.
+holds one shard and one group.  Pivots are a bounded sample (``PIVOTS`` distinct vectors by a
+hash of them); every usable vector is indexed.
 
 Vectors that are null, empty, zero or hold a null or non-finite component take no part,
 nor do those whose length is not the most frequent one, nor null ids.  Repeated rows of an
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import write_table
+from .common import bounded_sample, write_table
 
 PIVOTS = 512
 PREFIX = 64
@@ -47,9 +47,7 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 def choose_pivots(rows: DataFrame, n: int = PIVOTS) -> np.ndarray:
     """At most ``n`` distinct vectors, scaled to length 1 (as nearness is by angle)."""
-    best = rows.withColumn("_k", F.xxhash64("id")).groupBy("vec").agg(F.min("_k").alias("_k")) \
-        .orderBy("_k").limit(n).collect()
-    m = np.array([r["vec"] for r in best], np.float64)
+    m = np.array(sorted(r["vec"] for r in bounded_sample(rows.select("vec"), F.xxhash64("vec"), n).collect()), np.float64)
     return m / np.linalg.norm(m, axis=1, keepdims=True) if len(m) else m
 
 

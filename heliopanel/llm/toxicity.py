@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, raw_bytes, text_chunks
+from .common import bounded_sample, id_and_text, raw_bytes, text_chunks
 from .wordhash import shingles
 
 TRAIN_DOCS = 4000
@@ -362,7 +362,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Chain:
     """Fit on at most ``limit`` labelled rows outside the held-out quarter."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out()) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    picked = known.orderBy(F.xxhash64(F.col("doc_id").cast("long")), "doc_id").limit(limit)
+    picked = bounded_sample(known, F.xxhash64(F.col("doc_id").cast("long")), limit)
     texts = id_and_text(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").dropDuplicates(["doc_id"])
     rows = sorted((r["doc_id"], r["text"].encode(), int(r["toxic"] == 1)) for r in texts.collect())
     return fit([(t, y) for _, t, y in rows])
