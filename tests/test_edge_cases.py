@@ -185,3 +185,9 @@ def test_history_only_report(spark):
     import pytest
     with pytest.raises(ValueError):
         P.apply_availability(df, "oracle_mode")
+
+
+def test_rounding_of_large_values(spark):
+    from heliopanel.functions.numeric import r6
+    df = spark.createDataFrame([(1.23456789,), (-0.0000004,), (5e15,), (-1e300,), (None,)], "x double")
+    assert [r[0] for r in df.select(r6("x")).collect()] == [1.234568, 0.0, 5e15, -1e300, None]
