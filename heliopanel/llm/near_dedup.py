@@ -48,7 +48,7 @@ WHOLE = K * THRESHOLD // 100        # a set up to this size links only with sets
 LIST = 64
 BLOCK = 256
 SALTS = 16
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 1_000_000
 PAIRS_AT_ONCE = 20_000
 
 

@@ -113,3 +113,12 @@ def test_estimate_is_exact_for_small_sets():
     a, b = np.full((1, N.K), pad), np.full((1, N.K), pad)
     a[0, :4], b[0, :3] = [1, 2, 3, 4], [2, 3, 9]
     assert N.estimate(a, b)[0] == 2 / 5
+
+
+def test_ids_beyond_the_broadcast_bound_are_joined(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i // 3) * 40 + k + (i % 3 == 2) * (k == 0)}" for k in range(60))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = result(docs)
+    assert want == brute(rows)
+    monkeypatch.setattr(N, "BROADCAST_IDS", 0)
+    assert result(docs) == want and N.drop_near_duplicates(docs).count() == sum(x[3] for x in want)
