@@ -52,17 +52,25 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_sample(rows: DataFrame, key: F.Column, wanted: int, margin: int = 8) -> DataFrame:
-    """The ``wanted`` distinct rows of the least keys (hashes of the row).
-
-    Only about ``margin`` times as many pass a filter on the key first, so that tasks do not
-    send their own ``wanted`` least rows each; then copies are dropped, so that a row that
-    holds a large part of the table counts once.  At most ``wanted`` rows, whatever the size."""
-    span = 1 << 40
-    share = wanted * margin / max(rows.count(), 1)
-    if share < 1:
-        rows = rows.where(F.pmod(key, F.lit(span)) < int(share * span))
-    return rows.distinct().orderBy(F.pmod(key, F.lit(span)), key).limit(wanted)
+def bounded_sample(rows: DataFrame, key: F.Column, wanted: int) -> DataFrame:
+    """The ``wanted`` distinct rows of the least keys (hashes of the row); all of them if there
+    are fewer.
+
+    Rows first pass a filter on the key, so that tasks do not send their own ``wanted`` least
+    rows each: the least power of two under which ``wanted`` distinct keys lie.  Copies share
+    a key and count once there, so the sample is full however often rows are repeated."""
+    bits = 40
+    place = F.pmod(key, F.lit(1 << bits))
+    keys = rows.select(key.alias("key"), place.alias("place")).distinct()
+    # one row per number of binary digits
+    digits = F.when(F.col("place") == 0, 0).otherwise(F.length(F.bin("place")))
+    below = 0
+    for d, n in sorted(keys.groupBy(digits.alias("digits")).count().collect()):
+        below += n
+        if below >= wanted:
+            rows = rows.where(place < (1 << d))
+            break
+    return rows.distinct().orderBy(place, key).limit(wanted)
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:
