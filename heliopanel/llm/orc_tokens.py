@@ -31,6 +31,7 @@ ROWS_PER_FILE = 200_000
 ROWS_PER_INDEX = 1000
 STRIPE_BYTES = 16 << 20
 SCHEMA = "doc_id long, ids array<int>"
+FILE_OF_PART = "-c([0-9]+)[.][^-]*$"       # at the end of the name, as a group of its uuid may look the same
 
 
 def _parts(word: bytes) -> tuple[bytes, ...]:
@@ -135,7 +136,7 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = write_table(read_tokens(spark, path).mapInArrow(
         _checksums, "doc_id long, file string, n_tokens long, ids_crc32 long"), "token-checksums")
-    number = [F.regexp_extract("file", p, 1).cast("long") for p in ("^part-([0-9]+)", "-c([0-9]+)")]
+    number = [F.regexp_extract("file", p, 1).cast("long") for p in ("^part-([0-9]+)", FILE_OF_PART)]
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("in_file"))
     before = Window.orderBy(*number).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     files = files.select("file", (F.sum("in_file").over(before) - F.col("in_file")).alias("file_start"))

@@ -1,6 +1,9 @@
 """ORC token files against the library, their order, and metadata pruning."""
 
+import os
 import random
+import re
+import shutil
 import zlib
 
 import numpy as np
@@ -55,3 +58,19 @@ def test_repeated_rows_and_empty_table(spark, tmpdir_path):
     assert [(g["doc_id"], g["start"], g["n_tokens"]) for g in got] == [(None, 0, 2), (1, 2, 3), (1, 5, 3)]
     O.write_tokens(docs.limit(0), tmpdir_path + "/e", PATH)
     assert O.catalogue(spark, tmpdir_path + "/e").count() == 0
+
+
+def test_file_order_where_the_uuid_looks_like_a_file_number(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(O, "ROWS_PER_FILE", 20)
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choice(["alpha", "x9"]) for _ in range(r.randint(0, 50)))) for i in range(400)]
+    O.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), tmpdir_path + "/written", PATH)
+    os.mkdir(tmpdir_path + "/named")
+    for name in os.listdir(tmpdir_path + "/written"):
+        if name.startswith("part-"):
+            named = re.sub("^(part-[0-9]+)-.{36}-", r"\1-0a1b2c3d-c12a-4e5f-8a9b-c12345678901-", name)
+            assert named != name
+            shutil.copy(f"{tmpdir_path}/written/{name}", f"{tmpdir_path}/named/{named}")
+    got = O.catalogue(spark, tmpdir_path + "/named").orderBy("doc_id").collect()
+    starts = np.cumsum([0, *[g["n_tokens"] for g in got]])[:-1].tolist()
+    assert [g["doc_id"] for g in got] == list(range(400)) and [g["start"] for g in got] == starts
