@@ -22,7 +22,7 @@ a list or a cluster asks for, in a second pass over their texts.
 
 Null or empty text: empty set, linked with nothing, a component of its own.  Rows with a
 null doc_id are compared with nothing and come back with a null component, kept.  Repeated
-rows of an id are kept or dropped together.  An empty table gives an empty result; other
+rows of an id are kept or dropped together: the links of all their texts are the id's.  An empty table gives an empty result; other
 columns are ignored by ``near_duplicates`` and carried by ``drop_near_duplicates``.
 """
 
@@ -95,12 +95,12 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = id_and_text(docs).join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
     rows = texts.mapInArrow(_sets, "id long, set binary")
-    return write_table(rows.dropDuplicates(["id"]) if _repeats(docs) else rows, "sets")
+    return write_table(rows, "sets")
 
 
 def _repeats(docs: DataFrame) -> bool:
     """True if some doc_id occurs on several rows."""
-    return bool(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
+    return bool(id_and_text(docs).where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
 
 
 # grouped rows in a task ------------------------------------------------------------------------
@@ -337,6 +337,37 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per document."""
+    return _of_repeated_ids(docs) if _repeats(docs) else _of_unique_ids(docs)
+
+
+def _spread(rows: DataFrame, small: DataFrame, key: str, by: str) -> DataFrame:
+    """Rows joined with the one row of their key, a key of very many rows salted by another column."""
+    salted = small.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(salted, [key, "salt"]).drop("salt")
+
+
+def _of_repeated_ids(docs: DataFrame) -> DataFrame:
+    """Every row under a number of its own; then the components that share an id become one."""
+    rows = write_table(id_and_text(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = write_table(_of_unique_ids(rows.select(F.when(F.col("doc_id").isNotNull(), F.col("row")).alias("doc_id"), "text")),
+                        "row-components")
+    parts = found.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("part"))
+    member = write_table(rows.select("row", "doc_id").join(parts, "row"), "row-members")
+    held = member.select("doc_id", "part").distinct()
+    first = held.groupBy("doc_id").agg(F.min("part").alias("first"), F.max("part").alias("last")).where("first < last")
+    same = _spread(held, first, "doc_id", "part").where("first != part").select(F.col("first").alias("u"), F.col("part").alias("v"))
+    joined = connected_components(same)
+    least = member.groupBy("part").agg(F.min("doc_id").alias("least"))
+    least = least.join(joined, F.col("part") == F.col("node"), "left") \
+        .select("part", "least", F.coalesce("component", "part").alias("whole"))
+    names = least.groupBy("whole").agg(F.min("least").alias("component_id"))
+    named = _spread(least, names, "whole", "part").select("part", "component_id")
+    out = _spread(member, named, "part", "row").select("doc_id", "n_shingles", "component_id",
+                                                       (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return out.union(found.where("doc_id is null"))
+
+
+def _of_unique_ids(docs: DataFrame) -> DataFrame:
     drawn = write_table(sketches(docs), "sketches")
     usable = drawn.where("doc_id is not null and n_shingles > 0")
     keys = ["n_shingles", "d1", "d2"]
@@ -348,7 +379,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")).alias("class_id"))
     member = write_table(member, "members")
     heads = member.where("doc_id = class_id and n_shingles > 0").select(F.col("doc_id").alias("id")).distinct()
-    classes = write_table(usable.dropDuplicates(["doc_id"]).join(heads, F.col("doc_id") == F.col("id"), "left_semi")
+    classes = write_table(usable.join(heads, F.col("doc_id") == F.col("id"), "left_semi")
                           .select(F.col("doc_id").alias("id"), "n_shingles", "sketch"), "class-sketches")
     found = connected_components(links(docs, classes))
     # components are keyed by class: a class of very many copies is salted like above

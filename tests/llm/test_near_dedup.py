@@ -122,3 +122,18 @@ def test_ids_beyond_the_broadcast_bound_are_joined(spark, monkeypatch):
     assert want == brute(rows)
     monkeypatch.setattr(N, "BROADCAST_IDS", 0)
     assert result(docs) == want and N.drop_near_duplicates(docs).count() == sum(x[3] for x in want)
+
+
+def test_repeated_ids_with_different_texts(spark):
+    words = [" ".join(f"w{n}x{i}" for i in range(40)) for n in range(6)]
+    near = [w + " tail" for w in words]
+    # id 10 has four texts: near id 20, near id 30, one of its own, and none; 5 follows by 30
+    rows = [(10, words[0]), (10, words[1]), (10, words[2]), (10, None), (20, near[0]), (30, near[1]), (30, words[3]),
+            (5, near[3]), (40, words[4]), (40, words[4]), (50, near[4]), (60, words[5]), (None, words[5]), (None, near[0]), (70, "")]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+        assert len(got) == len(rows)
+        assert {(g["doc_id"], g["component_id"], g["kept"]) for g in got} == {
+            (5, 5, True), (10, 5, False), (20, 5, False), (30, 5, False), (40, 40, True), (50, 40, False),
+            (60, 60, True), (70, 70, True), (None, None, True)}
