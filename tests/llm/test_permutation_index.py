@@ -61,3 +61,18 @@ def test_ties_and_unusable_vectors(spark):
     few = A.nearest(df.where("vec_id in (0, 20, 240)").dropDuplicates(["vec_id"]), F.col("id") == 240, k=20).collect()
     assert [(g["rank"], g["vec_id"], g["score"]) for g in few] == [(1, 0, -1.0), (2, 20, -1.0)]
     assert A.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
+
+
+def test_recall_where_shards_are_pruned(spark, monkeypatch):
+    monkeypatch.setattr(A, "SHARD_ROWS", 700)
+    monkeypatch.setattr(A, "LEAST", 50)
+    rows = table(spark, "/root/testdata/sf0.1", "embeddings")
+    got = A.nearest(rows, F.col("id") % 20 == 0).collect()
+    data = rows.collect()
+    ids, vectors = [r["vec_id"] for r in data], np.array([r["embedding"] for r in data], float)
+    asked = [i for i in ids if i % 20 == 0]
+    hit = 0
+    for q in asked:
+        hit += len({v for _, v in brute(ids, vectors, q, 20)} & {g["vec_id"] for g in got if g["query_id"] == q})
+    print("recall", hit / (20 * len(asked)))
+    assert hit / (20 * len(asked)) >= 0.95
