@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_extract, mixing, near_dedup, orc_tokens, permutation_index, quality, secret_scan, toxicity, warc
+from . import byte_bpe, html_extract, merkle, mixing, near_dedup, oracles, orc_tokens, permutation_index, quality, secret_scan, toxicity, warc
 from .common import shared_path, table
 
 QUERIES: dict = {}
@@ -174,3 +174,12 @@ def op9_secret_scan(spark, sf_dir):
 def op10_crf_toxicity(spark, sf_dir):
     """Toxicity of every whole document text from the chain's marginals, with toxic spans."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op12_merkle_manifest(spark, sf_dir):
+    """Merkle manifest of all documents, and every document's proof, some offered with a changed n_chars."""
+    return merkle.tampering(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_merkle_manifest"] = oracles.MERKLE
