@@ -46,3 +46,27 @@ q AS (SELECT g, i, sha256(coalesce(string_agg(h, '' ORDER BY step), '')) AS proo
 SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
 FROM d JOIN o USING (g) JOIN e ON e.g = d.g AND e.i = d.i LEFT JOIN q ON q.g = d.g AND q.i = d.i, r
 """
+
+PHRASES = """
+WITH t AS (SELECT coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(x, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM i, (VALUES (1), (2), (3)) AS v(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 10),
+s AS (SELECT c.*, cut, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+      FROM c JOIN (VALUES (1), (2)) AS v(cut) ON cut < k
+      JOIN f l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(ws[1:cut], ' ')
+      JOIN f r ON r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(ws[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+h AS (SELECT lang, phrase, max(a) AS longest FROM
+        (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM c WHERE k = 3) AS u
+      GROUP BY ALL),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+      FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase
+      WHERE longest IS NULL OR 100 * longest < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""

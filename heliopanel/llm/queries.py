@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_extract, merkle, mixing, near_dedup, oracles, orc_tokens, permutation_index, quality, secret_scan, toxicity, warc
+from . import (byte_bpe, html_extract, merkle, mixing, near_dedup, ngram_join, oracles, orc_tokens, permutation_index,
+               phrases, quality, secret_scan, toxicity, warc)
 from .common import shared_path, table
 
 QUERIES: dict = {}
@@ -176,6 +177,15 @@ def op10_crf_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register
+def op11_phrase_stripes(spark, sf_dir):
+    """Each language's best phrases of two and three words, counted by merged stripes."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_phrase_stripes"] = oracles.PHRASES
+
+
 @register
 def op12_merkle_manifest(spark, sf_dir):
     """Merkle manifest of all documents, and every document's proof, some offered with a changed n_chars."""
@@ -183,3 +193,9 @@ def op12_merkle_manifest(spark, sf_dir):
 
 
 ORACLE["op12_merkle_manifest"] = oracles.MERKLE
+
+
+@register
+def op13_ngram_jaccard(spark, sf_dir):
+    """Components of the documents linked by word 3-gram sets, by a blocked sparse product."""
+    return ngram_join.components(table(spark, sf_dir, "documents"))
