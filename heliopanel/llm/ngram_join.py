@@ -4,20 +4,21 @@ The incidence matrix has a row per class of equal documents and a column per n-g
 hash of ``SHINGLE`` words).  Overlaps are entries of its product with its own transpose.  Never
 is all of it formed:
 
-1. Equal sets (size and 128-bit digest) are one class.  The same pass counts n-grams in 65,536
-   hash buckets; by these counts, then by hash, all columns are ordered, rare ones first.
+1. Equal sets (size and 128-bit digest) are one class.  The same pass counts n-grams in
+   ``BUCKETS`` hash buckets (a few MB, whatever the corpus); by these counts, then by hash, all
+   columns are ordered, rare ones first.  Any order is right, a good one keeps columns short.
 2. Two sets of sizes a and b link only if they share at least ``bound`` of either size, so the
    first few columns they share lie among each one's first ``size - bound + SHARE``: only those
    are posted.  Columns of up to ``list_size`` rows are multiplied in the tasks that hold them;
    pair counts are summed over the columns, and pairs below ``SHARE`` (or sizes that cannot
    link) are discarded.
-3. Columns with more rows belong to large groups.  Columns that share a row are one cluster.  In
-   it columns are counted exactly and ordered anew, and columns of a single row leave their
-   row's allowance: a row with more than a tenth of them can link with nothing.  What is posted
-   then is treated as in 2.
-4. Of the columns that are long even then, each names a hub, and its rows are compared with it,
-   which is linear.  Columns whose rows all are in one component are done.  The others' rows are
-   multiplied block by block: rows of two blocks of like sizes, columns in strips; overlaps
+3. Columns with more rows belong to large groups.  Each names a hub, and its rows are compared
+   with it, which is linear.  Columns whose rows all are in one component then are done.  Others
+   that share a row are one cluster.  In it columns are counted exactly and ordered anew, and
+   columns of a single row leave their row's allowance: a row with more than a tenth of them can
+   link with nothing.  What is posted then is treated as in 2.
+4. Columns that are long even then are compared with hubs again.  The rows of those that still
+   lie in several components are multiplied block by block: rows of two blocks of like sizes, columns in strips; overlaps
    accumulate strip after strip, and rows drop out as soon as no pair of theirs can reach its
    bound.  Pairs of blocks within the group's main component are left out.  A pair of blocks
    returns a spanning forest of its links.
@@ -49,7 +50,9 @@ LIST = 32
 BLOCK = 256
 STRIP = 8192
 SALTS = 16
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
+CHUNK = 1 << 16         # buckets of one row of counts
+BROADCAST_IDS = 1_000_000
 _SECOND = np.uint64(0xA5A5A5A5A5A5A5A5)
 
 
@@ -76,7 +79,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 # passes over the texts ---------------------------------------------------------------------------
 def _bucket(grams: np.ndarray) -> np.ndarray:
-    return (grams >> np.uint64(48)).astype(np.int64)
+    return (grams >> np.uint64(44)).astype(np.int64)
 
 
 def _signed(values) -> pa.Array:
@@ -84,19 +87,55 @@ def _signed(values) -> pa.Array:
 
 
 def _measured(batches):
-    """Size and digest of each set; at the end of the task its n-grams by bucket."""
-    names = ["doc_id", "n_shingles", "d1", "d2", "bucket", "weight"]
+    """Size and digest of each set; at the end of the task its n-grams by bucket, a row a chunk."""
+    names = ["doc_id", "n_shingles", "d1", "d2", "chunk", "counts"]
     weight = np.zeros(BUCKETS, np.int64)
     for part in text_chunks(batches):
         sets = [shingles(t, SHINGLE) for t in raw_bytes(part)]
         weight += np.bincount(_bucket(np.concatenate(sets)), minlength=BUCKETS)
-        none = pa.nulls(len(sets), pa.int64())
+        none = pa.nulls(len(sets), pa.int32())
         yield pa.RecordBatch.from_arrays(
             [part.column(0), pa.array([len(s) for s in sets], pa.int64()), _signed([mix(s).sum(dtype=np.uint64) for s in sets]),
-             _signed([mix(s ^ _SECOND).sum(dtype=np.uint64) for s in sets]), none.cast(pa.int32()), none], names)
-    used = np.flatnonzero(weight)
-    none = pa.nulls(len(used), pa.int64())
-    yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(used, pa.int32()), pa.array(weight[used])], names)
+             _signed([mix(s ^ _SECOND).sum(dtype=np.uint64) for s in sets]), none, pa.nulls(len(sets), pa.binary())], names)
+    chunks, packed = [], []
+    for c in range(0, BUCKETS, CHUNK):
+        used = np.flatnonzero(weight[c:c + CHUNK])
+        if len(used):
+            chunks.append(c // CHUNK)
+            packed.append(used.astype("<u2").tobytes() + weight[c + used].astype("<u4").tobytes())
+    none = pa.nulls(len(chunks), pa.int64())
+    yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(chunks, pa.int32()), pa.array(packed, pa.binary())], names)
+
+
+def _added(batches):
+    """Counts of each chunk, summed."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            n = len(counts) // 6
+            into = total.setdefault(chunk, np.zeros(CHUNK, np.int64))
+            into[np.frombuffer(counts, "<u2", n)] += np.frombuffer(counts, "<u4", n, 2 * n)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+                                     ["chunk", "counts"])
+
+
+def column_weights(counts: DataFrame) -> np.ndarray:
+    """How many n-grams fall into each bucket, of rows (chunk, counts).  Tasks' rows are summed by chunk, in
+    parts, then once more: a row of 512 KB a chunk (8 MB in all) reaches the driver."""
+    parts = counts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(4))).repartition("chunk", "salt").select("chunk", "counts")
+    weight = np.zeros(BUCKETS, np.int64)
+    for r in parts.mapInArrow(_added, "chunk int, counts binary").repartition("chunk").mapInArrow(_summed, "chunk int, counts binary").collect():
+        weight[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], np.int64)
+    return np.minimum(weight, 2**31 - 1).astype(np.int32)
+
+
+def _summed(batches):
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            total[chunk] = total.get(chunk, 0) + np.frombuffer(counts, np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+                                     ["chunk", "counts"])
 
 
 def _posted(batches, weight: np.ndarray):
@@ -310,8 +349,8 @@ def block_links(rows: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     return dealt.mapInArrow(_block_links, "u long, v long")
 
 
-def long_column_links(posted: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    """Links among rows (value, id, n) of long columns: with the columns' hubs, then block by block."""
+def hub_links(posted: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of the rows (value, id, n) of long columns with their columns' hubs: the rows that lie in most of them."""
     weight = posted.groupBy("id").agg(F.count("*").alias("weight"))
     hubs = posted.join(weight, "id").groupBy("value").agg(F.max_by(F.struct("id", "n"), F.struct("weight", -F.col("id"))).alias("hub"))
     salted = hubs.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
@@ -319,36 +358,54 @@ def long_column_links(posted: DataFrame, sets: DataFrame, block: int) -> DataFra
         .where(F.col("id") != F.col("hub.id")) \
         .where(100 * F.least("n", "hub.n") >= THRESHOLD * F.greatest("n", "hub.n")) \
         .select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
-    stars = write_table(confirm(write_table(near, "hub-pairs"), sets, hubs=True), "hub-links")
+    return write_table(confirm(write_table(near, "hub-pairs"), sets, hubs=True), "hub-links")
 
-    of = connected_components(stars)
+
+def open_columns(posted: DataFrame, of: DataFrame) -> DataFrame:
+    """value, id, n, label of the columns whose rows lie in several of the components ``of`` (node, component)."""
     labelled = write_table(posted.join(of, F.col("id") == F.col("node"), "left")
                            .select("value", "id", "n", F.coalesce("component", "id").alias("label")), "labelled")
     mixed = labelled.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    open_rows = write_table(labelled.join(mixed.select("value"), "value", "left_semi"), "open-rows")
-    group = clusters(open_rows).withColumnRenamed("cluster", "group")
-    rows = write_table(open_rows.select("id", "n", "label").distinct().join(group, "id"), "open-groups")
-    return stars.union(block_links(rows, sets, block))
+    return write_table(labelled.join(mixed.select("value"), "value", "left_semi"), "open-columns")
+
+
+def between(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    """The pairs (a, b) that lie in different components."""
+    for c in ("a", "b"):
+        pairs = pairs.join(of.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")), c, "left")
+    return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
 
 
 # the operator -----------------------------------------------------------------------------------------
 def links(texts: DataFrame, heads: DataFrame, weight: np.ndarray, list_size: int = LIST, block: int = BLOCK) -> DataFrame:
     """Links (u, v) between the classes named by ``heads`` (id)."""
-    drawn = texts.mapInArrow(lambda it: _posted(it, weight), "id long, n long, values array<long>")
+    known = texts.sparkSession.sparkContext.broadcast(weight)           # 4 BUCKETS bytes
+    drawn = texts.mapInArrow(lambda it: _posted(it, known.value), "id long, n long, values array<long>")
     posted = drawn.join(heads, "id", "left_semi").select("id", "n", F.explode("values").alias("value"))
     posted = write_table(posted, "ngram-postings")
     df = posted.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     posted = write_table(posted.join(df, "value"), "ngram-columns")
     pairs = write_table(short_column_pairs(posted.where(F.col("df") <= list_size), list_size), "ngram-pairs")
-    members = write_table(clusters(posted.where(F.col("df") > list_size).select("value", "id")), "ngram-clusters")
+    hot = posted.where(F.col("df") > list_size).select("value", "id", "n")
 
-    wanted = write_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(members.select("id")).distinct(), "wanted")
+    wanted = write_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(hot.select("id")).distinct(), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     sets = write_table(texts.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
                        .select("id", "text").mapInArrow(_whole, "id long, set binary"), "ngram-sets")
+    stars = hub_links(hot, sets)
+    rest = open_columns(hot, write_table(connected_components(stars), "hub-components"))
+    members = write_table(clusters(rest.select("value", "id")), "ngram-clusters")
     exact = write_table(exact_postings(members, sets), "exact-postings")
     more = short_column_pairs(exact.where(F.col("df") <= list_size), list_size)
-    far = long_column_links(exact.where(F.col("df") > list_size).select("value", "id", "n"), sets, block)
-    return confirm(write_table(pairs.union(more).distinct(), "candidates"), sets).union(far)
+
+    hot = exact.where(F.col("df") > list_size).select("value", "id", "n")
+    stars = stars.union(hub_links(hot, sets))
+    of = write_table(connected_components(stars), "hub-components")
+    rest = open_columns(hot, of)
+    group = clusters(rest.select("value", "id")).withColumnRenamed("cluster", "group")
+    rows = write_table(rest.select("id", "n", "label").distinct().join(group, "id"), "open-groups")
+    left = write_table(between(pairs.union(more).distinct(), of), "candidates")
+    return confirm(left, sets).union(stars).union(block_links(rows, sets, block))
 
 
 def _spread(rows: DataFrame, small: DataFrame, keys: list[str], by: str, how: str = "inner") -> DataFrame:
@@ -358,11 +415,9 @@ def _spread(rows: DataFrame, small: DataFrame, keys: list[str], by: str, how: st
 
 
 def _of_unique_ids(texts: DataFrame, **sizes) -> DataFrame:
-    measured = write_table(texts.mapInArrow(_measured, "doc_id long, n_shingles long, d1 long, d2 long, bucket int, weight long"), "ngram-sizes")
-    weight = np.zeros(BUCKETS, np.int64)
-    for r in measured.where("bucket is not null").groupBy("bucket").agg(F.sum("weight").alias("w")).collect():  # BUCKETS rows
-        weight[r["bucket"]] = r["w"]
-    rows = measured.where("bucket is null").select("doc_id", "n_shingles", "d1", "d2")
+    measured = write_table(texts.mapInArrow(_measured, "doc_id long, n_shingles long, d1 long, d2 long, chunk int, counts binary"), "ngram-sizes")
+    weight = column_weights(measured.where("chunk is not null").select("chunk", "counts"))
+    rows = measured.where("chunk is null").select("doc_id", "n_shingles", "d1", "d2")
     usable = rows.where("doc_id is not null and n_shingles > 0")
     keys = ["n_shingles", "d1", "d2"]
     classes = write_table(usable.groupBy(*keys).agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "ngram-classes")
