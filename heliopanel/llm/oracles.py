@@ -51,22 +51,27 @@ PHRASES = """
 WITH t AS (SELECT coalesce(lang, 'und') AS lang,
                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
 p AS (SELECT lang, unnest(regexp_split_to_array(x, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t),
-w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
-i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
-f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
-      FROM i, (VALUES (1), (2), (3)) AS v(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
-n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
-c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 10),
-s AS (SELECT c.*, cut, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
-      FROM c JOIN (VALUES (1), (2)) AS v(cut) ON cut < k
-      JOIN f l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(ws[1:cut], ' ')
-      JOIN f r ON r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(ws[cut + 1:], ' ')),
+w AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+i AS (SELECT lang, id, unnest(ws) AS w1, unnest(range(len(ws))) AS i FROM w),
+g AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM i WINDOW o AS (PARTITION BY id ORDER BY i)),
+f1 AS (SELECT lang, w1, count(*) AS f FROM g GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+h AS (SELECT lang, x, y, max(f) AS longest FROM
+        (SELECT lang, w1 AS x, w2 AS y, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) AS u GROUP BY ALL),
+c AS (SELECT p.lang, concat_ws(' ', p.w1, p.w2) AS phrase, 1 AS cut, p.f AS a, l.f AS l, r.f AS r
+      FROM f2 p JOIN f1 l ON l.lang = p.lang AND l.w1 = p.w1 JOIN f1 r ON r.lang = p.lang AND r.w1 = p.w2
+      LEFT JOIN h ON h.lang = p.lang AND h.x = p.w1 AND h.y = p.w2
+      WHERE p.f >= 10 AND (longest IS NULL OR 100 * longest < 50 * p.f)
+      UNION ALL
+      SELECT p.lang, concat_ws(' ', p.w1, p.w2, p.w3), 1, p.f, l.f, r.f
+      FROM f3 p JOIN f1 l ON l.lang = p.lang AND l.w1 = p.w1 JOIN f2 r ON r.lang = p.lang AND r.w1 = p.w2 AND r.w2 = p.w3
+      UNION ALL
+      SELECT p.lang, concat_ws(' ', p.w1, p.w2, p.w3), 2, p.f, l.f, r.f
+      FROM f3 p JOIN f2 l ON l.lang = p.lang AND l.w1 = p.w1 AND l.w2 = p.w2 JOIN f1 r ON r.lang = p.lang AND r.w1 = p.w3),
+s AS (SELECT *, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM c),
 b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
-h AS (SELECT lang, phrase, max(a) AS longest FROM
-        (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM c WHERE k = 3) AS u
-      GROUP BY ALL),
-o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
-      FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase
-      WHERE longest IS NULL OR 100 * longest < 50 * a)
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
 SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM o JOIN n USING (lang) WHERE rank <= 2000
 """

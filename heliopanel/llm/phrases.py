@@ -40,6 +40,7 @@ SLICE_BYTES = 8 << 20
 BUFFER = 1 << 20
 SALTS = 8
 TOP_SALTS = 64
+LINE_END = pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -47,7 +48,8 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-STRIPE = "lang string, word string, part int, parts int, second array<string>, third array<string>, n array<long>"
+# entries of a stripe: lines "second third", and their counts (one byte each, or eight)
+STRIPE = "lang string, word string, part int, parts int, next string, n binary"
 
 
 # texts to stripes ----------------------------------------------------------------------------
@@ -153,8 +155,46 @@ def _counted(keys: tuple[np.ndarray, ...], sizes: tuple[int, ...], n: np.ndarray
     return (found, *out[::-1]), total
 
 
-def _lists(starts: np.ndarray, values: pa.Array) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)).astype(np.int32)), values)
+def pack(starts: np.ndarray, second: pa.Array, third: pa.Array, n: np.ndarray) -> list[pa.Array]:
+    """``next`` and ``n`` of stripes whose entries begin at ``starts``."""
+    ends = np.append(starts, len(n)).astype(np.int32)
+    lines = pc.binary_join_element_wise(second, third, " ")
+    wide = len(n) > 0 and n.max() > 255
+    counts = n.astype("<i8" if wide else np.uint8)
+    size = pa.py_buffer((ends * counts.itemsize).astype(np.int32))
+    return [pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), lines), "\n"),
+            pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, size, pa.py_buffer(counts)])]
+
+
+def unpack(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Of all entries: their row, numbers of the second and third word, count; and the words by number
+    (number 0 is the empty word)."""
+    lines = pc.binary_join_element_wise(t["next"].cast(pa.large_string()), *LINE_END).combine_chunks()
+    if isinstance(lines, pa.ChunkedArray):
+        lines = lines.chunk(0)
+    at = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset:lines.offset + len(lines) + 1]
+    data = np.frombuffer(lines.buffers()[2], np.uint8)[at[0]:at[-1]]
+    mark = (data == 32) | (data == 10)              # a blank and a line end by turns
+    place = np.flatnonzero(mark)
+    offsets = np.zeros(len(place) + 2, np.int64)
+    np.cumsum(np.diff(place, prepend=-1) - 1, out=offsets[2:])
+    words = pa.LargeStringArray.from_buffers(len(place) + 1, pa.py_buffer(offsets), pa.py_buffer(data[~mark])).dictionary_encode()
+    code = words.indices.to_numpy()[1:].astype(np.int64)
+    entries = np.diff(np.searchsorted(place, at - at[0])) // 2
+    row = np.repeat(np.arange(len(entries)), entries)
+
+    counts = t["n"].cast(pa.large_binary()).combine_chunks()
+    if isinstance(counts, pa.ChunkedArray):
+        counts = counts.chunk(0)
+    at = np.frombuffer(counts.buffers()[1], np.int64)[counts.offset:counts.offset + len(counts) + 1]
+    raw = np.frombuffer(counts.buffers()[2], np.uint8)
+    width = np.diff(at) // np.maximum(entries, 1)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(entries) - entries, entries)
+    first = at[:-1][row] + inside * width[row]
+    n = raw[first].astype(np.int64)
+    wide = np.flatnonzero(width[row] == 8)
+    n[wide] = np.ascontiguousarray(raw[first[wide, None] + np.arange(8)]).view("<i8").ravel()
+    return row, code[::2], code[1::2], n, words.dictionary.cast(pa.string())
 
 
 def _stripes(batches, parts: np.ndarray | None):
@@ -181,33 +221,23 @@ def _stripes(batches, parts: np.ndarray | None):
         yield pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(starts), pa.string()), words.take(pa.array(a[starts])),
              pa.array(part[starts], pa.int32()), pa.array(np.maximum(share[starts], 1), pa.int32()),
-             _lists(starts, names.take(pa.array(b))), _lists(starts, names.take(pa.array(c))), _lists(starts, pa.array(n, pa.int64()))],
-            ["lang", "word", "part", "parts", "second", "third", "n"])
+             *pack(starts, names.take(pa.array(b)), names.take(pa.array(c)), n)],
+            ["lang", "word", "part", "parts", "next", "n"])
 
 
 # merging stripes -----------------------------------------------------------------------------------
-def _coded(column: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
-    """Numbers of the list entries among their distinct words; the empty word is number 0."""
-    values = pa.chunked_array([pa.array([""]), *[c.flatten() for c in column.chunks]])
-    coded = values.combine_chunks().dictionary_encode()
-    return coded.indices.to_numpy()[1:].astype(np.int64), coded.dictionary
-
-
-def merged(t: pa.Table) -> tuple[pa.Table, np.ndarray, tuple, np.ndarray, tuple]:
-    """Stripes of equal (lang, word, part), which lie together, summed elementwise: the rows' keys, and
-    their entries as (row, second, third), counts, and the words that the numbers stand for."""
+def merged(t: pa.Table) -> tuple[pa.Table, tuple, np.ndarray, pa.Array]:
+    """Stripes of equal (lang, word, part), which lie together, summed elementwise: the stripes' keys, and
+    their entries as (stripe, second, third), counts, and the words that the numbers stand for."""
     new = np.zeros(len(t), bool)
     new[0] = True
     for name in ("lang", "word", "part"):
         col = t[name].combine_chunks()
         new[1:] |= pc.not_equal(col.slice(1), col.slice(0, len(t) - 1)).to_numpy(zero_copy_only=False)
-    row = np.cumsum(new) - 1
-    second, names2 = _coded(t["second"])
-    third, names3 = _coded(t["third"])
-    sizes = pc.list_value_length(t["n"]).to_numpy().astype(np.int64)
-    n = pa.chunked_array([c.flatten() for c in t["n"].chunks]).to_numpy()
-    keys, n = _counted((np.repeat(row, sizes), second, third), (int(row[-1]) + 1, len(names2), len(names3)), n)
-    return t.select(["lang", "word", "part", "parts"]).filter(pa.array(new)), keys, n, (names2, names3)
+    stripe = np.cumsum(new) - 1
+    row, second, third, n, names = unpack(t)
+    keys, n = _counted((stripe[row], second, third), (int(stripe[-1]) + 1, len(names), len(names)), n)
+    return t.select(["lang", "word", "part", "parts"]).filter(pa.array(new)), keys, n, names
 
 
 def _facts(heads: pa.Table, keys, n, names, least: int) -> pa.RecordBatch:
@@ -215,9 +245,9 @@ def _facts(heads: pa.Table, keys, n, names, least: int) -> pa.RecordBatch:
     what stays below ``least`` goes; triples are final in any case."""
     row, second, third = keys
     whole = heads["parts"].to_numpy() == 1
-    total = np.bincount(row, weights=None, minlength=len(heads)) * 0
+    total = np.zeros(len(heads), np.int64)
     np.add.at(total, row, n)
-    (prow, psecond), pn = _counted((row, second), (len(heads), len(names[0])), n)
+    (prow, psecond), pn = _counted((row, second), (len(heads), len(names)), n)
     top = np.zeros(len(pn), np.int64)
     place = np.cumsum(np.concatenate([[False], (row[1:] != row[:-1]) | (second[1:] != second[:-1])]))
     np.maximum.at(top, place, np.where(third > 0, n, 0))
@@ -228,8 +258,8 @@ def _facts(heads: pa.Table, keys, n, names, least: int) -> pa.RecordBatch:
     empty = pa.nulls(len(w), pa.string())
     return pa.RecordBatch.from_arrays(
         [heads["lang"].combine_chunks().take(rows), heads["word"].combine_chunks().take(rows),
-         pa.concat_arrays([empty, names[0].take(pa.array(np.concatenate([psecond[p], second[t]])))]),
-         pa.concat_arrays([empty, pa.nulls(len(p), pa.string()), names[1].take(pa.array(third[t]))]),
+         pa.concat_arrays([empty, names.take(pa.array(np.concatenate([psecond[p], second[t]])))]),
+         pa.concat_arrays([empty, pa.nulls(len(p), pa.string()), names.take(pa.array(third[t]))]),
          pa.array(np.concatenate([total[w], pn[p], n[t]]), pa.int64()),
          pa.array(np.concatenate([np.zeros(len(w), np.int64), top[p], np.zeros(len(t), np.int64)]), pa.int64())],
         ["lang", "w1", "w2", "w3", "n", "top"])
@@ -247,17 +277,16 @@ def _merge(batches, least: int):
             use = keys[0] < done
             yield _facts(heads.slice(0, done), tuple(k[use] for k in keys), n[use], names, least)
         rest = keys[0] >= done
-        start = np.zeros(1, np.int64)
         held = [] if last else [pa.RecordBatch.from_arrays(
             [*[heads[c].combine_chunks().slice(done) for c in ("lang", "word", "part", "parts")],
-             _lists(start, names[0].take(pa.array(keys[1][rest]))), _lists(start, names[1].take(pa.array(keys[2][rest]))),
-             _lists(start, pa.array(n[rest], pa.int64()))], held[0].schema.names)]
+             *pack(np.zeros(1, np.int64), names.take(pa.array(keys[1][rest])), names.take(pa.array(keys[2][rest])), n[rest])],
+            held[0].schema.names)]
         entries = 0
 
     for batch in batches:
         if batch.num_rows:
             held.append(batch)
-            entries += len(batch.column(6).flatten())
+            entries += batch.column(4).nbytes // 12          # about the bytes of an entry
         if entries >= BUFFER:
             yield from settle(False)
     if held:
