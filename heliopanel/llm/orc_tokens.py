@@ -23,14 +23,17 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import id_and_text, raw_bytes, text_chunks, write_table
+from .wordhash import WHITE
 
 END_ID = 1
-KEEP = 1_000_000
+KEEP = 500_000
 BATCH = 4096
 ROWS_PER_FILE = 200_000
 ROWS_PER_INDEX = 1000
 STRIPE_BYTES = 16 << 20
 SCHEMA = "doc_id long, ids array<int>"
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 FILE_OF_PART = "-c([0-9]+)[.][^-]*$"       # at the end of the name, as a group of its uuid may look the same
 
 
@@ -61,29 +64,56 @@ class WordCoder:
                     for e in self.library.encode_batch(texts, add_special_tokens=False)]
         return out
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
+    def _codes(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each of the distinct words."""
         if len(self.known) > KEEP:
             self.known.clear()
         known = self.known
-        # the vocabulary's rules lower-case; doing so first lets words share an entry (its special
-        # tokens are matched before that rule, so texts that may hold one are left alone)
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        codes = [known.get(w) for words in split for w in words]
-        if None in codes:
-            flat = [w for words in split for w in words]
-            missing = [i for i, c in enumerate(codes) if c is None]
-            parts = {w: _parts(w) for w in {flat[i] for i in missing}}
-            new = list({p for both in parts.values() for p in both if p not in known})
+        codes = [known.get(w) for w in words]
+        missing = [i for i, c in enumerate(codes) if c is None]
+        if missing:
+            parts = [_parts(words[i]) for i in missing]
+            new = list({p for both in parts for p in both if p not in known})
             found = dict(zip(new, self._library(new)))
-            coded = {w: b"".join([found[p] if p in found else known[p] for p in both]) for w, both in parts.items()}
-            for i in missing:
-                codes[i] = coded[flat[i]]
+            for i, both in zip(missing, parts):
+                codes[i] = b"".join([found[p] if p in found else known[p] for p in both])
             known.update((w, c) for w, c in found.items() if len(w) <= 64)
-        out, at = [], 0
-        for words in split:
-            out.append(b"".join(codes[at:at + len(words)]))
-            at += len(words)
+            known.update((words[i], codes[i]) for i in missing if len(words[i]) <= 64)
+        return codes
+
+    def _encode(self, texts: list[bytes], lower: bool) -> list[bytes]:
+        data = np.frombuffer(b"\n".join(texts), np.uint8)
+        word = ~WHITE[data]
+        edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+        start, end = edge[::2], edge[1::2]
+        offsets = np.zeros(len(start) + 1, np.int64)
+        np.cumsum(end - start, out=offsets[1:])
+        letters = LOWER[data[word]] if lower else data[word]
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]) \
+            .dictionary_encode()
+        codes = self._codes(words.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(codes), "<i4")
+        size = np.array([len(c) // 4 for c in codes], np.int64)
+        which = words.indices.to_numpy()
+        n = size[which] if len(which) else np.zeros(0, np.int64)
+        upto = np.cumsum(n)
+        first = (np.cumsum(size) - size)[which] if len(which) else n
+        ids = flat[np.repeat(first - (upto - n), n) + np.arange(int(n.sum()))].tobytes()
+        # words before each text's end
+        ends = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
+        at = 4 * np.concatenate([[0], upto])[np.concatenate([[0], ends])]
+        return [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        # the vocabulary's rules lower-case; doing so first lets words share an entry (its special
+        # tokens are matched before that rule, so texts that may hold one are left alone)
+        special = [i for i, t in enumerate(texts) if b"<|" in t]
+        if not special:
+            return self._encode(texts, True)
+        out = self._encode([b"" if b"<|" in t else t for t in texts], True)
+        for i, ids in zip(special, self._encode([texts[i] for i in special], False)):
+            out[i] = ids
         return out
 
 
