@@ -102,6 +102,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
                        known.alias("known"))
     rows = rows.withColumn("is_full", F.coalesce("is_full", F.lit(False))) \
         .withColumn("is_revisit", F.coalesce("is_revisit", F.lit(False))).where("is_full or is_revisit")
+    rows = write_table(rows, "warc-parsed")         # the sort's sampling pass then reads its keys alone
     # unknown keys, times and ids cannot be ordered; spread them, as they may be many
     placed = prior_response(rows.where("known").drop("known"))
     lost = rows.where("not known").drop("known").withColumn("prior", F.lit(None).cast(placed.schema["prior"].dataType))
