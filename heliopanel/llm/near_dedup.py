@@ -393,6 +393,6 @@ def _of_unique_ids(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The documents with one of each component left, with their own columns."""
-    gone = write_table(near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
+    gone = write_table(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "dropped")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
