@@ -29,6 +29,7 @@ from .common import bounded_sample, raw_bytes, text_chunks
 from .html_blocks import Block, blocks
 
 TRAIN_PAGES = 120
+VARIANT_BLOCKS = 40         # blocks of a training article that its variants take: a longer one teaches no more of a template
 VARIANTS = 5
 PATH_DIM, WORD_DIM, RATIOS = 96, 24, 9
 HIDDEN = 20
@@ -322,7 +323,7 @@ def train(pages: list[str], seed: int = 5, epochs: int = EPOCHS) -> Labeller:
     article = [[x.text for x, y in zip(b, lab) if y and len(x.text.split()) > 2 and not {"h1", "h2"} & set(x.path[-1:])]
                for b, lab in labelled]
     article = [a for a in article if a] or [[x.text for x in b if len(x.text) > 40] for b in parsed]
-    article = [a[:40] for a in article if a]        # a variant need not be longer to teach a template
+    article = [a[:VARIANT_BLOCKS] for a in article if a]
     if not article:
         net.p["out_h"][:] = 0
         net.p["out_b"][:] = 1

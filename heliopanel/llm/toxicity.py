@@ -37,6 +37,7 @@ from .common import bounded_sample, id_and_text, raw_bytes, text_chunks
 from .wordhash import shingles
 
 TRAIN_DOCS = 4000
+TRAIN_WINDOWS = 10          # telling places of a labelled document that train the chain, drawn at random if it has more
 BUCKETS = 1 << 16
 BLOCK = 64
 WINDOW = 8
@@ -222,8 +223,8 @@ def fit(rows: list[tuple[bytes, int]], rounds: int = 60, seed: int = 3) -> Chain
         tags = [int(bool(y) and is_marked(w)) for w in words]
         # around what looks telling (in ordinary documents too), and around a few other places
         centres = [i for i, w in enumerate(words) if is_marked(w)]
-        if len(centres) > 10:
-            centres = rng.choice(centres, 10, replace=False).tolist()
+        if len(centres) > TRAIN_WINDOWS:
+            centres = rng.choice(centres, TRAIN_WINDOWS, replace=False).tolist()
         centres += rng.integers(0, len(words), 2).tolist() if words else []
         for c in centres:
             lo, hi = max(0, c - WINDOW), min(len(words), c + WINDOW + 1)
