@@ -32,19 +32,6 @@ def gram_stats(df: DataFrame, features: Sequence[str], target: str, group: Seque
     return d.groupBy(*group).agg(*aggs)
 
 
-def _standardised(row, p: int):
-    """(C, c, mean, sd) of z = (x - mean) / std_pop from one gram_stats row."""
-    C = np.empty((p, p))
-    for j in range(p):
-        for k in range(j, p):
-            C[j, k] = C[k, j] = row[f"c{j}_{k}"]
-    cy = np.array([row[f"cy{j}"] for j in range(p)])
-    m = np.array([row[f"m{j}"] for j in range(p)])
-    sd = np.sqrt(np.diag(C)).copy()
-    sd[sd == 0] = 1.0
-    return C / np.outer(sd, sd), cy / sd, m, sd
-
-
 def lasso_cd(C: np.ndarray, c: np.ndarray, alpha: float, tol: float = 1e-12, max_iter: int = 100000,
              start: np.ndarray | None = None) -> np.ndarray:
     """Coordinate descent for min_w 1/2 w'Cw - c'w + alpha |w|_1 (the lasso objective
@@ -95,73 +82,24 @@ def fit_gram(df: DataFrame, features: Sequence[str], target: str, alpha: float =
     return df.sparkSession.createDataFrame(rows, "term STRING, value DOUBLE")
 
 
-def ridge_cv_gram(train: DataFrame, features: Sequence[str], target: str, alphas: Sequence[float],
-                  n_splits: int = 5, keys: Sequence[str] = (), time_col: str = "time") -> DataFrame:
-    """G5 for multi-feature ridge inside standardise-then-regress, for the WHOLE alpha grid
-    from ONE aggregation: moments per (fold, role) of the expanding folds.
+def _cv_gram(kind: str, train: DataFrame, features: Sequence[str], target: str, alphas: Sequence[float],
+             n_splits: int, keys: Sequence[str], time_col: str, cv_strategy: str) -> DataFrame:
+    from .moments import linear_grid, segment_moments
+    from .splits import fold_marks
+    cols = list(dict.fromkeys([*keys, time_col, *features, target]))
+    marks = fold_marks(train.select(*[_q(c) for c in cols]), n_splits, cv_strategy, keys, time_col)
+    scores = linear_grid(segment_moments(marks, features, target), n_splits, kind, alphas)
+    return train.sparkSession.createDataFrame([row[:4] for row in scores], "grid_idx INT, alpha DOUBLE, fold INT, mse DOUBLE")
 
-    Train moments give the standardised ridge solution per (fold, alpha); the validation
-    MSE follows from the test fold's moments without touching rows again:
-    MSE = var(y) - 2 w.cov(x, y) + w' Cov(x) w + (mean(y) - b0 - mean(x).w)^2.
-    Returns (grid_idx, alpha, fold, mse); the driver handles folds x 2 rows of p x p stats.
-    """
-    from .splits import fold_pairs, ts_folds
-    feats = list(features)
-    p = len(feats)
-    folds = fold_pairs(ts_folds(train, n_splits, keys, time_col), n_splits)
-    stats = {(r["fold"], r["role"]): r                      # folds x 2 rows of p x p statistics
-             for r in gram_stats(folds, feats, target, ["fold", "role"]).collect()}
-    out = []
-    for f in range(n_splits):
-        tr, te = stats.get((f, "train")), stats.get((f, "test"))
-        if tr is None or te is None:
-            continue
-        sd = np.sqrt(np.array([tr[f"c{j}_{j}"] for j in range(p)]))
-        sd[sd == 0] = 1.0
-        mtr = np.array([tr[f"m{j}"] for j in range(p)])
-        C = np.empty((p, p))
-        for j in range(p):
-            for k in range(j, p):
-                C[j, k] = C[k, j] = te[f"c{j}_{k}"]
-        cy = np.array([te[f"cy{j}"] for j in range(p)])
-        mte = np.array([te[f"m{j}"] for j in range(p)])
-        for gi, a in enumerate(alphas):
-            _, wz = solve(tr, p, float(a), standardize=True)
-            w = wz / sd
-            b0 = tr["my"] - mtr @ w
-            mse = te["vy"] - 2 * w @ cy + w @ C @ w + (te["my"] - b0 - mte @ w) ** 2
-            out.append((gi, float(a), f, float(mse)))
-    return train.sparkSession.createDataFrame(out, "grid_idx INT, alpha DOUBLE, fold INT, mse DOUBLE")
-
-
-def lasso_cv_gram(train: DataFrame, features: Sequence[str], target: str, alphas: Sequence[float],
-                  n_splits: int = 5, keys: Sequence[str] = (), time_col: str = "time") -> DataFrame:
-    """Lasso inside standardise-then-regress for the whole alpha grid from ONE
-    aggregation (moments per fold and role); coordinate descent on p x p matrices.
-    Returns (grid_idx, alpha, fold, mse)."""
-    from .splits import fold_pairs, ts_folds
-    feats = list(features)
-    p = len(feats)
-    folds = fold_pairs(ts_folds(train, n_splits, keys, time_col), n_splits)
-    stats = {(r["fold"], r["role"]): r                      # folds x 2 rows of p x p statistics
-             for r in gram_stats(folds, feats, target, ["fold", "role"]).collect()}
-    out = []
-    for f in range(n_splits):
-        tr, te = stats.get((f, "train")), stats.get((f, "test"))
-        if tr is None or te is None:
-            continue
-        Cz, cz, mtr, sd = _standardised(tr, p)
-        Cte = np.empty((p, p))
-        for j in range(p):
-            for k in range(j, p):
-                Cte[j, k] = Cte[k, j] = te[f"c{j}_{k}"]
-        cyte = np.array([te[f"cy{j}"] for j in range(p)])
-        mte = np.array([te[f"m{j}"] for j in range(p)])
-        wz = None
-        for gi, a in sorted(enumerate(alphas), key=lambda t: -t[1]):   # pathwise: warm starts
-            wz = lasso_cd(Cz, cz, float(a), start=wz)
-            w = wz / sd
-            b0 = tr["my"] - mtr @ w
-            mse = te["vy"] - 2 * w @ cyte + w @ Cte @ w + (te["my"] - b0 - mte @ w) ** 2
-            out.append((gi, float(a), f, float(mse)))
-    return train.sparkSession.createDataFrame(out, "grid_idx INT, alpha DOUBLE, fold INT, mse DOUBLE")
+
+def ridge_cv_gram(train: DataFrame, features: Sequence[str], target: str, alphas: Sequence[float], n_splits: int = 5,
+                  keys: Sequence[str] = (), time_col: str = "time", cv_strategy: str = "timeseries") -> DataFrame:
+    """G5 for multi-feature ridge inside standardise-then-regress, for the WHOLE alpha grid from one scan of
+    marked rows (operators.moments).  Returns (grid_idx, alpha, fold, mse)."""
+    return _cv_gram("ridge", train, features, target, alphas, n_splits, keys, time_col, cv_strategy)
+
+
+def lasso_cv_gram(train: DataFrame, features: Sequence[str], target: str, alphas: Sequence[float], n_splits: int = 5,
+                  keys: Sequence[str] = (), time_col: str = "time", cv_strategy: str = "timeseries") -> DataFrame:
+    """The same for lasso, by coordinate descent on p x p matrices."""
+    return _cv_gram("lasso", train, features, target, alphas, n_splits, keys, time_col, cv_strategy)

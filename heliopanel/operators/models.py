@@ -87,8 +87,45 @@ class GramLinear:
         return expr
 
 
-# estimators fitted from sufficient statistics instead of a Spark ML job
-GRAM_ESTIMATORS = {"linear_gram": 0.0, "ridge_gram": None}
+# estimators fitted from sufficient statistics instead of a Spark ML job -> kind of operators.moments
+GRAM_ESTIMATORS = {"linear_gram": "linear", "ridge_gram": "ridge", "lasso_gram": "lasso"}
+DEFAULT_ALPHA = 1.0
+
+
+@dataclass
+class RowModel:
+    """A model that scores rows beside its training rows: nearest neighbours, or binned trees that are
+    grown while the rows go down them (the same trees every time, by their seed)."""
+    kind: str
+    train: DataFrame            # features as x0, x1, ..., target as y, row_key; written once
+    params: dict
+
+    def predict(self, df: DataFrame, cols: Sequence) -> DataFrame:
+        """``df`` with ``prediction`` (null where a feature is null)."""
+        from ..session import stage
+        names = [f"x{j}" for j in range(len(cols))]
+        ask = stage(df.withColumn("_row", F.monotonically_increasing_id()), "to_score")
+        rows = self.train.select(*names, "y", (-1 - F.col("row_key")).alias("row_key"), F.lit(1).alias("trains"),
+                                 F.lit(None).cast("int").alias("test_fold")) \
+            .union(ask.select(*[c.cast("double") for c in cols], F.lit(None).cast("double"), F.col("_row"), F.lit(0), F.lit(0)))
+        if self.kind == "knn":
+            from .neighbours import neighbour_lists, weighted
+            k = int(self.params.get("n_neighbors", 5))
+            lists = neighbour_lists(rows, names, "y", k, 1)
+            scored = lists.groupBy("query").agg(weighted(k, self.params.get("weights", "uniform")).alias(PRED_COL))
+        elif self.kind == "boosted_trees":
+            from .boosting import boost_predictions
+            out, _ = boost_predictions(rows, names, "y", {c: [v] for c, v in self.params.items()}, 1)
+            scored = out.select(F.col("key").alias("query"), F.col("p")[0].alias(PRED_COL))
+        else:
+            from .trees import forest_predictions
+            out, sets, _ = forest_predictions(rows, names, "y", {c: [v] for c, v in self.params.items()}, 1)
+            scored = out.select(F.col("key").alias("query"), F.col(sets[0][1].split(":")[1]).alias(PRED_COL))
+        return ask.join(scored, F.col("_row") == F.col("query"), "left").drop("_row", "query")
+
+
+# estimators whose models are RowModels
+ROW_ESTIMATORS = ("knn", "binned_forest", "boosted_trees")
 
 
 @dataclass
@@ -112,6 +149,8 @@ class FittedModel:
             zs.append(x if st is None or st["center"] is None else (x - F.lit(st["center"])) / F.lit(st["scale"]))
         if isinstance(self.model, GramLinear):
             return df.withColumn(PRED_COL, self.model.prediction(zs))
+        if isinstance(self.model, RowModel):
+            return self.model.predict(df, zs)
         tmp = [f"__z{j}" for j in range(len(zs))]
         d = df.select("*", *[z.alias(t) for z, t in zip(zs, tmp)])
         asm = VectorAssembler(inputCols=tmp, outputCol=FEATURES_COL, handleInvalid="keep")
@@ -129,6 +168,8 @@ class FittedModel:
         """Tree importances, or |coefficient| for linear models."""
         if hasattr(self.model, "featureImportances"):
             vals = self.model.featureImportances.toArray()
+        elif isinstance(self.model, RowModel):
+            raise ValueError(f"{self.name} has no importances")
         elif isinstance(self.model, GramLinear):
             vals = [abs(c) for c in self.model.coefficients]
         else:
@@ -152,15 +193,25 @@ def fit(train: DataFrame, features: Sequence[str], target: str, name: str, param
     ``facts``: what ``training_facts`` says of these rows, if the caller has it already."""
     params = dict(params or {})
     features = list(features)
+    if name in GRAM_ESTIMATORS and scaling == "standard":
+        from .moments import fit as fit_moments, segment_moments
+        marked = train.withColumns({"trains": F.lit(1), "test_fold": F.lit(None).cast("int")})
+        whole = segment_moments(marked, features, target)
+        if not whole:
+            raise ValueError("no training rows")
+        alpha = float(params.get("alpha", DEFAULT_ALPHA)) if GRAM_ESTIMATORS[name] != "linear" else 0.0
+        b0, w, mean, sd = fit_moments(whole[1, -1], GRAM_ESTIMATORS[name], alpha)
+        stats = {c: {"column": c, "center": float(m), "scale": float(d)} for c, m, d in zip(features, mean, sd)}
+        return FittedModel(name, params, features, target, stats, GramLinear(b0, [float(v) for v in w], alpha))
+    if name in ROW_ESTIMATORS:
+        from ..session import stage
+        stats = {r["column"]: r.asDict() for r in fit_scaler(train.where(F.col(f"`{target}`").isNotNull()), features, scaling).collect()}
+        z = apply_scaler(train.select(*[F.col(f"`{c}`") for c in features], F.col(f"`{target}`").cast("double").alias("_y")), stats)
+        kept = z.where(F.col("_y").isNotNull()).select(*[F.col(f"`{c}`").cast("double").alias(f"x{j}") for j, c in enumerate(features)],
+                                                       F.col("_y").alias("y"), F.monotonically_increasing_id().alias("row_key"))
+        return FittedModel(name, params, features, target, stats, RowModel(name, stage(kept, "model_rows"), params))
     stats, n, y_std = facts or training_facts(train, features, target, scaling)
     train = train.where(F.col(f"`{target}`").isNotNull())
-    if name in GRAM_ESTIMATORS:
-        from .linear import gram_stats, solve
-        alpha = float(params.get("alpha", 0.0)) if GRAM_ESTIMATORS[name] is None else GRAM_ESTIMATORS[name]
-        z = apply_scaler(train.select(*[F.col(f"`{c}`") for c in features], F.col(f"`{target}`")), stats)
-        row = gram_stats(z, features, target).first()        # one row of p x p statistics
-        b0, w = solve(row, len(features), alpha)
-        return FittedModel(name, params, features, target, stats, GramLinear(b0, [float(v) for v in w], alpha))
     data = apply_scaler(train.select(*[F.col(f"`{c}`") for c in features],
                                      F.col(f"`{target}`").cast("double").alias("_y")), stats)
     asm = VectorAssembler(inputCols=features, outputCol=FEATURES_COL, handleInvalid="skip")
@@ -169,31 +220,60 @@ def fit(train: DataFrame, features: Sequence[str], target: str, name: str, param
     return FittedModel(name, params, features, target, stats, model)
 
 
+def cv_marks(train: DataFrame, features: Sequence[str], target: str, n_splits: int = 5, keys: Sequence[str] = (),
+             time_col: str = "time", cv_strategy: str = "timeseries", seed: int = 42) -> DataFrame:
+    """The training rows that have a target, with their fold marks and a ``row_key`` that ascends by (keys,
+    time), written once for all models of a comparison.  ``cv_strategy``: 'timeseries' (expanding) or 'kfold' (shuffled)."""
+    from ..session import stage
+    from .splits import fold_marks
+
+    cols = list(keys) + [time_col] + list(features) + [target]
+    rows = train.select(*[F.col(f"`{c}`") for c in dict.fromkeys(cols)]).where(F.col(f"`{target}`").isNotNull())
+    marks = fold_marks(rows, n_splits, cv_strategy, keys, time_col, seed=seed)
+    order = [F.col(f"`{c}`") for c in (*keys, time_col)]
+    return stage(marks.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("row_key", F.monotonically_increasing_id()),
+                 "cv_marks")
+
+
 def grid_search_cv(train: DataFrame, features: Sequence[str], target: str, name: str, grid: dict,
                    n_splits: int = 5, keys: Sequence[str] = (), time_col: str = "time",
-                   parallelism: int = 4, scaling: str = "standard") -> DataFrame:
-    """G5 for any registered estimator under expanding-window CV.
-
-    The (fold, role) expansion of the training rows is written once (partitioned by fold
-    and role, so each fit reads only its own files) and every (parameter set, fold) fit is
-    an ordinary distributed Spark ML job; ``parallelism`` driver threads submit them
-    concurrently (like CrossValidator.parallelism).  The scaler is fitted on each fold's own
-    training rows, once per fold.  Returns (grid_idx, params, fold, mse, n_test)."""
+                   parallelism: int = 4, scaling: str = "standard", cv_strategy: str = "timeseries",
+                   marks: DataFrame | None = None) -> DataFrame:
+    """G5 for any registered estimator under expanding-window or shuffled k-fold CV.
+
+    Rows are marked with their folds once (``cv_marks``; given as ``marks`` by callers that search
+    several models) and never copied.  Linear models from sufficient statistics, the binned random
+    forest and nearest neighbours score their whole grid in all folds together; for the others every
+    (parameter set, fold) is a distributed Spark ML job over the marked rows, and ``parallelism``
+    driver threads submit them concurrently, the scaler fitted on each fold's own training rows.
+    Returns (grid_idx, params, fold, mse, n_test)."""
     import json
-    import uuid
     from concurrent.futures import ThreadPoolExecutor
 
-    from ..session import materialize
-    from .splits import fold_pairs, ts_folds
-
-    cols = list(keys) + [time_col] + list(features) + [target]
-    folds = fold_pairs(ts_folds(train.select(*[F.col(f"`{c}`") for c in dict.fromkeys(cols)]), n_splits, keys,
-                                time_col), n_splits)
-    folds = materialize(folds, "cv_folds", uuid.uuid4().hex, partition_by=("fold", "role"))
+    spark = train.sparkSession
+    schema = "grid_idx INT, params STRING, fold INT, mse DOUBLE, n_test LONG"
+    if marks is None:
+        marks = cv_marks(train, features, target, n_splits, keys, time_col, cv_strategy)
     combos = param_grid(grid)
+    if name in GRAM_ESTIMATORS:
+        from .moments import linear_grid, segment_moments
+        if scaling != "standard":
+            raise ValueError("estimators from moments standardise their features")
+        alphas = [float(c.get("alpha", DEFAULT_ALPHA)) for c in combos]
+        scores = linear_grid(segment_moments(marks, features, target), n_splits, GRAM_ESTIMATORS[name], alphas)
+        return spark.createDataFrame([(gi, json.dumps(combos[gi], sort_keys=True), f, m, n) for gi, _, f, m, n in scores], schema)
+    if name == "binned_forest":
+        from .trees import forest_grid_scores
+        return _in_order(forest_grid_scores(marks, features, target, grid, n_splits), combos, schema)
+    if name == "boosted_trees":
+        from .boosting import boost_grid_scores
+        return _in_order(boost_grid_scores(marks, features, target, grid, n_splits), combos, schema)
+    if name == "knn":
+        from .neighbours import knn_grid_scores
+        return _in_order(knn_grid_scores(marks, features, target, grid, n_splits), combos, schema)
 
     def part(f, role):
-        return folds.where((F.col("fold") == f) & (F.col("role") == role))
+        return marks.where(F.col("trains").bitwiseAND(F.lit(1 << f)) != 0) if role == "train" else marks.where(F.col("test_fold") == f)
 
     # scaler and row counts depend on the fold alone
     facts = [training_facts(part(f, "train"), features, target, scaling) for f in range(n_splits)]
@@ -209,8 +289,19 @@ def grid_search_cv(train: DataFrame, features: Sequence[str], target: str, name:
     tasks = [(gi, p, f) for gi, p in enumerate(combos) for f in range(n_splits)]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(run, tasks))
-    return train.sparkSession.createDataFrame(
-        results, "grid_idx INT, params STRING, fold INT, mse DOUBLE, n_test LONG")
+    return spark.createDataFrame(results, schema)
+
+
+def _in_order(scores: DataFrame, combos: list[dict], schema: str) -> DataFrame:
+    """Scores of a grid (a row per set and fold) with the places of the caller's sets: parameters that
+    the grid leaves out have their defaults."""
+    import json
+    rows = []
+    found = [(json.loads(r["params"]), r) for r in scores.collect()]        # sets x folds rows
+    for gi, combo in enumerate(combos):
+        rows += [(gi, json.dumps(combo, sort_keys=True), r["fold"], r["mse"], r["n_test"])
+                 for p, r in found if all(p.get(k, v) == v for k, v in combo.items())]
+    return scores.sparkSession.createDataFrame(rows, schema)
 
 
 def summarize_grid(per_fold: DataFrame) -> DataFrame:

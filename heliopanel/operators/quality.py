@@ -71,15 +71,17 @@ def feature_summary(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample std, min, max per column; long format via one stack()."""
+    """Count, mean, sample std, min, max per column, in long format from one aggregation."""
     aggs = []
     for i, c in enumerate(columns):
         x = _q(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).cast("double").alias(f"lo{i}"), F.max(x).cast("double").alias(f"hi{i}")]
     wide = df.agg(*aggs)
-    args = ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(columns))
-    return wide.selectExpr(f"stack({len(columns)}, {args}) AS (column, count, mean, std, min, max)")
+    names = ("count", "mean", "std", "min", "max")
+    rows = [F.struct(F.lit(c).alias("column"), *[F.col(f"{a}{i}").alias(b) for a, b in zip(("n", "m", "s", "lo", "hi"), names)])
+            for i, c in enumerate(columns)]
+    return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
 def gaps(df: DataFrame, keys: Sequence[str] = (), time_col: str = "time",

@@ -13,6 +13,12 @@ task.  Instead every operator here windows over bounded groups:
 * fills and interpolation: windows over (series, day) plus, per (series, day), the first
   and last non-null value carried across days through the small day table.
 
+Hourly data have at most a few dozen rows of a series in a day.  Where days are dense, times are
+missing or the order is not a time at all, ``bucket='range'`` takes ranges of (series, order) in
+place of days (``in_ranges``): sampled splitters make them even, whatever the values, and rows of
+equal order are divided as well.  The sorted rows are written once, so a position is the range's
+offset plus the row's place in it, without a window.
+
 Small per-day tables are joined back without a broadcast hint; AQE broadcasts them when
 their measured size is below the threshold and falls back to a shuffle join otherwise.
 """
@@ -57,6 +63,16 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame
     return big.join(r, cond).drop(*[f"__r_{c}" for c in on])
 
 
+def in_ranges(df: DataFrame, keys: Sequence[str], order_col: str, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The rows sorted by (keys, order, tiebreak) in ranges of like size, written once: ``_bkt``, the range, and
+    ``_ord``, which ascends in that order (by one from row to row of a range).  Null orders come last."""
+    from ..session import stage
+    d = df.withColumn("_tie", F.monotonically_increasing_id())          # equal rows fall into several ranges too
+    order = [*[_q(k) for k in keys], *_order(order_col, tiebreak), F.col("_tie")]
+    d = d.repartitionByRange(*order).sortWithinPartitions(*order).drop("_tie")
+    return stage(d.withColumn("_ord", F.monotonically_increasing_id()).withColumn("_bkt", F.shiftright("_ord", 33)), "ranges")
+
+
 def row_index(df: DataFrame, keys: Sequence[str] = (), time_col: str = "time",
               idx_col: str = "row_idx", tiebreak: Sequence[str] = (),
               keep_bucket: bool = False, bucket: str = "day") -> DataFrame:
@@ -66,12 +82,18 @@ def row_index(df: DataFrame, keys: Sequence[str] = (), time_col: str = "time",
     output keys x days — and an exclusive running sum per series over that small table;
     (2) ``row_number`` within (keys, day), plus the day's offset.
     ``bucket`` is the date_trunc unit: 'day' for hourly data, 'month' for daily data (the
-    count table then has ~30x fewer rows than the data).
+    count table then has ~30x fewer rows than the data); or 'range' (see ``in_ranges``).
     """
     keys = list(keys)
+    wk = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    if bucket == "range":
+        d = in_ranges(df, keys, time_col, tiebreak)
+        counts = d.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"), F.min("_ord").alias("_first"))
+        offsets = counts.select(*keys, "_bkt", (F.coalesce(F.sum("_n").over(wk), F.lit(0)) - F.col("_first")).alias("_off"))
+        d = join_small(d, offsets, keys + ["_bkt"]).withColumn(idx_col, F.col("_off") + F.col("_ord")).drop("_off", "_ord")
+        return d if keep_bucket else d.drop("_bkt")
     d = df.withColumn("_bkt", _bucket(time_col, bucket))
     counts = d.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    wk = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_off"))
     d = join_small(d, offsets, keys + ["_bkt"])
     w = Window.partitionBy(*keys, "_bkt").orderBy(*_order(time_col, tiebreak))
@@ -193,55 +215,60 @@ def _day_carries(d: DataFrame, keys: list[str], time_col: str, columns: Sequence
     small = d.groupBy(*keys, "_bkt").agg(*aggs)
     wk = Window.partitionBy(*keys).orderBy("_bkt")
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
-    after = wk.rowsBetween(1, Window.unboundedFollowing)
+    # looking ahead is looking back in the other order: frames that grow are linear work, those that shrink are not
+    after = Window.partitionBy(*keys).orderBy(F.col("_bkt").desc()).rowsBetween(Window.unboundedPreceding, -1)
     sel = []
     for i, _ in enumerate(columns):
         # a struct is null only when the day has no non-null value (max_by over no rows)
         sel += [F.last(F.col(f"_l{i}"), True).over(before).alias(f"_pl{i}"),
-                F.first(F.col(f"_f{i}"), True).over(after).alias(f"_nf{i}")]
+                F.last(F.col(f"_f{i}"), True).over(after).alias(f"_nf{i}")]
     return small.select(*keys, "_bkt", *sel)
 
 
 def fill_forward_backward(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
-                          time_col: str = "time", backward: bool = True) -> DataFrame:
-    """E5: forward fill then (unless ``backward=False``, the leak-safe variant) backward fill."""
+                          time_col: str = "time", backward: bool = True, bucket: str = "day",
+                          tiebreak: Sequence[str] = ()) -> DataFrame:
+    """E5: forward fill then (unless ``backward=False``, the leak-safe variant) backward fill.
+    ``bucket``: 'day' or 'range' (then rows of equal times are ordered by ``tiebreak``)."""
     keys = list(keys)
     columns = [c for c in columns if c not in keys and c != time_col]
-    d = df.withColumn("_bkt", _bucket(time_col)).withColumn(
-        "_ord", F.coalesce(_q(time_col), F.lit(_FAR).cast("timestamp_ntz")))
+    if bucket == "range":
+        d, inside, back = in_ranges(df, keys, time_col, tiebreak), [F.col("_ord")], [F.col("_ord").desc()]
+    else:
+        d = df.withColumn("_bkt", _bucket(time_col)).withColumn(
+            "_ord", F.coalesce(_q(time_col), F.lit(_FAR).cast("timestamp_ntz")))
+        inside, back = _order(time_col), [_q(time_col).desc_nulls_first()]
     carries = _day_carries(d, keys, time_col, columns, "_ord")
     d = join_small(d, carries, keys + ["_bkt"])
-    w = Window.partitionBy(*keys, "_bkt").orderBy(*_order(time_col))
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    onward = w.rowsBetween(0, Window.unboundedFollowing)
+    upto = Window.partitionBy(*keys, "_bkt").orderBy(*inside).rowsBetween(Window.unboundedPreceding, 0)
+    onward = Window.partitionBy(*keys, "_bkt").orderBy(*back).rowsBetween(Window.unboundedPreceding, 0)
     sel = []
     for i, c in enumerate(columns):
         ff = F.coalesce(F.last(_q(c), True).over(upto), F.col(f"_pl{i}.v"))
         if backward:
-            ff = F.coalesce(ff, F.first(_q(c), True).over(onward), F.col(f"_nf{i}.v"))
+            ff = F.coalesce(ff, F.last(_q(c), True).over(onward), F.col(f"_nf{i}.v"))
         sel.append(ff.alias(c))
     return d.select(*[_q(c) if c not in columns else sel[columns.index(c)] for c in df.columns])
 
 
 def interpolate_linear(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
-                       time_col: str = "time") -> DataFrame:
+                       time_col: str = "time", bucket: str = "day", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Positional linear interpolation (ignores time spacing, like pandas ``linear``).
 
-    Leading nulls stay null, trailing nulls repeat the last value.
+    Leading nulls stay null, trailing nulls repeat the last value.  ``bucket`` as for fills.
     """
     keys = list(keys)
     columns = [c for c in columns if c not in keys and c != time_col]
-    d = row_index(df, keys, time_col, "_idx", keep_bucket=True)
+    d = row_index(df, keys, time_col, "_idx", tiebreak, keep_bucket=True, bucket=bucket)
     carries = _day_carries(d, keys, time_col, columns, "_idx")
     d = join_small(d, carries, keys + ["_bkt"])
-    w = Window.partitionBy(*keys, "_bkt").orderBy("_idx")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    onward = w.rowsBetween(0, Window.unboundedFollowing)
+    upto = Window.partitionBy(*keys, "_bkt").orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
+    onward = Window.partitionBy(*keys, "_bkt").orderBy(F.col("_idx").desc()).rowsBetween(Window.unboundedPreceding, 0)
     sel = {}
     for i, c in enumerate(columns):
         pair = F.when(_q(c).isNotNull(), F.struct(F.col("_idx").alias("i"), _q(c).alias("v")))
         prev = F.coalesce(F.last(pair, True).over(upto), F.col(f"_pl{i}"))
-        nxt = F.coalesce(F.first(pair, True).over(onward), F.col(f"_nf{i}"))
+        nxt = F.coalesce(F.last(pair, True).over(onward), F.col(f"_nf{i}"))
         slope = (nxt["v"] - prev["v"]) / (nxt["i"] - prev["i"]).cast("double")
         sel[c] = (F.when(_q(c).isNotNull(), _q(c))
                    .when(prev.isNull(), F.lit(None))

@@ -55,17 +55,28 @@ def fold_pairs(folds: DataFrame, n_splits: int) -> DataFrame:
                  .withColumn("fold", F.col("_r.fold")).withColumn("role", F.col("_r.role")).drop("_r"))
 
 
+def fold_marks(df: DataFrame, n_splits: int = 5, strategy: str = "timeseries", keys: Sequence[str] = (),
+               time_col: str = "time", tiebreak: Sequence[str] = (), seed: int = 42) -> DataFrame:
+    """Both kinds of folds without copying a row: ``test_fold`` (the fold that the row tests, or NULL)
+    and ``trains`` (bit f set if the row trains fold f; at most 31 folds)."""
+    if strategy == "kfold":
+        d = kfold(df, n_splits, seed, keys).withColumnRenamed("fold", "test_fold")
+        return d.withColumn("trains", F.expr(f"{(1 << n_splits) - 1} - shiftleft(1, test_fold)"))
+    if strategy != "timeseries":
+        raise ValueError("strategy must be 'timeseries' or 'kfold'")
+    d = ts_folds(df, n_splits, keys, time_col, tiebreak)
+    trains = sum((F.when(F.col("row_idx") < F.col("first_test_idx") + F.col("fold_size") * f, 1 << f).otherwise(0)
+                  for f in range(n_splits)), F.lit(0))
+    return d.withColumn("trains", trains).drop("row_idx", "fold_size", "first_test_idx")
+
+
 def kfold(df: DataFrame, n_splits: int = 5, seed: int = 42, keys: Sequence[str] = (),
           id_cols: Sequence[str] = ()) -> DataFrame:
-    """Shuffled k-fold. Rows are ranked by a seeded hash inside their series (bounded
-    windows via row_index on the hash order are unnecessary: the hash rank is computed by
-    the same two-pass index), and fold = rank mod k gives equal sizes (+-1) like KFold.
-    Membership differs from numpy's permutation; sizes and disjointness are what matter."""
+    """Shuffled k-fold.  Rows are ordered by a seeded hash of their identity inside their series, by
+    sampled ranges of the hash (``series.in_ranges``), and fold = position mod k: sizes differ by at most
+    one, as KFold's do, at any number of rows.  Membership differs from numpy's permutation."""
     keys = list(keys)
     id_cols = list(id_cols) or [c for c in df.columns if c not in keys]   # a row's identity
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in id_cols], F.lit(seed))
-    d = df.withColumn("_h", h)
-    # position by hash order within series, using day buckets over a synthetic timestamp
-    d = d.withColumn("_ht", F.timestamp_seconds(F.pmod(F.col("_h"), F.lit(86400 * 3650))))
-    d = row_index(d, keys, "_ht", "_hrank", tiebreak=["_h", *id_cols], bucket="month")
-    return d.withColumn("fold", (F.col("_hrank") % n_splits).cast("int")).drop("_h", "_ht", "_hrank")
+    d = df.withColumn("_h", F.xxhash64(*[F.col(f"`{c}`") for c in id_cols], F.lit(seed)))
+    d = row_index(d, keys, "_h", "_hrank", tiebreak=id_cols, bucket="range")
+    return d.withColumn("fold", (F.col("_hrank") % n_splits).cast("int")).drop("_h", "_hrank")

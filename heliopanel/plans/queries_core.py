@@ -29,7 +29,7 @@ lagged AS (SELECT site_id, pv_production, lag(pv_production, 24) OVER (PARTITION
 # ---------------------------------------------------------------- loading (A, B) ----
 from ..functions.calendar import calendar_columns, is_daylight as daylight_expr  # noqa: E402
 from .fixtures import N_LAGS, engineered, one_series  # noqa: E402
-from .sqlparts import q as sq  # noqa: E402
+from .sqlparts import q as sq, r6 as sr6  # noqa: E402
 
 PANEL_COLS = ["site_id", "time", "pv_production", "global_rad:W", "clear_sky_rad:W", "sun_elevation:d", "temp"]
 PANEL_SQL_COLS = ", ".join(sq(c) for c in PANEL_COLS)
@@ -41,6 +41,21 @@ def schema_check(spark, sf_dir):
     return P.check_columns(panel(spark, sf_dir), "time", ["pv_production"])
 
 
+_REPORT_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{r}' AS role, count({sq(c)}) AS n_values, 'ok' AS outcome FROM panel"
+    for c, r in [("time", "time"), ("pv_production", "target"), ("site_id", "other")] + [(c, "feature") for c in PANEL_COLS[3:]])
+
+
+@query("column_report", f"{FX.with_('panel')} {_REPORT_SQL} UNION ALL SELECT 'pv_backup', 'target', 0, 'warning'"
+       " UNION ALL SELECT 'timestamp', 'time', 0, 'error'")
+def column_report(spark, sf_dir):
+    """What the column check and the numeric discovery say of the panel: a missing target is a
+    warning; a second check, by a time column that is not there, an error."""
+    p = panel(spark, sf_dir)
+    wrong = P.column_report(p, "timestamp", ["pv_production"]).where("outcome = 'error'")
+    return P.column_report(p, "time", ["pv_production", "pv_backup"]).union(wrong)
+
+
 @query("parse_time", """
 SELECT event_id, CAST(strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS time,
        CAST(CAST(strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS DATE) AS VARCHAR) AS date
@@ -189,6 +204,29 @@ def drop_nulls(spark, sf_dir):
     return S.handle_missing(engineered(spark, sf_dir), "drop")
 
 
+@query("event_index", """
+SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY CASE WHEN event_id % 3 = 0 THEN NULL ELSE ts END NULLS LAST, event_id) - 1 AS row_idx
+FROM events""")
+def event_index(spark, sf_dir):
+    """E8 on dense data: place of every raw event in its type by time, a third of the times unknown, by even
+    ranges instead of days."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", F.when(F.col("event_id") % 3 != 0, F.col("ts")).alias("ts"))
+    return S.row_index(ev, ["event_type"], "ts", "row_idx", ["event_id"], bucket="range").select("event_id", "event_type", "row_idx")
+
+
+@query("event_fill", f"""
+WITH e AS (SELECT event_id, event_type, ts, CASE WHEN event_id % 5 < 3 THEN CAST(value AS DOUBLE) END AS value FROM events),
+f AS (SELECT event_id, event_type, last_value(value IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS ff,
+             first_value(value IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS bf FROM e)
+SELECT event_id, event_type, {sr6('coalesce(ff, bf)')} AS value FROM f""")
+def event_fill(spark, sf_dir):
+    """E5 on dense data: values of raw events filled forward, then backward, in their type, by even ranges."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", "event_type", "ts", F.when(F.col("event_id") % 5 < 3, F.col("value").cast("double")).alias("value"))
+    out = S.fill_forward_backward(ev, ["value"], ["event_type"], "ts", bucket="range", tiebreak=["event_id"])
+    return out.select("event_id", "event_type", r6("value").alias("value"))
+
+
 @query("row_index", f"""{FX.with_('one_series')}
 SELECT time, pv_production, row_number() OVER (ORDER BY time) - 1 AS row_idx FROM one_series""")
 def row_index(spark, sf_dir):

@@ -235,8 +235,8 @@ def _segments():
 def _error_query(seg):
     def run(spark, sf_dir):
         p = _full_predictions(spark, sf_dir).where((F.col("split") == "test") & (F.col("model") == "ols_rad"))
-        b = EV.error_breakdown(p, "y", "pred", _segments())
-        return b.where(F.col("segmentation") == seg).select(
+        b = EV.error_breakdown(p, "y", "pred", {seg: _segments()[seg]})
+        return b.select(
             "segment", "n", *[r6(c).alias(c) for c in ("rmse", "mae", "bias")])
     run.__doc__ = f"D14: test errors of the one-feature OLS model by {seg} segment."
     sql = f"""{_FULL},
@@ -252,6 +252,37 @@ for _s in ("hour", "weather", "radiation", "phase"):
     _error_query(_s)
 
 
+_ERRORS_SQL = " UNION ALL ".join(f"""SELECT '{s}' AS segmentation, segment, count(_e) AS n, {sr6('sqrt(avg(_e * _e))')} AS rmse,
+       {sr6('avg(abs(_e))')} AS mae, {sr6('avg(_e)')} AS bias FROM (SELECT {_SEG_SQL[s]} AS segment, _e FROM x) t GROUP BY segment"""
+                                 for s in _SEG_SQL)
+
+
+@query("error_segments", f"""{_FULL},
+x AS (SELECT *, pred - pv_production AS _e, CASE WHEN "clear_sky_rad:W" = 0 THEN NULL ELSE "global_rad:W" / "clear_sky_rad:W" END AS r,
+             "sun_elevation:d" AS e, sun_elevation_prev AS ep FROM fp WHERE split = 'test' AND model = 'ols_rad')
+{_ERRORS_SQL}""")
+def error_segments(spark, sf_dir):
+    """Test errors of the one-feature OLS model by all four segmentations, in one pass."""
+    p = _full_predictions(spark, sf_dir).where((F.col("split") == "test") & (F.col("model") == "ols_rad"))
+    b = EV.error_breakdown(p, "y", "pred", _segments())
+    return b.select("segmentation", "segment", "n", *[r6(c).alias(c) for c in ("rmse", "mae", "bias")])
+
+
+@query("comparison_csv", f"""{_CMP_SQL}{_tt_sql()[len(_CV):]}
+SELECT model, {', '.join(f'{sr6(c)} AS {c}' for c in _CMP_COLS)}, {sr6('min(p_value)')} AS least_p, count(p_value) AS n_p
+FROM cmp JOIN cvs USING (model) JOIN ptt ON ptt.model_a = model GROUP BY ALL""")
+def comparison_csv(spark, sf_dir):
+    """The comparison and its p-values written as CSV and read back."""
+    from ..sources.sinks import read_comparison, write_comparison
+    from .queries_io import _scratch
+    cv = _cv(spark, sf_dir)
+    c = _comparison(spark, sf_dir)
+    path = write_comparison(_scratch(spark, "comparison"), c, EV.paired_ttest(cv), sorted([*CV.BASELINES, *CV.TRAINED]))
+    back, p = read_comparison(spark, path)
+    least = p.groupBy(F.col("model_a").alias("model")).agg(F.min("p_value").alias("least_p"), F.count("p_value").alias("n_p"))
+    return back.join(least, "model").select("model", *[r6(k).alias(k) for k in (*_CMP_COLS, "least_p")], "n_p")
+
+
 @query("weather_state", f"""{FX.with_('panel')}
 SELECT site_id, time, {sr6('r')} AS clear_sky_ratio, {_SEG_SQL['weather']} AS weather_state
 FROM (SELECT *, CASE WHEN "clear_sky_rad:W" = 0 THEN NULL ELSE "global_rad:W" / "clear_sky_rad:W" END AS r FROM panel) x""")

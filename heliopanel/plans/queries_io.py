@@ -34,6 +34,21 @@ def csv_scan(spark, sf_dir):
     return load_csv(spark, path, PANEL_SCHEMA)
 
 
+_STORE_FROM, _STORE_TO = "2024-01-05", "2024-01-20"
+
+
+@query("store_lags", f"""{FX.with_('panel')},
+s AS (SELECT * FROM panel WHERE CAST(time AS DATE) >= DATE '{_STORE_FROM}' AND CAST(time AS DATE) < DATE '{_STORE_TO}')
+SELECT site_id, time, pv_production, lag(pv_production, 1) OVER w AS pv_production_lag_1, lag(pv_production, 24) OVER w AS pv_production_lag_24
+FROM s WINDOW w AS (PARTITION BY site_id ORDER BY time)""")
+def store_lags(spark, sf_dir):
+    """A4 + B10 + E1: the panel saved as a store, a range of dates read from its own partitions, lags without a shuffle."""
+    from ..sources.store import read_store, save_store, store_lags as lags
+    table = save_store(panel(spark, sf_dir), _scratch(spark, "store"), ["site_id"])
+    out = lags(read_store(spark, table, _STORE_FROM, _STORE_TO), ["pv_production"], [1, 24], ["site_id"])
+    return out.select("site_id", "time", "pv_production", "pv_production_lag_1", "pv_production_lag_24")
+
+
 @query("selection_audit", None)
 def selection_audit(spark, sf_dir):
     """A5: selection parameters, selected names and report saved as JSON and loaded back;

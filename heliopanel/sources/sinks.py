@@ -81,13 +81,15 @@ def save_bundle(spark: SparkSession, path: str, fitted, comparison: DataFrame |
     """Inference bundle = fitted Spark ML model + one metadata row (features, target,
     model name, scaler statistics).  With ``comparison`` the caller passes the best model
     (lowest mean CV RMSE, see evaluate.cv_summary)."""
-    from ..operators.models import GramLinear
+    from ..operators.models import GramLinear, RowModel
+    if isinstance(fitted.model, RowModel):
+        fitted.model.train.write.mode("overwrite").parquet(f"{path}/model")
     meta = {"name": fitted.name, "params": fitted.params, "features": fitted.features, "target": fitted.target,
             "scaler": fitted.scaler, "model_class": type(fitted.model).__name__}
     if isinstance(fitted.model, GramLinear):
         meta["gram"] = {"intercept": fitted.model.intercept, "coefficients": fitted.model.coefficients,
                         "alpha": fitted.model.alpha}
-    else:
+    elif not isinstance(fitted.model, RowModel):
         fitted.model.write().overwrite().save(f"{path}/model")
     spark.createDataFrame([(json.dumps(meta),)], "meta STRING").write.mode("overwrite").json(f"{path}/meta")
     if comparison is not None:
@@ -95,12 +97,33 @@ def save_bundle(spark: SparkSession, path: str, fitted, comparison: DataFrame |
     return path
 
 
+def save_best_bundle(spark: SparkSession, path: str, comparison: DataFrame, fitted: dict) -> str:
+    """A7 + G15: the bundle of the model of the lowest mean CV RMSE (ties: the first by name) among the
+    fitted ones, with the comparison it won.  Returns the model's name."""
+    names = [r["model"] for r in comparison.select("model", "mean_cv_rmse").orderBy("mean_cv_rmse", "model").collect()]  # a row a model
+    best = next(n for n in names if n in fitted)
+    save_bundle(spark, path, fitted[best], comparison)
+    return best
+
+
+def read_comparison(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """What ``write_comparison`` wrote: the comparison, and (model_a, model_b, p_value)."""
+    comparison = spark.read.option("header", "true").option("inferSchema", "true").csv(f"{path}_comparison")
+    wide = spark.read.option("header", "true").option("inferSchema", "true").csv(f"{path}_pvalues")
+    others = [c for c in wide.columns if c != "model_a"]
+    cells = F.array(*[F.struct(F.lit(c).alias("model_b"), F.col(f"`{c}`").cast("double").alias("p_value")) for c in others])
+    long = wide.select("model_a", F.explode(cells).alias("_c")).select("model_a", "_c.model_b", "_c.p_value")
+    return comparison, long.where("model_a != model_b")
+
+
 def load_bundle(spark: SparkSession, path: str):
     from pyspark.ml import regression as R
-    from ..operators.models import FittedModel, GramLinear
+    from ..operators.models import FittedModel, GramLinear, RowModel
     meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
     if "gram" in meta:
         model = GramLinear(**meta["gram"])
+    elif meta["model_class"] == "RowModel":
+        model = RowModel(meta["name"], spark.read.parquet(f"{path}/model"), meta["params"])
     else:
         model = getattr(R, meta["model_class"]).load(f"{path}/model")
     return FittedModel(meta["name"], meta["params"], meta["features"], meta["target"], meta["scaler"], model)
