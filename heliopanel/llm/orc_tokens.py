@@ -23,85 +23,107 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import id_and_text, raw_bytes, text_chunks, write_table
-from .wordhash import WHITE
+from .wordhash import WHITE, word_hashes
 
 END_ID = 1
-KEEP = 500_000
-BATCH = 4096
+KEEP = 3_000_000        # words a worker remembers, about 40 bytes each
+BATCH = 256
+MARK = "<|endoftext|>"
+CHUNK_BYTES = 4 << 20
 ROWS_PER_FILE = 200_000
 ROWS_PER_INDEX = 1000
 STRIPE_BYTES = 16 << 20
 SCHEMA = "doc_id long, ids array<int>"
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+CLOSING, LETTER = np.zeros(256, bool), np.zeros(256, bool)
+CLOSING[list(b".,!?;:")] = True
+LETTER[97:123] = True
 FILE_OF_PART = "-c([0-9]+)[.][^-]*$"       # at the end of the name, as a group of its uuid may look the same
 
 
-def _parts(word: bytes) -> tuple[bytes, ...]:
-    """A word, without a closing mark that follows a letter: the vocabulary's rules always part the two."""
-    if len(word) > 1 and word[-1] in b".,!?;:" and 97 <= word[-2] <= 122:
-        return word[:-1], word[-1:]
-    return (word,)
-
-
 class WordCoder:
     """The library's encoding, word by word.
 
-    The vocabulary's rules never join across white space, so a text's ids are those of its
-    white-space separated words in turn; each distinct word is encoded by the library once.
+    The vocabulary's rules never join across white space, and always part a closing mark from a letter
+    before it, so a text's ids are those of its words and closing marks in turn.  Each distinct one is
+    encoded by the library once: its ids stay in one array, found by a 64-bit hash and a checksum.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the parallelism
         self.library = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def _library(self, words: list[bytes]) -> list[bytes]:
+        self.mark = self.library.token_to_id(MARK)
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.first, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _library(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word.  Many go through the library as one text, a special token between them."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        if self.mark is None or any("<|" in t for t in texts):
+            return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         out = []
-        for i in range(0, len(words), BATCH):
-            texts = [w.decode("utf-8", "replace") for w in words[i:i + BATCH]]
-            out += [np.array(e.ids, "<i4").tobytes()
-                    for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        for i in range(0, len(texts), BATCH):
+            joined = self.library.encode_batch_fast([MARK.join(texts[i:i + BATCH])], add_special_tokens=False)[0]
+            ids = np.array(joined.ids, np.int32)
+            cut = np.flatnonzero(ids == self.mark)
+            out += [ids[a:b] for a, b in zip(np.append(0, cut + 1).tolist(), np.append(cut, len(ids)).tolist())]
         return out
 
-    def _codes(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each of the distinct words."""
-        if len(self.known) > KEEP:
-            self.known.clear()
-        known = self.known
-        codes = [known.get(w) for w in words]
-        missing = [i for i, c in enumerate(codes) if c is None]
-        if missing:
-            parts = [_parts(words[i]) for i in missing]
-            new = list({p for both in parts for p in both if p not in known})
-            found = dict(zip(new, self._library(new)))
-            for i, both in zip(missing, parts):
-                codes[i] = b"".join([found[p] if p in found else known[p] for p in both])
-            known.update((w, c) for w, c in found.items() if len(w) <= 64)
-            known.update((words[i], codes[i]) for i in missing if len(words[i]) <= 64)
-        return codes
+    def _codes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each of the distinct words begin in ``ids``, and how many there are."""
+        if len(self.hashes) > KEEP or len(self.ids) > 4 * KEEP:
+            self.forget()
+        hashes = word_hashes(b"\n".join(words))
+        checks = np.array([zlib.crc32(w) for w in words], np.uint32)
+        place = np.searchsorted(self.hashes, hashes)
+        there = np.minimum(place, max(len(self.hashes) - 1, 0))
+        taken = self.hashes[there] == hashes if len(self.hashes) else np.zeros(len(words), bool)
+        known = taken & (self.checks[there] == checks) if len(self.hashes) else taken
+        first, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        first[known], size[known] = self.first[there[known]], self.size[there[known]]
+        missing = np.flatnonzero(~known)
+        if len(missing):
+            found = self._library([words[i] for i in missing.tolist()])
+            size[missing] = [len(f) for f in found]
+            first[missing] = len(self.ids) + np.cumsum(size[missing]) - size[missing]
+            self.ids = np.concatenate([self.ids, *found])
+            short = np.array([len(words[i]) <= 64 for i in missing.tolist()])
+            new = missing[~taken[missing] & short]          # words of one hash are not kept twice
+            new = new[np.unique(hashes[new], return_index=True)[1]]
+            at = place[new]
+            self.hashes, self.checks = np.insert(self.hashes, at, hashes[new]), np.insert(self.checks, at, checks[new])
+            self.first, self.size = np.insert(self.first, at, first[new]), np.insert(self.size, at, size[new])
+        return first, size
 
     def _encode(self, texts: list[bytes], lower: bool) -> list[bytes]:
         data = np.frombuffer(b"\n".join(texts), np.uint8)
         word = ~WHITE[data]
         edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
         start, end = edge[::2], edge[1::2]
-        offsets = np.zeros(len(start) + 1, np.int64)
-        np.cumsum(end - start, out=offsets[1:])
+        if not len(start):
+            return [b""] * len(texts)
         letters = LOWER[data[word]] if lower else data[word]
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]) \
+        upto = np.cumsum(end - start)
+        closing = (end - start > 1) & CLOSING[letters[upto - 1]] & LETTER[letters[np.maximum(upto - 2, 0)]]
+        parts = np.arange(1, len(start) + 1) + np.cumsum(closing)           # parts up to each word's end
+        offsets = np.zeros(int(parts[-1]) + 1, np.int64)
+        offsets[parts] = upto
+        offsets[parts[closing] - 1] = upto[closing] - 1
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)]) \
             .dictionary_encode()
-        codes = self._codes(words.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(codes), "<i4")
-        size = np.array([len(c) // 4 for c in codes], np.int64)
+        first, size = self._codes(words.dictionary.to_pylist())
         which = words.indices.to_numpy()
-        n = size[which] if len(which) else np.zeros(0, np.int64)
+        n = size[which]
         upto = np.cumsum(n)
-        first = (np.cumsum(size) - size)[which] if len(which) else n
-        ids = flat[np.repeat(first - (upto - n), n) + np.arange(int(n.sum()))].tobytes()
-        # words before each text's end
+        ids = self.ids[np.repeat(first[which] - (upto - n), n) + np.arange(int(upto[-1]))].astype("<i4").tobytes()
+        # parts before each text's end
         ends = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
-        at = 4 * np.concatenate([[0], upto])[np.concatenate([[0], ends])]
+        parts = np.append(0, parts)[np.append(0, ends)]
+        at = 4 * np.append(0, upto)[parts]
         return [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -124,7 +146,7 @@ def worker_coder(path: str) -> WordCoder:
 
 def _encoded(batches, path: str):
     coder, end = worker_coder(path), np.array([END_ID], "<i4").tobytes()
-    for part in text_chunks(batches):
+    for part in text_chunks(batches, limit=CHUNK_BYTES):
         ids = [x + end for x in coder.encode(raw_bytes(part))]
         offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
         values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])

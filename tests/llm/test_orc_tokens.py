@@ -12,6 +12,7 @@ import pyarrow.orc as orc
 from tokenizers import Tokenizer
 
 from heliopanel.llm import orc_tokens as O
+from heliopanel.llm.wordhash import word_hashes
 
 PATH = P.path("word_bpe_49k.json")
 
@@ -24,7 +25,8 @@ def test_words_equal_library():
     got = coder.encode([t.encode() for t in texts])
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(g, "<i4").tolist() for g in got] == want
-    assert not any(len(w) > 64 for w in coder.known)
+    words = {w for t in texts for w in t.encode().split()}
+    assert not set(word_hashes(b"\n".join(w for w in words if len(w) > 70)).tolist()) & set(coder.hashes.tolist())
 
 
 def test_files_and_catalogue(spark, tmpdir_path, monkeypatch):
