@@ -73,12 +73,19 @@ class WordCoder:
             out += [ids[a:b] for a, b in zip(np.append(0, cut + 1).tolist(), np.append(cut, len(ids)).tolist())]
         return out
 
-    def _codes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _codes(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of each of the distinct words begin in ``ids``, and how many there are."""
         if len(self.hashes) > KEEP or len(self.ids) > 4 * KEEP:
             self.forget()
-        hashes = word_hashes(b"\n".join(words))
-        checks = np.array([zlib.crc32(w) for w in words], np.uint32)
+        raw = words.buffers()[2].to_pybytes()
+        at = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+        bytes_ = np.frombuffer(raw, np.uint8)
+        length = np.diff(at)
+        # the words in lines, to be hashed; the checksum is of their length and both ends
+        lines = np.full(int(length.sum()) + len(words), 10, np.uint8)
+        lines[np.arange(at[0], at[-1]) - at[0] + np.repeat(np.arange(len(words)), length)] = bytes_[at[0]:at[-1]]
+        hashes = word_hashes(lines.tobytes())
+        checks = ((length << 16) | (bytes_[at[:-1]].astype(np.int64) << 8) | bytes_[at[1:] - 1]).astype(np.uint32)
         place = np.searchsorted(self.hashes, hashes)
         there = np.minimum(place, max(len(self.hashes) - 1, 0))
         taken = self.hashes[there] == hashes if len(self.hashes) else np.zeros(len(words), bool)
@@ -87,16 +94,15 @@ class WordCoder:
         first[known], size[known] = self.first[there[known]], self.size[there[known]]
         missing = np.flatnonzero(~known)
         if len(missing):
-            found = self._library([words[i] for i in missing.tolist()])
+            found = self._library([raw[a:b] for a, b in zip(at[missing].tolist(), at[missing + 1].tolist())])
             size[missing] = [len(f) for f in found]
             first[missing] = len(self.ids) + np.cumsum(size[missing]) - size[missing]
             self.ids = np.concatenate([self.ids, *found])
-            short = np.array([len(words[i]) <= 64 for i in missing.tolist()])
-            new = missing[~taken[missing] & short]          # words of one hash are not kept twice
+            new = missing[~taken[missing] & (length[missing] <= 64)]      # words of one hash are not kept twice
             new = new[np.unique(hashes[new], return_index=True)[1]]
-            at = place[new]
-            self.hashes, self.checks = np.insert(self.hashes, at, hashes[new]), np.insert(self.checks, at, checks[new])
-            self.first, self.size = np.insert(self.first, at, first[new]), np.insert(self.size, at, size[new])
+            to = place[new]
+            self.hashes, self.checks = np.insert(self.hashes, to, hashes[new]), np.insert(self.checks, to, checks[new])
+            self.first, self.size = np.insert(self.first, to, first[new]), np.insert(self.size, to, size[new])
         return first, size
 
     def _encode(self, texts: list[bytes], lower: bool) -> list[bytes]:
@@ -115,7 +121,7 @@ class WordCoder:
         offsets[parts[closing] - 1] = upto[closing] - 1
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)]) \
             .dictionary_encode()
-        first, size = self._codes(words.dictionary.to_pylist())
+        first, size = self._codes(words.dictionary)
         which = words.indices.to_numpy()
         n = size[which]
         upto = np.cumsum(n)
