@@ -77,15 +77,18 @@ class Booster:
         flat = gain.transpose(1, 0, 2).reshape(gain.shape[1], -1)           # ties: the first feature, then bin
         best = flat.argmax(axis=1)
         top = flat[np.arange(len(flat)), best]
-        least = T.ROUNDING * (gw[0, :, 0] ** 2 / (hw[0, :, 0] + lam) + 1e-300)
+        f = int(columns.argmax())
+        least = T.ROUNDING * (gw[f, :, 0] ** 2 / np.maximum(hw[f, :, 0] + lam, 1e-12) + 1e-300)
         return np.where(top > least, best // gain.shape[2], -1), best % gain.shape[2], top
 
     def leaf(self, h, g):
         return -self.learning_rate * g / np.maximum(h + self.reg_lambda, 1e-12)
 
 
-def _histograms(x: np.ndarray, node: np.ndarray, h: np.ndarray, g: np.ndarray, nodes: int, bins: int) -> np.ndarray:
-    return np.stack([T.histogram(x[:, f], node, h, g, nodes, bins) for f in range(x.shape[1])], axis=1)
+def _histograms(x: np.ndarray, node: np.ndarray, g: np.ndarray, nodes: int, bins: int, columns: np.ndarray) -> np.ndarray:
+    """([rows, H, G], feature, node, bin) sums; a row's Hessian is 1.  Features that are not drawn have none."""
+    none = np.zeros((3, nodes, bins))
+    return np.stack([T.histogram(x[:, f], node, None, g, nodes, bins) if columns[f] else none for f in range(x.shape[1])], axis=1)
 
 
 # small folds: a model in a task -----------------------------------------------------------------
@@ -111,7 +114,7 @@ def boost(rows: T.Rows, y: np.ndarray, fold: int, booster: Booster, rounds: Sequ
             value = booster.leaf(h, g)
             feature = np.full(nodes, -1)
             if depth < booster.max_depth and mine.any():
-                hist = _histograms(xt[at[mine]], pos[mine], np.ones(int(mine.sum())), g_all[at[mine]], nodes, bins)
+                hist = _histograms(xt[at[mine]], pos[mine], g_all[at[mine]], nodes, bins, columns)
                 feature, cut, _ = booster.split(hist, columns)
             stop, sstop = feature[pos] < 0, feature[spos] < 0
             margin[at[stop]] += value[pos[stop]]
@@ -201,7 +204,8 @@ def _level(batches, models: list[tuple[int, int]], boosters, growing: dict, roun
                 if not len(on):
                     continue
                 r = use[on]
-                hist = _histograms(rows.x[r], place[on], np.ones(len(r)), margins[j, r] - rows.y[r] / scale, len(open_), bins)
+                hist = _histograms(rows.x[r], place[on], margins[j, r] - rows.y[r] / scale, len(open_), bins,
+                                   boosters[m].columns(round_, p))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v] * len(open_), t) for v, t in ((m, pa.int32()), (fold, pa.int32()))]
                     + [pa.array(open_, pa.int64()), pa.array([hist[:, :, k].tobytes() for k in range(len(open_))], pa.binary())], names)
@@ -216,7 +220,7 @@ def _chosen(batches, boosters, round_: int, p: int, bins: int):
     def row():
         booster = boosters[now[0]]
         f, b, _ = booster.split(total[:, :, None], booster.columns(round_, p))
-        _, h, g = total[:, 0].sum(axis=1)
+        _, h, g = total[:, int(booster.columns(round_, p).argmax())].sum(axis=1)
         return (*now, int(f[0]), int(b[0]), float(h), float(g))
 
     for batch in batches:

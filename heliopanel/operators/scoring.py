@@ -95,15 +95,27 @@ def lag_table(history: DataFrame, n_lags: int = 24, series_keys: Sequence[str] =
               value_col: str = "pv_production", history_time: str = "time") -> DataFrame:
     """Per (series, hour): the values 1..n_lags hours earlier.
 
-    Built from the history alone (n_lags rows per history row, summed up per hour before the
-    shuffle), so its size follows the hours, not the requests.  Time-based: a missing hour
-    gives NULL (no positional shift across gaps)."""
+    Hours are folded into one row per series and day (24 values, combined before the shuffle), a
+    day's row is passed on to the days whose lags reach back to it, and each day then lists its hours.
+    What is shuffled is a row per day and reach, not n_lags rows per hour.  Time-based: a missing
+    hour gives NULL (no positional shift across gaps).  Times off the hour keep their minutes."""
     keys = list(series_keys)
-    h = history.select(*keys, F.col(history_time).alias("_t"), F.col(value_col).alias("_v"),
-                       F.explode(F.sequence(F.lit(1), F.lit(n_lags))).alias("_k"))
-    ahead = (F.col("_t") + F.make_dt_interval(F.lit(0), F.col("_k"))).cast("timestamp_ntz")
-    return h.groupBy(*keys, ahead.alias(history_time)).agg(
-        *[F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(f"{value_col}_lag_{k}") for k in range(1, n_lags + 1)])
+    t, v = F.col(history_time).cast("timestamp_ntz"), F.col(value_col)
+    day, hour = F.to_date(t), F.hour(t)
+    beyond = (F.unix_micros(t.cast("timestamp")) % 3_600_000_000).alias("_m")
+    days = history.where(t.isNotNull()).groupBy(*keys, day.alias("_d"), beyond).agg(
+        F.array(*[F.max(F.when(hour == h, v)) for h in range(24)]).alias("_v"))
+    reach = -(-n_lags // 24)
+    none = F.array_repeat(F.lit(None).cast(history.schema[value_col].dataType), 24)
+    ahead = days.select(*keys, "_m", "_v", F.explode(F.sequence(F.lit(0), F.lit(reach))).alias("_o"), "_d") \
+        .withColumn("_d", F.date_add("_d", F.col("_o")))
+    back = [F.coalesce(F.max(F.when(F.col("_o") == o, F.col("_v"))), none) for o in range(reach, -1, -1)]
+    runs = ahead.groupBy(*keys, "_d", "_m").agg(F.concat(*back).alias("_v"))       # hours of the days before, then of the day
+    each = runs.select(*keys, "_d", "_m", "_v", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h"))
+    at = F.col("_d").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("_h"), F.lit(0), (F.col("_m") / 1_000_000).cast("decimal(18,6)"))
+    lags = [F.col("_v")[F.col("_h") + (24 * reach - k)].alias(f"{value_col}_lag_{k}") for k in range(1, n_lags + 1)]
+    out = each.select(*keys, at.cast("timestamp_ntz").alias(history_time), *lags)
+    return out.where(F.coalesce(*[F.col(f"`{value_col}_lag_{k}`") for k in range(1, n_lags + 1)]).isNotNull())
 
 
 def history_lags(requests: DataFrame, lags: DataFrame, n_lags: int = 24, time_col: str = "target_time",

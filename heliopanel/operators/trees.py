@@ -117,10 +117,14 @@ def features_of(tree: int, nodes: np.ndarray, p: int, m: int) -> np.ndarray:
 
 
 # one level ------------------------------------------------------------------------------------------
-def histogram(code: np.ndarray, node: np.ndarray, w: np.ndarray, wy: np.ndarray, nodes: int, bins: int) -> np.ndarray:
-    """([rows, weight, weighted target], node, bin) sums of one feature."""
+def histogram(code: np.ndarray, node: np.ndarray, w: np.ndarray | None, wy: np.ndarray, nodes: int, bins: int,
+              counted: bool = True) -> np.ndarray:
+    """([rows, weight, weighted target], node, bin) sums of one feature.  Without ``counted`` the weights
+    stand for the rows, which do as long as only no rows and some must be told apart; ``w`` None: all 1."""
     at = node * bins + code
-    return np.stack([np.bincount(at, v, nodes * bins) for v in (None, w, wy)]).reshape(3, nodes, bins)
+    weight, target = (np.bincount(at, v, nodes * bins) for v in (w, wy))
+    rows = np.bincount(at, minlength=nodes * bins) if counted and w is not None else weight
+    return np.stack([rows, weight, target]).reshape(3, nodes, bins)
 
 
 def choose(hists: Iterator[np.ndarray | None], allowed: np.ndarray, min_leaf: int):
@@ -235,7 +239,7 @@ def grow(rows: Rows, fold: int, family: int, tree: int, forest: Forest, node: in
                     yield None
                     continue
                 r = train[allowed[pos[train], f]]
-                yield histogram(x[live[r], f], pos[r], w[live[r]], wy[live[r]], len(heap), forest.bins)
+                yield histogram(x[live[r], f], pos[r], w[live[r]], wy[live[r]], len(heap), forest.bins, min_leaf > 1)
 
         feature, cut = choose(hists(), allowed, min_leaf)
         keep = feature[pos] >= 0

@@ -196,13 +196,13 @@ r AS (SELECT site_id, time, pv_production AS y, {cols}, row_number() OVER (PARTI
 m AS (SELECT *, n // 6 AS size, n - 5 * (n // 6) AS first FROM r),
 g AS (SELECT *, CASE WHEN i >= first AND size > 0 THEN (i - first) // size END AS test FROM m),
 f AS (SELECT fold, {sd} FROM g, range(5) x(fold) WHERE i < first + size * fold GROUP BY fold),
-d AS (SELECT a.site_id, a.time, f.fold, a.y, b.y AS by, sqrt({dist}) AS d,
+d AS (SELECT a.site_id, a.time, f.fold, a.y, b.y AS ny, sqrt({dist}) AS d,
              row_number() OVER (PARTITION BY a.site_id, a.time ORDER BY sqrt({dist}), b.site_id, b.time) AS rank
       FROM g a JOIN f ON f.fold = a.test JOIN g b ON b.i < b.first + b.size * f.fold QUALIFY rank <= 10),
 p AS (SELECT idx, k, w, fold, site_id, time, any_value(y) AS y,
-             CASE WHEN w = 'uniform' THEN avg(by) WHEN min(d) = 0 THEN avg(CASE WHEN d = 0 THEN by END)
-                  ELSE sum(by / CASE WHEN d > 0 THEN d END) / sum(1 / CASE WHEN d > 0 THEN d END) END AS p
-      FROM d, (VALUES {', '.join(sets)}) s(idx, k, w) WHERE rank <= k GROUP BY ALL)
+             CASE WHEN w = 'uniform' THEN avg(ny) WHEN min(d) = 0 THEN avg(CASE WHEN d = 0 THEN ny END)
+                  ELSE sum(ny / CASE WHEN d > 0 THEN d END) / sum(1 / CASE WHEN d > 0 THEN d END) END AS p
+      FROM d, (VALUES {', '.join(sets)}) s(idx, k, w) WHERE rank <= k GROUP BY idx, k, w, fold, site_id, time)
 SELECT CAST(idx AS INTEGER) AS grid_idx, CAST(k AS INTEGER) AS n_neighbors, w AS weights, CAST(fold AS INTEGER) AS fold, {sr6('avg(pow(p - y, 2))')} AS mse,
        count(*) AS n_test FROM p GROUP BY ALL"""
 

@@ -71,3 +71,18 @@ def test_lasso_says_when_it_does_not_settle():
     with pytest.raises(RuntimeError):
         lasso_cd(c, np.array([1.0, 0.2]), 0.001, max_iter=3)
     assert len(lasso_cd(c, np.array([1.0, 0.2]), 0.001)) == 2
+
+
+def test_lag_table_against_plain_lookup(spark):
+    import datetime as dt
+    import random
+    from heliopanel.operators.scoring import lag_table
+    rng = random.Random(3)
+    hours = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=h) for h in rng.sample(range(140), 90)]
+    rows = [(s, t + dt.timedelta(minutes=m), float(i) if i % 7 else None) for s, m in (("a", 0), ("b", 30), (None, 0)) for i, t in enumerate(hours)]
+    df = spark.createDataFrame(rows + [("a", None, 1.0)], "site string, time timestamp_ntz, y double")
+    for n in (3, 24, 30):
+        got = {(r[0], r[1]): tuple(r)[2:] for r in lag_table(df, n, ["site"], "y", "time").collect()}
+        value = {(s, t): v for s, t, v in rows}
+        times = {(s, t + dt.timedelta(hours=k)) for s, t, v in rows if v is not None for k in range(1, n + 1)}
+        assert got == {(s, t): tuple(value.get((s, t - dt.timedelta(hours=k))) for k in range(1, n + 1)) for s, t in times}
