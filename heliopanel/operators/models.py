@@ -193,14 +193,19 @@ def fit(train: DataFrame, features: Sequence[str], target: str, name: str, param
     ``facts``: what ``training_facts`` says of these rows, if the caller has it already."""
     params = dict(params or {})
     features = list(features)
-    if name in GRAM_ESTIMATORS and scaling == "standard":
+    if name in GRAM_ESTIMATORS:
         from .moments import fit as fit_moments, segment_moments
-        marked = train.withColumns({"trains": F.lit(1), "test_fold": F.lit(None).cast("int")})
-        whole = segment_moments(marked, features, target)
+        rows, own = train.select(*[F.col(f"`{c}`") for c in features], F.col(f"`{target}`")), scaling != "standard"
+        if own:
+            stats = (facts or training_facts(train, features, target, scaling))[0]
+            rows = apply_scaler(rows, stats)
+        whole = segment_moments(rows.withColumns({"trains": F.lit(1), "test_fold": F.lit(None).cast("int")}), features, target)
         if not whole:
             raise ValueError("no training rows")
         alpha = float(params.get("alpha", DEFAULT_ALPHA)) if GRAM_ESTIMATORS[name] != "linear" else 0.0
-        b0, w, mean, sd = fit_moments(whole[1, -1], GRAM_ESTIMATORS[name], alpha)
+        b0, w, mean, sd = fit_moments(whole[1, -1], GRAM_ESTIMATORS[name], alpha, standardise=not own)
+        if own:
+            return FittedModel(name, params, features, target, stats, GramLinear(b0 - float(mean @ w), [float(v) for v in w], alpha))
         stats = {c: {"column": c, "center": float(m), "scale": float(d)} for c, m, d in zip(features, mean, sd)}
         return FittedModel(name, params, features, target, stats, GramLinear(b0, [float(v) for v in w], alpha))
     if name in ROW_ESTIMATORS:

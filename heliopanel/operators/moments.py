@@ -106,15 +106,17 @@ def fold_moments(segments: dict[tuple[int, int], Moments], n_splits: int) -> dic
     return out
 
 
-def fit(m: Moments, kind: str, alpha: float = 0.0, start: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-    """(intercept, coefficients) of the standardised features, with the features' means and scales.
+def fit(m: Moments, kind: str, alpha: float = 0.0, start: np.ndarray | None = None,
+        standardise: bool = True) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """(intercept, coefficients) of the standardised (or only centred) features, with the features' means
+    and scales.
 
     ``kind``: 'linear', 'ridge' (sum of squared errors + alpha |w|^2) or 'lasso' (half the mean squared
     error + alpha |w|)."""
     cov, mean = m.cov, m.mean
     p = len(mean) - 1
     sd = np.sqrt(np.maximum(np.diag(cov)[:p], 0.0))
-    sd = np.where(sd > 1e-12 * np.maximum(np.abs(mean[:p]), 1e-300), sd, 1.0)
+    sd = np.where((sd > 1e-12 * np.maximum(np.abs(mean[:p]), 1e-300)) & standardise, sd, 1.0)
     c, cy = cov[:p, :p] / np.outer(sd, sd), cov[:p, p] / sd
     if kind == "lasso":
         w = lasso_cd(c, cy, alpha, start=start)
