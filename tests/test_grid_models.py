@@ -133,3 +133,35 @@ def test_fewer_rows_than_neighbours_and_none(spark):
         for q in np.flatnonzero(test == f):
             assert sum(r["fold"] == f and r["query"] == q for r in lists) == min(10, int((trains >> f & 1).sum()))
     assert NB.neighbour_lists(df.where("false"), names, "y", 3, 4).count() == 0
+
+
+def test_a_cell_is_searched_without_all_distances(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(20_000, 3))
+    x[:200] = x[0]
+    key, ask = rng.permutation(len(x)), np.vstack([rng.normal(size=(300, 3)), x[:1], [[50.0, 0, 0]]])
+    done, plain = [], NB.distances
+    monkeypatch.setattr(NB, "distances", lambda a, b: done.append(len(a) * len(b)) or plain(a, b))
+    q, r, d = NB.nearest(x, key, ask, np.full(len(ask), np.inf), 10)
+    assert sum(done) < 0.2 * len(ask) * len(x)
+    for i in range(len(ask)):
+        dist = plain(ask[i:i + 1], x)[0]
+        assert r[q == i].tolist() == np.lexsort((key, dist))[:10].tolist() and (d[q == i] == dist[r[q == i]]).all()
+
+
+def test_visits_of_a_query_do_not_grow_with_the_rows(spark, monkeypatch):
+    visits, staged = [], NB.stage
+
+    def counted(df, name="stage"):
+        out = staged(df, name)
+        if name == "knn_visits":
+            visits.append(out.count())
+        return out
+
+    monkeypatch.setattr(NB, "stage", counted)
+    for n in (3000, 12_000):                        # 6 and 24 cells
+        x, y = data(n, 3, 6)
+        df, names, trains, test = frame(spark, x, y)
+        lists = NB.neighbour_lists(df, names, "y", 5, 4, part_rows=500)
+        assert lists.count() == 5 * (test >= 0).sum()
+    assert visits[0] + visits[1] < 4 * 2400 and (visits[2] + visits[3]) / 9600 < 1.3 * (visits[0] + visits[1]) / 2400
