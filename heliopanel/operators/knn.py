@@ -1,174 +1,84 @@
 """Exact k-nearest-neighbour regression (G11) without emitting all query x train pairs.
 
-Pruning rests on two facts for standardised points f (train) and g (query):
-  |f_j - g_j| <= ||f - g||   for every coordinate j, and
-  |s(f) - s(g)| <= ||f - g|| for the projection s(x) = (x_1 + ... + x_p) / sqrt(p).
-
 0. Duplicates.  Among train points with identical feature vectors only the k smallest ids
    can ever be chosen (equal distances, ties broken by id), so each vector keeps <= k rows
    (WindowGroupLimit partial before the shuffle: a vector holding a third of the table
    costs k rows per partition).
-1. Bounds.  Any k real points give an upper bound d_k on a query's k-th neighbour
-   distance.  (a) Grid: train points sit in cells of width W over the first m <= 3
-   coordinates, W sized for ~k points per cell; a query looks at its 3^m neighbouring
-   cells.  (b) Rank: train points are ranked by (s, id) with a distributed exact rank and
-   a query takes the 2k points around its own rank (covers sparse regions).  d_k is the
-   smaller of the two.
-2. Candidates.  Every true neighbour lies in the box |f_j - g_j| <= d_k (j < m): the query
-   is joined to the cells of its box.  A query whose box would span more than
-   ``cell_budget`` cells uses the projection band |s - s_q| <= d_k instead.  Both exact.
-3. Exact distances, ``row_number <= k`` per query (ties -> train id), weighted average
-   (uniform or 1/distance; zero distances take over).
-
-Nothing is capped.  Collected to the driver: one row of grid geometry and one of W.
+1. Train rows get an ascending number by id, so that ties go to the smaller number.
+2. ``neighbours.nearest_rows``: a query searches its nearest box of train points, whose k-th distance
+   bounds the true one, and then the boxes within that bound.
+3. ``row_number <= k`` per query (ties -> train id), weighted average (uniform or
+   1/distance; zero distances take over).
+
+Nothing is capped.  Collected to the driver: the boxes' sampled rows and bounds, and k rows for queries
+without features.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
 from .clean import apply_scaler, fit_scaler
-
-_TOL_REL, _TOL_ABS = 1e-9, 1e-12
+from .neighbours import PART_ROWS, nearest_rows
 
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def _dist(p: int) -> Column:
-    total = None
-    for j in range(p):
-        d = F.col(f"f{j}") - F.col(f"g{j}")
-        total = d * d if total is None else total + d * d
-    return F.sqrt(total)
-
-
-def _kth(cand: DataFrame, k: int, name: str) -> DataFrame:
-    """Per query: the k-th smallest distance among the candidates (NULL if fewer than k)."""
-    top = cand.withColumn("_rn", F.row_number().over(Window.partitionBy("qid").orderBy("_d"))).where(F.col("_rn") <= k)
-    return top.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("_d")).alias(name))
-
-
-def _explode_ranges(df: DataFrame, ranges: list[tuple[Column, Column]]) -> DataFrame:
-    for j, (lo, hi) in enumerate(ranges):
-        df = df.withColumn(f"_c{j}", F.explode(F.sequence(lo, F.greatest(hi, lo))))
-    return df
-
-
 def knn_predict(train: DataFrame, queries: DataFrame, features: Sequence[str], target: str, k: int = 5,
                 weights: str = "uniform", train_id: Sequence[str] = (), query_id: Sequence[str] = (),
-                scale: bool = True, rank_block: int | None = None, cell_budget: int = 343) -> DataFrame:
-    """Returns query_id columns + ``prediction`` + ``n_neighbors``."""
+                scale: bool = True, rank_block: int | None = None) -> DataFrame:
+    """Returns query_id columns + ``prediction`` + ``n_neighbors``; ``rank_block``: train rows of a box."""
     if weights not in ("uniform", "distance"):
         raise ValueError("weights must be 'uniform' or 'distance'")
-    spark = train.sparkSession
-    p, m = len(features), min(len(features), 3)
-    feats, tid, qid = list(features), list(train_id), list(query_id)
-    fcols, gcols = [f"f{j}" for j in range(p)], [f"g{j}" for j in range(p)]
+    p, feats, tid, qid = len(features), list(features), list(train_id), list(query_id)
+    fcols = [f"f{j}" for j in range(p)]
     train = train.where(_q(target).isNotNull())
     if scale:
         stats = {r["column"]: r.asDict() for r in fit_scaler(train, feats, "standard").collect()}   # p rows
         train, queries = apply_scaler(train, stats), apply_scaler(queries, stats)
-    proj = lambda cols: sum((F.col(c) for c in cols), F.lit(0.0)) / math.sqrt(p)
+
+    def whole(cols):
+        return F.lit(True) if not cols else whole(cols[1:]) & F.col(cols[0]).isNotNull()
+
     T = train.select(F.struct(*[_q(c) for c in tid] or [F.lit(0).alias("_")]).alias("tid"), _q(target).cast("double").alias("y"),
-                     *[_q(c).cast("double").alias(f"f{j}") for j, c in enumerate(feats)])
-    T = T.where(F.greatest(*[F.col(c).isNull() for c in fcols]) == F.lit(False)) if p > 1 else T.where(F.col("f0").isNotNull())
+                     *[_q(c).cast("double").alias(f) for c, f in zip(feats, fcols)]).where(whole(fcols))
     # 0. at most k rows per distinct feature vector
-    T = (T.withColumn("_v", F.row_number().over(Window.partitionBy(*fcols).orderBy("tid"))).where(F.col("_v") <= k)
-          .drop("_v").withColumn("s", proj(fcols)))
-    T = stage(T, "knn_train")           # read by the geometry, both bounds and both candidate joins
-    Q = queries.select(F.struct(*[_q(c) for c in qid]).alias("qid"),
-                       *[_q(c).cast("double").alias(f"g{j}") for j, c in enumerate(feats)]).withColumn("sq", proj(gcols))
-
-    geo = T.agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("smin"), F.max("s").alias("smax"),
-                *[F.percentile_approx(f"f{j}", [0.005, 0.995]).alias(f"core{j}") for j in range(m)]).first()   # one row
+    T = T.withColumn("_v", F.row_number().over(Window.partitionBy(*fcols).orderBy("tid"))).where(F.col("_v") <= k).drop("_v")
+    # 1. numbered by id
+    T = T.repartitionByRange("tid").sortWithinPartitions("tid").select(*fcols, "y", F.lit(1).alias("trains"), F.monotonically_increasing_id().alias("key"))
+    T = stage(T, "knn_train")
+    # rows of the same query id are one query
+    Q = queries.select(F.struct(*[_q(c) for c in qid]).alias("qid"), *[_q(c).cast("double").alias(f) for c, f in zip(feats, fcols)],
+                       F.monotonically_increasing_id().alias("_id"))
+    Q = stage(Q.withColumn("query", F.min("_id").over(Window.partitionBy("qid"))).drop("_id"), "knn_queries")
+
+    geo = T.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(f).alias(f) for f in fcols]).first()   # one row
     if not geo["n"]:
         return Q.select(*[F.col(f"qid.`{c}`").alias(c) for c in qid], F.lit(None).cast("double").alias("prediction"),
                         F.lit(0).cast("long").alias("n_neighbors"))
-    # the grid covers the middle 99 % of each coordinate, so that single far points cannot widen
-    # its cells; what lies outside belongs to the border cells (the cell number never falls as
-    # the coordinate grows, which is all the box needs)
-    spans = [max(geo[f"core{j}"][1] - geo[f"core{j}"][0], 1e-9) for j in range(m)]
-    W = max((math.prod(spans) * k / geo["n"]) ** (1.0 / m), 1e-9)            # ~k points per occupied cell
-    cmin = [math.floor(geo[f"core{j}"][0] / W) for j in range(m)]
-    cmax = [math.floor(geo[f"core{j}"][1] / W) for j in range(m)]
-
-    def cell(x: Column, j: int, step: int = 0) -> Column:
-        return F.least(F.greatest(F.floor(x / W) + step, F.lit(cmin[j])), F.lit(cmax[j])).cast("long")
-
-    Tc = T.select("*", *[cell(F.col(f"f{j}"), j).alias(f"_c{j}") for j in range(m)],
-                  F.floor(F.col("s") / W).alias("_b"))
-    cells = [f"_c{j}" for j in range(m)]
-
-    # 1a. grid bound from the 3^m neighbouring cells
-    near = _explode_ranges(Q.select("qid", *gcols), [(cell(F.col(f"g{j}"), j, -1), cell(F.col(f"g{j}"), j, 1))
-                                                     for j in range(m)])
-    grid_bound = _kth(near.join(Tc.select(*cells, *fcols), cells).withColumn("_d", _dist(p)), k, "_dg")
-
-    # 1b. rank bound: 2k points around the query's rank in projection order
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    both = (T.select("s", F.lit(0).alias("kind"), "tid", F.lit(None).cast(Q.schema["qid"].dataType).alias("qid"), *fcols)
-             .unionByName(Q.select(F.col("sq").alias("s"), F.lit(1).alias("kind"),
-                                   F.lit(None).cast(T.schema["tid"].dataType).alias("tid"), "qid",
-                                   *[F.col(g).alias(f) for g, f in zip(gcols, fcols)])))
-    both = both.repartitionByRange(parts, "s", "kind", "tid", "qid").withColumn("_pid", F.spark_partition_id())
-    is_train = (F.col("kind") == 0).cast("long")
-    w_in = Window.partitionBy("_pid").orderBy("s", "kind", "tid", "qid").rowsBetween(Window.unboundedPreceding, -1)
-    both = stage(both.withColumn("_before", F.coalesce(F.sum(is_train).over(w_in), F.lit(0))), "knn_ranked")
-    per = both.groupBy("_pid").agg(F.sum(is_train).alias("_c"))                       # one row per range partition
-    offs = per.select("_pid", F.coalesce(F.sum("_c").over(Window.orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    ranked = both.join(F.broadcast(offs), "_pid").withColumn("rank", F.col("_off") + F.col("_before"))
-    B = rank_block or max(2 * k, 64)
-    t_rank = ranked.where("kind = 0").select(F.floor(F.col("rank") / B).alias("_blk"), "rank", *fcols)
-    q_rank = ranked.where("kind = 1").select("qid", F.col("rank").alias("_r"), *[F.col(f).alias(g) for f, g in zip(fcols, gcols)])
-    lo = F.greatest(F.col("_r") - k, F.lit(0))
-    hi = F.least(F.col("_r") + k - 1, F.lit(geo["n"] - 1))
-    qr = q_rank.select("qid", *gcols, lo.alias("_lo"), hi.alias("_hi"),
-                       F.explode(F.sequence(F.floor(lo / B), F.floor(F.greatest(hi, lo) / B))).alias("_blk"))
-    rank_cand = (qr.join(t_rank, "_blk").where((F.col("rank") >= F.col("_lo")) & (F.col("rank") <= F.col("_hi")))
-                   .withColumn("_d", _dist(p)))
-    rank_bound = _kth(rank_cand, k, "_dr")
-
-    dk_raw = F.least(F.col("_dg"), F.col("_dr"))        # least() skips NULLs
-    qb = (Q.join(grid_bound, "qid", "left").join(rank_bound, "qid", "left")
-           .withColumn("_dk", F.when(dk_raw.isNotNull(), dk_raw * (1 + _TOL_REL) + _TOL_ABS)))
-
-    # 2. box over the grid cells, or the projection band when the box is too wide
-    dk = F.col("_dk")
-    ranges = [(cell(F.col(f"g{j}") - dk, j), cell(F.col(f"g{j}") + dk, j)) for j in range(m)]
-    ncells = F.lit(1.0)
-    for a, b in ranges:
-        ncells = ncells * F.greatest(b - a + 1, F.lit(0)).cast("double")
-    use_box = dk.isNotNull() & (ncells <= cell_budget)
-    qcols = ["qid", "sq", "_dk", *gcols]
-    inside = F.lit(True)
-    for j in range(m):
-        inside = inside & (F.abs(F.col(f"f{j}") - F.col(f"g{j}")) <= dk)
-    box = (_explode_ranges(qb.where(use_box).select(*qcols), ranges)
-           .join(Tc.drop("_b"), cells).where(inside))
-    bmin, bmax = math.floor(geo["smin"] / W), math.floor(geo["smax"] / W)
-    b_lo = F.when(dk.isNull(), F.lit(bmin)).otherwise(F.greatest(F.floor((F.col("sq") - dk) / W), F.lit(bmin)))
-    b_hi = F.when(dk.isNull(), F.lit(bmax)).otherwise(F.least(F.floor((F.col("sq") + dk) / W), F.lit(bmax)))
-    band = (qb.where(~use_box).select(*qcols, F.explode(F.sequence(b_lo, F.greatest(b_hi, b_lo))).alias("_b"))
-              .join(Tc.drop(*cells), "_b").where(dk.isNull() | (F.abs(F.col("s") - F.col("sq")) <= dk)))
-    keep = ["qid", "tid", "y", *fcols, *gcols]
-    cand = box.select(*keep).unionByName(band.select(*keep)).withColumn("_d", _dist(p))
-
-    # 3. exact top-k per query (partial WindowGroupLimit before the shuffle), weighted average
-    top = cand.withColumn("_rn", F.row_number().over(Window.partitionBy("qid").orderBy("_d", "tid"))) \
-              .where(F.col("_rn") <= k)
+    unit = np.array([geo[f] or 1.0 for f in fcols])
+    found = nearest_rows(T, Q.where(whole(fcols)).select(*fcols, "query", F.lit(0).alias("fold")), np.ones((1, p)), unit, geo["n"], k,
+                         part_rows=rank_block or PART_ROWS).select("query", "key", "y", "distance")
+    # a query without all features has no distances: the first k ids
+    firsts = F.array(*[F.struct(F.lit(r["key"]).cast("long").alias("key"), F.lit(r["y"]).alias("y"))
+                       for r in T.select("key", "y").orderBy("key").limit(k).collect()])     # k rows
+    found = found.union(Q.where(~whole(fcols)).select("query", F.explode(firsts).alias("_t"))
+                        .select("query", "_t.key", "_t.y", F.lit(None).cast("double")))
+
+    top = found.withColumn("_rn", F.row_number().over(Window.partitionBy("query").orderBy("distance", "key"))).where(F.col("_rn") <= k)
     if weights == "uniform":
         pred = F.avg("y")
     else:
-        zero = F.col("_d") == 0
+        zero = F.col("distance") == 0
         pred = F.when(F.max(zero.cast("int")) == 1, F.avg(F.when(zero, F.col("y")))) \
-                .otherwise(F.sum(F.try_divide(F.col("y"), F.col("_d"))) / F.sum(F.try_divide(F.lit(1.0), F.col("_d"))))
-    out = top.groupBy("qid").agg(pred.alias("prediction"), F.count(F.lit(1)).alias("n_neighbors"))
-    return out.select(*[F.col(f"qid.`{c}`").alias(c) for c in qid], "prediction", "n_neighbors")
+                .otherwise(F.sum(F.try_divide(F.col("y"), F.col("distance"))) / F.sum(F.try_divide(F.lit(1.0), F.col("distance"))))
+    out = top.groupBy("query").agg(pred.alias("prediction"), F.count(F.lit(1)).alias("n_neighbors"))
+    named = Q.select("query", "qid").dropDuplicates(["query"])
+    return named.join(out, "query").select(*[F.col(f"qid.`{c}`").alias(c) for c in qid], "prediction", "n_neighbors")
