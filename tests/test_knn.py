@@ -76,3 +76,33 @@ def test_one_far_point_does_not_slow_the_join(spark):
         some = list(range(0, 1000, 25))
         assert np.allclose([got[i].prediction for i in some], _brute(tr, qs[some], 5, "uniform"), rtol=1e-12, atol=1e-12)
     assert took[True] < 2 * took[False] + 5
+
+
+def test_candidates_grow_with_the_queries_alone(spark, monkeypatch):
+    from heliopanel.operators import neighbours as NB
+    visits, staged = [], NB.stage
+
+    def counted(df, name="stage"):
+        out = staged(df, name)
+        if name == "knn_visits":
+            visits.append(out.count())
+        return out
+
+    monkeypatch.setattr(NB, "stage", counted)
+    rng = np.random.default_rng(2)
+    tr, qs = np.round(rng.normal(size=(8000, 3)), 2), np.round(rng.normal(size=(3000, 2)), 2)
+    tdf = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(tr)], "id LONG, a DOUBLE, b DOUBLE, y DOUBLE")
+    qdf = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(qs)] + [(5, 0.0, 0.0), (9000, None, 0.0)], "qid LONG, a DOUBLE, b DOUBLE")
+    got = {r["qid"]: r for r in knn_predict(tdf, qdf, ["a", "b"], "y", 5, "uniform", ["id"], ["qid"], scale=False, rank_block=400).collect()}
+    assert len(visits) == 2 and sum(visits) < 2 * 3000
+    assert len(got) == 3001 and {r["n_neighbors"] for r in got.values()} == {5}
+    some = [i for i in range(0, 3000, 30)]
+    assert np.allclose([got[i]["prediction"] for i in some], _brute(tr, qs[some], 5, "uniform"), rtol=1e-12, atol=1e-12)
+    assert abs(got[9000]["prediction"] - tr[:5, 2].mean()) < 1e-12      # without distances: the first ids
+
+
+def test_rows_of_one_query_id_are_one_query(spark):
+    tdf = spark.createDataFrame([(i, float(i), float(i)) for i in range(50)], "id LONG, a DOUBLE, y DOUBLE")
+    qdf = spark.createDataFrame([(None, 3.0), (None, 30.0), (2, 10.0)], "qid LONG, a DOUBLE")
+    got = {r["qid"]: r for r in knn_predict(tdf, qdf, ["a"], "y", 2, "uniform", ["id"], ["qid"], scale=False).collect()}
+    assert len(got) == 2 and got[None]["prediction"] == 16.5 and got[2]["n_neighbors"] == 2
