@@ -7,11 +7,14 @@
   ``min_samples_split`` is the deeper one cut off earlier.  Only ``min_samples_leaf`` and
   ``max_features`` (a *family*) ask for trees of their own; all other sets are read off while
   test rows go down.
-* Nodes with more than ``local_rows`` rows are split by one aggregation a level over all folds,
-  families and trees: tasks add up (tree, node, feature, bin) histograms of their blocks, the
-  histograms of a node are summed and its split chosen.  Only splits reach the driver.
-* The rows of a smaller node go to one task, which grows the rest of its subtree.  While a whole
-  fold is that small, its rows go to a task once per group of trees.
+* The packed rows of a fold with at most ``local_rows`` training rows (tens of bytes a row) go to a task
+  once per family of a grid, or per group of trees.  Rows of equal codes share a node in every tree,
+  so trees are grown over the distinct code vectors with the draws of their rows added up.  A task that
+  grows all trees of a family sums the squared errors itself: no prediction is written.
+* Nodes of larger folds are split by one aggregation a level over all folds, families and trees:
+  tasks add up (tree, node, feature, bin) histograms of their blocks, the histograms of a node are
+  summed and its split chosen.  Only splits reach the driver.  The rows of a smaller node go to one
+  task, which grows the rest of its subtree.
 
 Targets are scaled to integers, so sums are exact and a split does not depend on how rows were
 dealt.  Bootstrap weights are Poisson(1) draws by a hash of (row, tree), feature subsets a hash
@@ -35,12 +38,12 @@ from ..session import stage
 from .models import param_grid
 
 BINS = 32
-LOCAL_ROWS = 250_000
+LOCAL_ROWS = 8_000_000      # of a task: about 100 bytes each while trees grow
 BLOCK_ROWS = 1 << 16
 ROUNDING = 1e-12
 GROUP = 25                  # trees of one task, while a fold is small
-# Poisson(1): chances of at most 0, 1, 2, ... draws
-_DRAWS = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(12)])
+# Poisson(1): chances of at most 0, 1, 2, ... draws, in 2 ** -53
+_DRAWS = [math.ceil(c * (1 << 53)) for c in np.cumsum([math.exp(-1) / math.factorial(i) for i in range(12)])]
 _PACKED = "n int, x binary, y binary, key binary, trains binary, test binary"
 
 
@@ -98,12 +101,28 @@ class Rows:
         return [a.tobytes() for a in (self.x, self.y, self.key, self.trains, self.test)]
 
 
+def cells_of(x: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct code vectors, the place of each row's among them)."""
+    at, most = np.zeros(len(x), np.int64), 1
+    for f in range(x.shape[1]):
+        if most > (1 << 62) // bins:
+            seen, at = np.unique(at, return_inverse=True)
+            most = len(seen)
+        at, most = at * bins + x[:, f], most * bins
+    _, first, at = np.unique(at, return_index=True, return_inverse=True)
+    return x[first], at.astype(np.int32)
+
+
 def weights(key: np.ndarray, tree: int, bootstrap: bool) -> np.ndarray:
     """How often each row is drawn for a tree."""
     if not bootstrap:
         return np.ones(len(key))
-    u = _mix(key.view(np.uint64) ^ _mix(tree)) >> np.uint64(11)
-    return np.searchsorted(_DRAWS, u / float(1 << 53), side="right").astype(float)
+    out, tree = np.zeros(len(key)), _mix(tree)
+    for lo in range(0, len(key), 1 << 14):          # pieces that stay in the processor's cache
+        u, w = _mix(key[lo:lo + (1 << 14)].view(np.uint64) ^ tree) >> np.uint64(11), out[lo:lo + (1 << 14)]
+        for least in _DRAWS:
+            w += u >= np.uint64(least)
+    return out
 
 
 def features_of(tree: int, nodes: np.ndarray, p: int, m: int) -> np.ndarray:
@@ -118,12 +137,12 @@ def features_of(tree: int, nodes: np.ndarray, p: int, m: int) -> np.ndarray:
 
 # one level ------------------------------------------------------------------------------------------
 def histogram(code: np.ndarray, node: np.ndarray, w: np.ndarray | None, wy: np.ndarray, nodes: int, bins: int,
-              counted: bool = True) -> np.ndarray:
-    """([rows, weight, weighted target], node, bin) sums of one feature.  Without ``counted`` the weights
+              counts: np.ndarray | None = None) -> np.ndarray:
+    """([rows, weight, weighted target], node, bin) sums of one feature.  Without ``counts`` the weights
     stand for the rows, which do as long as only no rows and some must be told apart; ``w`` None: all 1."""
     at = node * bins + code
     weight, target = (np.bincount(at, v, nodes * bins) for v in (w, wy))
-    rows = np.bincount(at, minlength=nodes * bins) if counted and w is not None else weight
+    rows = np.bincount(at, counts, nodes * bins) if counts is not None else weight
     return np.stack([rows, weight, target]).reshape(3, nodes, bins)
 
 
@@ -173,19 +192,47 @@ class Forest:
         return rows >= max(2 * self.families[family][0], min(self.min_splits))
 
 
-def grow(rows: Rows, fold: int, family: int, tree: int, forest: Forest, node: int = 1,
+@dataclass
+class Cells:
+    """The rows of a fold by code vector: the vectors, place and target of each training row, place of each test row."""
+    x: np.ndarray
+    train: np.ndarray
+    y: np.ndarray
+    key: np.ndarray
+    test: np.ndarray
+
+    @staticmethod
+    def of(rows: Rows, fold: int, bins: int) -> "Cells":
+        x, at = cells_of(rows.x, bins)
+        train = rows.trains >> fold & 1 == 1
+        return Cells(x, at[train], rows.y[train], rows.key[train], at[rows.test == fold])
+
+    def drawn(self, number: int, bootstrap: bool) -> tuple[np.ndarray, ...]:
+        """Per vector the rows that a tree draws, and the sums of their weights, weighted targets and their squares."""
+        w = weights(self.key, number, bootstrap)
+        use, n = np.flatnonzero(w), len(self.x)
+        at, y, w = self.train[use], self.y[use], w[use]
+        wy = w * y
+        return np.bincount(at, minlength=n).astype(float), np.bincount(at, w, n), np.bincount(at, wy, n), np.bincount(at, wy * y, n)
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        """Which vectors have test rows, and each test row's place among these."""
+        seen = np.zeros(len(self.x), bool)
+        seen[self.test] = True
+        return seen, (np.cumsum(seen) - 1)[self.test]
+
+
+def grow(cells: Cells, draws: tuple[np.ndarray, ...], asked: np.ndarray, family: int, number: int, forest: Forest, node: int = 1,
          above: Sequence[tuple[float, float]] = (), leaf: tuple[float, float] | None = None) -> np.ndarray:
-    """Grow the subtree of ``node`` over its rows; (test row, depth x min_split) predictions.
+    """Grow the subtree of ``node``; (vector with test rows, depth x min_split) predictions.  ``draws``: ``Cells.drawn``
+    of the tree; ``asked``: ``Cells.asked``.
 
     ``above``: (rows, value) of the node's ancestors from the root down; ``leaf``: (rows, value) of
     the node itself if it is known not to be split (then only test rows are needed)."""
-    number, (min_leaf, _) = forest.number(family, fold, tree), forest.families[family]
-    test = rows.test == fold
-    w = np.where(rows.trains >> fold & 1 == 1, weights(rows.key, number, forest.bootstrap), 0.0)
-    use = np.flatnonzero(test | (w > 0))
-    x, w, test = rows.x[use], w[use], test[use]
-    wy = w * rows.y[use]
-    wyy = wy * rows.y[use]
+    min_leaf = forest.families[family][0]
+    use = np.flatnonzero(asked | (draws[0] > 0))
+    x, test = cells.x[use], asked[use]
+    rows, w, wy, wyy = (v[use] for v in draws)
     n_test = int(test.sum())
     number_of = np.cumsum(test) - 1                                # of test rows
     out = np.zeros((n_test, len(forest.depths), len(forest.min_splits)))
@@ -215,8 +262,7 @@ def grow(rows: Rows, fold: int, family: int, tree: int, forest: Forest, node: in
     while leaf is None and len(live):
         k = len(heap)
         lw, ly = w[live], wy[live]
-        inside = lw > 0
-        c = np.bincount(pos[inside], minlength=k).astype(float)
+        c = np.bincount(pos, rows[live], k)
         sw, sy = np.bincount(pos, lw, k), np.bincount(pos, ly, k)
         with np.errstate(invalid="ignore", divide="ignore"):
             mean = sy / sw
@@ -239,7 +285,7 @@ def grow(rows: Rows, fold: int, family: int, tree: int, forest: Forest, node: in
                     yield None
                     continue
                 r = train[allowed[pos[train], f]]
-                yield histogram(x[live[r], f], pos[r], w[live[r]], wy[live[r]], len(heap), forest.bins, min_leaf > 1)
+                yield histogram(x[live[r], f], pos[r], w[live[r]], wy[live[r]], len(heap), forest.bins, rows[live[r]] if min_leaf > 1 else None)
 
         feature, cut = choose(hists(), allowed, min_leaf)
         keep = feature[pos] >= 0
@@ -301,7 +347,7 @@ def _level_histograms(batches, tops: dict, forest: Forest):
                 r = np.flatnonzero(at == h)
                 if len(r):
                     zero = np.zeros(len(r), np.int64)
-                    hist = np.stack([histogram(x[r, f], zero, w[r], wy[r], 1, forest.bins)[:, 0] for f in range(forest.p)])
+                    hist = np.stack([histogram(x[r, f], zero, w[r], wy[r], 1, forest.bins, np.ones(len(r)))[:, 0] for f in range(forest.p)])
                     out.append((family, fold, tree, h, hist.tobytes()))
             if len(out) >= 200:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
@@ -405,22 +451,34 @@ def _route(batches, tops: dict, groups: list[tuple[int, int]], forest: Forest):
                                 yield record((family, fold, tree, tree + 1, h), mine.take(i))
 
 
-def _finish(batches, tops: dict, forest: Forest):
-    """Predictions of the test rows of every unit, summed over its trees; units come sorted together."""
+def _finish(batches, tops: dict, forest: Forest, scale: float = 0.0):
+    """Predictions of the test rows of every unit, summed over its trees; units come sorted together.  With ``scale``
+    units hold all trees of a family, and their mean squared errors by number of trees and set are returned."""
     held, now = [], None
 
     def settle():
         family, fold, first, last, node = now
+        squares: dict = dict.fromkeys(forest.counts) if scale else {}
         rows = Rows.of(pa.Table.from_batches(held), forest.p)
         if not (rows.test == fold).any():
             return              # nothing to predict here
-        total = 0.0
+        test, cells, total = rows.test == fold, Cells.of(rows, fold, forest.bins), 0.0
+        asked, place = cells.asked()
         for tree in range(first, last):
             top = tops.get((family, fold, tree))
             s = top.nodes.get(node) if top else None
-            total = total + grow(rows, fold, family, tree, forest, node, top.above(node) if top else (),
+            number = forest.number(family, fold, tree)
+            total = total + grow(cells, cells.drawn(number, forest.bootstrap), asked, family, number, forest, node, top.above(node) if top else (),
                                  (s[0], s[2] / s[1]) if s else None)
-        test = rows.test == fold
+            if tree + 1 in squares and not top:
+                e = (total / ((tree + 1) * scale))[place] - (rows.y[test] / scale)[:, None]
+                squares[tree + 1] = (e * e).mean(axis=0)
+        if squares:
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([v], pa.int32()) for v in (family, fold)], pa.array([int(test.sum())], pa.int64()),
+                 pa.array([[v for n in forest.counts for v in squares[n].tolist()]], pa.list_(pa.float64()))], ["family", "fold", "n_test", "mse"])
+            return
+        total = total[place]
         n, width = int(test.sum()), len(forest.depths) * len(forest.min_splits)
         counts = np.searchsorted(forest.counts, first, side="right")
         if n:
@@ -467,9 +525,25 @@ def binned_blocks(rows: DataFrame, features: Sequence[str], target: str, n_folds
     return blocks, scale, sizes, {f: float(facts[f"m{f}"] or 0.0) for f in range(n_folds)}
 
 
-def forest_predictions(rows: DataFrame, features: Sequence[str], target: str, grid: dict, n_folds: int, key: str = "row_key",
-                       trains: str = "trains", test: str = "test_fold", seed: int = 42, bootstrap: bool = True,
-                       bins: int = BINS, local_rows: int = LOCAL_ROWS) -> tuple[DataFrame, list[tuple[dict, str]], Forest]:
+def _prepared(rows: DataFrame, features: Sequence[str], target: str, grid: dict, n_folds: int, key: str = "row_key", trains: str = "trains",
+              test: str = "test_fold", seed: int = 42, bootstrap: bool = True, bins: int = BINS, local_rows: int = LOCAL_ROWS):
+    """(blocks, scale, training rows by fold, forest, sets) of a run of ``forest_predictions``."""
+    feats = list(features)
+    given = {"n_estimators": [100], "max_depth": [5], "min_samples_split": [2], "min_samples_leaf": [1], "max_features": [1.0]} | grid
+    blocks, scale, sizes, _ = binned_blocks(rows, feats, target, n_folds, key, bins, trains, test)
+    forest = Forest(tuple((int(a), float(b)) for a in given["min_samples_leaf"] for b in given["max_features"]),
+                    tuple(sorted(int(d) for d in given["max_depth"])), tuple(sorted(int(m) for m in given["min_samples_split"])),
+                    tuple(sorted(int(n) for n in given["n_estimators"])), n_folds, len(feats), seed, bootstrap, local_rows, bins)
+    width, sets = len(forest.min_splits), []
+    for params in param_grid(given):
+        family = forest.families.index((int(params["min_samples_leaf"]), float(params["max_features"])))
+        i = forest.depths.index(int(params["max_depth"])) * width + forest.min_splits.index(int(params["min_samples_split"]))
+        sets.append((params, f"{family}:p{forest.counts.index(int(params['n_estimators']))}_{i}"))
+    return blocks, scale, sizes, forest, sets
+
+
+def forest_predictions(rows: DataFrame, features: Sequence[str], target: str, grid: dict, n_folds: int,
+                       **kw) -> tuple[DataFrame, list[tuple[dict, str]], Forest]:
     """Predictions of every parameter set for the test rows of every fold.
 
     ``rows``: features, target, ``key`` (a distinct long per row), ``trains`` (bit mask of the folds that the
@@ -477,12 +551,15 @@ def forest_predictions(rows: DataFrame, features: Sequence[str], target: str, gr
     ``min_samples_split``, ``min_samples_leaf``, ``max_features``, each a list (defaults 100, 5, 2, 1, 1.0).
     Returns (family, fold, key, y, one column per set of a family), the sets as (parameters,
     "family:column"), and the forest."""
-    feats = list(features)
-    given = {"n_estimators": [100], "max_depth": [5], "min_samples_split": [2], "min_samples_leaf": [1], "max_features": [1.0]} | grid
-    blocks, scale, sizes, _ = binned_blocks(rows, feats, target, n_folds, key, bins, trains, test)
-    forest = Forest(tuple((int(a), float(b)) for a in given["min_samples_leaf"] for b in given["max_features"]),
-                    tuple(sorted(int(d) for d in given["max_depth"])), tuple(sorted(int(m) for m in given["min_samples_split"])),
-                    tuple(sorted(int(n) for n in given["n_estimators"])), n_folds, len(feats), seed, bootstrap, local_rows, bins)
+    return _predicted(*_prepared(rows, features, target, grid, n_folds, **kw))
+
+
+def _units(blocks: DataFrame, tops, groups: list[tuple[int, int]], forest: Forest, parts: int) -> DataFrame:
+    unit = ["family", "fold", "first", "last", "node"]
+    return blocks.mapInArrow(lambda it: _route(it, tops.value, groups, forest), _UNIT).repartition(parts, *unit).sortWithinPartitions(*unit)
+
+
+def _predicted(blocks: DataFrame, scale: float, sizes: dict[int, int], forest: Forest, sets: list[tuple[dict, str]]):
     tops = grow_tops(blocks, sizes, forest)
     groups, at = [], 0
     for n in forest.counts:
@@ -490,38 +567,43 @@ def forest_predictions(rows: DataFrame, features: Sequence[str], target: str, gr
         at = n
     spark = blocks.sparkSession
     known = spark.sparkContext.broadcast(tops)
-    unit = ["family", "fold", "first", "last", "node"]
-    n_units = len(groups) * len(forest.families) * n_folds
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_units // 8 + sum(sizes.values()) // local_rows + 1)
-    units = blocks.mapInArrow(lambda it: _route(it, known.value, groups, forest), _UNIT).repartition(parts, *unit).sortWithinPartitions(*unit)
-    sums = units.mapInArrow(lambda it: _finish(it, known.value, forest),
+    n_units = len(groups) * len(forest.families) * forest.n_folds
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_units // 8 + sum(sizes.values()) // forest.local_rows + 1)
+    sums = _units(blocks, known, groups, forest, parts).mapInArrow(lambda it: _finish(it, known.value, forest),
                             "family int, fold int, part int, key long, y double, sums array<double>")
     sums = stage(sums, "tree_sums")
     width = len(forest.depths) * len(forest.min_splits)
     parts_of = [F.coalesce(F.sum(F.when(F.col("part") == j, F.col("sums")[i])), F.lit(0.0)).alias(f"s{j}_{i}")
                 for j in range(len(forest.counts)) for i in range(width)]
     wide = sums.groupBy("family", "fold", "key").agg((F.max("y") / scale).alias("y"), *parts_of)
-    columns, sets = [], []
+    columns = []
     for j, n in enumerate(forest.counts):
         for i in range(width):
             upto = sum((F.col(f"s{k}_{i}") for k in range(j + 1)), F.lit(0.0))
             columns.append((upto / (n * scale)).alias(f"p{j}_{i}"))
-    for params in param_grid(given):
-        family = forest.families.index((int(params["min_samples_leaf"]), float(params["max_features"])))
-        i = forest.depths.index(int(params["max_depth"])) * len(forest.min_splits) + forest.min_splits.index(int(params["min_samples_split"]))
-        sets.append((params, f"{family}:p{forest.counts.index(int(params['n_estimators']))}_{i}"))
     return wide.select("family", "fold", "key", "y", *columns), sets, forest
 
 
 def forest_grid_scores(rows: DataFrame, features: Sequence[str], target: str, grid: dict, n_folds: int, **kw) -> DataFrame:
     """(grid_idx, params, fold, mse, n_test) of every set of a random-forest grid in every fold."""
     known = rows.where(F.col(f"`{target}`").isNotNull())
-    predicted, sets, _ = forest_predictions(known, features, target, grid, n_folds, **kw)
-    columns = [c for c in predicted.columns if c[0] == "p"]
-    errors = predicted.groupBy("family", "fold").agg(F.count(F.lit(1)).alias("n_test"),
-                                                     *[F.avg((F.col(c) - F.col("y")) ** 2).alias(c) for c in columns])
-    long = errors.select("family", "fold", "n_test", F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("mse")) for c in columns])).alias("_e")) \
-        .select(F.concat_ws(":", "family", "_e.name").alias("place"), "fold", "n_test", "_e.mse")
+    blocks, scale, sizes, forest, sets = _prepared(known, features, target, grid, n_folds, **kw)
+    width = len(forest.depths) * len(forest.min_splits)
+    if max(sizes.values()) <= forest.local_rows:
+        whole, none = [(0, forest.counts[-1])], blocks.sparkSession.sparkContext.broadcast({})
+        parts = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * len(forest.families) * n_folds)
+        errors = stage(_units(blocks, none, whole, forest, parts).mapInArrow(lambda it: _finish(it, {}, forest, scale),
+                                                                             "family int, fold int, n_test long, mse array<double>"), "tree_errors")
+        names = F.array(*[F.lit(f"p{j}_{i}") for j in range(len(forest.counts)) for i in range(width)])
+        long = errors.select("family", "fold", "n_test", F.explode(F.arrays_zip(names.alias("name"), "mse")).alias("_e")) \
+            .select(F.concat_ws(":", "family", "_e.name").alias("place"), "fold", "n_test", "_e.mse")
+    else:
+        predicted, _, _ = _predicted(blocks, scale, sizes, forest, sets)
+        columns = [c for c in predicted.columns if c[0] == "p"]
+        errors = predicted.groupBy("family", "fold").agg(F.count(F.lit(1)).alias("n_test"),
+                                                         *[F.avg((F.col(c) - F.col("y")) ** 2).alias(c) for c in columns])
+        long = errors.select("family", "fold", "n_test", F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("mse")) for c in columns])).alias("_e")) \
+            .select(F.concat_ws(":", "family", "_e.name").alias("place"), "fold", "n_test", "_e.mse")
     wanted = rows.sparkSession.createDataFrame([(i, json.dumps(p, sort_keys=True), c) for i, (p, c) in enumerate(sets)],
                                                "grid_idx int, params string, place string")
     return long.join(F.broadcast(wanted), "place").select("grid_idx", "params", "fold", "mse", "n_test")   # one row per set

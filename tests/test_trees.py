@@ -128,3 +128,21 @@ def test_fold_marks(spark, strategy):
             assert len(test) == 25 and len(train) == 75
         else:
             assert test == set(range(20 + 20 * f, 40 + 20 * f)) and train == set(range(20 + 20 * f))
+
+
+def test_a_grid_writes_no_predictions_and_sends_a_fold_once_a_family(spark, monkeypatch):
+    x, y = data(300, 3)
+    x[100:200] = x[0:100]                           # equal codes, other targets
+    df = frame(spark, x, y, [(3 - (1 << (i % 2)), i % 2) for i in range(len(y))])
+    grid = {"n_estimators": [3, 30], "max_depth": [2, 5], "min_samples_split": [2, 10], "min_samples_leaf": [1, 3]}
+    staged, plain_stage = [], T.stage
+    monkeypatch.setattr(T, "stage", lambda d, name="stage": staged.append((name, plain_stage(d, name))) or staged[-1][1])
+    scores = {(r["params"], r["fold"]): r["mse"] for r in T.forest_grid_scores(df, FEATURES, "y", grid, 2).collect()}
+    assert [name for name, _ in staged] == ["tree_blocks", "tree_errors"] and staged[1][1].count() == 4
+    out, sets, _ = T.forest_predictions(df, FEATURES, "y", grid, 2, local_rows=40)
+    rows = out.collect()
+    for params, place in sets:
+        family, column = place.split(":")
+        for fold in (0, 1):
+            want = np.mean([(r[column] - r["y"]) ** 2 for r in rows if r["family"] == int(family) and r["fold"] == fold])
+            assert abs(scores[__import__("json").dumps(params, sort_keys=True), fold] - want) < 1e-9
