@@ -8,6 +8,10 @@ gain is half of GL^2/(HL+lambda) + GR^2/(HR+lambda) - G^2/(H+lambda), less gamma
 * Sets that differ in ``n_estimators`` alone share one model, read off after 50, 100, ... rounds.
 * Models of folds with at most ``local_rows`` training rows are boosted in one task each, over the
   fold's packed rows.
+* Folds with at most ``task_rows`` go to a task once per ``GROUP`` models.  Rows of equal codes share their
+  margin and node in every round, so trees are grown over the distinct code vectors, with the counts and
+  targets of the rows that a round draws added up once for all models of the task.
+* Scores are the tasks' own sums of squared errors: no prediction is written.
 * Larger folds are boosted by levels: one job a level and round adds up the (model, node, feature, bin)
   histograms of gradient and Hessian of all such models' blocks; the margins of the rows are written
   once a round.  Only splits reach the driver.
@@ -34,6 +38,8 @@ from .models import param_grid
 DEFAULTS = {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0, "colsample_bytree": 1.0,
             "gamma": 0.0, "reg_lambda": 1.0, "min_child_weight": 1.0, "min_samples_split": 2}
 SEED = 42
+LOCAL_ROWS = 250_000
+GROUP = 6                   # models of one task, while a fold has more rows than that
 
 
 @dataclass(frozen=True)
@@ -58,7 +64,11 @@ class Booster:
         """Which rows a round uses."""
         if self.subsample >= 1:
             return np.ones(len(key), bool)
-        return (T._mix(key.view(np.uint64) ^ T._mix((SEED << 32) + round_)) >> np.uint64(11)) / float(1 << 53) < self.subsample
+        seed, out = T._mix((SEED << 32) + round_), np.zeros(len(key), bool)
+        for lo in range(0, len(key), 1 << 14):          # pieces that stay in the processor's cache
+            piece = key[lo:lo + (1 << 14)]
+            out[lo:lo + len(piece)] = (T._mix(piece.view(np.uint64) ^ seed) >> np.uint64(11)) / float(1 << 53) < self.subsample
+        return out
 
     def columns(self, round_: int, p: int) -> np.ndarray:
         """Which features a round's tree uses."""
@@ -132,6 +142,50 @@ def boost(rows: T.Rows, y: np.ndarray, fold: int, booster: Booster, rounds: Sequ
     return out
 
 
+def boost_together(cells: T.Cells, boosters: Sequence[Booster], rounds: Sequence[int], bins: int) -> list[np.ndarray]:
+    """As ``boost`` for several models of a fold, over its distinct code vectors."""
+    n, p = cells.x.shape
+    code = np.ascontiguousarray(cells.x.T)
+    margins = [np.full(n, cells.y.mean()) for _ in boosters]
+    out = [np.zeros((len(cells.test), len(rounds))) for _ in boosters]
+    sums: dict = {}
+    for r in range(max(rounds)):
+        for booster, margin, scored in zip(boosters, margins, out):
+            if (booster.subsample, r) not in sums:          # of all rows once, of a draw every round
+                sums = {k: v for k, v in sums.items() if k[1] == r}
+                use = booster.drawn(cells.key, r)
+                sums[booster.subsample, r] = np.bincount(cells.train[use], minlength=n).astype(float), np.bincount(cells.train[use], cells.y[use], n)
+            count, total = sums[booster.subsample, r]
+            _advance(code, margin, count, count * margin - total, booster, booster.columns(r, p), bins)
+            for i, last in enumerate(rounds):
+                if last == r + 1:
+                    scored[:, i] = margin[cells.test]
+    return out
+
+
+def _advance(code: np.ndarray, margin: np.ndarray, count: np.ndarray, g: np.ndarray, booster: Booster, columns: np.ndarray, bins: int) -> None:
+    """Grow a round's tree over code vectors and add its leaves to their margins."""
+    at, pos, nodes = np.arange(len(margin)), np.zeros(len(margin), np.int64), 1
+    none = np.zeros((3, 1, bins))
+    for depth in range(booster.max_depth + 1):
+        h_all, g_all = np.bincount(pos, count, nodes), np.bincount(pos, g, nodes)
+        feature = np.full(nodes, -1)
+        if depth < booster.max_depth and h_all.any():
+            hist = np.stack([T.histogram(c, pos, count, g, nodes, bins) if on else np.broadcast_to(none, (3, nodes, bins))
+                             for c, on in zip(code, columns)], axis=1)
+            feature, cut, _ = booster.split(hist, columns)
+        stop = feature[pos] < 0
+        if stop.any():
+            margin[at[stop]] += booster.leaf(h_all, g_all)[pos[stop]]
+            go = np.flatnonzero(~stop)
+            if not len(go):
+                break
+            at, pos, count, g, code = at[go], pos[go], count[go], g[go], code[:, go]
+        number = np.cumsum(feature >= 0) - 1
+        pos = 2 * number[pos] + (code[feature[pos], np.arange(len(pos))] > cut[pos])
+        nodes = 2 * (int(number[-1]) + 1)
+
+
 _UNIT = "model int, fold int, x binary, y binary, key binary, trains binary, test binary"
 
 
@@ -155,15 +209,32 @@ def _predictions(model: int, fold: int, rows: T.Rows, test: np.ndarray, out: np.
          pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), pa.array(out.ravel()))], ["model", "fold", "key", "y", "p"])
 
 
-def _boosted(batches, boosters: list[Booster], rounds: Sequence[int], p: int, bins: int, scale: float):
+def _boosted(batches, boosters: list[Booster], groups: list[list[int]], rounds: Sequence[int], p: int, bins: int, scale: float, scores: bool):
+    """Predictions of the test rows of every unit, or their number and mean squared errors (``scores``).  The units
+    after those of single models are ``groups`` of them."""
     held, now = [], None
 
+    def result(model, rows, test, out):
+        if not scores:
+            return _predictions(model, now[1], rows, test, out, scale)
+        e = out - (rows.y[test] / scale)[:, None]
+        return pa.RecordBatch.from_arrays([pa.array([model], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([len(e)], pa.int64()),
+                                           pa.array([(e * e).mean(axis=0).tolist()], pa.list_(pa.float64()))], ["model", "fold", "n_test", "mse"])
+
     def settle():
         rows = T.Rows.of(pa.Table.from_batches(held), p)
         # the order of the rows must not matter to the last bit of a sum
         rows = rows.take(np.argsort(rows.key, kind="stable"))
-        out = boost(rows, rows.y / scale, now[1], boosters[now[0]], rounds, bins)
-        yield _predictions(*now, rows, rows.test == now[1], out, scale)
+        test = rows.test == now[1]
+        if scores and not test.any():
+            return
+        if now[0] < len(boosters):
+            yield result(now[0], rows, test, boost(rows, rows.y / scale, now[1], boosters[now[0]], rounds, bins))
+            return
+        cells, models = T.Cells.of(rows, now[1], bins), groups[now[0] - len(boosters)]
+        cells.y = cells.y / scale
+        for model, out in zip(models, boost_together(cells, [boosters[m] for m in models], rounds, bins)):
+            yield result(model, rows, test, out)
 
     for batch in batches:
         for i in range(batch.num_rows):
@@ -324,38 +395,45 @@ def _by_levels(blocks: DataFrame, models: list[tuple[int, int]], boosters: list[
 
 # the operator -----------------------------------------------------------------------------------------
 def boost_predictions(rows: DataFrame, features: Sequence[str], target: str, grid: dict, n_folds: int, key: str = "row_key",
-                      bins: int = T.BINS, local_rows: int = T.LOCAL_ROWS) -> tuple[DataFrame, list[tuple[dict, int, int]]]:
+                      bins: int = T.BINS, local_rows: int = LOCAL_ROWS, task_rows: int = T.LOCAL_ROWS,
+                      scores: bool = False) -> tuple[DataFrame, list[tuple[dict, int, int]]]:
     """(model, fold, key, y, p: predictions after each number of rounds) for the test rows of every fold, and the
-    sets as (parameters, model, place in p).  ``rows`` as for ``trees.forest_predictions``."""
+    sets as (parameters, model, place in p); with ``scores`` (model, fold, n_test, mse: after each number of
+    rounds) instead.  ``rows`` as for ``trees.forest_predictions``."""
     feats, p = list(features), len(features)
     rounds = tuple(sorted({int(n) for n in grid.get("n_estimators", [DEFAULTS["n_estimators"]])}))
     sets = param_grid({k: list(v) for k, v in grid.items()})
     boosters = list(dict.fromkeys(Booster.of(s) for s in sets))
     places = [(s, boosters.index(Booster.of(s)), rounds.index(int(s.get("n_estimators", DEFAULTS["n_estimators"])))) for s in sets]
     blocks, scale, sizes, base = T.binned_blocks(rows, feats, target, n_folds, key, bins)
+    groups = []
+    for share in dict.fromkeys(b.subsample for b in boosters):
+        alike = [m for m, b in enumerate(boosters) if b.subsample == share]
+        groups += [alike[i:i + GROUP] for i in range(0, len(alike), GROUP)]
     small = {f: list(range(len(boosters))) for f in range(n_folds) if 0 < sizes[f] <= local_rows}
+    small |= {f: [len(boosters) + i for i in range(len(groups))] for f in range(n_folds) if local_rows < sizes[f] <= task_rows}
     unit = ["model", "fold"]
     dealt = blocks.mapInArrow(lambda it: _deal(it, small, p), _UNIT)
-    n_units = len(small) * len(boosters)
+    n_units = sum(len(units) for units in small.values())
     parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_units // 4 + 1)
+    schema = "model int, fold int, n_test long, mse array<double>" if scores else "model int, fold int, key long, y double, p array<double>"
     out = dealt.repartition(parts, *unit).sortWithinPartitions(*unit).mapInArrow(
-        lambda it: _boosted(it, boosters, rounds, p, bins, scale), "model int, fold int, key long, y double, p array<double>")
-    large = [(m, f) for f in range(n_folds) if sizes[f] > local_rows for m in range(len(boosters))]
+        lambda it: _boosted(it, boosters, groups, rounds, p, bins, scale, scores), schema)
+    large = [(m, f) for f in range(n_folds) if sizes[f] > max(local_rows, task_rows) for m in range(len(boosters))]
     if large:
-        out = out.union(_by_levels(blocks, large, boosters, base, rounds, p, bins, scale))
+        more = _by_levels(blocks, large, boosters, base, rounds, p, bins, scale)
+        if scores:
+            errors = F.array(*[F.avg((F.col("p")[i] - F.col("y")) ** 2) for i in range(len(rounds))])
+            more = more.groupBy("model", "fold").agg(F.count(F.lit(1)).alias("n_test"), errors.alias("mse"))
+        out = out.union(more)
     return stage(out, "boosted"), places
 
 
 def boost_grid_scores(rows: DataFrame, features: Sequence[str], target: str, grid: dict, n_folds: int, **kw) -> DataFrame:
     """(grid_idx, params, fold, mse, n_test) of every set of a boosting grid in every fold."""
     known = rows.where(F.col(f"`{target}`").isNotNull())
-    predicted, places = boost_predictions(known, features, target, grid, n_folds, **kw)
-    width = 1 + max(i for _, _, i in places)
-    errors = predicted.groupBy("model", "fold").agg(F.count(F.lit(1)).alias("n_test"),
-                                                    *[F.avg((F.col("p")[i] - F.col("y")) ** 2).alias(f"e{i}") for i in range(width)])
-    long = errors.select("model", "fold", "n_test", F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.col(f"e{i}").alias("mse"))
-                                                                        for i in range(width)])).alias("_e")) \
-        .select("model", "fold", "n_test", "_e.place", "_e.mse")
+    errors, places = boost_predictions(known, features, target, grid, n_folds, scores=True, **kw)
+    long = errors.select("model", "fold", "n_test", F.posexplode("mse").alias("place", "mse"))
     wanted = rows.sparkSession.createDataFrame([(g, json.dumps(s, sort_keys=True), m, i) for g, (s, m, i) in enumerate(places)],
                                                "grid_idx int, params string, model int, place int")
     return long.join(F.broadcast(wanted), ["model", "place"]).select("grid_idx", "params", "fold", "mse", "n_test")    # one row a set

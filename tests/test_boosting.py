@@ -90,3 +90,29 @@ def test_grid_scores_and_shared_rounds(spark):
     assert score[40, 0.2] < score[5, 0.05] < y.var() * 1.2
     alone = B.boost_grid_scores(df, FEATURES, "y", {"n_estimators": [5], "learning_rate": [0.2], "subsample": [0.8]}, 2).where("fold = 0").first()
     assert abs(alone["mse"] - score[5, 0.2]) < 1e-9
+
+
+@pytest.mark.parametrize("task_rows", [10**6, 0])
+def test_large_folds_in_tasks_over_code_vectors(spark, task_rows):
+    x, y = data(300, 9)
+    x[100:200] = x[0:100]                           # equal codes, other targets
+    df = frame(spark, x, y, [(1 if i % 3 else 0, None if i % 3 else 0) for i in range(len(y))]).repartition(2)
+    grid = {"n_estimators": [2, 4], "subsample": [0.7, 1.0], "max_depth": [1, 3], "colsample_bytree": [0.7], "min_child_weight": [15.0]}   # no ties of tiny nodes
+    one, places = B.boost_predictions(df, FEATURES, "y", grid, 1)
+    two, _ = B.boost_predictions(df, FEATURES, "y", grid, 1, local_rows=10, task_rows=task_rows)
+    a, b = ({(r["model"], r["key"]): r["p"] for r in d.collect()} for d in (one, two))
+    assert a.keys() == b.keys() and len(a) == 400
+    assert max(np.abs(np.array(a[k]) - np.array(b[k])).max() for k in a) < 1e-9
+    scores = {(r["model"], i): m for r in B.boost_predictions(df, FEATURES, "y", grid, 1, local_rows=10, task_rows=task_rows, scores=True)[0].collect()
+              for i, m in enumerate(r["mse"])}
+    for _, m, i in places:
+        assert abs(scores[m, i] - np.mean([(p[i] - y[k]) ** 2 for (model, k), p in a.items() if model == m])) < 1e-9
+
+
+def test_one_job_boosts_folds_above_the_row_limit(spark, monkeypatch):
+    x, y = data(300, 9)
+    df = frame(spark, x, y, [(1 if i % 3 else 0, None if i % 3 else 0) for i in range(len(y))])
+    staged, plain_stage = [], B.stage
+    monkeypatch.setattr(B, "stage", lambda d, name="stage": staged.append(name) or plain_stage(d, name))
+    B.boost_grid_scores(df, FEATURES, "y", {"n_estimators": [5], "max_depth": [2]}, 1, local_rows=10).collect()
+    assert staged == ["boosted"]                    # no margins written a round
