@@ -47,10 +47,10 @@ def fold_predictions(marks: DataFrame, features: Sequence[str], target: str, nam
         out, _ = boost_predictions(marks, features, target, one, n_folds)
         return out.select(F.col("key").alias("row_key"), F.col("p")[0].alias("p"))
     if name == "knn":
-        from .neighbours import neighbour_lists, weighted
+        from .neighbours import neighbour_values, weighted
         k = int(params.get("n_neighbors", 5))
-        return neighbour_lists(marks, features, target, k, n_folds).groupBy(F.col("query").alias("row_key")) \
-            .agg(weighted(k, params.get("weights", "uniform")).alias("p"))
+        return neighbour_values(marks, features, target, k, n_folds, [weighted(k, params.get("weights", "uniform")).alias("p")]) \
+            .select(F.col("query").alias("row_key"), "p")
     out = None
     for f in range(n_folds):
         fm = M.fit(marks.where(F.col("trains").bitwiseAND(F.lit(1 << f)) != 0), features, target, name, params)

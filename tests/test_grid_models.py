@@ -165,3 +165,26 @@ def test_visits_of_a_query_do_not_grow_with_the_rows(spark, monkeypatch):
         lists = NB.neighbour_lists(df, names, "y", 5, 4, part_rows=500)
         assert lists.count() == 5 * (test >= 0).sum()
     assert visits[0] + visits[1] < 4 * 2400 and (visits[2] + visits[3]) / 9600 < 1.3 * (visits[0] + visits[1]) / 2400
+
+
+def test_equal_queries_of_a_fold_ask_once(spark, monkeypatch):
+    visits, staged = [], NB.stage
+
+    def counted(df, name="stage"):
+        out = staged(df, name)
+        if name == "knn_visits":
+            visits.append(out.count())
+        return out
+
+    monkeypatch.setattr(NB, "stage", counted)
+    x, y = data(240, 3, 7)
+    x = x[np.arange(240) % 10]
+    df, names, trains, test = frame(spark, x, y)
+    got = {(r["params"], r["fold"]): (r["mse"], r["n_test"]) for r in NB.knn_grid_scores(df, names, "y", GRID, 4).collect()}
+    assert visits[0] <= 4 * 10
+    for k in GRID["n_neighbors"]:
+        for f, (want, n) in plain_knn(x, y, trains, test, 4, k, "uniform").items():
+            mse, count = got[json.dumps({"n_neighbors": k, "weights": "uniform"}, sort_keys=True), f]
+            assert count == n and abs(mse - want) < 1e-9 * max(1, want)
+    lists = NB.neighbour_lists(df, names, "y", 5, 4).groupBy("query").count().collect()
+    assert {r["query"]: r["count"] for r in lists} == {int(q): min(5, int((trains >> test[q] & 1).sum())) for q in np.flatnonzero(test >= 0)}

@@ -86,3 +86,15 @@ def test_lag_table_against_plain_lookup(spark):
         value = {(s, t): v for s, t, v in rows}
         times = {(s, t + dt.timedelta(hours=k)) for s, t, v in rows if v is not None for k in range(1, n + 1)}
         assert got == {(s, t): tuple(value.get((s, t - dt.timedelta(hours=k))) for k in range(1, n + 1)) for s, t in times}
+
+
+def test_models_are_searched_side_by_side(spark, monkeypatch):
+    import threading
+    from heliopanel import api
+    both, plain = threading.Barrier(2, timeout=60), api.M.grid_search_cv
+    monkeypatch.setattr(api.M, "grid_search_cv", lambda *a, **k: both.wait() >= 0 and plain(*a, **k))
+    import datetime as dt
+    start = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(start + dt.timedelta(hours=i), float(i % 7), 2.0 * (i % 7) + 1) for i in range(60)], "time TIMESTAMP_NTZ, x DOUBLE, y DOUBLE")
+    comparison, cv, _, fitted = api.compare_models(df, None, ["x"], "y", {"ridge": ("ridge_gram", {"alpha": [1.0]}), "linear": ("linear_gram", {})}, 3)
+    assert list(fitted) == ["ridge", "linear"] and comparison.count() == 2 and cv.count() == 6
