@@ -5,9 +5,10 @@
    (WindowGroupLimit partial before the shuffle: a vector holding a third of the table
    costs k rows per partition).
 1. Train rows get an ascending number by id, so that ties go to the smaller number.
-2. ``neighbours.nearest_rows``: a query searches its nearest box of train points, whose k-th distance
+2. Queries of equal features have the same neighbours: one of them asks for all.
+3. ``neighbours.nearest_rows``: a query searches its nearest box of train points, whose k-th distance
    bounds the true one, and then the boxes within that bound.
-3. ``row_number <= k`` per query (ties -> train id), weighted average (uniform or
+4. ``row_number <= k`` per query (ties -> train id), weighted average (uniform or
    1/distance; zero distances take over).
 
 Nothing is capped.  Collected to the driver: the boxes' sampled rows and bounds, and k rows for queries
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .clean import apply_scaler, fit_scaler
-from .neighbours import PART_ROWS, nearest_rows
+from .neighbours import PART_ROWS, first_of_equals, nearest_rows
 
 
 def _q(c: str) -> Column:
@@ -57,15 +58,19 @@ def knn_predict(train: DataFrame, queries: DataFrame, features: Sequence[str], t
     # rows of the same query id are one query
     Q = queries.select(F.struct(*[_q(c) for c in qid]).alias("qid"), *[_q(c).cast("double").alias(f) for c, f in zip(feats, fcols)],
                        F.monotonically_increasing_id().alias("_id"))
-    Q = stage(Q.withColumn("query", F.min("_id").over(Window.partitionBy("qid"))).drop("_id"), "knn_queries")
+    same = Window.partitionBy("qid")
+    Q = stage(Q.withColumn("query", F.min("_id").over(same)).withColumn("own", F.when(F.count(F.lit(1)).over(same) > 1, F.col("query")).otherwise(-1)).drop("_id"),
+              "knn_queries")
 
     geo = T.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(f).alias(f) for f in fcols]).first()   # one row
     if not geo["n"]:
         return Q.select(*[F.col(f"qid.`{c}`").alias(c) for c in qid], F.lit(None).cast("double").alias("prediction"),
                         F.lit(0).cast("long").alias("n_neighbors"))
     unit = np.array([geo[f] or 1.0 for f in fcols])
-    found = nearest_rows(T, Q.where(whole(fcols)).select(*fcols, "query", F.lit(0).alias("fold")), np.ones((1, p)), unit, geo["n"], k,
-                         part_rows=rank_block or PART_ROWS).select("query", "key", "y", "distance")
+    # 2. one of the queries of equal features asks; a query of several rows asks for itself
+    Q = first_of_equals(Q.where(whole(fcols)), [*fcols, "own"]).unionByName(Q.where(~whole(fcols)).withColumn("first", F.col("query")))
+    found = nearest_rows(T, Q.where(whole(fcols) & (F.col("query") == F.col("first"))).select(*fcols, "query", F.lit(0).alias("fold")), np.ones((1, p)), unit,
+                         geo["n"], k, part_rows=rank_block or PART_ROWS).select("query", "key", "y", "distance")
     # a query without all features has no distances: the first k ids
     firsts = F.array(*[F.struct(F.lit(r["key"]).cast("long").alias("key"), F.lit(r["y"]).alias("y"))
                        for r in T.select("key", "y").orderBy("key").limit(k).collect()])     # k rows
@@ -79,6 +84,7 @@ def knn_predict(train: DataFrame, queries: DataFrame, features: Sequence[str], t
         zero = F.col("distance") == 0
         pred = F.when(F.max(zero.cast("int")) == 1, F.avg(F.when(zero, F.col("y")))) \
                 .otherwise(F.sum(F.try_divide(F.col("y"), F.col("distance"))) / F.sum(F.try_divide(F.lit(1.0), F.col("distance"))))
-    out = top.groupBy("query").agg(pred.alias("prediction"), F.count(F.lit(1)).alias("n_neighbors"))
-    named = Q.select("query", "qid").dropDuplicates(["query"])
-    return named.join(out, "query").select(*[F.col(f"qid.`{c}`").alias(c) for c in qid], "prediction", "n_neighbors")
+    out = top.groupBy(F.col("query").alias("first")).agg(pred.alias("prediction"), F.count(F.lit(1)).alias("n_neighbors"))
+    alone = F.col("own") == -1
+    named = Q.where(alone).select("first", "qid").union(Q.where(~alone).select("first", "qid").dropDuplicates(["first"]))
+    return named.join(out, "first").select(*[F.col(f"qid.`{c}`").alias(c) for c in qid], "prediction", "n_neighbors")

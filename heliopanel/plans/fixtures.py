@@ -127,7 +127,7 @@ def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 N_LAGS = 24
 
 
-def engineered(spark: SparkSession, sf_dir: str, n_lags: int = N_LAGS, prev_elevation: bool = False) -> DataFrame:
+def _engineered(spark: SparkSession, sf_dir: str, n_lags: int = N_LAGS, prev_elevation: bool = False) -> DataFrame:
     """Feature table: panel + calendar + radiation/PV-change/daylight + target lags.
     One shuffle for the (site, block) window, see operators.series."""
     from ..functions.calendar import calendar_columns
@@ -135,8 +135,12 @@ def engineered(spark: SparkSession, sf_dir: str, n_lags: int = N_LAGS, prev_elev
     p = panel(spark, sf_dir)
     p = p.select("*", *calendar_columns("time"))
     extra = [("sun_elevation_prev", "sun_elevation:d", 1)] if prev_elevation else []
-    out = radiation_features(p, ["site_id"], "time", n_lags=n_lags, extra_lags=extra)
-    return materialize(out, "engineered", (sf_dir, n_lags, prev_elevation), cluster_by=("site_id", "time"))
+    return radiation_features(p, ["site_id"], "time", n_lags=n_lags, extra_lags=extra)
+
+
+def engineered(spark: SparkSession, sf_dir: str, n_lags: int = N_LAGS) -> DataFrame:
+    """The feature table, written once."""
+    return materialize(_engineered(spark, sf_dir, n_lags), "engineered", (sf_dir, n_lags), cluster_by=("site_id", "time"))
 
 
 MODEL_COLS = ["pv_production", "global_rad:W", "clear_sky_rad:W", "sun_elevation:d", "hour",
@@ -146,7 +150,8 @@ MODEL_COLS = ["pv_production", "global_rad:W", "clear_sky_rad:W", "sun_elevation
 def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows usable for modelling: engineered features without NULLs in the model columns,
     plus the previous hour's elevation (for ramp phases) and the split label."""
-    e = engineered(spark, sf_dir, prev_elevation=True)
+    # not written whole: only the model's columns are made and kept
+    e = _engineered(spark, sf_dir, prev_elevation=True)
     e = e.select("site_id", "time", *[F.col(f"`{c}`") for c in MODEL_COLS], "sun_elevation_prev")
     e = e.na.drop("any", subset=MODEL_COLS)
     e = e.withColumn("split", F.when(F.col("time") < F.lit(TRAIN_END).cast("timestamp_ntz"), "train")

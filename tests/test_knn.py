@@ -106,3 +106,41 @@ def test_rows_of_one_query_id_are_one_query(spark):
     qdf = spark.createDataFrame([(None, 3.0), (None, 30.0), (2, 10.0)], "qid LONG, a DOUBLE")
     got = {r["qid"]: r for r in knn_predict(tdf, qdf, ["a"], "y", 2, "uniform", ["id"], ["qid"], scale=False).collect()}
     assert len(got) == 2 and got[None]["prediction"] == 16.5 and got[2]["n_neighbors"] == 2
+
+
+def test_queries_of_equal_features_ask_once(spark, monkeypatch):
+    from heliopanel.operators import neighbours as NB
+    visits, staged = [], NB.stage
+
+    def counted(df, name="stage"):
+        out = staged(df, name)
+        if name == "knn_visits":
+            visits.append(out.count())
+        return out
+
+    monkeypatch.setattr(NB, "stage", counted)
+    rng = np.random.default_rng(9)
+    tr = np.round(rng.normal(size=(500, 3)), 1)
+    qs = np.round(rng.normal(size=(12, 2)), 1)[np.arange(600) % 12]
+    rows = [(i, *map(float, r)) for i, r in enumerate(qs)] + [(3, *map(float, qs[3])), (4, *map(float, qs[9])), (700, None, 0.0), (701, None, 1.0)]
+    tdf = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(tr)], "id LONG, a DOUBLE, b DOUBLE, y DOUBLE")
+    qdf = spark.createDataFrame(rows, "qid LONG, a DOUBLE, b DOUBLE")
+    got = {r["qid"]: r for r in knn_predict(tdf, qdf, ["a", "b"], "y", 5, "uniform", ["id"], ["qid"], scale=False).collect()}
+    assert visits[0] <= 12 + 4                      # the rows of ids 3 and 4 ask for themselves
+    assert len(got) == 602 and {r["n_neighbors"] for r in got.values()} == {5}
+    single = [i for i in range(600) if i not in (3, 4)]
+    assert np.allclose([got[i]["prediction"] for i in single], _brute(tr, qs, 5, "uniform")[single], rtol=1e-12, atol=1e-12)
+    assert all(abs(got[i]["prediction"] - tr[:5, 2].mean()) < 1e-12 for i in (700, 701))
+    d = [sorted((float(np.sqrt(((t[:2] - q) ** 2).sum())), i) for i, t in enumerate(tr)) for q in (qs[3], qs[4], qs[9])]
+    for i, near in ((3, d[0] + d[0]), (4, d[1] + d[2])):        # both rows of an id are one query
+        assert abs(got[i]["prediction"] - np.mean([tr[j, 2] for _, j in sorted(near)[:5]])) < 1e-12
+
+
+def test_model_frame_writes_its_columns_alone(spark, monkeypatch):
+    from heliopanel.plans import fixtures as FX
+    from conftest import SF_SMALL
+    written, plain = {}, FX.materialize
+    monkeypatch.setattr(FX, "materialize", lambda df, name, *a, **k: written.update({name: df.columns}) or plain(df, name, *a, **k))
+    got = FX.model_frame(spark, SF_SMALL)
+    assert set(written) == {"panel", "model_frame"}
+    assert written["model_frame"] == ["site_id", "time", *FX.MODEL_COLS, "sun_elevation_prev", "split"] == got.columns
