@@ -295,8 +295,10 @@ def _merge(batches, least: int):
 
 # the operator -----------------------------------------------------------------------------------------
 def _spread(rows: DataFrame, small: DataFrame, keys: list[str], by: Column) -> DataFrame:
-    """Rows joined with the one row of their key, a key of very many rows dealt over SALTS tasks."""
-    salted = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    """Rows joined with the one row of their key, a key of very many rows dealt over SALTS tasks.
+
+    Never by a broadcast: Spark sizes either side by its packed files, and the copies of ``small`` not at all."""
+    salted = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))).hint("merge")
     return rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(salted, [*keys, "_salt"]).drop("_salt")
 
 
@@ -332,7 +334,7 @@ def candidates(found: DataFrame, least: int = LEAST) -> DataFrame:
     ends = triples.groupBy("lang", "w2", "w3").agg(F.max("a").alias("back")).withColumnsRenamed({"w2": "w1", "w3": "w2"})
     pairs = _spread(pairs, words.withColumnRenamed("f", "l"), ["lang", "w1"], F.col("w2"))
     pairs = _spread(pairs, words.select("lang", F.col("w1").alias("w2"), F.col("f").alias("r")), ["lang", "w2"], F.col("w1"))
-    pairs = write_table(pairs.join(ends, ["lang", "w1", "w2"], "left"), "phrase-pairs")
+    pairs = write_table(pairs.join(ends.hint("merge"), ["lang", "w1", "w2"], "left"), "phrase-pairs")
 
     longer = F.greatest("top", F.coalesce("back", F.lit(0)))
     two = pairs.where(~((longer >= least) & (100 * longer >= INSIDE * F.col("a")))) \
@@ -355,4 +357,4 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFra
     best = candidates(found, least).withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(TOP_SALTS)))
     best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*order))).where(F.col("rank") <= top)
     best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
-    return best.join(n, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    return best.join(n.hint("merge"), "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -116,6 +116,23 @@ def test_empty_table(spark):
     assert of(spark, []) == []
 
 
+def test_nothing_is_broadcast(spark, monkeypatch):
+    """Not even small tables: Spark takes the files' size for that of the rows and counts no copies."""
+    plans, write = [], P.write_table
+
+    def writing(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(P, "write_table", writing)
+    docs = spark.createDataFrame(corpus(100), "lang string, text string, word string, n string")
+    found = P.collocations(docs)
+    found.collect()
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) == 2
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_given_documents(spark):
     docs = table(spark, SF_SMALL, "documents")
     rows = [tuple(r) for r in docs.select("lang", "text").collect()]
