@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 import math
+from copy import copy
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -39,6 +40,7 @@ from .models import param_grid
 
 BINS = 32
 LOCAL_ROWS = 8_000_000      # of a task: about 100 bytes each while trees grow
+SPLIT_ROWS = 250_000        # training rows from which a family's trees are dealt over the cores
 BLOCK_ROWS = 1 << 16
 ROUNDING = 1e-12
 GROUP = 25                  # trees of one task, while a fold is small
@@ -113,6 +115,60 @@ def cells_of(x: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     return x[first], at.astype(np.int32)
 
 
+PIECE = 1 << 14             # rows whose arrays stay in the processor's cache
+NODES = 512                 # nodes whose histograms do
+JOINT_CELLS = 1 << 16       # cells of a histogram of several features together
+
+
+class Codes:
+    """Codes of rows by feature, and those of pairs and triples of features as one number: a histogram over
+    several features at once holds those of each of them."""
+
+    def __init__(self, x: np.ndarray, bins: int, most: int = 3):
+        self.p, self.bins, self.parts = x.shape[1], bins, {1: [((f,), np.ascontiguousarray(x[:, f])) for f in range(x.shape[1])]}
+        for size in range(2, most + 1):
+            if bins ** size > 1 << 16:
+                break
+            joint = []
+            for first in range(0, self.p, size):
+                features = tuple(range(first, min(first + size, self.p)))
+                code = np.zeros(len(x), np.uint16)
+                for f in features:
+                    code = code * np.uint16(bins) + x[:, f]
+                joint.append((features, code))
+            self.parts[size] = joint
+
+    def width(self, nodes: int) -> int:
+        """How many features to take together for histograms of so many nodes."""
+        return max(size for size in self.parts if size == 1 or nodes * self.bins ** size <= JOINT_CELLS)
+
+    def take(self, keep: np.ndarray) -> "Codes":
+        out = copy(self)
+        out.parts = {size: [(features, code[keep]) for features, code in joint] for size, joint in self.parts.items()}
+        return out
+
+    def empty(self, nodes: int, kind=complex) -> tuple[int, list[np.ndarray]]:
+        """(features taken together, sums of no rows)."""
+        width = max(size for size in self.parts if size == 1 or nodes * self.bins ** size <= JOINT_CELLS)
+        return width, [np.zeros(nodes * self.bins ** len(features), kind) for features, _ in self.parts[width]]
+
+    def add(self, sums: tuple[int, list[np.ndarray]], lo: int, hi: int, node: np.ndarray, values: np.ndarray) -> None:
+        """Add the values of rows lo to hi; two values a row are added at once as a complex number."""
+        for (features, code), total in zip(self.parts[sums[0]], sums[1]):
+            at = node * self.bins ** len(features)
+            at += code[lo:hi]
+            np.add.at(total, at, values[lo:hi])
+
+    def histograms(self, sums: tuple[int, list[np.ndarray]], nodes: int) -> np.ndarray:
+        """(feature, node, bin) sums."""
+        out = np.zeros((self.p, nodes, self.bins), sums[1][0].dtype)
+        for (features, _), total in zip(self.parts[sums[0]], sums[1]):
+            whole = total.reshape(-1, *[self.bins] * len(features))[:nodes]
+            for i, f in enumerate(features):
+                out[f] = whole.sum(axis=tuple(j + 1 for j in range(len(features)) if j != i))
+        return out
+
+
 def weights(key: np.ndarray, tree: int, bootstrap: bool) -> np.ndarray:
     """How often each row is drawn for a tree."""
     if not bootstrap:
@@ -149,21 +205,27 @@ def histogram(code: np.ndarray, node: np.ndarray, w: np.ndarray | None, wy: np.n
 def choose(hists: Iterator[np.ndarray | None], allowed: np.ndarray, min_leaf: int):
     """(feature, bin) of each node's best split by squared error; feature -1 if none lowers it.
 
-    ``hists``: per feature the nodes' histogram; ``allowed``: (node, feature) flags."""
+    ``hists``: per feature the nodes' histogram (without rows if the weights stand for them); ``allowed``: (node,
+    feature) flags."""
     n = len(allowed)
     best, feature, cut = np.zeros(n), np.full(n, -1), np.zeros(n, np.int64)
     for f, hist in enumerate(hists):
         if hist is None:
             continue
-        c, w, s = hist.cumsum(axis=2)
-        cr, wr, sr = c[:, -1:] - c, w[:, -1:] - w, s[:, -1:] - s
-        whole = s[:, -1] ** 2 / np.maximum(w[:, -1], 1)
-        ok = (c >= min_leaf) & (cr >= min_leaf) & allowed[:, f, None]
-        gain = np.where(ok, s * s / np.maximum(w, 1) + sr * sr / np.maximum(wr, 1) - whole[:, None], 0.0)
-        b = gain.argmax(axis=1)
-        g = gain[np.arange(n), b]
-        better = g > np.maximum(best * (1 + ROUNDING), ROUNDING * whole)       # less is rounding
-        feature[better], cut[better], best[better] = f, b[better], g[better]
+        asked = np.flatnonzero(allowed[:, f])
+        for lo in range(0, len(asked), NODES):
+            mine = asked[lo:lo + NODES]
+            sums = hist[:, mine].cumsum(axis=2)
+            c, w, s = sums if len(sums) == 3 else (sums[0], *sums)
+            cr, wr, sr = c[:, -1:] - c, w[:, -1:] - w, s[:, -1:] - s
+            whole = s[:, -1] ** 2 / np.maximum(w[:, -1], 1)
+            ok = (c >= min_leaf) & (cr >= min_leaf)
+            gain = np.where(ok, s * s / np.maximum(w, 1) + sr * sr / np.maximum(wr, 1) - whole[:, None], 0.0)
+            b = gain.argmax(axis=1)
+            g = gain[np.arange(len(mine)), b]
+            better = g > np.maximum(best[mine] * (1 + ROUNDING), ROUNDING * whole)       # less is rounding
+            mine, b, g = mine[better], b[better], g[better]
+            feature[mine], cut[mine], best[mine] = f, b, g
     return feature, cut
 
 
@@ -204,7 +266,8 @@ class Cells:
     @staticmethod
     def of(rows: Rows, fold: int, bins: int) -> "Cells":
         x, at = cells_of(rows.x, bins)
-        train = rows.trains >> fold & 1 == 1
+        train = np.flatnonzero(rows.trains >> fold & 1 == 1)
+        train = train[np.argsort(at[train], kind="stable")]         # sums by vector then go through memory in order
         return Cells(x, at[train], rows.y[train], rows.key[train], at[rows.test == fold])
 
     def drawn(self, number: int, bootstrap: bool) -> tuple[np.ndarray, ...]:
@@ -229,76 +292,132 @@ def grow(cells: Cells, draws: tuple[np.ndarray, ...], asked: np.ndarray, family:
 
     ``above``: (rows, value) of the node's ancestors from the root down; ``leaf``: (rows, value) of
     the node itself if it is known not to be split (then only test rows are needed)."""
-    min_leaf = forest.families[family][0]
-    use = np.flatnonzero(asked | (draws[0] > 0))
-    x, test = cells.x[use], asked[use]
-    rows, w, wy, wyy = (v[use] for v in draws)
-    n_test = int(test.sum())
-    number_of = np.cumsum(test) - 1                                # of test rows
-    out = np.zeros((n_test, len(forest.depths), len(forest.min_splits)))
-    value = np.zeros((n_test, len(forest.min_splits)))
-    going = np.ones((n_test, len(forest.min_splits)), bool)        # not cut off by min_samples_split yet
-    at_depth = dict((d, i) for i, d in enumerate(forest.depths))
-    settled = -1
-
-    def settle(live, depth, count, mean):
-        """Rows ``live`` stand on nodes of these counts and means."""
-        nonlocal settled
-        settled = depth
-        mine = test[live]
-        at, count, mean = number_of[live[mine]], count[mine], mean[mine]
-        g = going[at]
-        value[at] = np.where(g, mean[:, None], value[at])
-        going[at] = g & (count[:, None] >= np.array(forest.min_splits)[None, :])
-        if depth in at_depth:
-            out[:, at_depth[depth], :] = value
-
-    everyone = np.arange(len(use))
+    min_leaf, p = forest.families[family][0], forest.p
+    test = cells.x[asked]
+    out = np.zeros((len(test), len(forest.depths), len(forest.min_splits)))
+    # of each node: its value by min_samples_split, and by which it is not cut off yet
+    value, going = np.zeros((1, len(forest.min_splits))), np.ones((1, len(forest.min_splits)), bool)
+    live, at = np.arange(len(test)), np.zeros(len(test), np.int64)      # test rows on nodes that go on, and their nodes
+
+    def settle(depth, count, mean):
+        """Counts and means of the nodes of this depth."""
+        nonlocal value, going
+        value = np.where(going, mean[:, None], value)
+        going = going & (count[:, None] >= np.array(forest.min_splits)[None, :])
+        if depth in forest.depths:
+            out[live, forest.depths.index(depth)] = value[at]
+
+    def stay(depth, stop):
+        """Test rows ``stop`` go no deeper."""
+        ends = value[at[stop]]
+        for i, d in enumerate(forest.depths):
+            if d > depth:
+                out[live[stop], i] = ends
+
+    depth, heap = -1, np.array([node])
     for depth, (count, mean) in enumerate([*above, *([leaf] if leaf else [])]):
-        settle(everyone, depth, np.full(len(use), count), np.full(len(use), mean))
+        settle(depth, np.array([count]), np.array([mean]))
     depth = len(above)
-    live, heap = everyone, np.array([node])
-    pos = np.zeros(len(use), np.int64)
-    while leaf is None and len(live):
+    if leaf is None:
+        train = _Drawn.of(cells.x, draws, forest.bins)
+        w, y = np.array([train.wy.real.sum()]), np.array([train.wy.imag.sum()])
+    while leaf is None and (len(live) or len(train.pos)):
         k = len(heap)
-        lw, ly = w[live], wy[live]
-        c = np.bincount(pos, rows[live], k)
-        sw, sy = np.bincount(pos, lw, k), np.bincount(pos, ly, k)
+        rows, squares = train.sums(k)
         with np.errstate(invalid="ignore", divide="ignore"):
-            mean = sy / sw
-            spread = np.bincount(pos, wyy[live], k) - sy * mean
-        settle(live, depth, c[pos], mean[pos])
+            mean = y / w
+            spread = squares - y * mean
+        settle(depth, rows, mean)
         if depth >= max(forest.depths):
             break
-        split = forest.splittable(family, c) & (spread > ROUNDING * np.bincount(pos, wyy[live], k))
-        renumber = np.cumsum(split) - 1
-        keep = split[pos]
-        live, pos, heap = live[keep], renumber[pos[keep]], heap[split]
-        if not len(live):
+        split = forest.splittable(family, rows) & (spread > ROUNDING * squares)
+        if not split.any():
             break
-        train = np.flatnonzero(w[live] > 0)
-        allowed = features_of(number, heap, forest.p, forest.drawn(family))
-
-        def hists():
-            for f in range(forest.p):
-                if not allowed[:, f].any():
-                    yield None
-                    continue
-                r = train[allowed[pos[train], f]]
-                yield histogram(x[live[r], f], pos[r], w[live[r]], wy[live[r]], len(heap), forest.bins, rows[live[r]] if min_leaf > 1 else None)
-
-        feature, cut = choose(hists(), allowed, min_leaf)
-        keep = feature[pos] >= 0
-        live, pos = live[keep], pos[keep]
-        right = x[live, feature[pos]] > cut[pos]
-        child = 2 * pos + right
-        used, pos = np.unique(child, return_inverse=True)
-        heap = 2 * heap[used // 2] + used % 2
+        renumber = np.where(split, np.cumsum(split) - 1, -1)
+        heap = heap[split]
+        allowed = features_of(number, heap, p, forest.drawn(family))
+        train.renumber(renumber, len(heap))
+        hist = train.histograms(len(heap), min_leaf > 1)
+        feature, cut = choose(iter(hist.transpose(1, 0, 2, 3)), allowed, min_leaf)
+        inside = np.flatnonzero(feature >= 0)
+        if not len(inside):
+            break
+        split[split] = feature >= 0
+        keep = split[at]
+        if not keep.all():
+            stay(depth, ~keep)
+            live, at = live[keep], at[keep]
+        value, going = np.repeat(value[split], 2, axis=0), np.repeat(going[split], 2, axis=0)
+        at = renumber[at]
+        child = np.full(len(heap), -1)
+        child[inside] = 2 * np.arange(len(inside))
+        at = child[at] + (test[live, feature[at]] > cut[at])
+        left = hist[-2:, feature[inside], inside].cumsum(axis=2)
+        whole, left = left[..., -1], left[:, np.arange(len(inside)), cut[inside]]
+        w, y = np.stack([left, whole - left], axis=2).reshape(2, -1)
+        heap = np.stack([2 * heap[inside], 2 * heap[inside] + 1], axis=1).ravel()
+        train.descend(feature, cut, child, len(heap))
         depth += 1
-    for d, i in at_depth.items():
-        if d > settled:
-            out[:, i, :] = value
-    return out.reshape(n_test, len(forest.depths) * len(forest.min_splits))
+    stay(depth, np.ones(len(live), bool))
+    return out.reshape(len(test), len(forest.depths) * len(forest.min_splits))
+
+
+class _Drawn:
+    """The code vectors that a tree draws, with the node of each; those on no node that goes on have the last number
+    and go once they are many."""
+
+    def __init__(self, codes: Codes, flat: np.ndarray, wy: np.ndarray, squares: np.ndarray):
+        # weight and weighted target; rows and weighted squares: two values a vector, as complex numbers
+        self.codes, self.flat, self.wy, self.squares = codes, flat, wy, squares
+        self.pos = np.zeros(len(wy), np.int64)
+
+    @staticmethod
+    def of(x: np.ndarray, draws: tuple[np.ndarray, ...], bins: int) -> "_Drawn":
+        use = np.flatnonzero(draws[0])
+        x = x[use]
+        rows, w, wy, wyy = (v[use] for v in draws)
+        return _Drawn(Codes(x, bins), x, w + 1j * wy, rows + 1j * wyy)
+
+    def sums(self, nodes: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and weighted squares by node."""
+        out = np.zeros(nodes + 1, complex)
+        np.add.at(out, self.pos, self.squares)
+        return out.real[:nodes], out.imag[:nodes]
+
+    def histograms(self, nodes: int, rows: bool) -> np.ndarray:
+        """([rows,] weight, weighted target; feature, node, bin) sums."""
+        sums, counts = self.codes.empty(nodes + 1), self.codes.empty(nodes + 1, float) if rows else None
+        for lo in range(0, len(self.pos), PIECE):
+            hi = min(lo + PIECE, len(self.pos))
+            self.codes.add(sums, lo, hi, self.pos[lo:hi], self.wy)
+            if rows:
+                self.codes.add(counts, lo, hi, self.pos[lo:hi], self.squares.real)
+        hist = self.codes.histograms(sums, nodes)
+        return np.stack([*([self.codes.histograms(counts, nodes)] if rows else []), hist.real, hist.imag])
+
+    def renumber(self, number: np.ndarray, nodes: int) -> None:
+        """Nodes get new numbers, those with -1 do not go on."""
+        if nodes < len(number):
+            self.pos = np.append(np.where(number < 0, nodes, number), nodes)[self.pos]
+            self._drop(nodes)
+
+    def descend(self, feature: np.ndarray, cut: np.ndarray, child: np.ndarray, nodes: int) -> None:
+        """To the children: the left ones' numbers, -1 where a node is not split."""
+        p, gone = self.codes.p, child < 0
+        feature, cut = np.append(np.where(gone, 0, feature), 0), np.append(np.where(gone, 255, cut), 255).astype(np.uint8)
+        child, first, flat = np.append(np.where(gone, nodes, child), nodes), np.arange(0, PIECE * p, p), self.flat.ravel()
+        for lo in range(0, len(self.pos), PIECE):
+            now = self.pos[lo:lo + PIECE]
+            code = flat[lo * p:(lo + PIECE) * p].take(first[:len(now)] + feature.take(now, mode="clip"), mode="clip")
+            now[:] = child.take(now, mode="clip") + (code > cut.take(now, mode="clip"))
+        if gone.any():
+            self._drop(nodes)
+
+    def _drop(self, nodes: int) -> None:
+        keep = self.pos < nodes
+        if 4 * np.count_nonzero(keep) < 3 * len(keep):
+            self.codes = self.codes.take(keep)
+            self.flat, self.wy, self.squares, self.pos = (v[keep] for v in (self.flat, self.wy, self.squares, self.pos))
 
 
 # large nodes: a level at a time over all blocks -------------------------------------------------------
@@ -418,15 +537,17 @@ def grow_tops(blocks: DataFrame, sizes: dict[int, int], forest: Forest) -> dict[
 
 
 # small nodes: rows to one task -------------------------------------------------------------------------
-_UNIT = "family int, fold int, first int, last int, node long, x binary, y binary, key binary, trains binary, test binary"
+_UNIT = "part int, family int, fold int, first int, last int, node long, x binary, y binary, key binary, trains binary, test binary"
 
 
-def _route(batches, tops: dict, groups: list[tuple[int, int]], forest: Forest):
-    """The rows of every unit: a group of whole trees, or a small node of one tree."""
+def _route(batches, tops: dict, places: dict[tuple, int], parts: int, forest: Forest):
+    """The rows of every unit: a group of whole trees, or a small node of one tree.  ``places``: the part of each group
+    (family, fold, first, last)."""
     names = [c.split()[0] for c in _UNIT.split(", ")]
 
     def record(head, rows):
-        return pa.RecordBatch.from_arrays([*[pa.array([v], t) for v, t in zip(head, (pa.int32(),) * 4 + (pa.int64(),))],
+        place = places[head[:4]] if head[:4] in places else int(_mix(head[2] * 31 + head[4])) % parts
+        return pa.RecordBatch.from_arrays([*[pa.array([v], t) for v, t in zip((place, *head), (pa.int32(),) * 5 + (pa.int64(),))],
                                            *[pa.array([b], pa.binary()) for b in rows.packed()]], names)
 
     for batch in batches:
@@ -435,33 +556,36 @@ def _route(batches, tops: dict, groups: list[tuple[int, int]], forest: Forest):
             mine = rows.take(np.flatnonzero((rows.trains >> fold & 1 == 1) | (rows.test == fold)))
             if not len(mine.y):
                 continue
-            for family in range(len(forest.families)):
-                for first, last in groups:
-                    if (family, fold, first) not in tops:
-                        yield record((family, fold, first, last, 1), mine)
-                        continue
-                    for tree in range(first, last):
-                        w = weights(mine.key, forest.number(family, fold, tree), forest.bootstrap)
-                        top = tops[family, fold, tree]
-                        at = top.walk(mine.x)
-                        for h in np.unique(at).tolist():
-                            leaf = h in top.nodes
-                            i = np.flatnonzero((at == h) & ((mine.test == fold) | ((w > 0) & (not leaf))))
-                            if len(i):
-                                yield record((family, fold, tree, tree + 1, h), mine.take(i))
-
-
-def _finish(batches, tops: dict, forest: Forest, scale: float = 0.0):
+            for family, _, first, last in (u for u in places if u[1] == fold):
+                if (family, fold, first) not in tops:
+                    yield record((family, fold, first, last, 1), mine)
+                    continue
+                for tree in range(first, last):
+                    w = weights(mine.key, forest.number(family, fold, tree), forest.bootstrap)
+                    top = tops[family, fold, tree]
+                    at = top.walk(mine.x)
+                    for h in np.unique(at).tolist():
+                        leaf = h in top.nodes
+                        i = np.flatnonzero((at == h) & ((mine.test == fold) | ((w > 0) & (not leaf))))
+                        if len(i):
+                            yield record((family, fold, tree, tree + 1, h), mine.take(i))
+
+
+def _finish(batches, tops: dict, forest: Forest, scale: float = 0.0, packed: bool = False):
     """Predictions of the test rows of every unit, summed over its trees; units come sorted together.  With ``scale``
-    units hold all trees of a family, and their mean squared errors by number of trees and set are returned."""
+    units hold all trees of a family, and their mean squared errors by number of trees and set are returned.  With
+    ``packed`` units are whole trees, and their sums are returned by pieces of rows (``_SUMS``)."""
     held, now = [], None
 
     def settle():
         family, fold, first, last, node = now
         squares: dict = dict.fromkeys(forest.counts) if scale else {}
         rows = Rows.of(pa.Table.from_batches(held), forest.p)
+        held.clear()
         if not (rows.test == fold).any():
             return              # nothing to predict here
+        if packed:
+            rows = rows.take(np.argsort(rows.key, kind="stable"))
         test, cells, total = rows.test == fold, Cells.of(rows, fold, forest.bins), 0.0
         asked, place = cells.asked()
         for tree in range(first, last):
@@ -478,6 +602,16 @@ def _finish(batches, tops: dict, forest: Forest, scale: float = 0.0):
                 [*[pa.array([v], pa.int32()) for v in (family, fold)], pa.array([int(test.sum())], pa.int64()),
                  pa.array([[v for n in forest.counts for v in squares[n].tolist()]], pa.list_(pa.float64()))], ["family", "fold", "n_test", "mse"])
             return
+        if packed:
+            # rows of a fold lie alike in all its units: those of the first trees bring keys and targets
+            key, y = (rows.key[test], rows.y[test]) if first == 0 else (rows.key[:0], rows.y[:0])
+            for lo in range(0, len(place), PIECE):
+                hi = lo + PIECE
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array([v], pa.int32()) for v in (family, fold, lo // PIECE, first, last)],
+                     *[pa.array([v.tobytes()], pa.binary()) for v in (key[lo:hi], y[lo:hi], total[place[lo:hi]])]],
+                    ["family", "fold", "piece", "first", "last", "key", "y", "sums"])
+            return
         total = total[place]
         n, width = int(test.sum()), len(forest.depths) * len(forest.min_splits)
         counts = np.searchsorted(forest.counts, first, side="right")
@@ -490,7 +624,7 @@ def _finish(batches, tops: dict, forest: Forest, scale: float = 0.0):
 
     for batch in batches:
         for i in range(batch.num_rows):
-            key = tuple(batch.column(j)[i].as_py() for j in range(5))
+            key = tuple(batch.column(j)[i].as_py() for j in range(1, 6))
             if key != now and held:
                 yield from settle()
                 held = []
@@ -500,6 +634,51 @@ def _finish(batches, tops: dict, forest: Forest, scale: float = 0.0):
         yield from settle()
 
 
+_SUMS = "family int, fold int, piece int, first int, last int, key binary, y binary, sums binary"
+
+
+def _added(batches, forest: Forest, scale: float, errors: bool):
+    """The sums of each piece of rows over all its trees, by number of trees and set: predictions (family, fold, key, y,
+    p), or their squared errors added up (family, fold, n, squares).  Pieces come sorted by first tree."""
+    width, total = len(forest.depths) * len(forest.min_splits), 0.0
+    for batch in batches:
+        for family, fold, _, first, last, key, y, sums in zip(*(c.to_pylist() for c in batch.columns)):
+            if first == 0:
+                total, found = 0.0, []
+                keys, known = np.frombuffer(key, np.int64), np.frombuffer(y, float) / scale
+            total = total + np.frombuffer(sums, float).reshape(-1, width)
+            if last in forest.counts:
+                found.append(total / (last * scale))
+            if last < forest.counts[-1]:
+                continue
+            n, p = len(keys), np.concatenate(found, axis=1)
+            if errors:
+                e = p - known[:, None]
+                yield pa.RecordBatch.from_arrays([pa.array([family], pa.int32()), pa.array([fold], pa.int32()), pa.array([n], pa.int64()),
+                                                  pa.array([(e * e).sum(axis=0).tolist()], pa.list_(pa.float64()))], ["family", "fold", "n", "squares"])
+                continue
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, family, np.int32)), pa.array(np.full(n, fold, np.int32)), pa.array(keys), pa.array(known),
+                 pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * p.shape[1]), pa.array(p.ravel()))],
+                ["family", "fold", "key", "y", "p"])
+
+
+def _groups(counts: tuple, most: int) -> list[tuple[int, int]]:
+    """Trees in groups of at most ``most`` that end with each of ``counts``."""
+    groups, at = [], 0
+    for n in counts:
+        groups += [(i, min(i + most, n)) for i in range(at, n, most)]
+        at = n
+    return groups
+
+
+def _together(sums: DataFrame, forest: Forest, scale: float, errors: bool) -> DataFrame:
+    """``_SUMS`` of all groups of trees added up."""
+    piece = ["family", "fold", "piece"]
+    schema = "family int, fold int, n long, squares array<double>" if errors else "family int, fold int, key long, y double, p array<double>"
+    return sums.repartition(*piece).sortWithinPartitions(*piece, "first").mapInArrow(lambda it: _added(it, forest, scale, errors), schema)
+
+
 # the operator ------------------------------------------------------------------------------------------------
 def binned_blocks(rows: DataFrame, features: Sequence[str], target: str, n_folds: int, key: str = "row_key", bins: int = BINS,
                   trains: str = "trains", test: str = "test_fold"):
@@ -554,25 +733,34 @@ def forest_predictions(rows: DataFrame, features: Sequence[str], target: str, gr
     return _predicted(*_prepared(rows, features, target, grid, n_folds, **kw))
 
 
-def _units(blocks: DataFrame, tops, groups: list[tuple[int, int]], forest: Forest, parts: int) -> DataFrame:
-    unit = ["family", "fold", "first", "last", "node"]
-    return blocks.mapInArrow(lambda it: _route(it, tops.value, groups, forest), _UNIT).repartition(parts, *unit).sortWithinPartitions(*unit)
+def _units(blocks: DataFrame, tops, groups: list[tuple[int, int]], sizes: dict[int, int], forest: Forest, parts: int) -> DataFrame:
+    """The rows of every unit together; units of much work come in the first parts, one in each if there are enough."""
+    units = [(family, fold, *g) for family in range(len(forest.families)) for fold in range(forest.n_folds) for g in groups]
+    units.sort(key=lambda u: -sizes[u[1]] * (u[3] - u[2]) * forest.drawn(u[0]))
+    places = {u: i % parts for i, u in enumerate(units)}
+    return blocks.mapInArrow(lambda it: _route(it, tops.value, places, parts, forest), _UNIT) \
+        .repartitionById(parts, F.col("part")).sortWithinPartitions("family", "fold", "first", "last", "node")
 
 
 def _predicted(blocks: DataFrame, scale: float, sizes: dict[int, int], forest: Forest, sets: list[tuple[dict, str]]):
     tops = grow_tops(blocks, sizes, forest)
-    groups, at = [], 0
-    for n in forest.counts:
-        groups += [(i, min(i + GROUP, n)) for i in range(at, n, GROUP)]
-        at = n
+    width = len(forest.depths) * len(forest.min_splits)
+    most = min(GROUP, _share(blocks, sizes, forest))
+    groups = _groups(forest.counts, most)
     spark = blocks.sparkSession
     known = spark.sparkContext.broadcast(tops)
     n_units = len(groups) * len(forest.families) * forest.n_folds
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_units // 8 + sum(sizes.values()) // forest.local_rows + 1)
-    sums = _units(blocks, known, groups, forest, parts).mapInArrow(lambda it: _finish(it, known.value, forest),
+    if not tops and max(sizes.values()) > SPLIT_ROWS:
+        parts = n_units
+    if not tops:
+        sums = _units(blocks, known, groups, sizes, forest, parts).mapInArrow(lambda it: _finish(it, {}, forest, packed=True), _SUMS)
+        p = stage(_together(sums, forest, scale, False), "tree_predictions")
+        columns = [F.col("p")[j * width + i].alias(f"p{j}_{i}") for j in range(len(forest.counts)) for i in range(width)]
+        return p.select("family", "fold", "key", "y", *columns), sets, forest
+    sums = _units(blocks, known, groups, sizes, forest, parts).mapInArrow(lambda it: _finish(it, known.value, forest),
                             "family int, fold int, part int, key long, y double, sums array<double>")
     sums = stage(sums, "tree_sums")
-    width = len(forest.depths) * len(forest.min_splits)
     parts_of = [F.coalesce(F.sum(F.when(F.col("part") == j, F.col("sums")[i])), F.lit(0.0)).alias(f"s{j}_{i}")
                 for j in range(len(forest.counts)) for i in range(width)]
     wide = sums.groupBy("family", "fold", "key").agg((F.max("y") / scale).alias("y"), *parts_of)
@@ -584,16 +772,30 @@ def _predicted(blocks: DataFrame, scale: float, sizes: dict[int, int], forest: F
     return wide.select("family", "fold", "key", "y", *columns), sets, forest
 
 
+def _share(blocks: DataFrame, sizes: dict[int, int], forest: Forest) -> int:
+    """How many trees of a family and fold a task takes: all of them while folds are small, or families and folds enough
+    for all cores."""
+    return forest.counts[-1]
+
+
 def forest_grid_scores(rows: DataFrame, features: Sequence[str], target: str, grid: dict, n_folds: int, **kw) -> DataFrame:
     """(grid_idx, params, fold, mse, n_test) of every set of a random-forest grid in every fold."""
     known = rows.where(F.col(f"`{target}`").isNotNull())
     blocks, scale, sizes, forest, sets = _prepared(known, features, target, grid, n_folds, **kw)
     width = len(forest.depths) * len(forest.min_splits)
     if max(sizes.values()) <= forest.local_rows:
-        whole, none = [(0, forest.counts[-1])], blocks.sparkSession.sparkContext.broadcast({})
-        parts = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * len(forest.families) * n_folds)
-        errors = stage(_units(blocks, none, whole, forest, parts).mapInArrow(lambda it: _finish(it, {}, forest, scale),
-                                                                             "family int, fold int, n_test long, mse array<double>"), "tree_errors")
+        none, most = blocks.sparkSession.sparkContext.broadcast({}), _share(blocks, sizes, forest)
+        if most >= forest.counts[-1]:
+            parts, whole = len(forest.families) * n_folds, [(0, forest.counts[-1])]
+            errors = _units(blocks, none, whole, sizes, forest, parts).mapInArrow(
+                lambda it: _finish(it, {}, forest, scale), "family int, fold int, n_test long, mse array<double>")
+        else:
+            groups = _groups(forest.counts, most)
+            parts, values = len(groups) * len(forest.families) * n_folds, range(len(forest.counts) * width)
+            sums = _units(blocks, none, groups, sizes, forest, parts).mapInArrow(lambda it: _finish(it, {}, forest, packed=True), _SUMS)
+            errors = _together(sums, forest, scale, True).groupBy("family", "fold").agg(
+                F.sum("n").alias("n_test"), F.array(*[F.sum(F.col("squares")[i]) / F.sum("n") for i in values]).alias("mse"))
+        errors = stage(errors, "tree_errors")
         names = F.array(*[F.lit(f"p{j}_{i}") for j in range(len(forest.counts)) for i in range(width)])
         long = errors.select("family", "fold", "n_test", F.explode(F.arrays_zip(names.alias("name"), "mse")).alias("_e")) \
             .select(F.concat_ws(":", "family", "_e.name").alias("place"), "fold", "n_test", "_e.mse")

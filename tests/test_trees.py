@@ -146,3 +146,19 @@ def test_a_grid_writes_no_predictions_and_sends_a_fold_once_a_family(spark, monk
         for fold in (0, 1):
             want = np.mean([(r[column] - r["y"]) ** 2 for r in rows if r["family"] == int(family) and r["fold"] == fold])
             assert abs(scores[__import__("json").dumps(params, sort_keys=True), fold] - want) < 1e-9
+
+
+def test_sums_over_features_together_are_those_of_each():
+    rng = np.random.default_rng(2)
+    x, node, v = rng.integers(0, 32, (500, 5)).astype(np.uint8), rng.integers(0, 3, 500), rng.integers(-9, 9, 500) + 1j * rng.integers(0, 5, 500)
+    codes = T.Codes(x, 32)
+    for nodes in (3, 3 + T.JOINT_CELLS // 32 ** 2):     # pairs, then features alone; three nodes have rows
+        sums = codes.empty(nodes)
+        codes.add(sums, 0, 200, node[:200], v)
+        codes.add(sums, 200, 500, node[200:], v)
+        hist = codes.histograms(sums, 3)
+        assert len(sums[1]) == (3 if nodes == 3 else 5)
+        for f in range(5):
+            want = np.zeros((3, 32), complex)
+            np.add.at(want, (node, x[:, f]), v)
+            assert (hist[f] == want).all()
