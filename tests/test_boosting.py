@@ -116,3 +116,24 @@ def test_one_job_boosts_folds_above_the_row_limit(spark, monkeypatch):
     monkeypatch.setattr(B, "stage", lambda d, name="stage": staged.append(name) or plain_stage(d, name))
     B.boost_grid_scores(df, FEATURES, "y", {"n_estimators": [5], "max_depth": [2]}, 1, local_rows=10).collect()
     assert staged == ["boosted"]                    # no margins written a round
+
+
+def test_models_that_differ_in_min_samples_split_are_one_until_they_part(monkeypatch):
+    x, y = data(400, 5)
+    codes = np.stack([np.searchsorted(np.quantile(c, np.arange(1, 8) / 8), c) for c in x.T], axis=1).astype(np.uint8)
+    rows = T.Rows(codes, y, np.arange(400), np.where(np.arange(400) % 4, 1, 0).astype(np.int32), np.where(np.arange(400) % 4, -1, 0).astype(np.int8))
+    cells = T.Cells.of(rows, 0, 32)
+
+    def run(min_leaf, *splits):
+        boosters = [B.Booster.of({"max_depth": 3, "min_samples_split": m, "min_child_weight": min_leaf, "subsample": 0.8}) for m in splits]
+        return B.boost_together(cells, boosters, (3, 9), 32)
+
+    grown, plain_one = [], B._tree
+    monkeypatch.setattr(B, "_tree", lambda *a: grown.append(1) or plain_one(*a))
+    same = run(10.0, 2, 5)                          # no node of less than 20 rows is split
+    assert len(grown) == 9 and (same[0] == same[1]).all()
+    apart = run(1.0, 150, 2, 5)
+    for found, m in zip(apart, (150, 2, 5)):
+        alone = B.boost(rows, y, 0, B.Booster.of({"max_depth": 3, "min_samples_split": m, "min_child_weight": 1.0, "subsample": 0.8}), (3, 9), 32)
+        assert np.abs(found - alone).max() < 1e-9
+    assert np.abs(apart[0] - apart[1]).max() > 1e-3
