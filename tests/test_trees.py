@@ -162,3 +162,18 @@ def test_sums_over_features_together_are_those_of_each():
             want = np.zeros((3, 32), complex)
             np.add.at(want, (node, x[:, f]), v)
             assert (hist[f] == want).all()
+
+
+def test_trees_of_few_families_are_dealt_over_the_cores(spark, monkeypatch):
+    x, y = data(300, 3)
+    df = frame(spark, x, y, [(3 - (1 << (i % 2)), i % 2) for i in range(len(y))])
+    grid = {"n_estimators": [3, 30], "max_depth": [2, 5], "min_samples_split": [2, 10]}
+    whole = {(r["params"], r["fold"]): (r["mse"], r["n_test"]) for r in T.forest_grid_scores(df, FEATURES, "y", grid, 2).collect()}
+    staged, dealt, plain_stage, plain_units = [], [], T.stage, T._units
+    monkeypatch.setattr(T, "stage", lambda d, name="stage": staged.append(name) or plain_stage(d, name))
+    monkeypatch.setattr(T, "_units", lambda b, t, groups, *a: dealt.append(groups) or plain_units(b, t, groups, *a))
+    monkeypatch.setattr(T, "SPLIT_ROWS", 10)
+    monkeypatch.setattr(T, "PIECE", 40)             # several pieces a fold
+    found = {(r["params"], r["fold"]): (r["mse"], r["n_test"]) for r in T.forest_grid_scores(df, FEATURES, "y", grid, 2).collect()}
+    assert dealt == [[(0, 3), (3, 18), (18, 30)]] and staged == ["tree_blocks", "tree_errors"]
+    assert found.keys() == whole.keys() and all(abs(found[k][0] - whole[k][0]) < 1e-9 and found[k][1] == whole[k][1] for k in whole)
